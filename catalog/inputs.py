@@ -127,8 +127,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written out as station logs: two head lines per station, two layouts, some broken lines."""
     e = table(spark, sf_dir, "events").withColumn("station", F.col("user_id") % 10)
     source = F.concat(F.lit("log/"), F.col("station").cast("string"), F.lit(".txt"))
-    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    value, user = F.col("value").cast("decimal(18,2)").cast("string"), F.col("user_id").cast("string")
+    ts, value, user = (F.col(n).cast("string") for n in ("ts", "value", "user_id"))
     sep, comma = F.lit(";"), F.lit(",")
     line = (
         F.when(F.col("value") < 1, F.concat(ts, sep, value, sep))  # a field too few

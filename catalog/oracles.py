@@ -36,9 +36,9 @@ ALL_SENSORS = ", ".join(SENSORS)
 LOG_ROWS = """rows AS (
   SELECT 'log/' || (user_id % 10) || '.txt' AS path, event_id + 2 AS line,
     CASE WHEN value > 200 THEN NULL ELSE ts END AS "DateTime",
-    CASE WHEN user_id % 10 < 5 AND (value > 200 OR value <= 150) THEN round(value, 2) END AS "Temp1",
+    CASE WHEN user_id % 10 < 5 AND (value > 200 OR value <= 150) THEN value END AS "Temp1",
     user_id::DOUBLE AS "User1",
-    CASE WHEN user_id % 10 >= 5 AND (value > 200 OR value <= 150) THEN round(value, 2) END AS "Hum1"
+    CASE WHEN user_id % 10 >= 5 AND (value > 200 OR value <= 150) THEN value END AS "Hum1"
   FROM events WHERE NOT value < 1)"""
 
 # --- sources and merging -------------------------------------------------------------------------
@@ -79,13 +79,13 @@ WHERE o_orderpriority <> '4-NOT SPECIFIED'
 QUALIFY row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) = 1"""
 
 _sources = ", ".join(
-    f"""src_{s} AS (SELECT date_trunc('minute', ts) AS "DateTime", event_id AS id_{s}, value AS {s} FROM events
+    f"""src_{s} AS (SELECT date_trunc('minute', ts) AS "DateTime", value AS {s} FROM events
   WHERE event_type = '{s}' QUALIFY row_number() OVER (PARTITION BY date_trunc('minute', ts) ORDER BY event_id) = 1)"""
     for s in SENSORS
 )
 ORACLES["merge_weather_full_outer"] = f"""
 WITH {_sources}
-SELECT "DateTime", {", ".join(f"id_{s}, {s}" for s in SENSORS)}
+SELECT "DateTime", {ALL_SENSORS}
 FROM src_click {" ".join(f'FULL JOIN src_{s} USING ("DateTime")' for s in SENSORS[1:])}"""
 
 _hourly = lambda s, p, k="": f"""(SELECT {k}date_trunc('hour', ts) AS "DateTime", avg(round(value * 100)) AS {p}mean,

@@ -15,6 +15,7 @@ from stationloom.operators import constant, extract, integrity, masks, missing,
 from stationloom.operators import interpolate as gaps
 from stationloom.plans import quality
 from stationloom.sources import files, logs, merge
+from stationloom.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,9 +88,7 @@ def merge_power(spark, sf):
 
 @query
 def merge_weather_full_outer(spark, sf):
-    sources = [(i.minute_source(spark, sf, s), [F.col("event_id")]) for s in i.SENSORS]
-    return merge.merge_full_outer([(df.withColumnRenamed("event_id", f"id_{s}"), [F.col(f"id_{s}")])
-                                   for (df, _), s in zip(sources, i.SENSORS)])
+    return merge.merge_full_outer([(i.minute_source(spark, sf, s), ["event_id"]) for s in i.SENSORS])
 
 
 @query
@@ -311,25 +310,30 @@ def resample_seven_hours(spark, sf):
     return i.grid(spark, sf, "7h")
 
 
+def _stored_grid(spark, sf, frequency="1h"):
+    """As between the stages of a pipeline: the grid is written once and read for the gap filling."""
+    return materialize(i.grid(spark, sf, frequency), "grid")
+
+
 @query
 def interpolate_linear(spark, sf):
-    return gaps.interpolate(i.grid(spark, sf), i.SENSORS, TIME, ["station"], step_seconds=3600)
+    return gaps.interpolate(_stored_grid(spark, sf), i.SENSORS, TIME, ["station"], step_seconds=3600)
 
 
 @query
 def interpolate_limited(spark, sf):
-    return gaps.interpolate(i.grid(spark, sf), i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)
+    return gaps.interpolate(_stored_grid(spark, sf), i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)
 
 
 @query
 def interpolate_edges(spark, sf):
     """Rows without a known step: positions are counted, slices are short."""
-    return gaps.interpolate(i.grid(spark, sf, "2h"), i.SENSORS, TIME, ["station"], limit=3, chunk_seconds=86_400)
+    return gaps.interpolate(_stored_grid(spark, sf, "2h"), i.SENSORS, TIME, ["station"], limit=3, chunk_seconds=86_400)
 
 
 @query
 def interpolation_stats(spark, sf):
-    filled = gaps.interpolate(i.grid(spark, sf), i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)
+    filled = gaps.interpolate(_stored_grid(spark, sf), i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)
     return gaps.interpolation_stats(filled, i.SENSORS, ["station"])
 
 

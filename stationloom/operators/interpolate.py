@@ -46,6 +46,9 @@ def interpolate(
     ``step_seconds`` says that each series is a complete grid of that step (the result of a
     resampling); positions are then computed instead of counted. ``max_gap_seconds`` states the
     limit as a time and needs the step.
+
+    ``df`` is read twice, once for the table of slices; hand in a stored table if it is costly to
+    compute.
     """
     if not columns:
         return df
@@ -59,6 +62,8 @@ def interpolate(
     ts = c(time_col)
     key_cols = [c(k) for k in keys]
     base = df.withColumn("_chunk", F.coalesce(time_chunk(ts, width), F.lit(-(2**62)).cast("long")))
+    # explicit, as rows that arrive partitioned by the keys alone would stay so, one task per series
+    base = base.repartition(*key_cols, F.col("_chunk"))
     slice_ = Window.partitionBy(*key_cols, "_chunk")
     if step_seconds:
         base = base.withColumn("_pos", floor_div(micros(ts), step_seconds * SECOND))
@@ -68,28 +73,35 @@ def interpolate(
     carried = _carry_between_slices(base, columns, keys, counted=not step_seconds)
     up = slice_.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     down = slice_.orderBy(F.col("_pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    point = lambda n: F.when(c(n).isNotNull(), F.struct(F.col("_pos").alias("pos"), c(n).alias("value")))
     local = base.select(
         "*",
-        *[F.last(point(n), ignorenulls=True).over(up).alias(f"_p{i}") for i, n in enumerate(columns)],
-        *[F.last(point(n), ignorenulls=True).over(down).alias(f"_n{i}") for i, n in enumerate(columns)],
+        *[
+            F.last(value, ignorenulls=True).over(frame).alias(f"_{side}{what}{i}")
+            for side, frame in (("p", up), ("n", down))
+            for i, n in enumerate(columns)
+            for what, value in (("v", c(n)), ("p", F.when(c(n).isNotNull(), F.col("_pos"))))
+        ],
     )
-    joined = local.join(carried, [*keys, "_chunk"], "left")
-
     offset = F.coalesce(F.col("_offset"), F.lit(0).cast("long"))
+    # nearest known reading on either side: in the slice, else what was carried to it
+    joined = local.join(carried, [*keys, "_chunk"], "left").select(
+        *[c(n) for n in df.columns],
+        (offset + F.col("_pos")).alias("_pos"),
+        *[F.coalesce(f"_{side}v{i}", f"_c{side}v{i}").alias(f"_{side}v{i}") for side in "pn" for i in range(len(columns))],
+        *[
+            F.coalesce(offset + F.col(f"_{side}p{i}"), F.col(f"_c{side}p{i}")).alias(f"_{side}p{i}")
+            for side in "pn"
+            for i in range(len(columns))
+        ],
+    )
+
     filled: dict[str, Column] = {}
     for i, n in enumerate(columns):
-        pos = offset + F.col("_pos")
-        shift = lambda p: F.struct((offset + p["pos"]).alias("pos"), p["value"].alias("value"))
-        before, after = F.col(f"_p{i}"), F.col(f"_n{i}")
-        prev = F.coalesce(F.when(before.isNotNull(), shift(before)), F.col(f"_cp{i}"))
-        next_ = F.coalesce(F.when(after.isNotNull(), shift(after)), F.col(f"_cn{i}"))
-        line = prev["value"] + (next_["value"] - prev["value"]) * (pos - prev["pos"]) / (next_["pos"] - prev["pos"])
-        estimate = F.coalesce(line, prev["value"], next_["value"])
+        pos, pv, pp, nv, np_ = (F.col(x) for x in ("_pos", f"_pv{i}", f"_pp{i}", f"_nv{i}", f"_np{i}"))
+        line = pv + (nv - pv) * (pos - pp) / (np_ - pp)
+        estimate = F.coalesce(line, pv, nv)
         if limit is not None:
-            near = F.coalesce(pos - prev["pos"] <= limit, F.lit(False)) | F.coalesce(
-                next_["pos"] - pos <= limit, F.lit(False)
-            )
+            near = F.coalesce(pos - pp <= limit, F.lit(False)) | F.coalesce(np_ - pos <= limit, F.lit(False))
             estimate = F.when(near, estimate)
         filled[n] = F.when(c(n).isNotNull(), c(n)).otherwise(estimate)
     result = joined.select(
@@ -127,14 +139,15 @@ def _carry_between_slices(base: DataFrame, columns: Sequence[str], keys: Sequenc
     zero = F.lit(0).cast("long")
     slices = slices.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), zero) if counted else zero)
 
-    def edge(kind: str, i: int) -> Column:
-        p, v = F.col(f"_{kind}p{i}"), F.col(f"_{kind}v{i}")
-        return F.when(p.isNotNull(), F.struct((F.col("_offset") + p).alias("pos"), v.alias("value")))
-
+    last = lambda value, frame, name: F.last(value, ignorenulls=True).over(frame).alias(name)
     return slices.select(
         *[c(k) for k in keys], "_chunk", "_offset",
-        *[F.last(edge("l", i), ignorenulls=True).over(earlier).alias(f"_cp{i}") for i in range(len(columns))],
-        *[F.last(edge("f", i), ignorenulls=True).over(later).alias(f"_cn{i}") for i in range(len(columns))],
+        *[
+            last(value, frame, f"_c{side}{what}{i}")
+            for side, kind, frame in (("p", "l", earlier), ("n", "f", later))
+            for i in range(len(columns))
+            for what, value in (("v", F.col(f"_{kind}v{i}")), ("p", F.col("_offset") + F.col(f"_{kind}p{i}")))
+        ],
     )
 
 

@@ -20,58 +20,58 @@ from stationloom.storage import materialize
 
 TIME = "DateTime"
 HEADER_LINE = 2
+BLANKS = " \t\r\n\v\f"
 
 
 def _stripped(text: Column) -> Column:
     """Without blanks around it and without any trailing ``;``."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), ";+$", "")
+    return F.rtrim(F.trim(text, F.lit(BLANKS)), F.lit(";"))
 
 
 def _names(header: Column) -> Column:
-    groups = F.filter(F.split(_stripped(header), ";", -1), lambda g: F.trim(g) != "")
+    groups = F.filter(F.split(header, ";", -1), lambda g: F.trim(g) != "")
     return F.transform(F.split(F.array_join(groups, ","), ",", -1), lambda n: F.trim(n))
 
 
 def log_headers(lines: DataFrame) -> DataFrame:
-    """``(_source, _header, _names)`` of every source."""
-    return nth_lines(lines, HEADER_LINE).select(
-        SOURCE, F.col(TEXT).alias("_header"), _names(F.col(TEXT)).alias("_names")
-    )
+    """``(_source, _head, _names)`` of every source: its header line, cleaned, and the column names in it."""
+    head = nth_lines(lines, HEADER_LINE).select(SOURCE, _stripped(F.col(TEXT)).alias("_head"))
+    return head.withColumn("_names", _names(F.col("_head")))
 
 
 def parse_log_lines(lines: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
     """Readings of log lines: ``_source``, the line order, ``DateTime`` and one double per sensor name.
 
     Lines with the wrong number of fields are dropped, unreadable fields become NULL. The first two
-    lines of a source are its head; a later line that repeats the column names is head as well.
-    The names must be known to build the plan: they are read first, reduced to distinct headers.
+    lines of a source are its head; a later line that repeats the header is head as well. The names
+    must be known to build the plan, so the headers are read first and their distinct texts fetched.
     """
     headers = materialize(log_headers(lines), "log-headers")
-    layouts = [list(r["_names"]) for r in headers.select("_names").distinct().collect()]  # a few header texts
+    layouts = headers.select("_head", "_names").distinct().collect()  # a few header texts
     if not layouts:
         raise DataParsingError("no source has a header line")
-    layouts.sort()
-    for names in layouts:
+    for names in (r["_names"] for r in layouts):
         if TIME not in names or len(set(names)) != len(names):
             raise DataParsingError(f"header {names} must name {TIME} and each sensor once")
 
     rows = lines.withColumn("_clean", _stripped(F.col(TEXT))).where(F.col("_clean") != "")
     if len(layouts) == 1:
-        names = layouts[0]
-        width, position = F.lit(len(names)), {n: F.lit(i) for i, n in enumerate(names)}
-        is_head = F.transform(F.split("_clean", "[;,]", -1), lambda n: F.trim(n)) == F.array(*[F.lit(n) for n in names])
+        names = layouts[0]["_names"]
+        head, width = F.lit(layouts[0]["_head"]), F.lit(len(names))
+        position = {n: F.lit(i) for i, n in enumerate(names)}
     else:
         # one row per source; its files give Catalyst the size to choose the join by
-        rows = rows.join(headers.select(SOURCE, "_names"), SOURCE, "inner")
-        every = list(dict.fromkeys(n for names in layouts for n in names))
-        width = F.size("_names")
-        position = {n: F.array_position("_names", n).cast("int") - 1 for n in every}
-        is_head = F.transform(F.split("_clean", "[;,]", -1), lambda n: F.trim(n)) == F.col("_names")
-
-    rows = rows.where(~is_head).withColumn("_fields", F.split("_clean", "[;,]", -1)).where(F.size("_fields") == width)
+        rows = rows.join(headers, SOURCE, "inner")
+        head, width = F.col("_head"), F.size("_names")
+        position = {
+            n: F.array_position("_names", n).cast("int") - 1
+            for n in dict.fromkeys(n for r in sorted(layouts, key=lambda r: r["_head"]) for n in r["_names"])
+        }
+    rows = rows.where(F.col("_clean") != head).withColumn("_fields", F.split("_clean", "[;,]", -1))
+    rows = rows.where(F.size("_fields") == width)
     if len(position) == 1:  # a board line also has one field
-        first = nth_lines(lines, 1).select(SOURCE, F.col(TEXT).alias("_board"))
-        rows = rows.join(first, SOURCE, "left").where(~F.coalesce(F.col("_board") == F.col(TEXT), F.lit(False)))
+        board = nth_lines(lines, 1).select(SOURCE, F.col(TEXT).alias("_board"))
+        rows = rows.join(board, SOURCE, "left").where(~F.coalesce(F.col("_board") == F.col(TEXT), F.lit(False)))
     field = lambda n: F.get("_fields", position[n])
     return rows.select(
         *ROW_ORDER,

@@ -109,34 +109,44 @@ def merge_power(
     return without_order(dedupe_keep_first(rows, [TIME], [F.col(n) for n in ROW_ORDER]))
 
 
-def align_on_time(
-    sources: Sequence[DataFrame], keys: Sequence[str] = (TIME,), duplicates: str = "error"
-) -> DataFrame:
+def align_on_time(sources: Sequence[DataFrame], keys: Sequence[str] = (TIME,)) -> DataFrame:
     """Full outer alignment of tables with distinct columns: one row per key, all columns.
 
-    ``duplicates`` says what a key that occurs twice in a source means: ``"error"`` fails when the
-    result is computed, ``"first"`` trusts that the sources were reduced before.
+    A key that a source holds twice is an error, raised when the result is computed.
     """
-    values = [[n for n in s.columns if n not in keys] for s in sources]
-    names = [n for v in values for n in v]
+    names = [n for s in sources for n in s.columns if n not in keys]
     if len(set(names)) != len(names):
         raise ValidationError("sources to align must not share column names")
     marked = union_by_name([s.withColumn("_table", F.lit(i)) for i, s in enumerate(sources)])
-    checks = [F.count_if(F.col("_table") == i).alias(f"_n{i}") for i in range(len(sources))]
-    strict = duplicates == "error"
+    counts = [F.count_if(F.col("_table") == i).alias(f"_n{i}") for i in range(len(sources))]
     grouped = marked.groupBy(*[c(k) for k in keys]).agg(
-        *(checks if strict else []), *[F.first(c(n), ignorenulls=True).alias(n) for n in names]
+        *counts, *[F.first(c(n), ignorenulls=True).alias(n) for n in names]
     )
-    if not strict:
-        return grouped
     most = F.greatest(F.lit(0), *[F.col(f"_n{i}") for i in range(len(sources))])
     guard = lambda v: F.when(most > 1, F.raise_error(F.lit("duplicate times in a source"))).otherwise(v)
     return grouped.select(*[c(k) for k in keys], *[guard(c(n)).alias(n) for n in names])
 
 
-def merge_full_outer(sources: Sequence[tuple[DataFrame, Sequence[Column]]], key: str = TIME) -> DataFrame:
-    """Outer join of (table, row order) on the time, the first row kept of each time of a source."""
-    return align_on_time([dedupe_keep_first(t, [key], order) for t, order in sources], [key], "first")
+def merge_full_outer(sources: Sequence[tuple[DataFrame, Sequence[str]]], key: str = TIME) -> DataFrame:
+    """Outer join of (table, its row-order columns) on the time, the first row kept of each time of a source.
+
+    All sources are reduced in one window over (source, time) and aligned in one aggregation. The
+    row-order columns of all sources are alike in number and type and do not reach the result.
+    """
+    depth = {len(order) for _, order in sources}
+    if len(depth) != 1:
+        raise ValidationError("every source needs the same number of row-order columns")
+    places = [f"_order{k}" for k in range(depth.pop())]
+    tagged, values = [], []
+    for i, (df, order) in enumerate(sources):
+        own = [n for n in df.columns if n != key and n not in order]
+        values += own
+        ranks = [c(n).alias(place) for n, place in zip(order, places)]
+        tagged.append(df.select(F.lit(i).alias("_table"), c(key), *ranks, *[c(n) for n in own]))
+    if len(set(values)) != len(values):
+        raise ValidationError("sources to align must not share column names")
+    first = dedupe_keep_first(union_by_name(tagged), ["_table", key], [F.col(p) for p in places])
+    return first.groupBy(c(key)).agg(*[F.first(c(n), ignorenulls=True).alias(n) for n in values])
 
 
 def weather_rows(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame | None:
@@ -160,11 +170,10 @@ def merge_weather(spark: SparkSession, folder: str, files: Mapping[str, Mapping[
         for g in read_csv_groups(spark, folder, name):
             rows = weather_rows(g.rows, columns)
             if rows is not None:
-                first = dedupe_keep_first(rows, [TIME], [F.col(n) for n in ROW_ORDER])
-                sources.append(without_order(first))
+                sources.append((rows, ROW_ORDER))
     if not sources:
         raise DataProcessingError(f"no weather file could be read from {folder}")
-    return align_on_time(sources, [TIME], "first")
+    return merge_full_outer(sources)
 
 
 def prefixed(df: DataFrame, table: str, keys: Sequence[str] = (TIME,)) -> DataFrame:
