@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,8 +64,9 @@ def nth_lines(lines: DataFrame, n: int) -> DataFrame:
 
 def stem(path: Column) -> Column:
     """File name without folders and extension."""
-    name = F.regexp_extract(path, r"([^/]+)$", 1)
-    return F.replace(F.regexp_replace(name, r"\.[^.]*$", ""), F.lit("%20"), F.lit(" "))
+    name = F.regexp_replace(F.regexp_extract(path, r"([^/]+)$", 1), r"\.[^.]*$", "")
+    # scans report paths as URIs, in which a plus sign is just that
+    return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 @dataclass(frozen=True)
@@ -89,7 +91,7 @@ def read_csv_groups(spark: SparkSession, paths: str | Sequence[str], pattern: st
         names = tuple(next(csv.reader([row[TEXT].lstrip("﻿")])))
         schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
         rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(
-            [f.replace("%20", " ") for f in row["files"]]
+            [unquote(f) for f in row["files"]]
         )
         rows = rows.select(
             "*",
@@ -115,12 +117,15 @@ def audited_files(spark: SparkSession, paths: str | Sequence[str], pattern: str
     lines = read_lines(spark, paths, pattern)
     if lines is None:
         raise ValidationError(f"no file found at {paths}")
-    counted = lines.groupBy(SOURCE).agg(F.count("*").alias("lines"))
-    found = spark.createDataFrame([(f,) for f in lines.inputFiles()], f"{SOURCE} string")
+    # one spelling of local paths for both sides
+    path = F.regexp_replace(SOURCE, "^file:/+", "file:///").alias(SOURCE)
+    found = spark.createDataFrame([(f,) for f in lines.inputFiles()], f"{SOURCE} string").select(path)
+    counted = lines.select(path).groupBy(SOURCE).agg(F.count("*").alias("lines"))
+    lines_or_none = F.coalesce("lines", F.lit(0).cast("long"))
     return found.join(counted, SOURCE, "left").select(
         F.col(SOURCE).alias("source"),
-        F.coalesce("lines", F.lit(0).cast("long")).alias("lines"),
-        F.when(F.coalesce("lines", F.lit(0).cast("long")) == 0, "empty file").otherwise("ok").alias("status"),
+        lines_or_none.alias("lines"),
+        F.when(lines_or_none == 0, "empty file").otherwise("ok").alias("status"),
     )
 
 
