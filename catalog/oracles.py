@@ -216,6 +216,15 @@ SELECT 's7', 'view,view,error', '2024-01-10 to 2024-01-20',
   count(*) FILTER (ts BETWEEN '2024-01-10' AND '2024-01-20'), 'view,vi,error'
 FROM events WHERE user_id % 10 = 7"""
 
+ORACLES["qc_failure_stats_many"] = """
+WITH windows AS (
+  SELECT s AS station, TIMESTAMP '2024-01-01' + to_days((3 * i)::INTEGER) AS a, TIMESTAMP '2024-01-02' + to_days((3 * i)::INTEGER) AS b
+  FROM range(10) x(s), range(8) y(i))
+SELECT 's' || station AS station, strftime(a, '%Y-%m-%d') || ' to ' || strftime(b, '%Y-%m-%d') AS failure_period,
+  count(*) FILTER (ts BETWEEN a AND b) AS affected_timestamps,
+  CASE WHEN station % 2 = 1 THEN 'click,view' ELSE 'error,purchase,view' END AS affected
+FROM windows JOIN events ON user_id % 10 = station GROUP BY ALL"""
+
 ORACLES["daily_std"] = f"""
 WITH {WIDE} SELECT station, "DateTime"::DATE AS day, count(*) AS rows,
   {", ".join(f"round(stddev_samp({s}), 6) AS {s}" for s in SENSORS)} FROM wide GROUP BY ALL"""

@@ -81,7 +81,7 @@ def merge_power(spark, sf):
         F.col("o_totalprice").cast("string").alias("Optimizer 1.1 (W)"),
         F.col("o_orderkey"),
     )
-    rows = merge.power_rows(text, ["Time", "Optimizer 1.1 (W)"])
+    rows = merge.power_rows(files.CsvTable(text, {"": ("Time", "Optimizer 1.1 (W)")}))
     first = integrity.dedupe_keep_first(rows, [TIME], [F.col("o_orderkey")])
     return first.select(TIME, "o_orderkey", c("Optimizer 1.1 (W)").alias("power"))
 
@@ -197,6 +197,12 @@ def qc_failure_stats(spark, sf):
     )
 
 
+@query
+def qc_failure_stats_many(spark, sf):
+    stats = masks.failure_stats(i.wide(spark, sf), i.MANY_WINDOWS, i.station_key(), TIME, ["event_id", "station"])
+    return stats.select("station", "failure_period", "affected_timestamps", F.concat_ws(",", "affected_columns").alias("affected"))
+
+
 @query
 def daily_std(spark, sf):
     std = constant.daily_std(i.wide(spark, sf, with_id=False), TIME, ["station"])

@@ -176,18 +176,19 @@ def failure_mask(
     )
 
 
-def _failure_mask_joined(df, windows, station, time_col, sensors, whole_last_day):
+def _window_table(df: DataFrame, windows: Sequence[FailureWindow], sensors: Sequence[str], whole_last_day: bool) -> DataFrame:
     """One row per station with its windows; the table's length is known, so is whether it may be broadcast."""
     by_station: dict[str, list[dict]] = {}
-    for w in windows:
-        entry = {"start": w.start, "end": w.end, "sensors": sorted(set(_affected(sensors, w)))}
+    for i, w in enumerate(windows):
+        entry = {"rule": i, "start": w.start, "end": w.end, "sensors": sorted(set(_affected(sensors, w)))}
         by_station.setdefault(w.station, []).append(entry)
-    schema = "_station string, _rules array<struct<start: string, end: string, sensors: array<string>>>"
+    schema = "_station string, _rules array<struct<rule: int, start: string, end: string, sensors: array<string>>>"
     extra = F.expr("INTERVAL '1 00:00:00' DAY TO SECOND - INTERVAL '0.000001' SECOND")
 
     def typed(w: Column) -> Column:
         end = w["end"].cast("timestamp_ntz")
         return F.struct(
+            w["rule"].alias("rule"),
             w["start"].cast("timestamp_ntz").alias("start"),
             (end + extra if whole_last_day else end).alias("end"),
             w["sensors"].alias("sensors"),
@@ -196,12 +197,17 @@ def _failure_mask_joined(df, windows, station, time_col, sensors, whole_last_day
     table = df.sparkSession.createDataFrame(list(by_station.items()), schema).select(
         "_station", F.transform("_rules", typed).alias("_windows")
     )
-    if len(windows) <= MAX_BROADCAST_WINDOWS:
-        table = F.broadcast(table)
-    ts = c(time_col)
-    active = F.filter("_windows", lambda w: (ts >= w["start"]) & (ts <= w["end"]))
+    return F.broadcast(table) if len(windows) <= MAX_BROADCAST_WINDOWS else table
+
+
+def _active(ts: Column) -> Column:
+    return F.filter("_windows", lambda w: (ts >= w["start"]) & (ts <= w["end"]))
+
+
+def _failure_mask_joined(df, windows, station, time_col, sensors, whole_last_day):
+    table = _window_table(df, windows, sensors, whole_last_day)
     joined = df.withColumn("_key", station).join(table, F.col("_key") == F.col("_station"), "left")
-    joined = joined.withColumn("_failed", F.flatten(F.transform(active, lambda w: w["sensors"])))
+    joined = joined.withColumn("_failed", F.flatten(F.transform(_active(c(time_col)), lambda w: w["sensors"])))
     hit = lambda n: F.coalesce(F.array_contains("_failed", n), F.lit(False))
     return joined.select(*[F.when(~hit(n), c(n)).alias(n) if n in sensors else c(n) for n in df.columns])
 
@@ -216,12 +222,15 @@ def failure_stats(
 ) -> DataFrame:
     """Rows per window, with the columns and patterns it concerns; stations without rows are left out.
 
-    All windows are counted in one pass, without a shuffle of the rows.
+    Few windows are counted side by side in one aggregate, a long rule table through a join; only
+    counts are shuffled.
     """
     sensors = sensor_columns(df, [*exclude, time_col])
     useful = [w for w in windows if _affected(sensors, w)]
     if not useful:
         raise ValidationError("no failure window concerns a column of this table")
+    if len(useful) > MAX_INLINE_WINDOWS:
+        return _failure_stats_joined(df, useful, station, time_col, sensors, whole_last_day)
     measures, entries = [], []
     for i, w in enumerate(useful):
         at_station = station == F.lit(w.station)
@@ -240,3 +249,23 @@ def failure_stats(
             }
         )
     return unpivot_stats(df.agg(*measures), (), entries).where("_rows > 0").drop("_rows")
+
+
+def _failure_stats_joined(df, windows, station, time_col, sensors, whole_last_day):
+    table = _window_table(df, windows, sensors, whole_last_day)
+    rows = df.select(station.alias("_key"), c(time_col).alias("_ts"))
+    inside = F.transform(_active(F.col("_ts")), lambda w: w["rule"])
+    hits = (
+        rows.join(table, F.col("_key") == F.col("_station"), "inner")
+        .select(F.explode(inside).alias("_rule")).groupBy("_rule").agg(F.count("*").alias("_hits"))
+    )
+    present = rows.groupBy(F.col("_key").alias("station")).agg(F.count("*"))
+    listed = [
+        (i, w.station, _affected(sensors, w), f"{w.start} to {w.end}", list(w.sensors)) for i, w in enumerate(windows)
+    ]
+    schema = "_rule int, station string, affected_columns array<string>, failure_period string, sensor_patterns array<string>"
+    described = df.sparkSession.createDataFrame(listed, schema)
+    return described.join(present, "station", "left_semi").join(hits, "_rule", "left").select(
+        "station", "affected_columns", "failure_period",
+        F.coalesce("_hits", F.lit(0).cast("long")).alias("affected_timestamps"), "sensor_patterns",
+    )

@@ -17,25 +17,29 @@ DEFAULT_CHUNK_SECONDS = 3600
 def time_steps(
     df: DataFrame, time_col: str, keys: Sequence[str] = (), chunk_seconds: int = DEFAULT_CHUNK_SECONDS
 ) -> DataFrame:
-    """``(keys, previous, time, step_micros)`` per row with a time; the first of a series has no step.
+    """``(keys, previous, time, step_micros, copies)`` per distinct time; the first of a series has no step.
 
-    The previous time comes from a window over a time slice, or for the first row of a slice from
-    the last time of the slice before it.
+    Copies of a time are counted before any shuffle by slice, so a time that very many rows share is
+    one row. The previous time comes from a window over a time slice, or for the first row of a
+    slice from the last time of the slice before it.
     """
     key_cols = [c(k) for k in keys]
-    rows = df.where(c(time_col).isNotNull()).select(
-        *key_cols, c(time_col).alias("time"), time_chunk(c(time_col), chunk_seconds).alias("_chunk")
+    times = (
+        df.where(c(time_col).isNotNull()).groupBy(*key_cols, c(time_col).alias("time")).agg(F.count("*").alias("copies"))
+        .withColumn("_chunk", time_chunk(F.col("time"), chunk_seconds))
     )
-    series = Window.partitionBy(*key_cols).orderBy("_chunk")
-    edges = (
-        rows.groupBy(*key_cols, "_chunk").agg(F.max("time").alias("_last"))
-        .select(*key_cols, "_chunk", F.lag("_last").over(series).alias("_before"))
+    slices = (
+        df.where(c(time_col).isNotNull())
+        .groupBy(*key_cols, time_chunk(c(time_col), chunk_seconds).alias("_chunk")).agg(F.max(c(time_col)).alias("_last"))
     )
+    series = Window.partitionBy(*key_cols).orderBy("_chunk")
+    edges = slices.select(*key_cols, "_chunk", F.lag("_last").over(series).alias("_before"))
     inside = F.lag("time").over(Window.partitionBy(*key_cols, "_chunk").orderBy("time"))
-    joined = rows.withColumn("_inside", inside).join(edges, [*keys, "_chunk"], "left")
+    joined = times.withColumn("_inside", inside).join(edges, [*keys, "_chunk"], "left")
     previous = F.coalesce("_inside", "_before")
     return joined.select(
-        *key_cols, previous.alias("previous"), "time", (micros(F.col("time")) - micros(previous)).alias("step_micros")
+        *key_cols, previous.alias("previous"), "time",
+        (micros(F.col("time")) - micros(previous)).alias("step_micros"), "copies",
     )
 
 
@@ -70,9 +74,16 @@ def temporal_consistency(
     """
     key_cols = [c(k) for k in keys]
     steps = time_steps(df, time_col, keys, chunk_seconds)
+    # one step to a time from the one before it, and steps of nothing between its copies
+    counted = F.inline(
+        F.array(
+            F.struct(F.col("step_micros"), F.lit(1).cast("long").alias("n")),
+            F.struct(F.lit(0).cast("long").alias("step_micros"), (F.col("copies") - 1).alias("n")),
+        )
+    )
     histogram = materialize(
-        steps.groupBy(*key_cols, "step_micros").agg(
-            F.count("*").alias("n"), F.min("time").alias("first"), F.max("time").alias("last")
+        steps.select(*key_cols, "time", counted).where("n > 0").groupBy(*key_cols, "step_micros").agg(
+            F.sum("n").alias("n"), F.min("time").alias("first"), F.max("time").alias("last")
         ),
         "step-histogram",
     )

@@ -1,21 +1,24 @@
 """Finding and reading text tables.
 
-Files of one folder need not have the same columns, so their header lines are read first; files
-with the same header are read together, and the groups are put together by column name.
+Files of one folder need not have the same columns. The header lines are read first and reduced to
+the distinct ones; with a single header Spark's CSV reader does the rest, and with several the rows
+are placed by the header of their file, still in one scan. Where the columns are known beforehand
+they can be passed, which saves the look at the headers.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stationloom.columns import c
 from stationloom.errors import DataProcessingError, ValidationError
+from stationloom.storage import materialize
 
 SOURCE, BLOCK, LINE, TEXT = "_source", "_block", "_line", "_text"
 # Columns that keep the order of rows inside and across files, for keep-first rules.
@@ -23,7 +26,7 @@ ROW_ORDER = (SOURCE, BLOCK, LINE)
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False) -> DataFrame | None:
-    """Lines of text files as ``(_source, _block, _line, _text)``; None if there is no file.
+    """Lines of text files as ``(_source, _block, _line, _text)``; None if there is nothing to read.
 
     Large files are split over tasks: ``_block`` is the offset of the piece a line was read from and
     ``_line`` grows within a piece, so the three columns order the lines of a file.
@@ -37,7 +40,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], pattern: str | N
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    if not lines.inputFiles():
+    if lines.isEmpty():
         return None
     return lines.select(
         F.col("_metadata.file_path").alias(SOURCE),
@@ -70,37 +73,94 @@ def stem(path: Column) -> Column:
 
 
 @dataclass(frozen=True)
-class CsvGroup:
-    """Files with one header, read as text columns plus the row-order columns."""
+class CsvTable:
+    """Text columns of all files (NULL where a file lacks one) with the row order, and the layouts found.
+
+    ``layouts`` maps a header line to its column names; with several of them ``rows`` says in
+    ``_header`` which one a row's file has.
+    """
 
-    columns: tuple[str, ...]
-    files: tuple[str, ...]
     rows: DataFrame
+    layouts: dict[str, tuple[str, ...]]
+
+    @property
+    def columns(self) -> list[str]:
+        return list(dict.fromkeys(n for names in self.layouts.values() for n in names))
+
+    def pick(self, choose: Callable[[tuple[str, ...]], str | None]) -> Column:
+        """The column that ``choose`` names for the layout of the row, NULL if it names none."""
+        chosen = [(header, choose(names)) for header, names in self.layouts.items()]
+        text = lambda n: F.lit(None).cast("string") if n is None else c(n)
+        if len(chosen) == 1:
+            return text(chosen[0][1])
+        branches = F.lit(None).cast("string")
+        for header, n in chosen:
+            branches = F.when(F.col("_header") == header, text(n)).otherwise(branches)
+        return branches
+
+    def only(self, wanted: Callable[[tuple[str, ...]], bool]) -> CsvTable | None:
+        """Without the files whose columns are not ``wanted``."""
+        kept = {h: names for h, names in self.layouts.items() if wanted(names)}
+        if not kept:
+            return None
+        rows = self.rows if len(kept) == len(self.layouts) else self.rows.where(F.col("_header").isin(list(kept)))
+        return CsvTable(rows, kept)
 
 
-def read_csv_groups(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False) -> list[CsvGroup]:
-    """CSV files with header, one group per distinct header; empty files are left out."""
-    lines = read_lines(spark, paths, pattern, recursive)
-    if lines is None:
-        return []
-    headers = (
-        nth_lines(lines, 1).where(F.trim(TEXT) != "").groupBy(TEXT).agg(F.sort_array(F.collect_list(SOURCE)).alias("files"))
-    )
-    groups = []
-    for row in headers.collect():  # one row per distinct header; file names are known to the driver anyway
-        names = tuple(next(csv.reader([row[TEXT].lstrip("﻿")])))
-        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(
-            [unquote(f) for f in row["files"]]
-        )
-        rows = rows.select(
+def read_csv_table(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False,
+    columns: Sequence[str] | None = None,
+) -> CsvTable | None:
+    """CSV files with a header line as text columns; None if there is nothing to read.
+
+    ``columns`` are the column names of every file, if they are known and the same.
+    """
+    if columns is not None:
+        layouts = {"": tuple(columns)}
+    else:
+        lines = read_lines(spark, paths, pattern, recursive)
+        if lines is None:
+            return None
+        headers = materialize(nth_lines(lines, 1).where(F.trim(TEXT) != ""), "csv-headers")
+        # one row per distinct header text
+        layouts = {r[TEXT]: tuple(next(csv.reader([r[TEXT]]))) for r in headers.select(TEXT).distinct().collect()}
+        layouts = dict(sorted(layouts.items()))
+        if not layouts:
+            return None
+    if len(layouts) == 1:
+        names = next(iter(layouts.values()))
+        reader = spark.read.schema(_text_schema(names)).option("header", True).option("recursiveFileLookup", recursive)
+        if pattern:
+            reader = reader.option("pathGlobFilter", pattern)
+        rows = reader.csv(paths).select(
             "*",
             F.col("_metadata.file_path").alias(SOURCE),
             F.col("_metadata.file_block_start").alias(BLOCK),
             F.monotonically_increasing_id().alias(LINE),
         )
-        groups.append(CsvGroup(names, tuple(row["files"]), rows))
-    return sorted(groups, key=lambda g: g.files)
+        return CsvTable(rows, layouts)
+
+    every = CsvTable(lines, layouts).columns
+    widest = max(len(names) for names in layouts.values())
+    cells = F.from_csv(F.col(TEXT), F.lit(_text_schema([f"_{i}" for i in range(widest)])))
+    rows = (
+        lines.join(headers.select(SOURCE, F.col(TEXT).alias("_header")), SOURCE, "inner")
+        .where((F.col(TEXT) != F.col("_header")) & (F.trim(TEXT) != ""))
+        .withColumn("_cells", cells)
+    )
+
+    def place(n: str) -> Column:
+        branches = F.lit(None).cast("string")
+        for header, names in layouts.items():
+            if n in names:
+                branches = F.when(F.col("_header") == header, F.col(f"_cells._{names.index(n)}")).otherwise(branches)
+        return branches
+
+    return CsvTable(rows.select(*[place(n).alias(n) for n in every], *ROW_ORDER, "_header"), layouts)
+
+
+def _text_schema(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
 
 
 def file_audit(lines: DataFrame, min_lines: int = 1) -> DataFrame:

@@ -34,45 +34,49 @@ def _names(header: Column) -> Column:
 
 
 def log_headers(lines: DataFrame) -> DataFrame:
-    """``(_source, _head, _names)`` of every source: its header line, cleaned, and the column names in it."""
-    head = nth_lines(lines, HEADER_LINE).select(SOURCE, _stripped(F.col(TEXT)).alias("_head"))
-    return head.withColumn("_names", _names(F.col("_head")))
+    """``(_source, _names)``: the column names in the header line of every source."""
+    return nth_lines(lines, HEADER_LINE).select(SOURCE, _names(_stripped(F.col(TEXT))).alias("_names"))
 
 
-def parse_log_lines(lines: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
+def parse_log_lines(
+    lines: DataFrame, time_formats: Sequence[str] = (), columns: Sequence[str] | None = None
+) -> DataFrame:
     """Readings of log lines: ``_source``, the line order, ``DateTime`` and one double per sensor name.
 
     Lines with the wrong number of fields are dropped, unreadable fields become NULL. The first two
     lines of a source are its head; a later line that repeats the header is head as well. The names
-    must be known to build the plan, so the headers are read first and their distinct texts fetched.
+    must be known to build the plan: ``columns`` if all sources have the same, else the headers are
+    read first and their distinct texts fetched.
     """
-    headers = materialize(log_headers(lines), "log-headers")
-    layouts = headers.select("_head", "_names").distinct().collect()  # a few header texts
+    headers = None
+    if columns is not None:
+        layouts = [list(columns)]
+    else:
+        headers = materialize(log_headers(lines), "log-headers")
+        layouts = sorted(r["_names"] for r in headers.select("_names").distinct().collect())  # a few header texts
     if not layouts:
         raise DataParsingError("no source has a header line")
-    for names in (r["_names"] for r in layouts):
+    for names in layouts:
         if TIME not in names or len(set(names)) != len(names):
             raise DataParsingError(f"header {names} must name {TIME} and each sensor once")
 
     rows = lines.withColumn("_clean", _stripped(F.col(TEXT))).where(F.col("_clean") != "")
     if len(layouts) == 1:
-        names = layouts[0]["_names"]
-        head, width = F.lit(layouts[0]["_head"]), F.lit(len(names))
-        position = {n: F.lit(i) for i, n in enumerate(names)}
+        width = F.lit(len(layouts[0]))
+        position = {n: F.lit(i) for i, n in enumerate(layouts[0])}
     else:
         # one row per source; its files give Catalyst the size to choose the join by
         rows = rows.join(headers, SOURCE, "inner")
-        head, width = F.col("_head"), F.size("_names")
+        width = F.size("_names")
         position = {
-            n: F.array_position("_names", n).cast("int") - 1
-            for n in dict.fromkeys(n for r in sorted(layouts, key=lambda r: r["_head"]) for n in r["_names"])
+            n: F.array_position("_names", n).cast("int") - 1 for n in dict.fromkeys(n for names in layouts for n in names)
         }
-    rows = rows.where(F.col("_clean") != head).withColumn("_fields", F.split("_clean", "[;,]", -1))
-    rows = rows.where(F.size("_fields") == width)
+    field = lambda n: F.get("_fields", position[n])
+    rows = rows.withColumn("_fields", F.split("_clean", "[;,]", -1)).where(F.size("_fields") == width)
+    rows = rows.where(F.trim(field(TIME)) != TIME)
     if len(position) == 1:  # a board line also has one field
         board = nth_lines(lines, 1).select(SOURCE, F.col(TEXT).alias("_board"))
         rows = rows.join(board, SOURCE, "left").where(~F.coalesce(F.col("_board") == F.col(TEXT), F.lit(False)))
-    field = lambda n: F.get("_fields", position[n])
     return rows.select(
         *ROW_ORDER,
         parse_time(field(TIME), time_formats).alias(TIME),
@@ -81,11 +85,12 @@ def parse_log_lines(lines: DataFrame, time_formats: Sequence[str] = ()) -> DataF
 
 
 def read_station_logs(
-    spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.txt", time_formats: Sequence[str] = ()
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.txt", time_formats: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame | None:
     """Parsed log files of one or more folders, or None if there are none."""
     lines = read_lines(spark, paths, pattern)
-    return None if lines is None else parse_log_lines(lines, time_formats)
+    return None if lines is None else parse_log_lines(lines, time_formats, columns)
 
 
 def without_order(df: DataFrame) -> DataFrame:

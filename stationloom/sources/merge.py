@@ -12,12 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationloom.columns import POWER_TIME_NAMES, c, nan_to_null, time_column
+from stationloom.columns import POWER_TIME_NAMES, c, time_column
 from stationloom.errors import DataIntegrityError, DataProcessingError, ValidationError
 from stationloom.functions.names import file_prefix
 from stationloom.functions.parse import parse_date_and_time, parse_number, parse_time
 from stationloom.operators.integrity import dedupe_keep_first
-from stationloom.sources.files import ROW_ORDER, SOURCE, read_csv_groups, stem
+from stationloom.sources.files import ROW_ORDER, SOURCE, CsvTable, read_csv_table, stem
 from stationloom.sources.logs import read_station_logs, without_order
 
 TIME = "DateTime"
@@ -58,54 +58,52 @@ def merge_devices(
 
 def read_device_tables(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", device: str = "device",
-    time_formats: Sequence[str] = (),
+    time_formats: Sequence[str] = (), columns: Sequence[str] | None = None,
 ) -> DataFrame | None:
     """Device sheets exported as CSV, one file per device and period, merged.
 
     The device is a column of that name or else the file name; rows of files that sort first win.
     """
-    groups = read_csv_groups(spark, paths, pattern, recursive=True)
-    parts = []
-    for g in groups:
-        if TIME not in g.columns:
-            continue
-        name = c(device) if device in g.columns else stem(F.col(SOURCE))
-        values = [n for n in g.columns if n not in (TIME, device)]
-        parts.append(
-            g.rows.select(
-                *ROW_ORDER, name.alias(device), parse_time(c(TIME), time_formats).alias(TIME),
-                *[parse_number(c(n)).alias(n) for n in values],
-            )
-        )
-    if not parts:
+    sheets = read_csv_table(spark, paths, pattern, True, columns)
+    sheets = sheets and sheets.only(lambda names: TIME in names)
+    if sheets is None:
         return None
-    merged = dedupe_keep_first(union_by_name(parts), [device, TIME], [F.col(n) for n in ROW_ORDER])
-    return without_order(merged)
+    named = sheets.pick(lambda names: device if device in names else None)
+    values = [n for n in sheets.columns if n not in (TIME, device)]
+    rows = sheets.rows.select(
+        *ROW_ORDER, F.coalesce(named, stem(F.col(SOURCE))).alias(device), parse_time(c(TIME), time_formats).alias(TIME),
+        *[parse_number(c(n)).alias(n) for n in values],
+    )
+    return without_order(dedupe_keep_first(rows, [device, TIME], [F.col(n) for n in ROW_ORDER]))
 
 
-def merge_station_logs(spark: SparkSession, paths: str | Sequence[str], pattern: str = LOG_PATTERN) -> DataFrame | None:
+def merge_station_logs(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = LOG_PATTERN, columns: Sequence[str] | None = None
+) -> DataFrame | None:
     """Log files of one station, the first row kept of each time; None if there are no files."""
-    rows = read_station_logs(spark, paths, pattern)
+    rows = read_station_logs(spark, paths, pattern, columns=columns)
     return None if rows is None else without_order(dedupe_keep_first(rows, [TIME], [F.col(n) for n in ROW_ORDER]))
 
 
-def power_rows(rows: DataFrame, columns: Sequence[str], time_formats: Sequence[str] = ()) -> DataFrame:
-    """Text rows of a power file typed; the time column is detected and rows without a time dropped."""
-    found = time_column(columns, POWER_TIME_NAMES, columns[0])
-    extra = [n for n in rows.columns if n not in columns]
-    return rows.select(
-        *[c(n) for n in extra], parse_time(c(found), time_formats).alias(TIME),
-        *[parse_number(c(n)).alias(n) for n in columns if n not in (found, TIME)],
+def power_rows(table: CsvTable, time_formats: Sequence[str] = ()) -> DataFrame:
+    """Text rows of power files typed; the time column of each file is detected, rows without a time are dropped."""
+    found = lambda names: time_column(names, POWER_TIME_NAMES, names[0])
+    times = {TIME, *[found(names) for names in table.layouts.values()]}
+    return table.rows.select(
+        *[c(n) for n in table.rows.columns if n not in table.columns and n != "_header"],
+        parse_time(table.pick(found), time_formats).alias(TIME),
+        *[parse_number(c(n)).alias(n) for n in table.columns if n not in times],
     ).where(F.col(TIME).isNotNull())
 
 
 def merge_power(
-    spark: SparkSession, paths: str | Sequence[str], pattern: str = POWER_PATTERN, time_formats: Sequence[str] = ()
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = POWER_PATTERN, time_formats: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    groups = read_csv_groups(spark, paths, pattern)
-    if not groups:
+    table = read_csv_table(spark, paths, pattern, columns=columns)
+    if table is None:
         raise ValidationError(f"no power file {pattern!r} with a header found in {paths}")
-    rows = union_by_name([power_rows(g.rows, g.columns, time_formats) for g in groups])
+    rows = power_rows(table, time_formats)
     return without_order(dedupe_keep_first(rows, [TIME], [F.col(n) for n in ROW_ORDER]))
 
 
@@ -167,10 +165,10 @@ def merge_weather(spark: SparkSession, folder: str, files: Mapping[str, Mapping[
     """Weather files that exist and have their columns, aligned on time."""
     sources = []
     for name, columns in files.items():
-        for g in read_csv_groups(spark, folder, name):
-            rows = weather_rows(g.rows, columns)
-            if rows is not None:
-                sources.append((rows, ROW_ORDER))
+        table = read_csv_table(spark, folder, name)
+        rows = weather_rows(table.rows, columns) if table else None
+        if rows is not None:
+            sources.append((rows, ROW_ORDER))
     if not sources:
         raise DataProcessingError(f"no weather file could be read from {folder}")
     return merge_full_outer(sources)
@@ -189,21 +187,13 @@ def combine_prefixed(tables: Mapping[str, DataFrame], keys: Sequence[str] = (TIM
     return align_on_time([prefixed(df, name, keys) for name, df in sorted(tables.items())], keys)
 
 
-def read_typed_csv(spark: SparkSession, paths: str | Sequence[str], time_col: str = TIME) -> DataFrame:
-    """A CSV table as the sinks write it: a time column, numbers, and text where numbers cannot be read."""
-    groups = read_csv_groups(spark, paths, "*.csv")
-    if not groups:
+def read_typed_csv(
+    spark: SparkSession, paths: str | Sequence[str], time_col: str = TIME, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """A CSV table as the sinks write it: a time column and numbers."""
+    table = read_csv_table(spark, paths, "*.csv", columns=columns)
+    if table is None:
         raise ValidationError(f"no CSV table at {paths}")
-    return nan_to_null(
-        without_order(
-            union_by_name(
-                [
-                    g.rows.select(
-                        *ROW_ORDER,
-                        *[(parse_time(c(n)) if n == time_col else parse_number(c(n))).alias(n) for n in g.columns],
-                    )
-                    for g in groups
-                ]
-            )
-        )
+    return table.rows.select(
+        *[(parse_time(c(n)) if n == time_col else parse_number(c(n))).alias(n) for n in table.columns]
     )

@@ -44,7 +44,7 @@ def test_missing_and_ranges(spark):
 def test_temporal_report_against_brute_force(spark):
     rng = random.Random(5)
     data = [(s, at("2024-01-01") + timedelta(seconds=rng.choice([60, 60, 60, 300, 90000]) * k + rng.randrange(3))) for s in ("a", "b") for k in range(200)]
-    data += [("one", at("2024-01-01")), ("b", None)]
+    data += [("one", at("2024-01-01")), ("b", None)] + [("a", data[0][1])] * 50
     df = frame(spark, data, f"station string, {T}").repartition(7)
     report = {r.station: r for r in series.temporal_consistency(df, "DateTime", ["station"], 60, chunk_seconds=1800).collect()}
     gaps = series.temporal_gaps(df, "DateTime", 60, ["station"], chunk_seconds=1800).collect()
@@ -53,7 +53,7 @@ def test_temporal_report_against_brute_force(spark):
         steps = [(b - a).total_seconds() for a, b in zip(times, times[1:])]
         r = report[s]
         assert (r.median_interval_s, r.min_interval_s, r.max_interval_s) == (median(steps), min(steps), max(steps))
-        assert (r.start, r.end, r.backwards, r.total_records) == (times[0], times[-1], 0, 200 + (s == "b"))
+        assert (r.start, r.end, r.backwards, r.total_records) == (times[0], times[-1], 0, 200 + (s == "b") + 50 * (s == "a"))
         want = sorted((a, b, d) for a, b, d in zip(times, times[1:], steps) if d > 120)
         assert r.gap_count == len(want)
         assert sorted((g.start, g.end, g.duration_s) for g in gaps if g.station == s) == want

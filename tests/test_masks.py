@@ -82,6 +82,7 @@ def test_joined_failure_windows_equal_inline_ones(spark, whole_last_day):
     df = frame(spark, data, f"station string, {T}, a double, b double, c double")
     args = (c("station"), "DateTime", ["station"], whole_last_day)
     assert rows(failure_mask(df, many, *args), "DateTime") == rows(failure_mask(df, windows, *args), "DateTime")
+    assert sorted(failure_stats(df, many, *args).collect()) == sorted(failure_stats(df, windows, *args).collect())
 
 
 def test_masks_collapse_into_one_stage(spark):

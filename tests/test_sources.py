@@ -41,6 +41,8 @@ def test_station_log(spark, tmp_path):
     merged = merge.merge_station_logs(spark, str(tmp_path))
     assert merged.count() == 4 and {r.Temp1 for r in merged.collect()} == {21.5, None, 1.0, float("-inf")}
     assert logs.read_station_logs(spark, f"{tmp_path}/none") is None
+    known = logs.read_station_logs(spark, str(tmp_path), columns=["DateTime", "Temp1", "Humi1", "Met_Speed1"])
+    assert sorted(map(str, known.collect())) == sorted(map(str, df.collect()))
 
 
 def test_logs_with_different_headers(spark, tmp_path):
