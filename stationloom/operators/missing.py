@@ -56,10 +56,15 @@ def monthly_missing_rate(
     return unpivot_stats(months, ["month"], entries).where(F.col("missing_rate").isNotNull())
 
 
-def missing_rate_matrix(rates: DataFrame, months: Sequence[str], max_length: int = 30) -> DataFrame:
-    """One row per sensor (short, wrapped name), one column of percentages per month."""
+def missing_rate_matrix(
+    rates: DataFrame, months: Sequence[str], max_length: int = 30, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per sensor (short, wrapped name), one column of percentages per month.
+
+    ``keep`` names further columns that stay with a sensor, such as its group and page.
+    """
     return (
-        rates.groupBy(wrap(abbreviate(F.col("sensor")), max_length).alias("label"), "sensor")
+        rates.groupBy(*[c(k) for k in keep], wrap(abbreviate(F.col("sensor")), max_length).alias("label"), "sensor")
         .pivot("month", list(months))
         .agg(F.first(F.col("missing_rate") * 100))
     )
@@ -116,18 +121,46 @@ def missing_rate_by_group(
     data_type: str,
     hours: tuple[int, int] | None = DAYLIGHT_HOURS,
     change_date: str = CHANGE_DATE,
+    per_part: int | None = None,
 ) -> DataFrame:
-    """``(data_type, group, month, sensor, missing_rate)`` for all groups of a table in one pass."""
+    """``(data_type, group, month, sensor, missing_rate)`` for all groups of a table in one pass.
+
+    With ``per_part`` also the page of each sensor and its title; sensors fill the pages of their
+    group in the order of the columns.
+    """
     groups = sensor_groups(sensor_columns(df, [time_col]), data_type)
     rates = monthly_missing_rate(
         df, time_col, list(groups), hours, group_conditions(groups, time_col, change_date)
     )
-    names = F.create_map(*[F.lit(x) for pair in groups.items() for x in pair])
-    return rates.select(
-        F.lit(data_type).alias("data_type"), names[F.col("sensor")].alias("group"), "month", "sensor", "missing_rate"
+    lookup = lambda of: F.create_map(*[F.lit(x) for pair in of.items() for x in pair])[F.col("sensor")]
+    grouped = rates.select(
+        F.lit(data_type).alias("data_type"), lookup(groups).alias("group"), "month", "sensor", "missing_rate"
+    )
+    if per_part is None:
+        return grouped
+    pages = column_pages(groups, per_part)
+    return grouped.select(
+        "*",
+        lookup({n: part for n, (part, _) in pages.items()}).alias("part"),
+        lookup({n: parts for n, (_, parts) in pages.items()}).alias("parts"),
+        lookup({n: page_title(group_title(groups[n], data_type), *page) for n, page in pages.items()}).alias("title"),
     )
 
 
+def column_pages(groups: Mapping[str, str], per_part: int = SENSORS_PER_PART) -> dict[str, tuple[int, int]]:
+    """(page, pages) of each column, for the columns of one wide table."""
+    members: dict[str, list[str]] = {}
+    for n, group in groups.items():
+        members.setdefault(group, []).append(n)
+    return {
+        n: (place // per_part + 1, -(-len(names) // per_part)) for names in members.values() for place, n in enumerate(names)
+    }
+
+
+def page_title(title: str, part: int, parts: int) -> str:
+    return f"{title} Missing Rate" + (f" (Part {part}/{parts})" if parts > 1 else "")
+
+
 def file_missing_counts(
     df: DataFrame, time_col: str, sensors: Sequence[str], hours: tuple[int, int] | None = None
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stationloom.columns import c
 from stationloom.errors import ConfigurationError, DataProcessingError, ValidationError
 from stationloom.functions.frequency import parse_frequency
-from stationloom.operators import extract, integrity, missing
+from stationloom.operators import extract, integrity, missing, series
 from stationloom.operators.interpolate import interpolate_by_rules, interpolation_stats, ruled_columns
 from stationloom.operators.resample import resample
 from stationloom.plans.quality import QualityRules, quality_control
@@ -54,6 +54,7 @@ class PipelineConfig:
     tasks: ExtractTasks = ExtractTasks()
     split_date: str = missing.CHANGE_DATE
     report: bool = True
+    sensors_per_part: int = missing.SENSORS_PER_PART
     table_format: str = "parquet"
     run_id: str | None = None
 
@@ -188,12 +189,14 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     stages: dict[str, dict[str, DataFrame]] = {}
     stats: dict[str, DataFrame] = {}
 
-    def keep_stats(df: DataFrame, name: str) -> None:
+    def keep_stats(df: DataFrame, name: str) -> DataFrame:
         stats[name] = store.table(df, f"stats/{name}", by_device=False)
+        return stats[name]
 
     stages["merged"] = {k: store.table(df, f"merged/{k}") for k, df in merge_kinds(spark, cfg).items()}
     for kind, df in stages["merged"].items():
         keep_stats(integrity.table_summary(df, TIME, [DEVICE]), f"summary_{kind}")
+        keep_stats(series.temporal_consistency(df, TIME, [DEVICE]), f"temporal_{kind}")
 
     stages["quality_controlled"] = {}
     for kind, df in stages["merged"].items():
@@ -265,7 +268,7 @@ def _extract_stage(cfg, store, tables, columns, keep_stats) -> dict[str, DataFra
 
 
 def _report_stage(cfg, extracted: Mapping[str, DataFrame], keep_stats) -> None:
-    """Monthly missing rates by sensor group, and the pages they are shown on."""
+    """Monthly missing rates by sensor group, as a long table and as the matrix of each report page."""
     folders: dict[str, dict[str, DataFrame]] = {}
     for output, df in extracted.items():
         folder, name = output.rsplit("/", 1) if "/" in output else ("", output)
@@ -273,5 +276,13 @@ def _report_stage(cfg, extracted: Mapping[str, DataFrame], keep_stats) -> None:
     rates = []
     for folder, members in sorted(folders.items()):
         side_by_side = merge.combine_prefixed(members)
-        rates.append(missing.missing_rate_by_group(side_by_side, TIME, folder, change_date=cfg.split_date))
-    keep_stats(merge.union_by_name(rates), "missing_rate")
+        rates.append(
+            missing.missing_rate_by_group(
+                side_by_side, TIME, folder, change_date=cfg.split_date, per_part=cfg.sensors_per_part
+            )
+        )
+    long = keep_stats(merge.union_by_name(rates), "missing_rate")
+    months = [r[0] for r in long.select("month").distinct().orderBy("month").collect()]  # calendar months
+    page = ["group", "part", "parts", "title"]
+    keep_stats(missing.missing_rate_matrix(long, months, keep=page), "missing_rate_matrix")
+    keep_stats(missing.report_part_counts(long), "report_part_counts")

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationloom.columns import c
@@ -25,17 +25,25 @@ SOURCE, BLOCK, LINE, TEXT = "_source", "_block", "_line", "_text"
 ROW_ORDER = (SOURCE, BLOCK, LINE)
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False) -> DataFrame | None:
+def _reader(spark: SparkSession, pattern: str | None, recursive: bool, skip_unreadable: bool) -> DataFrameReader:
+    reader = spark.read.option("recursiveFileLookup", recursive).option("ignoreCorruptFiles", skip_unreadable)
+    return reader.option("pathGlobFilter", pattern) if pattern else reader
+
+
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False,
+    skip_unreadable: bool = False,
+) -> DataFrame | None:
     """Lines of text files as ``(_source, _block, _line, _text)``; None if there is nothing to read.
 
     Large files are split over tasks: ``_block`` is the offset of the piece a line was read from and
     ``_line`` grows within a piece, so the three columns order the lines of a file.
+
+    ``skip_unreadable`` leaves out what cannot be read of a file. It is off unless asked for, as it
+    would also hide a passing fault of the storage.
     """
-    reader = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", recursive)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     try:
-        lines = reader.text(paths)
+        lines = _reader(spark, pattern, recursive, skip_unreadable).text(paths)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
@@ -109,7 +117,7 @@ class CsvTable:
 
 def read_csv_table(
     spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False,
-    columns: Sequence[str] | None = None,
+    columns: Sequence[str] | None = None, skip_unreadable: bool = False,
 ) -> CsvTable | None:
     """CSV files with a header line as text columns; None if there is nothing to read.
 
@@ -118,7 +126,7 @@ def read_csv_table(
     if columns is not None:
         layouts = {"": tuple(columns)}
     else:
-        lines = read_lines(spark, paths, pattern, recursive)
+        lines = read_lines(spark, paths, pattern, recursive, skip_unreadable)
         if lines is None:
             return None
         headers = materialize(nth_lines(lines, 1).where(F.trim(TEXT) != ""), "csv-headers")
@@ -129,9 +137,7 @@ def read_csv_table(
             return None
     if len(layouts) == 1:
         names = next(iter(layouts.values()))
-        reader = spark.read.schema(_text_schema(names)).option("header", True).option("recursiveFileLookup", recursive)
-        if pattern:
-            reader = reader.option("pathGlobFilter", pattern)
+        reader = _reader(spark, pattern, recursive, skip_unreadable).schema(_text_schema(names)).option("header", True)
         rows = reader.csv(paths).select(
             "*",
             F.col("_metadata.file_path").alias(SOURCE),

@@ -94,3 +94,10 @@ def test_wrap_against_brute_force(spark):
     names = ["_".join("x" * rng.randrange(0, 9) for _ in range(rng.randrange(1, 9))) for _ in range(200)]
     got = frame(spark, [(i, n) for i, n in enumerate(names)], "i int, n string").select("i", wrap(F.col("n"), 12)).collect()
     assert all(text == greedy(names[i], 12) for i, text in got)
+
+
+def test_pages_follow_the_columns():
+    groups = {f"s{i}": "power_other" if i % 2 else "power_wt" for i in range(25)}
+    pages = missing.column_pages(groups, 10)
+    assert pages["s0"] == (1, 2) and pages["s18"] == (1, 2) and pages["s20"] == (2, 2) and pages["s23"] == (2, 2) and pages["s1"] == (1, 2)
+    assert missing.page_title("Power", 2, 3) == "Power Missing Rate (Part 2/3)" and missing.page_title("Power", 1, 1) == "Power Missing Rate"

@@ -116,6 +116,12 @@ def test_whole_job(spark, folder, tmp_path):
     assert ("power_wt", "PV_Power_WT_PVAz180_WT", "2024-12") not in rates
     assert rates["power_other", "PV_Power_PV_PVR", "2024-11"] == pytest.approx(1 / 12)
     assert rates["microclimate_wt_to_sed", "PVIGR_WedTri__WT-to-Sed_Ta_180cm", "2024-12"] > 0
+    matrix = {(r.group, r.sensor): r for r in done.stats["missing_rate_matrix"].collect()}
+    page = matrix["power_wt", "PV_Power_WT_PVAz180_WT"]
+    assert (page.title, page.label) == ("Power (WT - Before Dec 2024) Missing Rate", "PV_Power_WT_PVAz180_WT")
+    assert page["2024-11"] == pytest.approx(100 * 2 / 12) and page["2024-12"] is None
+    assert {r.group: r.part_count for r in done.stats["report_part_counts"].collect()}["power_other"] == 1
+    assert done.stats["temporal_power"].first().median_interval_s == 1800
     again = spark.read.parquet(f"{done.root}/extracted/microclimate/GR")
     assert rows(again, "DateTime") == rows(done.extracted["microclimate/GR"], "DateTime")
 
