@@ -19,6 +19,7 @@ RANGES = [
     RangeRule("purchase_rate", 1, 100, ("purchase",), "u"),
     RangeRule("signup_rate", 0, 1000, ("signup",), "u"),
 ]
+HUNDREDTH_RANGES = [RangeRule("click_rate", 500, 20000, ("click",)), RangeRule("view_rate", 0, 15000, ("view",))]
 TIMED_RANGES = [
     RangeRule("view_rate", 0, 160, ("view",), "u", day_night=DayNight(7, 17, 10, 0)),
     RangeRule("click_rate", 2, 200, ("click",), "u", day_night=DayNight(6, 18, 8, 4, 120)),

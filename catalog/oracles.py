@@ -95,6 +95,15 @@ SELECT "DateTime", "A_mean", "A_max", "B_mean", "B_max", "C_mean", "C_max"
 FROM {_hourly("click", "A_")} a FULL JOIN {_hourly("error", "B_")} b USING ("DateTime")
 FULL JOIN {_hourly("view", "C_")} c USING ("DateTime")"""
 
+ORACLES["csv_scan"] = f"""
+WITH {WIDE} SELECT event_id::DOUBLE AS event_id, station::DOUBLE AS station, "DateTime", {ALL_SENSORS} FROM wide"""
+
+ORACLES["csv_mixed_headers"] = f"""
+WITH {WIDE} SELECT "DateTime", event_id::DOUBLE AS event_id, click,
+  CASE WHEN "DateTime" < '2024-01-16' THEN error END AS error, CASE WHEN "DateTime" >= '2024-01-16' THEN view END AS view FROM wide"""
+
+ORACLES["partitioned_sink"] = f"WITH {WIDE} SELECT * FROM wide WHERE station = 3"
+
 # --- extraction ----------------------------------------------------------------------------------
 
 ORACLES["extract_rename"] = f"""
@@ -114,6 +123,14 @@ FROM {_hourly("click", "click_", _k)} a JOIN {_hourly("view", "view_", _k)} b US
 JOIN {_hourly("purchase", "purchase_", _k)} c USING (station, "DateTime")
 WHERE "DateTime" BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-28'"""
 
+ORACLES["extract_task_records"] = f"""
+WITH {WIDE}, s3 AS (SELECT * FROM wide WHERE station = 3 AND "DateTime" BETWEEN '2024-01-02' AND '2024-01-12')
+SELECT 'power' AS task, 'power/one' AS output, count(*) AS records, 'DateTime,a' AS columns
+FROM wide WHERE station = 1 AND "DateTime" BETWEEN '2024-01-02' AND '2024-01-28'
+UNION ALL SELECT 'climate', 'climate/two', count(*), 'DateTime,click,error,purchase,signup,view'
+FROM wide WHERE station = 2 AND "DateTime" BETWEEN '2024-01-10' AND '2024-01-28'
+UNION ALL SELECT 'climate', 'climate/three', count(*), 'DateTime,v,e' FROM s3 a JOIN s3 b USING ("DateTime")"""
+
 ORACLES["split_rows_by_date"] = f"""
 WITH {WIDE} SELECT *, CASE WHEN "DateTime" < '2024-01-16' THEN '_WT' ELSE '_WT-to-Sed' END AS part FROM wide"""
 
@@ -270,6 +287,16 @@ failed AS (SELECT station, "DateTime",
 SELECT station, "DateTime", {", ".join(f'CASE WHEN "q_{f}" > 2 AND "q_{f}" < 48 THEN "q_{f}" END AS "q_{f}"' for f in "ANR")}
 FROM failed"""
 
+ORACLES["qc_total_flagged"] = f"""
+WITH {FLAGGED}, {_masked}, counts AS (
+  SELECT sum(rows) AS n FROM flagged
+  UNION ALL
+  SELECT {" + ".join(f"""count(*) FILTER (("q_{f}" <= 2 OR "q_{f}" >= 48) AND NOT coalesce(
+    (station = 'O' AND "DateTime" BETWEEN '1999-01-01' AND '1999-12-31')
+    OR ({"true" if f in "AN" else "false"} AND station = 'F' AND "DateTime" BETWEEN '1996-03-01' AND '1996-06-01'), false))"""
+    for f in "ANR")} FROM masked)
+SELECT sum(n)::BIGINT AS total_flagged FROM counts"""
+
 # --- resampling and gap filling ------------------------------------------------------------------
 
 ORACLES["resample_mean"] = f"""WITH {GRID} SELECT station, "DateTime", {ALL_SENSORS} FROM grid"""
@@ -362,6 +389,19 @@ FROM filled GROUP BY station
 """ for s in SENSORS
 )
 
+_clean = WHOLE + """, clean AS (SELECT station, "DateTime", error, purchase, signup,
+  CASE WHEN click > 500 AND click < 20000 THEN click END AS click,
+  CASE WHEN view > 0 AND view < 15000 THEN view END AS view FROM whole)"""
+ORACLES["curated_dataset"] = f"""
+WITH {_clean}, {resampled("clean", MEANS, "1 hour")}, {interpolated(2)}
+SELECT station, "DateTime", view_y AS "RH", (click IS NULL AND click_y IS NOT NULL) AS filled,
+  CASE WHEN "DateTime" < '2024-01-16' THEN click_y END AS "Ta_WT_part1",
+  CASE WHEN "DateTime" >= '2024-01-16' THEN click_y END AS "Ta_WT_part2"
+FROM filled WHERE "DateTime" BETWEEN '2024-01-03' AND '2024-01-28'"""
+
+ORACLES["resample_unkeyed"] = f"""
+WITH {WHOLE}, {resampled("whole", MEANS, "5 minutes", None)} SELECT * FROM grid"""
+
 # --- integrity -----------------------------------------------------------------------------------
 
 ORACLES["dedupe_keep_first"] = """

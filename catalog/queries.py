@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from catalog import inputs as i
 from stationloom.columns import c, classify_expr
 from stationloom.functions.names import abbreviate, wrap
-from stationloom.functions.parse import parse_date_and_time
+from stationloom.functions.parse import parse_date_and_time, parse_number, parse_time
 from stationloom.operators import constant, extract, integrity, masks, missing, resample, series
 from stationloom.operators import interpolate as gaps
-from stationloom.plans import quality
+from stationloom.plans import pipeline, quality
+from stationloom.rules import ExtractFile, ExtractSource, ExtractTasks
 from stationloom.sources import files, logs, merge
-from stationloom.storage import materialize
+from stationloom.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,34 @@ def combine_prefixed_sources(spark, sf):
     return merge.combine_prefixed({name: i.hourly_source(spark, sf, s) for name, s in tables.items()})
 
 
+@query
+def csv_scan(spark, sf):
+    """Written as CSV and read back: header, text columns, typed by the scan."""
+    path = scratch_path(spark, "csv")
+    files.write_table(i.wide(spark, sf), path, sort_by=[TIME], fmt="csv")
+    return merge.read_typed_csv(spark, path)
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    """Two files groups with different columns in one folder."""
+    path, w = scratch_path(spark, "csv"), i.wide(spark, sf)
+    files.write_table(w.where(F.col(TIME) < "2024-01-16").select(TIME, "event_id", "click", "error"), f"{path}/a", fmt="csv")
+    files.write_table(w.where(F.col(TIME) >= "2024-01-16").select("event_id", "view", TIME, "click"), f"{path}/b", fmt="csv")
+    table = files.read_csv_table(spark, path, "*.csv", recursive=True)
+    return table.rows.select(
+        parse_time(F.col(TIME)).alias(TIME), *[parse_number(c(n)).alias(n) for n in table.columns if n != TIME]
+    )
+
+
+@query
+def partitioned_sink(spark, sf):
+    """Written as a table partitioned by station and read back with one station pruned in."""
+    path, w = scratch_path(spark, "sink"), i.wide(spark, sf)
+    files.write_table(w, path, ["station"], [TIME])
+    return spark.read.schema(w.schema).parquet(path).where("station = 3")
+
+
 # --- extraction ----------------------------------------------------------------------------------
 
 
@@ -130,6 +159,32 @@ def extract_join(spark, sf):
     return extract.join_sources(period(base), sources, ["station", TIME])
 
 
+@query
+def extract_task_records(spark, sf):
+    """Extraction tasks over device tables: datasets and how many records each has."""
+    table = i.wide(spark, sf, with_id=False).withColumn("station", i.station_key()).withColumnRenamed("station", "device")
+    tasks = ExtractTasks(
+        {
+            "power": (ExtractFile("events/s1", "power/one", {TIME: TIME, "click": "a", "absent": "x"}),),
+            "climate": (
+                ExtractFile("events/s2", "climate/two", None, start="2024-01-10"),
+                ExtractFile("events/s3", "climate/three", {TIME: TIME, "view": "v"}, end="2024-01-12",
+                            merge_from=(ExtractSource("other/s3", {"error": "e"}),)),
+                ExtractFile("events/s77", "climate/none", {TIME: TIME}),
+            ),
+        },
+        "2024-01-02", "2024-01-28",
+    )
+    columns = {"events": pipeline.present_columns(table, ["s1", "s2", "s3", "s77"])}
+    found = [
+        df.agg(F.count("*").alias("records")).select(
+            F.lit(task).alias("task"), F.lit(output).alias("output"), "records", F.lit(",".join(df.columns)).alias("columns")
+        )
+        for task, output, df in pipeline.extract_tasks(tasks, {"events": table}, columns)
+    ]
+    return merge.union_by_name(found)
+
+
 @query
 def split_rows_by_date(spark, sf):
     return extract.split_rows_by_date(i.wide(spark, sf), TIME, "2024-01-16", "_WT", "_WT-to-Sed")
@@ -226,6 +281,12 @@ def qc_constant_stats(spark, sf):
     return constant.constant_stats(flagged, ["station"]).withColumn("dates", F.array_join("dates", ","))
 
 
+@query
+def qc_total_flagged(spark, sf):
+    rules = quality.QualityRules(i.SHIP_RANGES, i.CONSTANT_RULES, i.SHIP_WINDOWS)
+    return quality.total_flagged(quality.quality_control(i.shipments(spark, sf), rules, TIME, ["station"], F.col("station")))
+
+
 @query
 def qc_full(spark, sf):
     rules = quality.QualityRules(i.SHIP_RANGES, i.CONSTANT_RULES, i.SHIP_WINDOWS)
@@ -337,6 +398,22 @@ def interpolate_edges(spark, sf):
     return gaps.interpolate(_stored_grid(spark, sf, "2h"), i.SENSORS, TIME, ["station"], limit=3, chunk_seconds=86_400)
 
 
+@query
+def curated_dataset(spark, sf):
+    """Masks, hourly grid, gap filling, extraction and split in one go."""
+    masked = masks.range_mask(i.wide_hundredths(spark, sf), i.HUNDREDTH_RANGES, TIME, ["station"])
+    grid = materialize(resample.resample(masked, "1h", TIME, ["station"]), "grid")
+    filled = gaps.interpolate(grid, ["click", "view"], TIME, ["station"], limit=2, step_seconds=3600)
+    period = extract.date_range(filled, TIME, "2024-01-03", "2024-01-28")
+    names = {"station": "station", TIME: TIME, "click": "Ta_WT", "view": "RH", "click_interpolated": "filled"}
+    return extract.split_columns_by_date(extract.select_rename(period, names), TIME, "2024-01-16", ("WT",))
+
+
+@query
+def resample_unkeyed(spark, sf):
+    return resample.resample(i.wide_hundredths(spark, sf).drop("station"), "5min", TIME)
+
+
 @query
 def interpolation_stats(spark, sf):
     filled = gaps.interpolate(_stored_grid(spark, sf), i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)

@@ -71,7 +71,8 @@ def interpolate(
         base = base.withColumn("_pos", F.row_number().over(slice_.orderBy(ts)).cast("long"))
 
     carried = _carry_between_slices(base, columns, keys, counted=not step_seconds)
-    up = slice_.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    # counted positions follow the time; ordering by it again reuses the sort they were counted in
+    up = slice_.orderBy(F.col("_pos") if step_seconds else ts).rowsBetween(Window.unboundedPreceding, 0)
     down = slice_.orderBy(F.col("_pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
     local = base.select(
         "*",

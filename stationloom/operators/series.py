@@ -15,23 +15,25 @@ DEFAULT_CHUNK_SECONDS = 3600
 
 
 def time_steps(
-    df: DataFrame, time_col: str, keys: Sequence[str] = (), chunk_seconds: int = DEFAULT_CHUNK_SECONDS
+    df: DataFrame, time_col: str, keys: Sequence[str] = (), chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+    unique_times: bool = False,
 ) -> DataFrame:
     """``(keys, previous, time, step_micros, copies)`` per distinct time; the first of a series has no step.
 
     Copies of a time are counted before any shuffle by slice, so a time that very many rows share is
-    one row. The previous time comes from a window over a time slice, or for the first row of a
-    slice from the last time of the slice before it.
+    one row; ``unique_times`` says that there are none (a table after a keep-first step) and saves
+    that. The previous time comes from a window over a time slice, or for the first row of a slice
+    from the last time of the slice before it.
     """
     key_cols = [c(k) for k in keys]
-    times = (
-        df.where(c(time_col).isNotNull()).groupBy(*key_cols, c(time_col).alias("time")).agg(F.count("*").alias("copies"))
-        .withColumn("_chunk", time_chunk(F.col("time"), chunk_seconds))
-    )
-    slices = (
-        df.where(c(time_col).isNotNull())
-        .groupBy(*key_cols, time_chunk(c(time_col), chunk_seconds).alias("_chunk")).agg(F.max(c(time_col)).alias("_last"))
-    )
+    slice_of = lambda ts: time_chunk(ts, chunk_seconds).alias("_chunk")
+    rows = df.where(c(time_col).isNotNull()).select(*key_cols, c(time_col).alias("time"))
+    if unique_times:
+        times = rows.withColumn("copies", F.lit(1).cast("long"))
+    else:
+        times = rows.groupBy(*key_cols, "time").agg(F.count("*").alias("copies"))
+    times = times.withColumn("_chunk", slice_of(F.col("time")))
+    slices = rows.groupBy(*key_cols, slice_of(F.col("time"))).agg(F.max("time").alias("_last"))
     series = Window.partitionBy(*key_cols).orderBy("_chunk")
     edges = slices.select(*key_cols, "_chunk", F.lag("_last").over(series).alias("_before"))
     inside = F.lag("time").over(Window.partitionBy(*key_cols, "_chunk").orderBy("time"))
@@ -49,9 +51,10 @@ def temporal_gaps(
     expected_seconds: float,
     keys: Sequence[str] = (),
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+    unique_times: bool = False,
 ) -> DataFrame:
     """Steps longer than twice the expected one: ``(keys, start, end, duration_s)``."""
-    steps = time_steps(df, time_col, keys, chunk_seconds)
+    steps = time_steps(df, time_col, keys, chunk_seconds, unique_times)
     return steps.where(F.col("step_micros") > F.lit(int(2 * expected_seconds * SECOND))).select(
         *[c(k) for k in keys],
         F.col("previous").alias("start"),
@@ -66,6 +69,7 @@ def temporal_consistency(
     keys: Sequence[str] = (),
     expected_seconds: float | None = None,
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+    unique_times: bool = False,
 ) -> DataFrame:
     """Per key: records, time range, median/min/max interval in seconds and, if a step is expected, gaps.
 
@@ -73,7 +77,7 @@ def temporal_consistency(
     shrink to a handful of rows, and every figure is read off that table.
     """
     key_cols = [c(k) for k in keys]
-    steps = time_steps(df, time_col, keys, chunk_seconds)
+    steps = time_steps(df, time_col, keys, chunk_seconds, unique_times)
     # one step to a time from the one before it, and steps of nothing between its copies
     counted = F.inline(
         F.array(

@@ -196,7 +196,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     stages["merged"] = {k: store.table(df, f"merged/{k}") for k, df in merge_kinds(spark, cfg).items()}
     for kind, df in stages["merged"].items():
         keep_stats(integrity.table_summary(df, TIME, [DEVICE]), f"summary_{kind}")
-        keep_stats(series.temporal_consistency(df, TIME, [DEVICE]), f"temporal_{kind}")
+        keep_stats(series.temporal_consistency(df, TIME, [DEVICE], unique_times=True), f"temporal_{kind}")
 
     stages["quality_controlled"] = {}
     for kind, df in stages["merged"].items():

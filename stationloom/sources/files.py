@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationloom.columns import c
 from stationloom.errors import DataProcessingError, ValidationError
@@ -211,6 +212,10 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
+    if fmt == "csv":
+        # the writer's own format would cut times to milliseconds
+        times = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))}
+        df = df.select(*[c(n).cast("string").alias(n) if n in times else c(n) for n in df.columns])
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

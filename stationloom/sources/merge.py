@@ -34,7 +34,7 @@ WEATHER_FILES = {
 
 # File name patterns of the raw sources.
 LOG_PATTERN = "*.txt"
-POWER_PATTERN = "Chart PV_PVIGR_Data*.csv"
+POWER_PATTERN = "Chart PV_*_Data*.csv"
 
 
 def union_by_name(tables: Sequence[DataFrame]) -> DataFrame:

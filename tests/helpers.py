@@ -5,8 +5,6 @@ from __future__ import annotations
 import math
 from datetime import datetime
 
-import pandas as pd
-
 
 def at(text: str) -> datetime:
     return datetime.fromisoformat(text)
@@ -21,16 +19,6 @@ def rows(df, *order):
     return [tuple(r) for r in df.orderBy(*order).collect()]
 
 
-def from_pandas(spark, pdf: pd.DataFrame, schema: str):
-    """NaN and NaT become NULL."""
-    data = [
-        tuple(None if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)) else
-              (v.to_pydatetime() if isinstance(v, pd.Timestamp) else v) for v in row)
-        for row in pdf.itertuples(index=False, name=None)
-    ]
-    return spark.createDataFrame(data, schema)
-
-
 def same(a, b, tolerance=1e-9) -> bool:
     if a is None or b is None or (isinstance(b, float) and math.isnan(b)):
         return a is None and (b is None or math.isnan(b))

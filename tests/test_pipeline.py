@@ -35,14 +35,14 @@ TASKS = {
     "power": {"files": [{"input": "power/power_merged.csv", "output": "power/PV_Power.csv", "columns": {"DateTime": "DateTime", "Optimizer 3.2.1- Production - Power (W)": "WT_PVAz180", "Optimizer 2.2.20- Production - Power (W)": "PV_PVR"}}]},
     "microclimate": {
         "files": [
-            {"input": "microclimate/devA.csv", "output": "microclimate/PVIGR_WedTri.csv", "columns": {"DateTime": "DateTime", "Temp_1 []": "Ta_180cm", "absent": "x"},
+            {"input": "microclimate/devA.csv", "output": "microclimate/Roof_WedTri.csv", "columns": {"DateTime": "DateTime", "Temp_1 []": "Ta_180cm", "absent": "x"},
              "merge_from": {"input": "anywhere/GR.csv", "columns": {"Temp1": "Ta_050cm"}}},
             {"input": "microclimate/GR.csv", "output": "microclimate/GR.csv", "columns": {"DateTime": "DateTime", "Met_Dir1": "Wdir"}, "date_range": {"end_date": "2024-12-01"}},
             {"input": "microclimate/devA.csv", "output": "microclimate/none.csv", "columns": {"absent": "x"}},
             {"input": "microclimate/nodevice.csv", "output": "microclimate/none2.csv", "columns": {"DateTime": "DateTime"}},
         ]
     },
-    "weather": {"files": [{"input": "weather/weather_merged.csv", "output": "weather/USTAWS.csv", "columns": "all"}]},
+    "weather": {"files": [{"input": "weather/weather_merged.csv", "output": "weather/hourly.csv", "columns": "all"}]},
 }
 
 
@@ -66,7 +66,7 @@ def folder(tmp_path_factory):
         sheet += f"{t},{temp},{50 if t.day == 28 else ''}\n"
     write(f"{root}/sheets/Time1/devA.csv", sheet)
     write(f"{root}/logs/GR/a.txt", "BoardID:1\nDateTime;Temp1;Met_Dir1;\n" + "".join(f"{t};{5 + i % 3};{350 if i % 2 else 10};\n" for i, t in enumerate(half_hours)))
-    write(f"{root}/power/Chart PV_PVIGR_Data1.csv", "Time,Optimizer 3.2.1- Production - Power (W),Optimizer 2.2.20- Production - Power (W)\n" + "".join(f"{t},{100 if 7 <= t.hour < 17 else 0},{2000 if t.hour == 12 else 5}\n" for t in half_hours))
+    write(f"{root}/power/Chart PV_roof_Data1.csv", "Time,Optimizer 3.2.1- Production - Power (W),Optimizer 2.2.20- Production - Power (W)\n" + "".join(f"{t},{100 if 7 <= t.hour < 17 else 0},{2000 if t.hour == 12 else 5}\n" for t in half_hours))
     write(f"{root}/weather/Air_temperature.csv", "Date,Time,Degree Celsius\n" + "".join(f"{t:%Y/%m/%d},{t:%H:%M:%S},{15 + t.hour / 10}\n" for t in half_hours[::2]))
     write(f"{root}/weather/Wind Velocity.csv", "Date,Time,m/s,Degree\n" + "".join(f"{t:%Y/%m/%d},{t:%H:%M:%S},1,90\n" for t in half_hours[::4]))
     return root
@@ -100,14 +100,14 @@ def test_whole_job(spark, folder, tmp_path):
     directions = [r.Met_Dir1 for r in done.stages["downsampled"]["microclimate"].where("device = 'GR'").collect()]
     assert all(min(d, 360 - d) < 1e-9 for d in directions)
 
-    assert sorted(done.extracted) == ["microclimate/GR", "microclimate/PVIGR_WedTri__WT", "microclimate/PVIGR_WedTri__WT-to-Sed", "power/PV_Power", "weather/USTAWS"]
-    before, since = done.extracted["microclimate/PVIGR_WedTri__WT"], done.extracted["microclimate/PVIGR_WedTri__WT-to-Sed"]
+    assert sorted(done.extracted) == ["microclimate/GR", "microclimate/Roof_WedTri__WT", "microclimate/Roof_WedTri__WT-to-Sed", "power/PV_Power", "weather/hourly"]
+    before, since = done.extracted["microclimate/Roof_WedTri__WT"], done.extracted["microclimate/Roof_WedTri__WT-to-Sed"]
     assert before.columns == ["DateTime", "Ta_180cm", "Ta_050cm"]
     assert before.agg(F.max("DateTime")).first()[0] == at("2024-11-30 23:00") and since.agg(F.max("DateTime")).first()[0] == at("2024-12-04")
     assert done.extracted["microclimate/GR"].agg(F.max("DateTime")).first()[0] == at("2024-12-01")
     power = done.extracted["power/PV_Power"]
     assert power.columns == ["DateTime", "PV_PVR", "WT_PVAz180_WT", "WT_PVAz180_WT-to-Sed"]
-    assert set(done.extracted["weather/USTAWS"].columns) >= {"DateTime", "Air_Temp_C", "WindSpeed_ms", "WindDirection_deg"}
+    assert set(done.extracted["weather/hourly"].columns) >= {"DateTime", "Air_Temp_C", "WindSpeed_ms", "WindDirection_deg"}
 
     summary = done.stats["missing_summary_power"].first()
     assert (summary.task, summary.total_sensors, summary.files) == ("Power", 2, 1)
@@ -115,7 +115,7 @@ def test_whole_job(spark, folder, tmp_path):
     assert rates["power_wt", "PV_Power_WT_PVAz180_WT", "2024-11"] == pytest.approx(2 / 12)
     assert ("power_wt", "PV_Power_WT_PVAz180_WT", "2024-12") not in rates
     assert rates["power_other", "PV_Power_PV_PVR", "2024-11"] == pytest.approx(1 / 12)
-    assert rates["microclimate_wt_to_sed", "PVIGR_WedTri__WT-to-Sed_Ta_180cm", "2024-12"] > 0
+    assert rates["microclimate_wt_to_sed", "Roof_WedTri__WT-to-Sed_Ta_180cm", "2024-12"] > 0
     matrix = {(r.group, r.sensor): r for r in done.stats["missing_rate_matrix"].collect()}
     page = matrix["power_wt", "PV_Power_WT_PVAz180_WT"]
     assert (page.title, page.label) == ("Power (WT - Before Dec 2024) Missing Rate", "PV_Power_WT_PVAz180_WT")
@@ -129,7 +129,8 @@ def test_whole_job(spark, folder, tmp_path):
 def test_measured_values_only(spark, folder, tmp_path):
     done = run_pipeline(spark, config(folder, str(tmp_path), downsample=False, interpolate=False, device_sheets=None, station_logs={}, weather=None, table_format="csv", report=False))
     assert list(done.stages) == ["merged", "quality_controlled"] and sorted(done.extracted) == ["power/PV_Power"]
-    assert done.extracted["power/PV_Power"].count() == 48 * 6 + 1
+    power = done.extracted["power/PV_Power"]
+    assert power.count() == 48 * 6 + 1 and power.agg(F.max("DateTime")).first()[0] == at("2024-12-04")
 
 
 def test_stage_choice_and_guards(spark, tmp_path):

@@ -4,7 +4,7 @@ from datetime import timedelta
 import pandas as pd
 import pytest
 
-from helpers import at, frame, from_pandas, rows, same
+from helpers import at, frame, rows, same
 from stationloom.errors import DataProcessingError, ValidationError
 from stationloom.functions.frequency import parse_frequency
 from stationloom.operators.resample import aggregation_method, resample, resample_stats

@@ -82,9 +82,9 @@ def test_audit(spark, tmp_path):
 
 
 def test_power(spark, tmp_path):
-    write(f"{tmp_path}/Chart PV_PVIGR_Data1.csv", "Time,Optimizer 1.1- Production - Power (W)\n2024-01-01 00:05:00,5\nbad,6\n2024-01-01 00:10:00,\n")
-    write(f"{tmp_path}/Chart PV_PVIGR_Data2.csv", "Optimizer 1.1- Production - Power (W),DateTime,\"Optimizer 2,2\"\n9,2024-01-01 00:05:00,1\n10,2024-01-01 00:15:00,2\n")
-    write(f"{tmp_path}/Chart PV_PVIGR_Data3.csv", "")
+    write(f"{tmp_path}/Chart PV_roof_Data1.csv", "Time,Optimizer 1.1- Production - Power (W)\n2024-01-01 00:05:00,5\nbad,6\n2024-01-01 00:10:00,\n")
+    write(f"{tmp_path}/Chart PV_roof_Data2.csv", "Optimizer 1.1- Production - Power (W),DateTime,\"Optimizer 2,2\"\n9,2024-01-01 00:05:00,1\n10,2024-01-01 00:15:00,2\n")
+    write(f"{tmp_path}/Chart PV_roof_Data3.csv", "")
     write(f"{tmp_path}/other.csv", "Time,x\n2024-01-01 00:05:00,1\n")
     df = merge.merge_power(spark, str(tmp_path))
     got = rows(df.select("DateTime", "`Optimizer 1.1- Production - Power (W)`", "`Optimizer 2,2`"), "DateTime")
@@ -131,7 +131,7 @@ def test_combine_prefixed(spark):
 
 
 def test_typed_csv_round_trip(spark, tmp_path):
-    df = frame(spark, [(at("2024-01-01 00:00"), 1.5), (at("2024-01-01 01:00"), None)], "DateTime timestamp_ntz, `a.b []` double")
+    df = frame(spark, [(at("2024-01-01 00:00"), 1.5), (at("2024-01-01 01:00:00.000001"), None)], "DateTime timestamp_ntz, `a.b []` double")
     files.write_table(df, f"{tmp_path}/t", sort_by=["DateTime"], fmt="csv")
     back = merge.read_typed_csv(spark, f"{tmp_path}/t")
     assert back.columns == df.columns and rows(back, "DateTime") == rows(df, "DateTime")
