@@ -7,6 +7,7 @@ pass over a table costs one scan and no shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,23 +83,29 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part * F.lit(100.0), whole), F.lit(0.0))
 
 
-def range_stats(
+@dataclass(frozen=True)
+class Counts:
+    """Aggregates of a statistic and how its rows are read off them; several share one pass over a table."""
+
+    measures: list[Column]
+    entries: list[dict[str, Column]]
+    listed: str
+
+    def read(self, counted: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        stats = unpivot_stats(counted, keys, self.entries).where(self.listed)
+        return stats.drop(*[n for n in stats.columns if n.startswith("_")])
+
+
+def range_counts(
     df: DataFrame,
     rules: Sequence[RangeRule],
     time_col: str | None = None,
-    keys: Sequence[str] = (),
     exclude: Sequence[str] = (),
     prefilter: bool = True,
-) -> DataFrame:
-    """What :func:`range_mask` flags, one row per key and ruled column.
-
-    Columns without day and night bounds appear only if something was flagged. For the others the
-    counts are those of the day and night pass; ``prefiltered_count`` is what the overall range
-    took out before it.
-    """
+) -> Counts:
     time_col = time_col or time_column(df.columns, reversed(QC_TIME_NAMES))
     ts = c(time_col) if time_col else None
-    ruled = _ruled(df, rules, [*exclude, *keys, *([time_col] if time_col else [])])
+    ruled = _ruled(df, rules, [*exclude, *([time_col] if time_col else [])])
     if not ruled:
         raise ValidationError("no column is covered by a range rule")
     measures: list[Column] = []
@@ -134,8 +141,25 @@ def range_stats(
                 "_always": F.lit(rule.day_night is not None),
             }
         )
-    stats = unpivot_stats(df.groupBy(*[c(k) for k in keys]).agg(*measures), keys, entries)
-    return stats.where("_always OR flagged_count > 0").drop("_always")
+    return Counts(measures, entries, "_always OR flagged_count > 0")
+
+
+def range_stats(
+    df: DataFrame,
+    rules: Sequence[RangeRule],
+    time_col: str | None = None,
+    keys: Sequence[str] = (),
+    exclude: Sequence[str] = (),
+    prefilter: bool = True,
+) -> DataFrame:
+    """What :func:`range_mask` flags, one row per key and ruled column.
+
+    Columns without day and night bounds appear only if something was flagged. For the others the
+    counts are those of the day and night pass; ``prefiltered_count`` is what the overall range
+    took out before it.
+    """
+    counts = range_counts(df, rules, time_col, [*exclude, *keys], prefilter)
+    return counts.read(df.groupBy(*[c(k) for k in keys]).agg(*counts.measures), keys)
 
 
 def _window_hit(ts: Column, w: FailureWindow, whole_last_day: bool) -> Column:
@@ -212,27 +236,18 @@ def _failure_mask_joined(df, windows, station, time_col, sensors, whole_last_day
     return joined.select(*[F.when(~hit(n), c(n)).alias(n) if n in sensors else c(n) for n in df.columns])
 
 
-def failure_stats(
+def failure_counts(
     df: DataFrame,
     windows: Sequence[FailureWindow],
     station: Column,
     time_col: str,
     exclude: Sequence[str] = (),
     whole_last_day: bool = False,
-) -> DataFrame:
-    """Rows per window, with the columns and patterns it concerns; stations without rows are left out.
-
-    Few windows are counted side by side in one aggregate, a long rule table through a join; only
-    counts are shuffled.
-    """
+) -> Counts:
+    """Counts of a short list of windows, side by side in one aggregate."""
     sensors = sensor_columns(df, [*exclude, time_col])
-    useful = [w for w in windows if _affected(sensors, w)]
-    if not useful:
-        raise ValidationError("no failure window concerns a column of this table")
-    if len(useful) > MAX_INLINE_WINDOWS:
-        return _failure_stats_joined(df, useful, station, time_col, sensors, whole_last_day)
     measures, entries = [], []
-    for i, w in enumerate(useful):
+    for i, w in enumerate(windows):
         at_station = station == F.lit(w.station)
         measures += [
             F.count_if(at_station).alias(f"rows_{i}"),
@@ -248,7 +263,30 @@ def failure_stats(
                 "_rows": c(f"rows_{i}"),
             }
         )
-    return unpivot_stats(df.agg(*measures), (), entries).where("_rows > 0").drop("_rows")
+    return Counts(measures, entries, "_rows > 0")
+
+
+def failure_stats(
+    df: DataFrame,
+    windows: Sequence[FailureWindow],
+    station: Column,
+    time_col: str,
+    exclude: Sequence[str] = (),
+    whole_last_day: bool = False,
+) -> DataFrame:
+    """Rows per window, with the columns and patterns it concerns; stations without rows are left out.
+
+    Few windows are counted side by side in one aggregate, a long rule table through a join; only
+    counts are shuffled.
+    """
+    sensors = sensor_columns(df, [*exclude, time_col])
+    useful = [w for w in windows if _affected(sensors, w)]
+    if not useful:
+        raise ValidationError("no failure window concerns a column of this table")
+    if len(useful) > MAX_INLINE_WINDOWS:
+        return _failure_stats_joined(df, useful, station, time_col, sensors, whole_last_day)
+    counts = failure_counts(df, useful, station, time_col, exclude, whole_last_day)
+    return counts.read(df.agg(*counts.measures))
 
 
 def _failure_stats_joined(df, windows, station, time_col, sensors, whole_last_day):

@@ -2,7 +2,9 @@
 
 One aggregation covers all columns. Bins without rows are filled in from the distance between a
 bin and the next one of its series, so the readings are scanned once and nothing is joined; the
-window that finds the next bin sees one row per bin, however many readings a bin held.
+window that finds the next bin sees one row per bin, however many readings a bin held. A table
+without keys is a single series: its bins are spread over tasks and joined to a range of bins
+instead, whose ends come from a pass over the times alone.
 """
 
 from __future__ import annotations
@@ -81,10 +83,13 @@ def resample(
     bins = rows.groupBy(*group, freq.ordinal(c(time_col), origin).alias("_bin")).agg(
         *[m for i, n in enumerate(names) for m in _measures(n, chosen[n], i)]
     )
-    following = F.lead("_bin").over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_bin"))
-    bins = bins.withColumn("_last", F.coalesce(following - 1, F.col("_bin")))
-    grid = bins.withColumn("_slot", F.explode(F.sequence("_bin", "_last")))
-    real = F.col("_slot") == F.col("_bin")
+    if keys:
+        following = F.lead("_bin").over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_bin"))
+        bins = bins.withColumn("_last", F.coalesce(following - 1, F.col("_bin")))
+        grid = bins.withColumn("_slot", F.explode(F.sequence("_bin", "_last")))
+    else:
+        grid = _single_grid(rows, bins, freq.ordinal(c(time_col), origin), origin)
+    real = F.coalesce(F.col("_slot") == F.col("_bin"), F.lit(False))
     return grid.select(
         *[c(k) for k in keys],
         freq.label(F.col("_slot"), origin).alias(time_col),
@@ -92,6 +97,17 @@ def resample(
     )
 
 
+def _single_grid(rows: DataFrame, bins: DataFrame, ordinal: Column, origin: Column | None) -> DataFrame:
+    """Bins of the only series with the empty ones between its first and last."""
+    origin_or_none = F.lit(None).cast("long") if origin is None else F.min(origin)
+    ends = rows.agg(F.min(ordinal).alias("lo"), F.max(ordinal).alias("hi"), origin_or_none.alias("origin")).first()
+    if ends["lo"] is None:
+        return bins.withColumn("_slot", F.col("_bin"))
+    slots = rows.sparkSession.range(ends["lo"], ends["hi"] + 1).withColumnRenamed("id", "_slot")
+    grid = slots.join(bins.drop("_origin"), F.col("_slot") == F.col("_bin"), "left")
+    return grid.withColumn("_origin", F.lit(ends["origin"]).cast("long"))
+
+
 def _with_origin(rows: DataFrame, freq: Frequency, time_col: str, keys: Sequence[str]):
     """Attach where each series starts, for the steps that depend on it."""
     if not freq.needs_origin:

@@ -37,13 +37,18 @@ SUMMARY_HOURS = {"power": missing.DAYLIGHT_HOURS}
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Inputs are folders; a kind without input is left out. ``output_root`` is shared storage."""
+    """Inputs are folders; a kind without input is left out. ``output_root`` is shared storage.
+
+    ``known_columns`` gives the columns of text sources whose files all have the same, by
+    ``"device_sheets"``, ``"power"`` or the name of a log station; it saves a pass over their lines.
+    """
 
     output_root: str
     device_sheets: str | None = None
     station_logs: Mapping[str, str] = field(default_factory=dict)
     power: str | None = None
     weather: str | None = None
+    known_columns: Mapping[str, Sequence[str]] = field(default_factory=dict)
     ranges: Mapping[str, Sequence[RangeRule]] = field(default_factory=dict)
     constants: Sequence[ConstantRule] = ()
     failures: Sequence[FailureWindow] = ()
@@ -90,17 +95,17 @@ def choose_stage(stages: Mapping[str, Mapping[str, DataFrame]], downsample: bool
 def merge_kinds(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
     """One table per kind of data, keyed by device."""
     tables: dict[str, DataFrame] = {}
-    parts = []
+    parts, known = [], cfg.known_columns
     if cfg.device_sheets:
-        sheets = merge.read_device_tables(spark, cfg.device_sheets, device=DEVICE)
+        sheets = merge.read_device_tables(spark, cfg.device_sheets, device=DEVICE, columns=known.get("device_sheets"))
         parts += [sheets] if sheets is not None else []
     for station, folder in cfg.station_logs.items():
-        rows = merge.merge_station_logs(spark, folder)
+        rows = merge.merge_station_logs(spark, folder, columns=known.get(station))
         parts += [rows.withColumn(DEVICE, F.lit(station))] if rows is not None else []
     if parts:
         tables["microclimate"] = merge.union_by_name(parts)
     if cfg.power:
-        tables["power"] = merge.merge_power(spark, cfg.power).withColumn(DEVICE, F.lit("power_merged"))
+        tables["power"] = merge.merge_power(spark, cfg.power, columns=known.get("power")).withColumn(DEVICE, F.lit("power_merged"))
     if cfg.weather:
         tables["weather"] = merge.merge_weather(spark, cfg.weather).withColumn(DEVICE, F.lit("weather_merged"))
     if not tables:
@@ -202,7 +207,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     for kind, df in stages["merged"].items():
         rules = QualityRules(cfg.ranges.get(kind, ()), cfg.constants, cfg.failures)
         station = F.concat(F.lit(f"{kind}/"), c(DEVICE))
-        done = quality_control(df, rules, TIME, [DEVICE], station)
+        done = quality_control(df, rules, TIME, [DEVICE], station, store_stats=True)
         stages["quality_controlled"][kind] = store.table(done.table, f"quality_controlled/{kind}")
         for name, table in done.stats.items():
             keep_stats(table, f"{name}_{kind}")

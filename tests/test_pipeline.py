@@ -127,7 +127,8 @@ def test_whole_job(spark, folder, tmp_path):
 
 
 def test_measured_values_only(spark, folder, tmp_path):
-    done = run_pipeline(spark, config(folder, str(tmp_path), downsample=False, interpolate=False, device_sheets=None, station_logs={}, weather=None, table_format="csv", report=False))
+    done = run_pipeline(spark, config(folder, str(tmp_path), downsample=False, interpolate=False, device_sheets=None, station_logs={}, weather=None, table_format="csv", report=False,
+                                      known_columns={"power": ["Time", "Optimizer 3.2.1- Production - Power (W)", "Optimizer 2.2.20- Production - Power (W)"]}))
     assert list(done.stages) == ["merged", "quality_controlled"] and sorted(done.extracted) == ["power/PV_Power"]
     power = done.extracted["power/PV_Power"]
     assert power.count() == 48 * 6 + 1 and power.agg(F.max("DateTime")).first()[0] == at("2024-12-04")
@@ -152,6 +153,18 @@ def test_quality_control_without_matching_rules(spark):
     assert total_flagged(done).first()[0] == 0
 
 
+def test_statistics_of_one_pass_equal_single_ones(spark):
+    data = [(d, at("2024-01-01") + timedelta(hours=7 * k), float(k % 70), float(k % 13)) for d in ("a", "b", "c") for k in range(40)]
+    df = spark.createDataFrame(data, "device string, DateTime timestamp_ntz, Temp_1 double, Optimizer double")
+    ranges = rules.range_rules(RANGES, "microclimate") + rules.range_rules(RANGES, "power")
+    windows = [rules.FailureWindow("a", "2024-01-02", "2024-01-05", ("Temp",)), rules.FailureWindow("x", "2024-01-02", "2024-01-05", ("Temp",))]
+    run = lambda stored: quality_control(df, QualityRules(ranges, (), windows), "DateTime", ["device"], F.col("device"), store_stats=stored)
+    one, single = run(True), run(False)
+    assert sorted(map(str, one.stats["boundaries"].collect())) == sorted(map(str, single.stats["boundaries"].collect()))
+    assert sorted(map(str, one.stats["failures"].drop("device").collect())) == sorted(map(str, single.stats["failures"].collect()))
+    assert sorted(map(str, one.table.collect())) == sorted(map(str, single.table.collect()))
+
+
 def test_total_flagged(spark):
     df = spark.createDataFrame([(at("2024-01-01"), 100.0), (at("2024-01-02 00:00"), 5.0), (at("2024-01-02 01:00"), 5.0)], "DateTime timestamp_ntz, Temp double")
     done = quality_control(df, QualityRules(rules.range_rules(RANGES, "microclimate"), rules.constant_rules(CONSTANT)), "DateTime")

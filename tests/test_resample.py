@@ -48,6 +48,18 @@ def test_unkeyed_origin(spark):
     assert [str(r[0]) for r in rows(resample(df, "7h"), "DateTime")] == ["2024-01-01 07:00:00", "2024-01-01 14:00:00", "2024-01-01 21:00:00"]
 
 
+@pytest.mark.parametrize("frequency", ["30min", "7h", "2M"])
+def test_unkeyed_equals_keyed(spark, frequency):
+    rng = random.Random(frequency)
+    data = [("a", at("2024-01-05") + timedelta(days=rng.random() * (400 if frequency == "2M" else 4)), rng.random()) for _ in range(40)]
+    df = frame(spark, data, f"station string, {T}, v double")
+    keyed = resample(df, frequency, keys=["station"], methods={"v": "sum"}).drop("station")
+    alone = resample(df.drop("station"), frequency, methods={"v": "sum"})
+    assert "SinglePartition" not in alone._jdf.queryExecution().executedPlan().toString()
+    assert [(r[0], round(r[1], 9)) for r in rows(alone, "DateTime")] == [(r[0], round(r[1], 9)) for r in rows(keyed, "DateTime")]
+    assert resample(df.drop("station").limit(0), frequency).count() == 0
+
+
 def test_stats_and_contracts(spark):
     df = frame(spark, [(at("2024-01-01 00:10"), 1.0, "x"), (at("2024-01-01 02:10"), 1.0, "x")], f"{T}, v double, s string")
     with pytest.raises(DataProcessingError):
