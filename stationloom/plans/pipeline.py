@@ -21,6 +21,7 @@ from stationloom.operators import extract, integrity, missing, series
 from stationloom.operators.interpolate import interpolate_by_rules, interpolation_stats, ruled_columns
 from stationloom.operators.resample import resample
 from stationloom.plans.quality import QualityRules, quality_control
+from stationloom.plans.report import missing_rate_report
 from stationloom.rules import ConstantRule, ExtractFile, ExtractTasks, FailureWindow, GapRules, RangeRule
 from stationloom.sources import merge
 from stationloom.sources.files import write_table
@@ -70,6 +71,7 @@ class PipelineResult:
     stages: dict[str, dict[str, DataFrame]]
     extracted: dict[str, DataFrame]
     stats: dict[str, DataFrame]
+    failed_reports: dict[str, str] = field(default_factory=dict)
 
 
 def run_name(downsample: bool, interpolate: bool, now: datetime | None = None) -> str:
@@ -230,9 +232,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     tables = choose_stage(stages, cfg.downsample, interpolate)
     columns = {k: present_columns(stages["merged"][k], devices) for k, devices in _named_devices(cfg.tasks, tables).items()}
     extracted = _extract_stage(cfg, store, tables, columns, keep_stats)
-    if cfg.report and extracted:
-        _report_stage(cfg, extracted, keep_stats)
-    return PipelineResult(root, stages, extracted, stats)
+    failed = _report_stage(cfg, extracted, keep_stats) if cfg.report and extracted else {}
+    return PipelineResult(root, stages, extracted, stats, failed)
 
 
 def _named_devices(tasks: ExtractTasks, tables: Mapping[str, DataFrame]) -> dict[str, list[str]]:
@@ -272,22 +273,18 @@ def _extract_stage(cfg, store, tables, columns, keep_stats) -> dict[str, DataFra
     return delivered
 
 
-def _report_stage(cfg, extracted: Mapping[str, DataFrame], keep_stats) -> None:
-    """Monthly missing rates by sensor group, as a long table and as the matrix of each report page."""
+def _report_stage(cfg, extracted: Mapping[str, DataFrame], keep_stats) -> dict[str, str]:
+    """Monthly missing rates by sensor group, as a long table and as the matrix of each report page; what failed."""
     folders: dict[str, dict[str, DataFrame]] = {}
     for output, df in extracted.items():
         folder, name = output.rsplit("/", 1) if "/" in output else ("", output)
         folders.setdefault(folder, {})[name] = df
-    rates = []
-    for folder, members in sorted(folders.items()):
-        side_by_side = merge.combine_prefixed(members)
-        rates.append(
-            missing.missing_rate_by_group(
-                side_by_side, TIME, folder, change_date=cfg.split_date, per_part=cfg.sensors_per_part
-            )
-        )
-    long = keep_stats(merge.union_by_name(rates), "missing_rate")
+    report = missing_rate_report(folders, TIME, change_date=cfg.split_date, per_part=cfg.sensors_per_part)
+    if report.rates is None:
+        raise DataProcessingError(f"no missing rates could be computed: {report.failed}")
+    long = keep_stats(report.rates, "missing_rate")
     months = [r[0] for r in long.select("month").distinct().orderBy("month").collect()]  # calendar months
     page = ["group", "part", "parts", "title"]
     keep_stats(missing.missing_rate_matrix(long, months, keep=page), "missing_rate_matrix")
     keep_stats(missing.report_part_counts(long), "report_part_counts")
+    return report.failed

@@ -188,10 +188,11 @@ def combine_prefixed(tables: Mapping[str, DataFrame], keys: Sequence[str] = (TIM
 
 
 def read_typed_csv(
-    spark: SparkSession, paths: str | Sequence[str], time_col: str = TIME, columns: Sequence[str] | None = None
+    spark: SparkSession, paths: str | Sequence[str], time_col: str = TIME, columns: Sequence[str] | None = None,
+    pattern: str = "*.csv",
 ) -> DataFrame:
     """A CSV table as the sinks write it: a time column and numbers."""
-    table = read_csv_table(spark, paths, "*.csv", columns=columns)
+    table = read_csv_table(spark, paths, pattern, columns=columns)
     if table is None:
         raise ValidationError(f"no CSV table at {paths}")
     return table.rows.select(

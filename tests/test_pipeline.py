@@ -11,6 +11,7 @@ from stationloom.errors import ConfigurationError, ValidationError
 from stationloom.plans import pipeline
 from stationloom.plans.pipeline import PipelineConfig, check_stages, choose_stage, run_name, run_pipeline
 from stationloom.plans.quality import QualityRules, quality_control, total_flagged
+from stationloom.plans.report import load_tables, missing_rate_report
 
 RANGES = {
     "microclimate": {
@@ -200,3 +201,22 @@ def test_rule_files(tmp_path):
         rules.load_extract_tasks(put("t.json", TASKS), ["nope"])
     with pytest.raises(ConfigurationError):
         rules.require_keys({"a": 1}, ["a", "b"])
+
+
+def test_report_goes_on_after_a_failure(spark, tmp_path):
+    write(f"{tmp_path}/GR_1yr.csv", "DateTime,v\n2024-01-01 07:00:00,1\n2024-01-01 08:00:00,\n")
+    write(f"{tmp_path}/R x.csv", "DateTime,SM_1\n2024-01-01 07:00:00,1\n")
+    write(f"{tmp_path}/empty.csv", "")
+    tables = load_tables(spark, str(tmp_path))
+    assert sorted(tables) == ["GR_1yr", "R x"]
+    double = tables["R x"].unionAll(tables["R x"])
+    report = missing_rate_report({"microclimate": tables, "power": {"twice": double}, "weather": {}})
+    got = {(r.data_type, r.group, r.sensor): (r.missing_rate, r.part, r.parts, r.title) for r in report.rates.collect()}
+    assert got == {
+        ("microclimate", "microclimate_other", "GR_v"): (0.5, 1, 1, "Microclimate (Other) Missing Rate"),
+        ("microclimate", "microclimate_soil_moisture", "R x_SM_1"): (0.0, 1, 1, "Microclimate (Soil Moisture) Missing Rate"),
+    }
+    assert sorted(report.failed) == ["power", "weather"] and "duplicate times" in report.failed["power"]
+    assert missing_rate_report({"power": {"twice": double}}).rates is None
+    with pytest.raises(ValidationError):
+        load_tables(spark, f"{tmp_path}/none")
