@@ -22,8 +22,8 @@ from stationloom.rules import GapRules
 SUFFIX = "_interpolated"
 # A slice of a regular grid holds this many rows.
 GRID_ROWS_PER_CHUNK = 4096
-# Slice length for rows without a known step.
-DEFAULT_CHUNK_SECONDS = 86_400
+# Slice length for rows without a known step; longer slices suit slow sensors.
+DEFAULT_CHUNK_SECONDS = 3600
 
 
 def interpolate(

@@ -32,6 +32,8 @@ METHOD_PATTERNS = {
     "power": ("mean", ("Optimizer",)),
 }
 METHODS = ("mean", "sum", "circular_mean")
+# Empty bins are made in blocks of this many.
+GAP_BLOCK = 65_536
 
 
 def aggregation_method(name: str, patterns: Mapping[str, tuple[str, Sequence[str]]] = METHOD_PATTERNS) -> str:
@@ -86,7 +88,10 @@ def resample(
     if keys:
         following = F.lead("_bin").over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_bin"))
         bins = bins.withColumn("_last", F.coalesce(following - 1, F.col("_bin")))
-        grid = bins.withColumn("_slot", F.explode(F.sequence("_bin", "_last")))
+        # in two steps, as one array per gap could get as long as the gap
+        grid = bins.withColumn("_from", F.explode(F.sequence("_bin", "_last", F.lit(GAP_BLOCK).cast("long"))))
+        to = F.least(F.col("_from") + (GAP_BLOCK - 1), F.col("_last"))
+        grid = grid.withColumn("_slot", F.explode(F.sequence(F.col("_from"), to)))
     else:
         grid = _single_grid(rows, bins, freq.ordinal(c(time_col), origin), origin)
     real = F.coalesce(F.col("_slot") == F.col("_bin"), F.lit(False))

@@ -43,6 +43,14 @@ def test_grid_equals_pandas(spark, frequency):
     assert all(same(g[2], w[2]) for g, w in zip(got, want))
 
 
+def test_long_gap_is_filled_in_blocks(spark):
+    df = frame(spark, [("a", at("2024-01-01"), 1.0), ("a", at("2024-01-03 12:00:01"), 2.0)], f"station string, {T}, v double")
+    out = resample(df, "1s", keys=["station"])
+    n = 60 * 3600 + 2
+    assert tuple(out.agg({"*": "count", "v": "count", "DateTime": "max"}).first()) == (2, n, at("2024-01-03 12:00:01"))
+    assert out.select("DateTime").distinct().count() == n
+
+
 def test_unkeyed_origin(spark):
     df = frame(spark, [(at("2024-01-01 08:10"), 1.0), (at("2024-01-02 00:00"), 2.0)], f"{T}, v double")
     assert [str(r[0]) for r in rows(resample(df, "7h"), "DateTime")] == ["2024-01-01 07:00:00", "2024-01-01 14:00:00", "2024-01-01 21:00:00"]
