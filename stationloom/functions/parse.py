@@ -25,7 +25,7 @@ def parse_date_and_time(date: Column, time: Column, fmt: str = DATE_TIME_FORMAT)
 
 def parse_number(text: Column) -> Column:
     """A double, or NULL. The cast would also take Java literals such as ``1.5f``; those are not numbers."""
-    ending = F.lower(F.right(F.rtrim(text), F.lit(3)))
-    java_suffix = F.right(ending, F.lit(1)).isin("d", "f") & (ending != "inf")
+    trimmed = F.lower(F.rtrim(text))
+    java_suffix = F.substring(trimmed, -1, 1).isin("d", "f") & (F.substring(trimmed, -3, 3) != "inf")
     number = text.try_cast("double")
     return F.when(~F.isnan(number) & ~java_suffix, number)
