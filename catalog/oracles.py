@@ -88,12 +88,12 @@ WITH {_sources}
 SELECT "DateTime", {ALL_SENSORS}
 FROM src_click {" ".join(f'FULL JOIN src_{s} USING ("DateTime")' for s in SENSORS[1:])}"""
 
-_hourly = lambda s, p, k="": f"""(SELECT {k}date_trunc('hour', ts) AS "DateTime", avg(round(value * 100)) AS {p}mean,
+_hourly = lambda s, p: f"""(SELECT date_trunc('hour', ts) AS "DateTime", avg(round(value * 100)) AS {p}mean,
   max(value) AS {p}max FROM events WHERE event_type = '{s}' GROUP BY ALL)"""
+_prefixes = {"A": "click", "B": "error", "C": "view", "D": "purchase", "E": "signup"}
 ORACLES["combine_prefixed_sources"] = f"""
-SELECT "DateTime", "A_mean", "A_max", "B_mean", "B_max", "C_mean", "C_max"
-FROM {_hourly("click", "A_")} a FULL JOIN {_hourly("error", "B_")} b USING ("DateTime")
-FULL JOIN {_hourly("view", "C_")} c USING ("DateTime")"""
+SELECT "DateTime", {", ".join(f'"{p}_mean", "{p}_max"' for p in _prefixes)}
+FROM {_hourly("click", "A_")} a {" ".join(f'FULL JOIN {_hourly(s, f"{p}_")} src_{p} USING ("DateTime")' for p, s in list(_prefixes.items())[1:])}"""
 
 ORACLES["csv_scan"] = f"""
 WITH {WIDE} SELECT event_id::DOUBLE AS event_id, station::DOUBLE AS station, "DateTime", {ALL_SENSORS} FROM wide"""
@@ -102,7 +102,7 @@ ORACLES["csv_mixed_headers"] = f"""
 WITH {WIDE} SELECT "DateTime", event_id::DOUBLE AS event_id, click,
   CASE WHEN "DateTime" < '2024-01-16' THEN error END AS error, CASE WHEN "DateTime" >= '2024-01-16' THEN view END AS view FROM wide"""
 
-ORACLES["partitioned_sink"] = f"WITH {WIDE} SELECT * FROM wide WHERE station = 3"
+ORACLES["partitioned_sink"] = f"WITH {WIDE} SELECT * FROM wide"
 
 # --- extraction ----------------------------------------------------------------------------------
 
@@ -116,20 +116,20 @@ ORACLES["extract_date_range_daily"] = """
 SELECT o_orderkey, o_orderdate AS "DateTime" FROM orders
 WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-06-30'"""
 
-_k = "user_id % 10 AS station, "
 ORACLES["extract_join"] = f"""
-SELECT station, "DateTime", click_mean, click_max, view_mean, purchase_max
-FROM {_hourly("click", "click_", _k)} a JOIN {_hourly("view", "view_", _k)} b USING (station, "DateTime")
-JOIN {_hourly("purchase", "purchase_", _k)} c USING (station, "DateTime")
+SELECT "DateTime", {", ".join(f"{s}_mean, {s}_max" for s in SENSORS)}
+FROM {_hourly("click", "click_")} a {" ".join(f'JOIN {_hourly(s, f"{s}_")} src_{s} USING ("DateTime")' for s in SENSORS[1:])}
 WHERE "DateTime" BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-28'"""
 
 ORACLES["extract_task_records"] = f"""
-WITH {WIDE}, s3 AS (SELECT * FROM wide WHERE station = 3 AND "DateTime" BETWEEN '2024-01-02' AND '2024-01-12')
-SELECT 'power' AS task, 'power/one' AS output, count(*) AS records, 'DateTime,a' AS columns
-FROM wide WHERE station = 1 AND "DateTime" BETWEEN '2024-01-02' AND '2024-01-28'
-UNION ALL SELECT 'climate', 'climate/two', count(*), 'DateTime,click,error,purchase,signup,view'
-FROM wide WHERE station = 2 AND "DateTime" BETWEEN '2024-01-10' AND '2024-01-28'
-UNION ALL SELECT 'climate', 'climate/three', count(*), 'DateTime,v,e' FROM s3 a JOIN s3 b USING ("DateTime")"""
+WITH {WIDE}
+SELECT 'power' AS task, 'power/s' || station AS output, count(*) AS records, 'DateTime,a' AS columns
+FROM wide WHERE station % 2 = 0 AND "DateTime" BETWEEN '2024-01-10' AND '2024-01-28' GROUP BY station
+UNION ALL SELECT 'climate', 'climate/s' || station, count(*), 'DateTime,v,e'
+FROM wide a JOIN wide b USING (station, "DateTime")
+WHERE station % 2 = 1 AND "DateTime" BETWEEN '2024-01-02' AND '2024-01-12' GROUP BY station
+UNION ALL SELECT 'climate', 'climate/all_columns', count(*), 'DateTime,click,error,purchase,signup,view'
+FROM wide WHERE station = 0 AND "DateTime" BETWEEN '2024-01-02' AND '2024-01-28'"""
 
 ORACLES["split_rows_by_date"] = f"""
 WITH {WIDE} SELECT *, CASE WHEN "DateTime" < '2024-01-16' THEN '_WT' ELSE '_WT-to-Sed' END AS part FROM wide"""

@@ -94,7 +94,7 @@ def merge_weather_full_outer(spark, sf):
 
 @query
 def combine_prefixed_sources(spark, sf):
-    tables = {"A_1yr": "click", "B_yr": "error", "C": "view"}
+    tables = {"A_1yr": "click", "B_yr": "error", "C": "view", "D_yr_1yr": "purchase", "E": "signup"}
     return merge.combine_prefixed({name: i.hourly_source(spark, sf, s) for name, s in tables.items()})
 
 
@@ -120,10 +120,10 @@ def csv_mixed_headers(spark, sf):
 
 @query
 def partitioned_sink(spark, sf):
-    """Written as a table partitioned by station and read back with one station pruned in."""
+    """Written as a table partitioned by station and read back."""
     path, w = scratch_path(spark, "sink"), i.wide(spark, sf)
     files.write_table(w, path, ["station"], [TIME])
-    return spark.read.schema(w.schema).parquet(path).where("station = 3")
+    return spark.read.schema(w.schema).parquet(path)
 
 
 # --- extraction ----------------------------------------------------------------------------------
@@ -148,34 +148,28 @@ def extract_date_range_daily(spark, sf):
 
 @query
 def extract_join(spark, sf):
-    base, first, second = (i.hourly_source(spark, sf, s, ("station",)) for s in ("click", "view", "purchase"))
-    base = extract.select_rename(base, {"station": "station", TIME: TIME, "mean": "click_mean", "max": "click_max"})
+    base, *others = (i.hourly_source(spark, sf, s) for s in i.SENSORS)
+    base = extract.select_rename(base, {TIME: TIME, "mean": "click_mean", "max": "click_max"})
     period = lambda df: extract.date_range(df, TIME, "2024-01-03", "2024-01-28")
-    sources = [
-        (period(first), {"mean": "view_mean"}),
-        (period(second), {"max": "purchase_max", "absent": "x"}),
-        (period(second), {"absent": "y"}),
-    ]
-    return extract.join_sources(period(base), sources, ["station", TIME])
+    sources = [(period(df), {"mean": f"{s}_mean", "max": f"{s}_max", "absent": "x"}) for df, s in zip(others, i.SENSORS[1:])]
+    return extract.join_sources(period(base), [*sources, (period(others[0]), {"absent": "y"})], [TIME])
 
 
 @query
 def extract_task_records(spark, sf):
-    """Extraction tasks over device tables: datasets and how many records each has."""
+    """Extraction tasks over the tables of all devices: the datasets and how many records each has."""
     table = i.wide(spark, sf, with_id=False).withColumn("station", i.station_key()).withColumnRenamed("station", "device")
-    tasks = ExtractTasks(
-        {
-            "power": (ExtractFile("events/s1", "power/one", {TIME: TIME, "click": "a", "absent": "x"}),),
-            "climate": (
-                ExtractFile("events/s2", "climate/two", None, start="2024-01-10"),
-                ExtractFile("events/s3", "climate/three", {TIME: TIME, "view": "v"}, end="2024-01-12",
-                            merge_from=(ExtractSource("other/s3", {"error": "e"}),)),
-                ExtractFile("events/s77", "climate/none", {TIME: TIME}),
-            ),
-        },
-        "2024-01-02", "2024-01-28",
+    even = tuple(
+        ExtractFile(f"events/s{k}", f"power/s{k}", {TIME: TIME, "click": "a", "absent": "x"}, start="2024-01-10") for k in range(0, 10, 2)
+    )
+    odd = tuple(
+        ExtractFile(f"events/s{k}", f"climate/s{k}", {TIME: TIME, "view": "v"}, end="2024-01-12",
+                    merge_from=(ExtractSource(f"other/s{k}", {"error": "e"}),))
+        for k in range(1, 10, 2)
     )
-    columns = {"events": pipeline.present_columns(table, ["s1", "s2", "s3", "s77"])}
+    whole = ExtractFile("events/s0", "climate/all_columns")
+    tasks = ExtractTasks({"power": even, "climate": (*odd, whole, ExtractFile("events/s77", "climate/none"))}, "2024-01-02", "2024-01-28")
+    columns = {"events": pipeline.present_columns(table, [f"s{k}" for k in (*range(10), 77)])}
     found = [
         df.agg(F.count("*").alias("records")).select(
             F.lit(task).alias("task"), F.lit(output).alias("output"), "records", F.lit(",".join(df.columns)).alias("columns")
