@@ -10,8 +10,3 @@ def direction(mean_sin: Column, mean_cos: Column) -> Column:
     """Angle of a mean vector in [0, 360); NULL for no vector."""
     angle = F.degrees(F.atan2(mean_sin, mean_cos))
     return F.when(angle < 0, angle + 360).otherwise(angle)
-
-
-def mean_direction(angle: Column) -> Column:
-    """Circular mean of an angle column, as an aggregate."""
-    return direction(F.avg(F.sin(F.radians(angle))), F.avg(F.cos(F.radians(angle))))

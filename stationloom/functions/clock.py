@@ -18,10 +18,6 @@ def from_micros(value: Column) -> Column:
     return F.timestamp_micros(value).cast("timestamp_ntz")
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return (micros(end) - micros(start)) / F.lit(float(SECOND))
-
-
 def floor_div(value: Column, n: int) -> Column:
     """Integer division rounding down, also for times before 1970; stays in 64-bit integers."""
     divisor = F.lit(n).cast("long")

@@ -122,7 +122,8 @@ def read_csv_table(
 ) -> CsvTable | None:
     """CSV files with a header line as text columns; None if there is nothing to read.
 
-    ``columns`` are the column names of every file, if they are known and the same.
+    ``columns`` are the column names of every file, if they are known and the same; reading a file
+    with another header then fails.
     """
     if columns is not None:
         layouts = {"": tuple(columns)}
@@ -139,6 +140,7 @@ def read_csv_table(
     if len(layouts) == 1:
         names = next(iter(layouts.values()))
         reader = _reader(spark, pattern, recursive, skip_unreadable).schema(_text_schema(names)).option("header", True)
+        reader = reader.option("enforceSchema", columns is None)
         rows = reader.csv(paths).select(
             "*",
             F.col("_metadata.file_path").alias(SOURCE),

@@ -45,8 +45,8 @@ def parse_log_lines(
 
     Lines with the wrong number of fields are dropped, unreadable fields become NULL. The first two
     lines of a source are its head; a later line that repeats the header is head as well. The names
-    must be known to build the plan: ``columns`` if all sources have the same, else the headers are
-    read first and their distinct texts fetched.
+    must be known to build the plan: ``columns`` if all sources have the same (a source with another
+    header then fails), else the headers are read first and their distinct texts fetched.
     """
     headers = None
     if columns is not None:
@@ -61,6 +61,10 @@ def parse_log_lines(
             raise DataParsingError(f"header {names} must name {TIME} and each sensor once")
 
     rows = lines.withColumn("_clean", _stripped(F.col(TEXT))).where(F.col("_clean") != "")
+    if columns is not None:
+        expected = _names(F.col("_clean")) == F.array(*[F.lit(n) for n in columns])
+        known = F.when(expected, F.lit(True)).otherwise(F.raise_error(F.lit("a log header differs from the known columns")))
+        rows = rows.where(~F.when(F.col("_clean").contains(TIME), known).otherwise(F.lit(False)))
     if len(layouts) == 1:
         width = F.lit(len(layouts[0]))
         position = {n: F.lit(i) for i, n in enumerate(layouts[0])}

@@ -56,6 +56,18 @@ def test_logs_with_different_headers(spark, tmp_path):
         logs.read_station_logs(spark, f"{tmp_path}/bad")
 
 
+def test_known_columns_are_checked(spark, tmp_path):
+    write(f"{tmp_path}/logs/a.txt", LOG)
+    for wrong in (["DateTime", "Temp1"], ["Temp1", "DateTime", "Humi1", "Met_Speed1"]):
+        with pytest.raises(Exception, match="differs from the known columns"):
+            logs.read_station_logs(spark, f"{tmp_path}/logs", columns=wrong).collect()
+    write(f"{tmp_path}/csv/a.csv", "Time,x,y\n2024-01-01 00:00:00,1,2\n")
+    good = merge.merge_power(spark, f"{tmp_path}/csv", "*.csv", columns=["Time", "x", "y"])
+    assert good.collect()[0].asDict() == {"DateTime": at("2024-01-01"), "x": 1.0, "y": 2.0}
+    with pytest.raises(Exception, match="(?i)header"):
+        merge.merge_power(spark, f"{tmp_path}/csv", "*.csv", columns=["Time", "y", "x"]).collect()
+
+
 def test_large_log_is_split_over_tasks(spark, tmp_path):
     body = "".join(f"2024-04-01 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d};{i},1;2;\n" for i in range(20000))
     write(f"{tmp_path}/big.txt", LOG.split("2024")[0] + body)
