@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stationloom.llm import mixing, quality, sql
+from stationloom.llm import addressable, mixing, packing, quality, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Appended to the ids of every document.
+END_ID = 2
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op5_mixing": sql.OP5}
 
@@ -29,6 +33,21 @@ def op1_quality_rules(spark, sf):
     return quality.quality_rules(table(spark, sf, "documents", "doc_id", "text", "source"))
 
 
+@query
+def op2_addressable_codes(spark, sf):
+    """All documents as files of directly addressable codes, read back from them."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    files = addressable.write_codes(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=END_ID)
+    return addressable.documents_in_files(spark, files)
+
+
+@query
+def op3_harmonic_packing(spark, sf):
+    """The pieces of all documents and their places in sequences of 4096 ids."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=END_ID)
+
+
 @query
 def op5_mixing(spark, sf):
     """The words a capped mixture of all sources takes of every document."""
