@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationloom.llm import addressable, mixing, packing, quality, sql
+from stationloom.llm import addressable, html, mixing, packing, quality, secrets, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,3 +54,24 @@ def op5_mixing(spark, sf):
     """The words a capped mixture of all sources takes of every document."""
     out = mixing.mix(table(spark, sf, "documents", "doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_secret_scan(spark, sf):
+    """Counts and spans of the secrets in every document."""
+    return secrets.digest(secrets.scan(table(spark, sf, "documents", "doc_id", "text")))
+
+
+@query
+def op9_warc(spark, sf):
+    """Every page as a WARC record, read back from the archives by byte ranges."""
+    archives = warc.write_archives(table(spark, sf, "pages", "page_id", "url", "html"))
+    records = warc.read_archives(spark, archives)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_html_extraction(spark, sf):
+    """The main text of every page, by the container path its host's pages agree on."""
+    out = html.extract(table(spark, sf, "pages", "page_id", "url", "html"))
+    return out.select("*", F.length("text").cast("long").alias("n_chars"))

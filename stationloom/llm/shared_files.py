@@ -26,7 +26,8 @@ def write_file(folder: str, name: str, parts: list[bytes]) -> str:
     """Write one file; returns its full path."""
     system, at = open_fs(folder)
     system.create_dir(at, recursive=True)
-    with system.open_output_stream(f"{at}/{name}") as f:
+    # the name of a file must not make the library compress it
+    with system.open_output_stream(f"{at}/{name}", compression=None) as f:
         for x in parts:
             f.write(x)
     return f"{folder}/{name}"
