@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationloom.llm import addressable, html, mixing, packing, quality, secrets, sql, warc
+from stationloom.llm import addressable, html, minhash, mixing, packing, quality, secrets, sql, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 END_ID = 2
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op5_mixing": sql.OP5}
+ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op4_minhash": sql.OP4, "op5_mixing": sql.OP5}
 
 
 def query(f: Query) -> Query:
@@ -49,6 +49,12 @@ def op3_harmonic_packing(spark, sf):
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=END_ID)
 
 
+@query
+def op4_minhash(spark, sf):
+    """Component and verdict of every document among its near duplicates."""
+    return minhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
+
+
 @query
 def op5_mixing(spark, sf):
     """The words a capped mixture of all sources takes of every document."""

@@ -62,3 +62,25 @@ SELECT doc_id, size, source_size, target,
        CAST(passes * size + greatest(0, least(size, goal - passes * source_size - start)) AS BIGINT) AS taken
 FROM r
 """
+
+OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+often AS (SELECT s.*, count(*) OVER (PARTITION BY g) AS k FROM s),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM often a JOIN often b ON a.g = b.g AND a.doc_id <> b.doc_id
+  WHERE a.k > 1 GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM pair JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * common >= 75 * (x.n + y.n - common)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c.m, d.doc_id)) AS component_id,
+       least(d.doc_id, coalesce(c.m, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
