@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationloom.llm import addressable, html, minhash, mixing, packing, quality, secrets, sql, warc
+from stationloom.llm import addressable, ann, html, minhash, mixing, packing, quality, secrets, sql, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,19 @@ def op5_mixing(spark, sf):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op6_toxicity(spark, sf):
+    """A toxicity score for every document, learnt from the labels of the training part."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels", "doc_id", "toxic")))
+
+
+@query
+def op7_nearest_neighbours(spark, sf):
+    """The ten nearest vectors of every hundredth one."""
+    return ann.nearest(table(spark, sf, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op8_secret_scan(spark, sf):
     """Counts and spans of the secrets in every document."""
