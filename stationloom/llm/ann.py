@@ -161,7 +161,7 @@ def index(table: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame, Forest,
     entries = rows.withColumn("r", near).where(F.col("r") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
     entries = materialize(entries.select(F.element_at("ids", 1).alias("entry"), "v", "ids"), "entries")
     sample = [r[0] for r in entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("v").collect()]
-    points = np.array(sample, np.float64).reshape(len(sample), -1)
+    points = np.array(sample, np.float64).reshape(len(sample), lengths["d"] if lengths else 1)
     forest = grow(points)
     share = search_share(forest, points, k) if len(points) else 1.0
     cast = table.sparkSession.sparkContext.broadcast(forest)

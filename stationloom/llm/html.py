@@ -182,6 +182,8 @@ class Page:
                     score[i] = score.get(i, 0.0) + (-n if inside_link else n) * weight
                     weight /= 2
                 i = self.parent[i]
+            # the page itself, where nothing else holds its text
+            score[0] = score.get(0, 0.0) + (-n if inside_link else n) * weight
         found = [(s * (1.5 if self.tag[i] in ("article", "main") else 1.0), -i) for i, s in score.items() if s > 0]
         return -max(found)[1] if found else None
 
@@ -203,7 +205,7 @@ def vote(source: str) -> str | None:
     """The path of a page's best container."""
     page = Page(source)
     best = page.best()
-    return None if best is None else page.path(best)
+    return page.path(best) if best else None
 
 
 def main_text(source: str, path: str | None) -> str:
