@@ -189,8 +189,8 @@ class Page:
 
     def text(self, roots: list[int]) -> str:
         """The text of some elements in page order, without what is dropped inside them."""
-        hidden, inside = self.hidden(), [False]
-        chosen = set(roots)
+        hidden, chosen = self.hidden(), set(roots)
+        inside = [0 in chosen]
         for i in range(1, len(self.tag)):
             inside.append(i in chosen or inside[self.parent[i]])
         blocks: dict[int, list[str]] = {}

@@ -49,7 +49,7 @@ AROUND = 256
 #: How far before a candidate its sensitive word may end.
 NEAR = 40
 #: Marginal bytes a character from which a candidate is reported.
-MIN_COST = 0.75
+MIN_COST = 0.55
 MIN_CANDIDATE = 12
 
 
