@@ -78,6 +78,20 @@ def wide_hundredths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("station", "DateTime", *[hundredths(F.col(s)).alias(s) for s in SENSORS])
 
 
+def odd_wide(spark: SparkSession, sf_dir: str, with_id: bool = True) -> DataFrame:
+    """:func:`wide` with station 3 unnamed, and NaN in place of some readings."""
+    w = wide(spark, sf_dir)
+    nan = lambda n: F.when(F.col(n).isNotNull() & (F.col("event_id") % 71 == 5), float("nan")).otherwise(F.col(n))
+    station = F.when(F.col("station") != 3, F.col("station"))
+    return w.select(*(["event_id"] if with_id else []), station.alias("station"), "DateTime", *[nan(s).alias(s) for s in SENSORS])
+
+
+def odd_hundredths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`wide_hundredths` with station 3 unnamed, and NaN in place of some readings."""
+    w = odd_wide(spark, sf_dir, with_id=False)
+    return w.select("station", "DateTime", *[hundredths(F.col(s)).alias(s) for s in SENSORS])
+
+
 def hundredths(value: Column) -> Column:
     return F.round(value * 100)
 
@@ -125,7 +139,10 @@ def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written out as station logs: two head lines per station, two layouts, some broken lines."""
+    """Events written out as station logs: two head lines per station, two layouts, some broken lines.
+
+    Board lines of odd stations are as wide as their header; two more sources have no usable header.
+    """
     e = table(spark, sf_dir, "events").withColumn("station", F.col("user_id") % 10)
     source = F.concat(F.lit("log/"), F.col("station").cast("string"), F.lit(".txt"))
     ts, value, user = (F.col(n).cast("string") for n in ("ts", "value", "user_id"))
@@ -138,13 +155,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     data = e.select(source.alias(SOURCE), F.lit(0).cast("long").alias(BLOCK), (F.col("event_id") + 2).alias(LINE), line.alias(TEXT))
     head = F.array(
-        F.concat(F.lit("BoardID:"), F.col("station").cast("string")),
+        F.concat(F.lit("BoardID:"), F.col("station").cast("string"), F.when(F.col("station") % 2 == 1, ";fw,2;").otherwise("")),
         F.when(F.col("station") < 5, "DateTime;Temp1,User1;").otherwise("DateTime;; Hum1 ,User1;;"),
     )
     heads = e.select(source.alias(SOURCE), "station").distinct().select(
         SOURCE, F.lit(0).cast("long").alias(BLOCK), F.posexplode(head).alias(LINE, TEXT)
     )
-    return data.unionAll(heads.select(SOURCE, BLOCK, F.col(LINE).cast("long"), TEXT))
+    broken = [("log/short.txt", 0, 0, "BoardID:77"), ("log/wrong.txt", 0, 0, "BoardID:78"), ("log/wrong.txt", 0, 1, "Time;a"),
+              ("log/wrong.txt", 0, 2, "2024-01-01 00:00:00;1")]
+    more = spark.createDataFrame(broken, f"{SOURCE} string, {BLOCK} long, {LINE} long, {TEXT} string")
+    return data.unionAll(heads.select(SOURCE, BLOCK, F.col(LINE).cast("long"), TEXT)).unionAll(more)
 
 
 def sensor_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,16 +61,29 @@ FROM orders"""
 ORACLES["source_file_audit"] = """
 SELECT 'log/' || (user_id % 10) || '.txt' AS source, count(*) + 2 AS lines,
   CASE WHEN count(*) + 2 < 3 THEN 'too short' ELSE 'ok' END AS status
-FROM events GROUP BY user_id % 10"""
+FROM events GROUP BY user_id % 10
+UNION ALL VALUES ('log/short.txt', 1, 'too short'), ('log/wrong.txt', 3, 'ok')"""
+
+ORACLES["log_source_audit"] = """
+SELECT 'log/' || (user_id % 10) || '.txt' AS source, count(*) + 2 AS lines, 'ok' AS status FROM events GROUP BY user_id % 10
+UNION ALL VALUES ('log/short.txt', 1, 'no header'), ('log/wrong.txt', 3, 'header without DateTime')"""
+
+ORACLES["merge_loss_counts"] = """
+WITH rows AS (SELECT 'log/' || (user_id % 10) || '.txt' AS source, value < 1 AS narrow, CASE WHEN value <= 200 THEN ts END AS t FROM events)
+SELECT source, count(*) AS data_lines, count(*) FILTER (narrow) AS wrong_width,
+  count(*) FILTER (NOT narrow AND t IS NULL) AS invalid_time,
+  count(*) FILTER (NOT narrow) - count(DISTINCT t) FILTER (NOT narrow)
+    - CASE WHEN count(*) FILTER (NOT narrow AND t IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_times
+FROM rows GROUP BY source"""
 
 ORACLES["merge_devices"] = f"""
 WITH {WIDE},
-minutes AS (SELECT station AS device, date_trunc('minute', "DateTime") AS "DateTime", event_id, click, error, view FROM wide),
+minutes AS (SELECT station AS device, date_trunc('minute', "DateTime") AS "DateTime", event_id, click, error, purchase, signup, view FROM wide),
 tables AS (
-  SELECT 0 AS t, device, "DateTime", event_id, click, error FROM minutes WHERE "DateTime" < '2024-01-20'
+  SELECT 0 AS t, device, "DateTime", event_id, click, error, purchase FROM minutes WHERE event_id % 2 = 0
   UNION ALL BY NAME
-  SELECT 1 AS t, device, "DateTime", event_id, click, view FROM minutes WHERE "DateTime" >= '2024-01-10')
-SELECT device, "DateTime", event_id, click, error, view FROM tables
+  SELECT 1 AS t, device, "DateTime", event_id, click, signup, view FROM minutes WHERE event_id % 3 <> 0)
+SELECT device, "DateTime", event_id, click, error, purchase, signup, view FROM tables
 QUALIFY row_number() OVER (PARTITION BY device, "DateTime" ORDER BY t, event_id) = 1"""
 
 ORACLES["merge_power"] = """
@@ -99,8 +112,9 @@ ORACLES["csv_scan"] = f"""
 WITH {WIDE} SELECT event_id::DOUBLE AS event_id, station::DOUBLE AS station, "DateTime", {ALL_SENSORS} FROM wide"""
 
 ORACLES["csv_mixed_headers"] = f"""
-WITH {WIDE} SELECT "DateTime", event_id::DOUBLE AS event_id, click,
-  CASE WHEN "DateTime" < '2024-01-16' THEN error END AS error, CASE WHEN "DateTime" >= '2024-01-16' THEN view END AS view FROM wide"""
+WITH {WIDE} SELECT "DateTime", event_id::DOUBLE AS event_id, click, error, purchase FROM wide
+UNION ALL BY NAME
+SELECT station::DOUBLE AS station, event_id::DOUBLE AS event_id, view, "DateTime", signup, click FROM wide"""
 
 ORACLES["partitioned_sink"] = f"WITH {WIDE} SELECT * FROM wide"
 
@@ -199,7 +213,9 @@ ORACLES["qc_time_range_stats"] = f"WITH {_passes}" + " UNION ALL ".join(
   round(count_if({s}_night) * 100.0::DOUBLE / count({s}), 6) AS nighttime_percentage,
   count_if({s}_pre)::BIGINT AS prefiltered_count FROM flags
 """ for s, (kind, bounds) in _timed.items()
-)
+) + """ UNION ALL SELECT 'error', 'error_rate', count(error), count_if(error <= 0 OR error >= 150)::BIGINT,
+  round(count_if(error <= 0 OR error >= 150) * 100.0::DOUBLE / count(error), 6), '0 to 150 u', NULL, NULL, NULL, NULL, 0
+FROM wide HAVING count_if(error <= 0 OR error >= 150) > 0"""
 
 ORACLES["qc_failure_mask"] = f"""
 WITH {WIDE}, hit AS (SELECT *,
@@ -225,11 +241,11 @@ FROM (SELECT event_id, station, "DateTime",
   CASE WHEN NOT bad THEN view END AS view_ FROM hit)"""
 
 ORACLES["qc_failure_stats"] = """
-SELECT 's3' AS station, 'click,signup' AS affected_columns, '2024-01-05 to 2024-01-09' AS failure_period,
+SELECT 3::BIGINT AS station, 's3' AS failure_station, 'click,signup' AS affected_columns, '2024-01-05 to 2024-01-09' AS failure_period,
   count(*) FILTER (ts BETWEEN '2024-01-05' AND '2024-01-09') AS affected_timestamps, 'cl,si' AS sensor_patterns
 FROM events WHERE user_id % 10 = 3
 UNION ALL
-SELECT 's7', 'view,view,error', '2024-01-10 to 2024-01-20',
+SELECT 7, 's7', 'view,view,error', '2024-01-10 to 2024-01-20',
   count(*) FILTER (ts BETWEEN '2024-01-10' AND '2024-01-20'), 'view,vi,error'
 FROM events WHERE user_id % 10 = 7"""
 
@@ -237,9 +253,10 @@ ORACLES["qc_failure_stats_many"] = """
 WITH windows AS (
   SELECT s AS station, TIMESTAMP '2024-01-01' + to_days((3 * i)::INTEGER) AS a, TIMESTAMP '2024-01-02' + to_days((3 * i)::INTEGER) AS b
   FROM range(10) x(s), range(8) y(i))
-SELECT 's' || station AS station, strftime(a, '%Y-%m-%d') || ' to ' || strftime(b, '%Y-%m-%d') AS failure_period,
+SELECT station, 's' || station AS failure_station, strftime(a, '%Y-%m-%d') || ' to ' || strftime(b, '%Y-%m-%d') AS failure_period,
   count(*) FILTER (ts BETWEEN a AND b) AS affected_timestamps,
-  CASE WHEN station % 2 = 1 THEN 'click,view' ELSE 'error,purchase,view' END AS affected
+  CASE WHEN station % 2 = 1 THEN 'click,view' ELSE 'error,purchase,view' END AS affected_columns,
+  CASE WHEN station % 2 = 1 THEN 'click,view' ELSE 'e' END AS sensor_patterns
 FROM windows JOIN events ON user_id % 10 = station GROUP BY ALL"""
 
 ORACLES["daily_std"] = f"""
@@ -341,6 +358,33 @@ ORACLES["resample_month"] = _calendar("month", "1 MONTH", "last_day(b)::TIMESTAM
 ORACLES["resample_quarter"] = _calendar("quarter", "3 MONTH", "last_day(b + INTERVAL 2 MONTH)::TIMESTAMP")
 ORACLES["resample_year"] = _calendar("year", "1 YEAR", "last_day(b + INTERVAL 11 MONTH)::TIMESTAMP")
 
+ORACLES["resample_month_start"] = _calendar("month", "1 MONTH", "b")
+ORACLES["resample_week_monday"] = ORACLES["resample_week"].replace(
+    "date_trunc('week', o_orderdate)::TIMESTAMP", "date_trunc('week', o_orderdate - INTERVAL 1 DAY)::TIMESTAMP + INTERVAL 1 DAY"
+)
+ORACLES["resample_ninety_minutes"] = f"""WITH {WHOLE}, {resampled("whole", MEANS, "90 minutes")} SELECT * FROM grid"""
+
+# first moment of a bin, length, and how its label follows from it
+_frequencies = {
+    "6h": ("time_bucket(INTERVAL 6 HOUR, o_orderdate, TIMESTAMP '1970-01-01')", "6 HOUR", "b"),
+    "1d": ("date_trunc('day', o_orderdate)", "1 DAY", "b"),
+    "W": ("date_trunc('week', o_orderdate)", "7 DAY", "b + INTERVAL 6 DAY"),
+    "W-WED": ("date_trunc('week', o_orderdate - INTERVAL 3 DAY) + INTERVAL 3 DAY", "7 DAY", "b + INTERVAL 6 DAY"),
+    "M": ("date_trunc('month', o_orderdate)", "1 MONTH", "last_day(b)"),
+    "MS": ("date_trunc('month', o_orderdate)", "1 MONTH", "b"),
+    "Q": ("date_trunc('quarter', o_orderdate)", "3 MONTH", "last_day(b + INTERVAL 2 MONTH)"),
+    "QS": ("date_trunc('quarter', o_orderdate)", "3 MONTH", "b"),
+    "Y": ("date_trunc('year', o_orderdate)", "1 YEAR", "last_day(b + INTERVAL 11 MONTH)"),
+    "YS": ("date_trunc('year', o_orderdate)", "1 YEAR", "b"),
+}
+ORACLES["frequency_bins"] = " UNION ALL ".join(
+    f"""SELECT '{f}' AS frequency, status, count(*) AS bins, min({label})::TIMESTAMP AS first, max({label})::TIMESTAMP AS last,
+  any_value(total) AS total
+FROM (SELECT status, unnest(generate_series(min(b)::TIMESTAMP, max(b)::TIMESTAMP, INTERVAL {step})) AS b, sum(p) AS total
+  FROM (SELECT o_orderstatus AS status, {start} AS b, round(o_totalprice * 100) AS p FROM orders) GROUP BY status) GROUP BY status
+""" for f, (start, step, label) in _frequencies.items()
+)
+
 ORACLES["resample_two_months"] = """
 WITH months AS (SELECT o_orderstatus AS status, date_trunc('month', o_orderdate)::DATE AS m, o_totalprice FROM orders),
 firsts AS (SELECT status, min(m) AS m0 FROM months GROUP BY status),
@@ -394,7 +438,7 @@ _clean = WHOLE + """, clean AS (SELECT station, "DateTime", error, purchase, sig
   CASE WHEN view > 0 AND view < 15000 THEN view END AS view FROM whole)"""
 ORACLES["curated_dataset"] = f"""
 WITH {_clean}, {resampled("clean", MEANS, "1 hour")}, {interpolated(2)}
-SELECT station, "DateTime", view_y AS "RH", (click IS NULL AND click_y IS NOT NULL) AS filled,
+SELECT station, "DateTime", view_y AS "RH", error_y AS "E", purchase_y AS "P", signup_y AS "S", (click IS NULL AND click_y IS NOT NULL) AS filled,
   CASE WHEN "DateTime" < '2024-01-16' THEN click_y END AS "Ta_WT_part1",
   CASE WHEN "DateTime" >= '2024-01-16' THEN click_y END AS "Ta_WT_part2"
 FROM filled WHERE "DateTime" BETWEEN '2024-01-03' AND '2024-01-28'"""
@@ -457,12 +501,13 @@ FROM wide WHERE hour("DateTime") BETWEEN 6 AND 17 GROUP BY ALL
 """ for s in SENSORS
 )
 
-_months = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 ORACLES["missing_rate_matrix"] = f"""WITH {ORDERS_WIDE}, rates AS ({" UNION ALL ".join(
     f'''SELECT strftime("DateTime", '%Y-%m') AS month, '{s}' AS sensor,
-    avg(CASE WHEN {s} IS NULL THEN 1.0::DOUBLE ELSE 0 END) * 100 AS rate FROM wide GROUP BY ALL''' for s in STATUSES)})
-SELECT sensor AS label, sensor, {", ".join(f"round(max(CASE WHEN month = '{m}' THEN rate END), 6) AS \"{m}\"" for m in _months)}
-FROM rates GROUP BY sensor"""
+    avg(CASE WHEN {s} IS NULL THEN 1.0::DOUBLE ELSE 0 END) * 100 AS rate FROM wide GROUP BY ALL''' for s in STATUSES)}),
+months AS (SELECT strftime(unnest(generate_series(date_trunc('month', min("DateTime")), date_trunc('month', max("DateTime")),
+  INTERVAL 1 MONTH)), '%Y-%m') AS month FROM wide)
+SELECT sensor AS label, sensor, month, round(rate, 6) AS missing_percent
+FROM months CROSS JOIN (SELECT DISTINCT sensor FROM rates) LEFT JOIN rates USING (month, sensor)"""
 
 TEN_MINUTES = WIDE + ", " + resampled("wide", MEANS, "10 minutes", None)
 _groups = (
@@ -483,9 +528,9 @@ WITH {TEN_MINUTES}, counts AS (
   SELECT count(*) AS records, 2 * count(*) AS cells, 2 * count(*) - count(click) - count(error) AS missing
   FROM grid WHERE hour("DateTime") BETWEEN 6 AND 17
   UNION ALL
-  SELECT count(*), 2 * count(*), 2 * count(*) - count(error) - count(view)
-  FROM grid WHERE hour("DateTime") BETWEEN 6 AND 17 AND "DateTime" < '2024-01-16')
-SELECT 'Soil Moisture' AS task, 3::BIGINT AS total_sensors, max(records) AS total_records,
+  SELECT count(*), 4 * count(*), 4 * count(*) - count(error) - count(view) - count(purchase) - count(signup)
+  FROM grid WHERE hour("DateTime") BETWEEN 6 AND 17)
+SELECT 'Soil Moisture' AS task, 5::BIGINT AS total_sensors, max(records) AS total_records,
   round(sum(missing) * 100.0::DOUBLE / sum(cells), 2) AS missing_rate_pct, 2::BIGINT AS files FROM counts"""
 
 ORACLES["drop_all_null_rows"] = f"""
@@ -524,3 +569,24 @@ ORACLES["wrap_names"] = f"""
 WITH {NAMES} SELECT p_partkey, list_reduce(string_split(name, '_'), lambda a, x:
   CASE WHEN length(string_split(a, chr(10))[-1]) + 1 + length(x) > 30 THEN a || chr(10) || x ELSE a || '_' || x END) AS wrapped
 FROM names"""
+
+# --- a NULL key and NaN readings ---------------------------------------------------------------------
+
+
+def odd(name: str) -> str:
+    """The SQL of a query with NULL readings where its input has NaN, and station 3 unnamed in its result."""
+    sql = ORACLES[name]
+    for s in SENSORS:
+        sql = sql.replace(
+            f"CASE WHEN event_type = '{s}' THEN value END AS {s}",
+            f"CASE WHEN event_type = '{s}' AND event_id % 71 <> 5 THEN value END AS {s}",
+        )
+    return f"SELECT * REPLACE (CASE WHEN station <> 3 THEN station END AS station) FROM ({sql})"
+
+
+for _name in ("range_mask", "range_stats"):
+    ORACLES[f"odd_{_name}"] = odd(f"qc_{_name}")
+for _name in ("resample_mean", "resample_seven_hours", "interpolate_edges", "temporal_consistency", "missing_ratio"):
+    ORACLES[f"odd_{_name}"] = odd(_name)
+ORACLES["odd_constant_mask"] = f"""
+SELECT * REPLACE (CASE WHEN station <> 'O' THEN station END AS station) FROM ({ORACLES["qc_constant_mask"]})"""

@@ -64,12 +64,22 @@ def source_file_audit(spark, sf):
     return files.file_audit(i.log_lines(spark, sf), min_lines=3)
 
 
+@query
+def log_source_audit(spark, sf):
+    return logs.log_audit(i.log_lines(spark, sf))
+
+
+@query
+def merge_loss_counts(spark, sf):
+    return logs.log_losses(i.log_lines(spark, sf))
+
+
 @query
 def merge_devices(spark, sf):
     w = i.wide(spark, sf).withColumn(TIME, F.date_trunc("minute", TIME).cast("timestamp_ntz"))
     w = w.withColumnRenamed("station", "device")
-    first = w.where(F.col(TIME) < "2024-01-20").select("device", TIME, "event_id", "click", "error")
-    second = w.where(F.col(TIME) >= "2024-01-10").select("device", TIME, "event_id", "click", "view")
+    first = w.where("event_id % 2 = 0").select("device", TIME, "event_id", "click", "error", "purchase")
+    second = w.where("event_id % 3 <> 0").select("device", TIME, "event_id", "signup", "click", "view")
     return merge.merge_devices([first, second], order=[F.col("event_id")])
 
 
@@ -108,10 +118,10 @@ def csv_scan(spark, sf):
 
 @query
 def csv_mixed_headers(spark, sf):
-    """Two files groups with different columns in one folder."""
+    """Two groups of files with the same rows, other columns in another order, in one folder."""
     path, w = scratch_path(spark, "csv"), i.wide(spark, sf)
-    files.write_table(w.where(F.col(TIME) < "2024-01-16").select(TIME, "event_id", "click", "error"), f"{path}/a", fmt="csv")
-    files.write_table(w.where(F.col(TIME) >= "2024-01-16").select("event_id", "view", TIME, "click"), f"{path}/b", fmt="csv")
+    files.write_table(w.select(TIME, "event_id", "click", "error", "purchase"), f"{path}/a", fmt="csv")
+    files.write_table(w.select("station", "event_id", "view", TIME, "signup", "click"), f"{path}/b", fmt="csv")
     table = files.read_csv_table(spark, path, "*.csv", recursive=True)
     return table.rows.select(
         parse_time(F.col(TIME)).alias(TIME), *[parse_number(c(n)).alias(n) for n in table.columns if n != TIME]
@@ -224,7 +234,7 @@ def qc_time_range_mask(spark, sf):
 
 @query
 def qc_time_range_stats(spark, sf):
-    stats = masks.range_stats(i.wide(spark, sf), i.TIMED_RANGES[:2], TIME, [], ["event_id", "station"])
+    stats = masks.range_stats(i.wide(spark, sf), i.TIMED_RANGES, TIME, [], ["event_id", "station"])
     return rounded(stats, "flagged_percentage", "daytime_percentage", "nighttime_percentage")
 
 
@@ -238,18 +248,21 @@ def qc_failure_mask_many(spark, sf):
     return masks.failure_mask(i.wide(spark, sf), i.MANY_WINDOWS, i.station_key(), TIME, ["event_id", "station"])
 
 
-@query
-def qc_failure_stats(spark, sf):
-    stats = masks.failure_stats(i.wide(spark, sf), i.WINDOWS, i.station_key(), TIME, ["event_id", "station"])
+def _failure_stats(df, windows):
+    stats = masks.failure_stats(df, windows, i.station_key(), TIME, ["event_id"], keys=["station"])
     return stats.withColumn("affected_columns", F.concat_ws(",", "affected_columns")).withColumn(
         "sensor_patterns", F.concat_ws(",", "sensor_patterns")
     )
 
 
+@query
+def qc_failure_stats(spark, sf):
+    return _failure_stats(i.wide(spark, sf), i.WINDOWS)
+
+
 @query
 def qc_failure_stats_many(spark, sf):
-    stats = masks.failure_stats(i.wide(spark, sf), i.MANY_WINDOWS, i.station_key(), TIME, ["event_id", "station"])
-    return stats.select("station", "failure_period", "affected_timestamps", F.concat_ws(",", "affected_columns").alias("affected"))
+    return _failure_stats(i.wide(spark, sf), i.MANY_WINDOWS)
 
 
 @query
@@ -366,6 +379,34 @@ def resample_two_months(spark, sf):
     return resample.resample(_order_totals(spark, sf), "2M", TIME, ["status"])
 
 
+@query
+def resample_month_start(spark, sf):
+    return resample.resample(_order_totals(spark, sf), "MS", TIME, ["status"])
+
+
+@query
+def resample_week_monday(spark, sf):
+    return resample.resample(_order_totals(spark, sf), "W-MON", TIME, ["status"])
+
+
+@query
+def resample_ninety_minutes(spark, sf):
+    return i.grid(spark, sf, "1h30min")
+
+
+@query
+def frequency_bins(spark, sf):
+    """The bins of many frequencies that the orders of a status fall into."""
+    frequencies = ("6h", "1d", "W", "W-WED", "M", "MS", "Q", "QS", "Y", "YS")
+    found = [
+        resample.resample(_order_totals(spark, sf), f, TIME, ["status"], {"price": "sum"})
+        .groupBy("status").agg(F.count("*").alias("bins"), F.min(TIME).alias("first"), F.max(TIME).alias("last"), F.sum("price").alias("total"))
+        .select(F.lit(f).alias("frequency"), "status", "bins", "first", "last", "total")
+        for f in frequencies
+    ]
+    return merge.union_by_name(found)
+
+
 @query
 def resample_seven_hours(spark, sf):
     return i.grid(spark, sf, "7h")
@@ -397,9 +438,9 @@ def curated_dataset(spark, sf):
     """Masks, hourly grid, gap filling, extraction and split in one go."""
     masked = masks.range_mask(i.wide_hundredths(spark, sf), i.HUNDREDTH_RANGES, TIME, ["station"])
     grid = materialize(resample.resample(masked, "1h", TIME, ["station"]), "grid")
-    filled = gaps.interpolate(grid, ["click", "view"], TIME, ["station"], limit=2, step_seconds=3600)
+    filled = gaps.interpolate(grid, i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)
     period = extract.date_range(filled, TIME, "2024-01-03", "2024-01-28")
-    names = {"station": "station", TIME: TIME, "click": "Ta_WT", "view": "RH", "click_interpolated": "filled"}
+    names = {"station": "station", TIME: TIME, "click": "Ta_WT", "view": "RH", "error": "E", "purchase": "P", "signup": "S", "click_interpolated": "filled"}
     return extract.split_columns_by_date(extract.select_rename(period, names), TIME, "2024-01-16", ("WT",))
 
 
@@ -408,6 +449,52 @@ def resample_unkeyed(spark, sf):
     return resample.resample(i.wide_hundredths(spark, sf).drop("station"), "5min", TIME)
 
 
+@query
+def odd_range_mask(spark, sf):
+    """As below: a NULL key is a key like any other, and NaN is a missing reading."""
+    return masks.range_mask(i.odd_wide(spark, sf), i.RANGES, TIME, ["event_id", "station"])
+
+
+@query
+def odd_range_stats(spark, sf):
+    stats = masks.range_stats(i.odd_wide(spark, sf), i.RANGES, TIME, ["station"], ["event_id"])
+    stats = stats.select("station", "sensor", "variable_type", "initial_count", "flagged_count", "flagged_percentage", "bounds")
+    return rounded(stats, "flagged_percentage")
+
+
+@query
+def odd_resample_mean(spark, sf):
+    return resample.resample(i.odd_hundredths(spark, sf), "1h", TIME, ["station"])
+
+
+@query
+def odd_resample_seven_hours(spark, sf):
+    return resample.resample(i.odd_hundredths(spark, sf), "7h", TIME, ["station"])
+
+
+@query
+def odd_interpolate_edges(spark, sf):
+    grid = materialize(resample.resample(i.odd_hundredths(spark, sf), "2h", TIME, ["station"]), "grid")
+    return gaps.interpolate(grid, i.SENSORS, TIME, ["station"], limit=3, chunk_seconds=86_400)
+
+
+@query
+def odd_temporal_consistency(spark, sf):
+    report = series.temporal_consistency(i.odd_wide(spark, sf), TIME, ["station"], expected_seconds=1800)
+    return rounded(report, "median_interval_s", "min_interval_s", "max_interval_s")
+
+
+@query
+def odd_missing_ratio(spark, sf):
+    return rounded(integrity.missing_ratio(i.odd_wide(spark, sf), i.SENSORS, ["station"]), "missing_ratio")
+
+
+@query
+def odd_constant_mask(spark, sf):
+    rows = i.shipments(spark, sf).withColumn("station", F.when(F.col("station") != "O", F.col("station")))
+    return constant.constant_mask(rows, constant.constant_days(rows, i.CONSTANT_RULES, TIME, ["station"]), TIME, ["station"])
+
+
 @query
 def interpolation_stats(spark, sf):
     filled = gaps.interpolate(_stored_grid(spark, sf), i.SENSORS, TIME, ["station"], limit=2, step_seconds=3600)
@@ -469,14 +556,15 @@ def missing_rate_daylight(spark, sf):
     return rounded(missing.monthly_missing_rate(i.wide(spark, sf), TIME, i.SENSORS, (6, 18)), "missing_rate")
 
 
-def order_months() -> list[str]:
-    return [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
-
-
 @query
 def missing_rate_matrix(spark, sf):
+    """The matrix over all months of the data, a row per cell."""
     rates = missing.monthly_missing_rate(i.orders_wide(spark, sf), TIME)
-    return rounded(missing.missing_rate_matrix(rates, order_months()), *order_months())
+    ends = rates.agg(F.min("month").alias("lo"), F.max("month").alias("hi")).first()
+    months = missing.calendar_months(ends["lo"], ends["hi"])
+    matrix = missing.missing_rate_matrix(rates, months)
+    cells = matrix.unpivot(["label", "sensor"], [c(m) for m in months], "month", "missing_percent")
+    return rounded(cells, "missing_percent")
 
 
 def _grouped_sensors(spark, sf):
@@ -496,7 +584,7 @@ def missing_rate_task_summary(spark, sf):
     grid = resample.resample(i.wide(spark, sf, with_id=False).drop("station"), "10min", TIME)
     tables = {
         "first": grid.select(TIME, "click", "error"),
-        "second": grid.select(TIME, "error", "view").where(F.col(TIME) < "2024-01-16"),
+        "second": grid.select(TIME, "error", "view", "purchase", "signup"),
     }
     return missing.task_missing_summary(tables, "soil_moisture", TIME, (6, 18))
 

@@ -84,3 +84,12 @@ def unpivot_stats(df: DataFrame, keys: Sequence[str], entries: Sequence[Mapping[
     """One row per entry from a table whose columns hold the figures of all entries."""
     rows = F.array(*[F.struct(*[v.alias(k) for k, v in e.items()]) for e in entries])
     return df.select(*[c(k) for k in keys], F.inline(rows))
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, NULL keys meeting NULL keys; the keys of ``left`` stay."""
+    renamed = right.select(*[c(n).alias(f"_right_{n}") if n in keys else c(n) for n in right.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & c(k).eqNullSafe(c(f"_right_{k}"))
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])

@@ -15,20 +15,31 @@ from pyspark.sql import functions as F
 from stationloom.errors import ValidationError
 from stationloom.functions.clock import DAY, SECOND, floor_div, from_micros, micros
 
-# Frequency units. Seconds for fixed steps, period name for calendar ones.
-FIXED_UNITS = {"s": 1, "S": 1, "min": 60, "T": 60, "h": 3600, "H": 3600, "D": 86400}
+# Frequency units. Microseconds for fixed steps; period name and label side for calendar ones.
+FIXED_UNITS = {
+    "us": 1, "ms": 1000, "s": SECOND, "S": SECOND, "min": 60 * SECOND, "T": 60 * SECOND, "h": 3600 * SECOND,
+    "H": 3600 * SECOND, "D": DAY, "d": DAY,
+}
 CALENDAR_UNITS = {
     "W": "week", "M": "month", "ME": "month", "Q": "quarter", "QE": "quarter", "Y": "year", "YE": "year", "A": "year",
 }
+START_UNITS = {"MS": "month", "QS": "quarter", "YS": "year", "AS": "year"}
+WEEKDAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
 
 
 @dataclass(frozen=True)
 class Frequency:
-    """``count`` units; ``step`` is the length in microseconds, or None for a calendar period."""
+    """``count`` units; ``step`` is the length in microseconds, or None for a calendar period.
+
+    Calendar periods are labelled by their last day, or their first if ``by_start``; a week ends on
+    ``week_end`` (0 is Monday).
+    """
 
     count: int
     step: int | None
     period: str | None = None
+    by_start: bool = False
+    week_end: int = 6
 
     @property
     def needs_origin(self) -> bool:
@@ -40,32 +51,34 @@ class Frequency:
         if self.step:
             m = micros(ts)
             return m - F.pmod(m, F.lit(DAY).cast("long"))
-        return _period_number(ts, self.period)
+        return _period_number(ts, self.period, self.week_end)
 
     def ordinal(self, ts: Column, origin: Column | None = None) -> Column:
         if self.step:
             return floor_div(micros(ts) if origin is None else micros(ts) - origin, self.step)
-        number = _period_number(ts, self.period)
-        # the first bin closes with the period the series starts in
-        return number if origin is None else floor_div(number - origin + (self.count - 1), self.count)
+        number = _period_number(ts, self.period, self.week_end)
+        # the first bin closes with the period the series starts in, or opens with it
+        ahead = 0 if self.by_start else self.count - 1
+        return number if origin is None else floor_div(number - origin + ahead, self.count)
 
     def label(self, ordinal: Column, origin: Column | None = None) -> Column:
-        """Start of a fixed bin, last day of a calendar bin."""
+        """Start of a fixed bin, last or first day of a calendar bin."""
         if self.step:
             start = ordinal * F.lit(self.step).cast("long")
             return from_micros(start if origin is None else start + origin)
         number = ordinal if origin is None else origin + ordinal * F.lit(self.count)
-        return _period_end(number, self.period).cast("timestamp_ntz")
+        last = _period_end(number - 1 if self.by_start else number, self.period, self.week_end)
+        return (F.date_add(last, 1) if self.by_start else last).cast("timestamp_ntz")
 
     @property
     def seconds(self) -> int | None:
-        return None if self.step is None else self.step // SECOND
+        return None if self.step is None or self.step % SECOND else self.step // SECOND
 
 
-def _period_number(ts: Column, period: str) -> Column:
+def _period_number(ts: Column, period: str, week_end: int) -> Column:
     day = F.to_date(ts)
-    if period == "week":  # 1970-01-01 is a Thursday; weeks end on Sunday
-        return floor_div(F.unix_date(day).cast("long") + 3, 7)
+    if period == "week":  # 1970-01-01 is a Thursday
+        return floor_div(F.unix_date(day).cast("long") + (9 - week_end), 7)
     year = F.year(day).cast("long")
     if period == "month":
         return year * 12 + F.month(day) - 1
@@ -74,9 +87,9 @@ def _period_number(ts: Column, period: str) -> Column:
     return year
 
 
-def _period_end(number: Column, period: str) -> Column:
+def _period_end(number: Column, period: str, week_end: int) -> Column:
     if period == "week":
-        return F.date_from_unix_date((number * 7 + 3).cast("int"))
+        return F.date_from_unix_date((number * 7 + (week_end - 3)).cast("int"))
     months = {"month": 1, "quarter": 3, "year": 12}[period]
     # last month of the period, counted from year 0
     last = number * months + (months - 1)
@@ -85,14 +98,19 @@ def _period_end(number: Column, period: str) -> Column:
 
 
 def parse_frequency(text: str) -> Frequency:
-    """``'1h'``, ``'30min'``, ``'7h'``, ``'1D'``, ``'W'``, ``'M'`` ... as a :class:`Frequency`."""
+    """``'1h'``, ``'1h30min'``, ``'500ms'``, ``'1D'``, ``'W-MON'``, ``'M'``, ``'MS'`` ... as a :class:`Frequency`."""
     if not text:
         raise ValidationError("frequency must not be empty")
-    parts = re.fullmatch(r"\s*(\d*)\s*([A-Za-z]+)\s*", text)
-    count = int(parts.group(1) or 1) if parts else 0
-    unit = parts.group(2) if parts else ""
-    if count > 0 and unit in FIXED_UNITS:
-        return Frequency(count, count * FIXED_UNITS[unit] * SECOND)
-    if count > 0 and unit in CALENDAR_UNITS:
-        return Frequency(count, None, CALENDAR_UNITS[unit])
-    raise ValidationError(f"invalid frequency {text!r}; examples: '1h', '30min', '1D', 'M'")
+    if week := re.fullmatch(r"\s*(\d*)\s*W-([A-Z]{3})\s*", text):
+        count = int(week.group(1) or 1)
+        if count and week.group(2) in WEEKDAYS:
+            return Frequency(count, None, "week", week_end=WEEKDAYS.index(week.group(2)))
+    elif re.fullmatch(r"\s*(\d*\s*[A-Za-z]+\s*)+", text):
+        parts = [(int(n or 1), unit) for n, unit in re.findall(r"(\d*)\s*([A-Za-z]+)", text)]
+        if all(n and unit in FIXED_UNITS for n, unit in parts):
+            step = sum(n * FIXED_UNITS[unit] for n, unit in parts)
+            return Frequency(parts[0][0] if len(parts) == 1 else 1, step)
+        (count, unit), more = parts[0], parts[1:]
+        if count and not more and unit in {**CALENDAR_UNITS, **START_UNITS}:
+            return Frequency(count, None, {**CALENDAR_UNITS, **START_UNITS}[unit], by_start=unit in START_UNITS)
+    raise ValidationError(f"invalid frequency {text!r}; examples: '1h', '1h30min', '1D', 'W-MON', 'MS'")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationloom.columns import c, matching, sensor_columns
+from stationloom.columns import c, matching, nan_to_null, sensor_columns
 from stationloom.errors import ValidationError
 from stationloom.rules import ConstantRule
 from stationloom.storage import materialize
@@ -26,7 +26,7 @@ def daily_std(df: DataFrame, time_col: str, keys: Sequence[str] = (), columns: S
     columns = sensor_columns(df, [time_col, *keys]) if columns is None else columns
     day = F.to_date(c(time_col)).alias("day")
     return (
-        df.where(c(time_col).isNotNull())
+        nan_to_null(df).where(c(time_col).isNotNull())
         .groupBy(*[c(k) for k in keys], day)
         .agg(F.count("*").alias("rows"), *[F.stddev_samp(c(n)).alias(n) for n in columns])
     )
@@ -123,7 +123,7 @@ def constant_mask(df: DataFrame, flagged: DataFrame, time_col: str, keys: Sequen
     )
     on = F.to_date(c(time_col)) == F.col("_k_day")
     for k in keys:
-        on = on & (c(k) == c(f"_k_{k}"))
+        on = on & c(k).eqNullSafe(c(f"_k_{k}"))
     names = sensor_columns(df, [time_col, *keys])
     stuck = lambda n: F.coalesce(F.array_contains("_stuck", n), F.lit(False))
     return df.join(per_day, on, "left").select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationloom.columns import c, unpivot_stats
+from stationloom.columns import c, nan_to_null, unpivot_stats
 from stationloom.errors import DataIntegrityError, ValidationError
 from stationloom.functions.parse import parse_time
 from stationloom.operators import series
@@ -47,7 +47,7 @@ def check_duplicates(
 
 def missing_ratio(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), above: float = 0.0) -> DataFrame:
     """``(keys, column, missing_ratio)`` for columns with a larger share of NULLs than ``above``."""
-    shares = df.groupBy(*[c(k) for k in keys]).agg(
+    shares = nan_to_null(df).groupBy(*[c(k) for k in keys]).agg(
         *[F.avg(c(n).isNull().cast("double")).alias(f"_m{i}") for i, n in enumerate(columns)]
     )
     entries = [{"column": F.lit(n), "missing_ratio": c(f"_m{i}")} for i, n in enumerate(columns)]
@@ -77,7 +77,8 @@ def value_range_counts(df: DataFrame, ranges: Mapping[str, tuple[float, float]],
         entries.append(
             {"column": F.lit(n), "below_min": below, "above_max": above, "out_of_range": below + above}
         )
-    return unpivot_stats(df.groupBy(*[c(k) for k in keys]).agg(*measures), keys, entries).where("out_of_range > 0")
+    counted = nan_to_null(df).groupBy(*[c(k) for k in keys]).agg(*measures)
+    return unpivot_stats(counted, keys, entries).where("out_of_range > 0")
 
 
 def check_value_ranges(

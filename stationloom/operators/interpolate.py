@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationloom.columns import c, classify, sensor_columns
+from stationloom.columns import c, classify, join_on_keys, nan_to_null, sensor_columns
 from stationloom.errors import ValidationError
 from stationloom.functions.clock import SECOND, floor_div, micros, time_chunk
 from stationloom.rules import GapRules
@@ -59,6 +59,7 @@ def interpolate(
     limit = limit or None
     width = chunk_seconds or (step_seconds * GRID_ROWS_PER_CHUNK if step_seconds else DEFAULT_CHUNK_SECONDS)
 
+    df = nan_to_null(df)
     ts = c(time_col)
     key_cols = [c(k) for k in keys]
     base = df.withColumn("_chunk", F.coalesce(time_chunk(ts, width), F.lit(-(2**62)).cast("long")))
@@ -85,7 +86,7 @@ def interpolate(
     )
     offset = F.coalesce(F.col("_offset"), F.lit(0).cast("long"))
     # nearest known reading on either side: in the slice, else what was carried to it
-    joined = local.join(carried, [*keys, "_chunk"], "left").select(
+    joined = join_on_keys(local, carried, [*keys, "_chunk"], "left").select(
         *[c(n) for n in df.columns],
         (offset + F.col("_pos")).alias("_pos"),
         *[F.coalesce(f"_{side}v{i}", f"_c{side}v{i}").alias(f"_{side}v{i}") for side in "pn" for i in range(len(columns))],

@@ -1,7 +1,7 @@
 """Row-wise masks: readings outside a range or inside a failure window become NULL.
 
-Each mask is a single projection. Chained masks stay one stage in the plan, so a quality-control
-pass over a table costs one scan and no shuffle.
+Each mask is a projection, for failure windows after a join with the rule table, whose size Catalyst
+knows. Chained masks stay one stage in the plan. NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -12,15 +12,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.columns import QC_TIME_NAMES, c, sensor_columns, time_column, unpivot_stats
+from stationloom.columns import (
+    QC_TIME_NAMES,
+    c,
+    join_on_keys,
+    nan_to_null,
+    sensor_columns,
+    time_column,
+    unpivot_stats,
+)
 from stationloom.errors import ValidationError
 from stationloom.functions.clock import hour_in
 from stationloom.rules import FailureWindow, RangeRule
-
-# A longer rule table is joined instead of being written out as expressions.
-MAX_INLINE_WINDOWS = 64
-# Rule tables come from the driver with a known length; longer ones are left to a shuffle join.
-MAX_BROADCAST_WINDOWS = 100_000
+from stationloom.storage import local_table
 
 
 def _rule_of(name: str, rules: Sequence[RangeRule]) -> RangeRule | None:
@@ -69,6 +73,7 @@ def range_mask(
     are masked at night too; ``prefilter=False`` leaves only the day and night bounds.
     """
     time_col = time_col or time_column(df.columns, reversed(QC_TIME_NAMES))
+    df = nan_to_null(df)
     ts = c(time_col) if time_col else None
     ruled = _ruled(df, rules, [*exclude, *([time_col] if time_col else [])])
     return df.select(
@@ -103,6 +108,7 @@ def range_counts(
     exclude: Sequence[str] = (),
     prefilter: bool = True,
 ) -> Counts:
+    """Aggregates for the statistics of a table without NaN."""
     time_col = time_col or time_column(df.columns, reversed(QC_TIME_NAMES))
     ts = c(time_col) if time_col else None
     ruled = _ruled(df, rules, [*exclude, *([time_col] if time_col else [])])
@@ -158,21 +164,23 @@ def range_stats(
     counts are those of the day and night pass; ``prefiltered_count`` is what the overall range
     took out before it.
     """
+    df = nan_to_null(df)
     counts = range_counts(df, rules, time_col, [*exclude, *keys], prefilter)
     return counts.read(df.groupBy(*[c(k) for k in keys]).agg(*counts.measures), keys)
 
 
-def _window_hit(ts: Column, w: FailureWindow, whole_last_day: bool) -> Column:
-    start, end = F.lit(w.start).cast("timestamp_ntz"), F.lit(w.end).cast("timestamp_ntz")
-    upper = (ts < end + F.expr("INTERVAL 1 DAY")) if whole_last_day else (ts <= end)
-    return (ts >= start) & upper
-
-
 def _affected(columns: Sequence[str], w: FailureWindow) -> list[str]:
     """Columns by pattern; one that fits two patterns is listed twice."""
     return [n for p in w.sensors for n in columns if p in n]
 
 
+def _typed(w: Column, whole_last_day: bool) -> tuple[Column, Column]:
+    """Start and last moment of a window."""
+    end = w["end"].cast("timestamp_ntz")
+    extra = F.expr("INTERVAL '1 00:00:00' DAY TO SECOND - INTERVAL '0.000001' SECOND")
+    return w["start"].cast("timestamp_ntz"), end + extra if whole_last_day else end
+
+
 def failure_mask(
     df: DataFrame,
     windows: Sequence[FailureWindow],
@@ -184,86 +192,33 @@ def failure_mask(
     """NULL out the listed sensors of a station from ``start`` to ``end``.
 
     Bounds are midnights, both included, so the last day loses only its 00:00:00 row unless
-    ``whole_last_day``. ``station`` is the expression that gives a row's station key. Few windows
-    become predicates; a long rule table is joined on the station.
+    ``whole_last_day``. ``station`` is the expression that gives a row's station key. The rule table
+    has one row per station with the windows of each sensor, and is joined on the station.
     """
     sensors = sensor_columns(df, [*exclude, time_col])
-    if len(windows) > MAX_INLINE_WINDOWS:
-        return _failure_mask_joined(df, windows, station, time_col, sensors, whole_last_day)
-    hits: dict[str, Column] = {}
+    by_station: dict[str, dict[str, list]] = {}
     for w in windows:
-        hit = (station == F.lit(w.station)) & _window_hit(c(time_col), w, whole_last_day)
         for n in dict.fromkeys(_affected(sensors, w)):
-            hits[n] = hits[n] | hit if n in hits else hit
-    return df.select(
-        *[F.when(~F.coalesce(hits[n], F.lit(False)), c(n)).alias(n) if n in hits else c(n) for n in df.columns]
-    )
-
-
-def _window_table(df: DataFrame, windows: Sequence[FailureWindow], sensors: Sequence[str], whole_last_day: bool) -> DataFrame:
-    """One row per station with its windows; the table's length is known, so is whether it may be broadcast."""
-    by_station: dict[str, list[dict]] = {}
-    for i, w in enumerate(windows):
-        entry = {"rule": i, "start": w.start, "end": w.end, "sensors": sorted(set(_affected(sensors, w)))}
-        by_station.setdefault(w.station, []).append(entry)
-    schema = "_station string, _rules array<struct<rule: int, start: string, end: string, sensors: array<string>>>"
-    extra = F.expr("INTERVAL '1 00:00:00' DAY TO SECOND - INTERVAL '0.000001' SECOND")
-
-    def typed(w: Column) -> Column:
-        end = w["end"].cast("timestamp_ntz")
-        return F.struct(
-            w["rule"].alias("rule"),
-            w["start"].cast("timestamp_ntz").alias("start"),
-            (end + extra if whole_last_day else end).alias("end"),
-            w["sensors"].alias("sensors"),
-        )
-
-    table = df.sparkSession.createDataFrame(list(by_station.items()), schema).select(
-        "_station", F.transform("_rules", typed).alias("_windows")
-    )
-    return F.broadcast(table) if len(windows) <= MAX_BROADCAST_WINDOWS else table
-
-
-def _active(ts: Column) -> Column:
-    return F.filter("_windows", lambda w: (ts >= w["start"]) & (ts <= w["end"]))
-
-
-def _failure_mask_joined(df, windows, station, time_col, sensors, whole_last_day):
-    table = _window_table(df, windows, sensors, whole_last_day)
+            by_station.setdefault(w.station, {}).setdefault(n, []).append((w.start, w.end))
+    failing = [n for n in sensors if any(n in found for found in by_station.values())]
+    if not failing:
+        return df
+    span = "array<struct<start: string, end: string>>"
+    schema = ", ".join(["_station string", *[f"_windows_{i} {span}" for i in range(len(failing))]])
+    listed = [
+        (s, *[[{"start": a, "end": b} for a, b in found[n]] if n in found else None for n in failing])
+        for s, found in by_station.items()
+    ]
+    table = local_table(df.sparkSession, listed, schema)
+    times = lambda w: F.struct(*[t.alias(n) for n, t in zip(("start", "end"), _typed(w, whole_last_day))])
+    table = table.select("_station", *[F.transform(f"_windows_{i}", times).alias(f"_windows_{i}") for i in range(len(failing))])
     joined = df.withColumn("_key", station).join(table, F.col("_key") == F.col("_station"), "left")
-    joined = joined.withColumn("_failed", F.flatten(F.transform(_active(c(time_col)), lambda w: w["sensors"])))
-    hit = lambda n: F.coalesce(F.array_contains("_failed", n), F.lit(False))
-    return joined.select(*[F.when(~hit(n), c(n)).alias(n) if n in sensors else c(n) for n in df.columns])
-
-
-def failure_counts(
-    df: DataFrame,
-    windows: Sequence[FailureWindow],
-    station: Column,
-    time_col: str,
-    exclude: Sequence[str] = (),
-    whole_last_day: bool = False,
-) -> Counts:
-    """Counts of a short list of windows, side by side in one aggregate."""
-    sensors = sensor_columns(df, [*exclude, time_col])
-    measures, entries = [], []
-    for i, w in enumerate(windows):
-        at_station = station == F.lit(w.station)
-        measures += [
-            F.count_if(at_station).alias(f"rows_{i}"),
-            F.count_if(at_station & _window_hit(c(time_col), w, whole_last_day)).alias(f"hits_{i}"),
-        ]
-        entries.append(
-            {
-                "station": F.lit(w.station),
-                "affected_columns": F.array(*[F.lit(n) for n in _affected(sensors, w)]),
-                "failure_period": F.lit(f"{w.start} to {w.end}"),
-                "affected_timestamps": c(f"hits_{i}"),
-                "sensor_patterns": F.array(*[F.lit(p) for p in w.sensors]),
-                "_rows": c(f"rows_{i}"),
-            }
-        )
-    return Counts(measures, entries, "_rows > 0")
+    ts = c(time_col)
+    hit = {
+        n: F.coalesce(F.exists(f"_windows_{i}", lambda w: (ts >= w["start"]) & (ts <= w["end"])), F.lit(False))
+        for i, n in enumerate(failing)
+    }
+    return joined.select(*[F.when(~hit[n], c(n)).alias(n) if n in hit else c(n) for n in df.columns])
 
 
 def failure_stats(
@@ -273,37 +228,40 @@ def failure_stats(
     time_col: str,
     exclude: Sequence[str] = (),
     whole_last_day: bool = False,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows per window, with the columns and patterns it concerns; stations without rows are left out.
+    """Rows per key and window, with the columns and patterns it concerns.
 
-    Few windows are counted side by side in one aggregate, a long rule table through a join; only
-    counts are shuffled.
+    A key has a row for each window of the stations it has rows of; ``failure_station`` is the
+    station of the rule. Only counts are shuffled.
     """
-    sensors = sensor_columns(df, [*exclude, time_col])
+    sensors = sensor_columns(df, [*exclude, *keys, time_col])
     useful = [w for w in windows if _affected(sensors, w)]
     if not useful:
         raise ValidationError("no failure window concerns a column of this table")
-    if len(useful) > MAX_INLINE_WINDOWS:
-        return _failure_stats_joined(df, useful, station, time_col, sensors, whole_last_day)
-    counts = failure_counts(df, useful, station, time_col, exclude, whole_last_day)
-    return counts.read(df.agg(*counts.measures))
-
-
-def _failure_stats_joined(df, windows, station, time_col, sensors, whole_last_day):
-    table = _window_table(df, windows, sensors, whole_last_day)
-    rows = df.select(station.alias("_key"), c(time_col).alias("_ts"))
-    inside = F.transform(_active(F.col("_ts")), lambda w: w["rule"])
-    hits = (
-        rows.join(table, F.col("_key") == F.col("_station"), "inner")
-        .select(F.explode(inside).alias("_rule")).groupBy("_rule").agg(F.count("*").alias("_hits"))
-    )
-    present = rows.groupBy(F.col("_key").alias("station")).agg(F.count("*"))
     listed = [
-        (i, w.station, _affected(sensors, w), f"{w.start} to {w.end}", list(w.sensors)) for i, w in enumerate(windows)
+        (i, w.station, _affected(sensors, w), f"{w.start} to {w.end}", list(w.sensors), w.start, w.end)
+        for i, w in enumerate(useful)
     ]
-    schema = "_rule int, station string, affected_columns array<string>, failure_period string, sensor_patterns array<string>"
-    described = df.sparkSession.createDataFrame(listed, schema)
-    return described.join(present, "station", "left_semi").join(hits, "_rule", "left").select(
-        "station", "affected_columns", "failure_period",
+    schema = (
+        "_rule int, failure_station string, affected_columns array<string>, failure_period string, "
+        "sensor_patterns array<string>, start string, end string"
+    )
+    described = local_table(df.sparkSession, listed, schema)
+    start, end = _typed({n: F.col(n) for n in ("start", "end")}, whole_last_day)
+    entry = F.struct(F.col("_rule").alias("rule"), start.alias("start"), end.alias("end"))
+    table = described.groupBy("failure_station").agg(F.collect_list(entry).alias("_windows"))
+    rows = df.select(*[c(k) for k in keys], station.alias("_key"), c(time_col).alias("_ts"))
+    rows = rows.join(table, F.col("_key") == F.col("failure_station"))
+    # no rule of a row's station counts towards "present", each window that holds it towards its rule
+    inside = F.filter("_windows", lambda w: (F.col("_ts") >= w["start"]) & (F.col("_ts") <= w["end"]))
+    rules = F.concat(F.array(F.lit(-1)), F.transform(inside, lambda w: w["rule"]))
+    counted = rows.select(*[c(k) for k in keys], "failure_station", F.explode(rules).alias("_rule"))
+    counted = counted.groupBy(*[c(k) for k in keys], "failure_station", "_rule").agg(F.count("*").alias("_hits"))
+    present = counted.where("_rule = -1").drop("_rule", "_hits").join(described.drop("start", "end"), "failure_station")
+    hits = counted.where("_rule >= 0").drop("failure_station")
+    found = join_on_keys(present, hits, [*keys, "_rule"], "left")
+    return found.select(
+        *[c(k) for k in keys], "failure_station", "affected_columns", "failure_period",
         F.coalesce("_hits", F.lit(0).cast("long")).alias("affected_timestamps"), "sensor_patterns",
     )

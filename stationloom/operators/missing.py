@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationloom.columns import c, classify, sensor_columns, unpivot_stats
+from stationloom.columns import c, classify, nan_to_null, sensor_columns, unpivot_stats
 from stationloom.functions.clock import hour_in, month_text
 from stationloom.functions.names import abbreviate, wrap
 from stationloom.storage import materialize
@@ -21,6 +21,7 @@ SOIL_PATTERNS = ("SoilMoisture", "SM_")
 
 def drop_all_null_rows(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """Rows with at least one reading."""
+    df = nan_to_null(df)
     any_reading = F.lit(False)
     for n in sensors:
         any_reading = any_reading | c(n).isNotNull()
@@ -40,7 +41,7 @@ def monthly_missing_rate(
     periods share one pass.
     """
     sensors = sensor_columns(df, [time_col]) if sensors is None else list(sensors)
-    rows = df.where(c(time_col).isNotNull())
+    rows = nan_to_null(df).where(c(time_col).isNotNull())
     if hours is not None:
         rows = rows.where(hour_in(c(time_col), *hours))
 
@@ -56,6 +57,14 @@ def monthly_missing_rate(
     return unpivot_stats(months, ["month"], entries).where(F.col("missing_rate").isNotNull())
 
 
+def calendar_months(first: str | None, last: str | None) -> list[str]:
+    """Every month from ``first`` to ``last``, as ``yyyy-MM``."""
+    if first is None or last is None:
+        return []
+    number = lambda m: int(m[:4]) * 12 + int(m[5:7]) - 1
+    return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in range(number(first), number(last) + 1)]
+
+
 def missing_rate_matrix(
     rates: DataFrame, months: Sequence[str], max_length: int = 30, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -88,6 +97,7 @@ def sensor_groups(names: Sequence[str], data_type: str) -> dict[str, str]:
 
 def group_title(group: str, data_type: str) -> str:
     kind = data_type.replace("_", " ").title()
+    # Titles of the groups of a report.
     titles = {
         f"{data_type}_wt": f"{kind} (WT - Before Dec 2024)",
         f"{data_type}_wt_to_sed": f"{kind} (WT-to-Sed - After Dec 2024)",

@@ -15,11 +15,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationloom.columns import RESAMPLE_TIME_NAMES, c, classify, require_time_column, sensor_columns
+from stationloom.columns import (
+    RESAMPLE_TIME_NAMES,
+    c,
+    classify,
+    nan_to_null,
+    require_time_column,
+    sensor_columns,
+)
 from stationloom.errors import DataProcessingError, ValidationError
 from stationloom.functions.angles import direction
 from stationloom.functions.frequency import Frequency, parse_frequency
-from stationloom.storage import materialize
 
 # Aggregation method and the column-name patterns it is for; anything else is a mean.
 METHOD_PATTERNS = {
@@ -79,7 +85,7 @@ def resample(
         if not isinstance(df.schema[n].dataType, T.NumericType):
             raise DataProcessingError(f"column {n!r} is not numeric")
 
-    rows = df.where(c(time_col).isNotNull())
+    rows = nan_to_null(df).where(c(time_col).isNotNull())
     rows, origin = _with_origin(rows, freq, time_col, keys)
     group = [c(k) for k in keys] + ([F.col("_origin")] if origin is not None else [])
     bins = rows.groupBy(*group, freq.ordinal(c(time_col), origin).alias("_bin")).agg(
@@ -122,9 +128,7 @@ def _with_origin(rows: DataFrame, freq: Frequency, time_col: str, keys: Sequence
     if not keys:
         first = origins.first()
         return rows.withColumn("_origin", F.lit(first["_origin"]).cast("long")), F.col("_origin")
-    # one row per series; written out so that the join is a broadcast only if it is really small
-    origins = materialize(origins, "series-origins")
-    on = [c(k) == c(f"_k_{k}") for k in keys]
+    on = [c(k).eqNullSafe(c(f"_k_{k}")) for k in keys]
     joined = rows.join(origins, on, "inner").drop(*[f"_k_{k}" for k in keys])
     return joined, F.col("_origin")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationloom.columns import c
+from stationloom.columns import c, join_on_keys
 from stationloom.functions.clock import SECOND, micros, time_chunk
 from stationloom.storage import materialize
 
@@ -37,7 +37,7 @@ def time_steps(
     series = Window.partitionBy(*key_cols).orderBy("_chunk")
     edges = slices.select(*key_cols, "_chunk", F.lag("_last").over(series).alias("_before"))
     inside = F.lag("time").over(Window.partitionBy(*key_cols, "_chunk").orderBy("time"))
-    joined = times.withColumn("_inside", inside).join(edges, [*keys, "_chunk"], "left")
+    joined = join_on_keys(times.withColumn("_inside", inside), edges, [*keys, "_chunk"], "left")
     previous = F.coalesce("_inside", "_before")
     return joined.select(
         *key_cols, previous.alias("previous"), "time",
@@ -104,15 +104,12 @@ def temporal_consistency(
     # rows without a time count as records only
     records = df.groupBy(*key_cols).agg(F.count("*").alias("total_records"))
     median = exact_median(histogram, "step_micros", "n", keys)
-    if keys:
-        joined = records.join(figures, list(keys), "left").join(median, list(keys), "left")
-    else:
-        # one row each: put side by side through a constant key
-        one = F.lit(1).alias("_one")
-        joined = (
-            records.select("*", one).join(figures.select("*", one), "_one", "left")
-            .join(median.select("*", one), "_one", "left").drop("_one")
-        )
+    # without keys one row each, put side by side through a constant key
+    one = [] if keys else [F.lit(1).alias("_one")]
+    on = list(keys) or ["_one"]
+    joined = records.select("*", *one)
+    for part in (figures, median):
+        joined = join_on_keys(joined, part.select("*", *one), on, "left")
     seconds = lambda v: F.col(v) / F.lit(float(SECOND))
     return joined.select(
         *key_cols, "total_records", "start", "end",
@@ -148,7 +145,7 @@ def exact_median(histogram: DataFrame, value: str, count: str, keys: Sequence[st
     upto = F.col("_base") + F.sum("_c").over(
         Window.partitionBy(*key_cols, "_class").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = rows.join(classes, [*keys, "_class"], "inner").withColumn("_upto", upto)
+    ranked = join_on_keys(rows, classes, [*keys, "_class"]).withColumn("_upto", upto)
     below = F.col("_upto") - F.col("_c")
     holds = lambda rank: (F.col("_upto") > F.col(rank)) & (below <= F.col(rank))
     return ranked.groupBy(*key_cols).agg(

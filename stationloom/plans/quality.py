@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.columns import c, matching, sensor_columns
+from stationloom.columns import c, matching, nan_to_null, sensor_columns
 from stationloom.operators import constant, masks
 from stationloom.rules import ConstantRule, FailureWindow, RangeRule
 from stationloom.storage import materialize
@@ -41,10 +41,11 @@ def quality_control(
     """The three masks in their order; the two row-wise ones end up in one projection.
 
     ``station`` gives the key by which failure windows are looked up. ``store_stats`` counts what
-    failure windows and ranges mask in one pass right away; otherwise each statistic is a query of
-    its own, run when it is used.
+    failure windows and ranges mask right away; otherwise each statistic is a query of its own, run
+    when it is used.
     """
     stats: dict[str, DataFrame] = {}
+    df = nan_to_null(df)
     fixed = [*keys, *exclude]
     sensors = sensor_columns(df, [time_col, *fixed])
     if any(matching(sensors, r.patterns) for r in rules.constants):
@@ -55,21 +56,18 @@ def quality_control(
         stats["constant_values"] = constant.constant_stats(flagged, keys)
         df = constant.constant_mask(df, flagged, time_col, keys)
 
-    shared: dict[str, masks.Counts] = {}
     failures = [w for w in rules.failures if matching(sensors, w.sensors)] if station is not None else []
     if failures:
-        stats["failures"] = masks.failure_stats(df, failures, station, time_col, fixed)
+        found = masks.failure_stats(df, failures, station, time_col, exclude, keys=keys)
+        stats["failures"] = materialize(found, "failure-counts") if store_stats else found
         df = masks.failure_mask(df, failures, station, time_col, fixed)
-        if len(failures) <= masks.MAX_INLINE_WINDOWS:
-            shared["failures"] = masks.failure_counts(df, failures, station, time_col, fixed)
     ranged = any(matching(sensors, r.patterns) for r in rules.ranges)
     if ranged:
         stats["boundaries"] = masks.range_stats(df, rules.ranges, time_col, keys, exclude)
-        shared["boundaries"] = masks.range_counts(df, rules.ranges, time_col, fixed)
-    if store_stats and shared:
-        measures = [m for counts in shared.values() for m in counts.measures]
-        counted = materialize(df.groupBy(*[c(k) for k in keys]).agg(*measures), "quality-counts")
-        stats.update({name: counts.read(counted, keys) for name, counts in shared.items()})
+        if store_stats:
+            counts = masks.range_counts(df, rules.ranges, time_col, fixed)
+            counted = materialize(df.groupBy(*[c(k) for k in keys]).agg(*counts.measures), "quality-counts")
+            stats["boundaries"] = counts.read(counted, keys)
     if ranged:
         df = masks.range_mask(df, rules.ranges, time_col, fixed)
     return QualityResult(df, stats)

@@ -2,20 +2,21 @@
 
 Line 1 names the board, line 2 the columns (groups separated by ``;``, names inside a group by
 ``,``), the rest are readings. The files are read line by line and split over tasks like any text;
-the header of a file is attached to its lines only where the files differ in their headers.
+the two head lines of each file are found first, from the first pieces of the files, and joined to
+its lines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationloom.columns import c
 from stationloom.errors import DataParsingError
 from stationloom.functions.parse import parse_number, parse_time
-from stationloom.sources.files import BLOCK, LINE, ROW_ORDER, SOURCE, TEXT, nth_lines, read_lines
+from stationloom.sources.files import BLOCK, LINE, ROW_ORDER, SOURCE, TEXT, read_lines
 from stationloom.storage import materialize
 
 TIME = "DateTime"
@@ -33,54 +34,72 @@ def _names(header: Column) -> Column:
     return F.transform(F.split(F.array_join(groups, ","), ",", -1), lambda n: F.trim(n))
 
 
-def log_headers(lines: DataFrame) -> DataFrame:
-    """``(_source, _names)``: the column names in the header line of every source."""
-    return nth_lines(lines, HEADER_LINE).select(SOURCE, _names(_stripped(F.col(TEXT))).alias("_names"))
+def log_heads(lines: DataFrame) -> DataFrame:
+    """``(_source, _board, _header, _names, status)``: the first two lines of every source and what they are good for."""
+    first = Window.partitionBy(SOURCE).orderBy(LINE)
+    head = lines.where(F.col(BLOCK) == 0).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= HEADER_LINE)
+    heads = head.groupBy(SOURCE).agg(
+        F.max(F.when(F.col("_n") == 1, F.col(TEXT))).alias("_board"),
+        F.max(F.when(F.col("_n") == HEADER_LINE, F.col(TEXT))).alias("_header"),
+    )
+    heads = heads.withColumn("_names", _names(_stripped(F.col("_header"))))
+    status = (
+        F.when(F.col("_header").isNull() | (_stripped(F.col("_header")) == ""), "no header")
+        .when(~F.array_contains("_names", TIME), f"header without {TIME}")
+        .when(F.size(F.array_distinct("_names")) < F.size("_names"), "repeated column")
+        .otherwise("ok")
+    )
+    return heads.withColumn("status", status)
 
 
-def parse_log_lines(
-    lines: DataFrame, time_formats: Sequence[str] = (), columns: Sequence[str] | None = None
-) -> DataFrame:
-    """Readings of log lines: ``_source``, the line order, ``DateTime`` and one double per sensor name.
+def _placed(
+    lines: DataFrame, columns: Sequence[str] | None, strict: bool
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Data lines of usable sources split in fields, if there are as many as the header names, and the place of each name.
 
-    Lines with the wrong number of fields are dropped, unreadable fields become NULL. The first two
-    lines of a source are its head; a later line that repeats the header is head as well. The names
-    must be known to build the plan: ``columns`` if all sources have the same (a source with another
-    header then fails), else the headers are read first and their distinct texts fetched.
+    Lines equal to one of the two head lines of their source are head, whatever their width.
     """
-    headers = None
+    heads = materialize(log_heads(lines), "log-heads")
+    bad = heads.where("status <> 'ok'").orderBy(SOURCE).limit(5).collect()
     if columns is not None:
         layouts = [list(columns)]
+        same = F.when(F.col("_names") == F.array(*[F.lit(n) for n in columns]), F.col("_names"))
+        differs = F.raise_error(F.lit("a log header differs from the known columns")).cast("array<string>")
+        good = heads.withColumn("_names", F.coalesce(same, differs))
     else:
-        headers = materialize(log_headers(lines), "log-headers")
-        layouts = sorted(r["_names"] for r in headers.select("_names").distinct().collect())  # a few header texts
-    if not layouts:
-        raise DataParsingError("no source has a header line")
-    for names in layouts:
-        if TIME not in names or len(set(names)) != len(names):
-            raise DataParsingError(f"header {names} must name {TIME} and each sensor once")
-
-    rows = lines.withColumn("_clean", _stripped(F.col(TEXT))).where(F.col("_clean") != "")
-    if columns is not None:
-        expected = _names(F.col("_clean")) == F.array(*[F.lit(n) for n in columns])
-        known = F.when(expected, F.lit(True)).otherwise(F.raise_error(F.lit("a log header differs from the known columns")))
-        rows = rows.where(~F.when(F.col("_clean").contains(TIME), known).otherwise(F.lit(False)))
+        good = heads.where("status = 'ok'")
+        layouts = sorted(r["_names"] for r in good.select("_names").distinct().collect())  # a few header texts
+    if not layouts or (strict and bad):
+        reasons = "; ".join(f"{r[SOURCE]}: {r['status']}" for r in bad)
+        raise DataParsingError(f"log files without a usable header: {reasons}" if bad else "no source has a header line")
+
+    # one row per source; its files give Catalyst the size to choose the join by
+    rows = lines.withColumn("_clean", _stripped(F.col(TEXT))).where(F.col("_clean") != "").join(good, SOURCE)
+    rows = rows.where((F.col(TEXT) != F.col("_board")) & (F.col(TEXT) != F.col("_header")))
+    rows = rows.withColumn("_fields", F.split("_clean", "[;,]", -1))
     if len(layouts) == 1:
-        width = F.lit(len(layouts[0]))
         position = {n: F.lit(i) for i, n in enumerate(layouts[0])}
     else:
-        # one row per source; its files give Catalyst the size to choose the join by
-        rows = rows.join(headers, SOURCE, "inner")
-        width = F.size("_names")
         position = {
             n: F.array_position("_names", n).cast("int") - 1 for n in dict.fromkeys(n for names in layouts for n in names)
         }
+    # a file put together from several has head lines inside
+    return rows.where(F.coalesce(F.trim(F.get("_fields", position[TIME])) != TIME, F.lit(True))), position
+
+
+def parse_log_lines(
+    lines: DataFrame, time_formats: Sequence[str] = (), columns: Sequence[str] | None = None, strict: bool = False
+) -> DataFrame:
+    """Readings of log lines: ``_source``, the line order, ``DateTime`` and one double per sensor name.
+
+    Lines with the wrong number of fields are dropped, unreadable fields become NULL. The first two
+    lines of a source are its head. A source whose head is of no use is left out (:func:`log_audit`
+    says why), and an error only if all are, or if ``strict``. ``columns`` states the columns of all
+    sources; one with another header then fails.
+    """
+    rows, position = _placed(lines, columns, strict)
+    rows = rows.where(F.size("_fields") == F.size("_names"))
     field = lambda n: F.get("_fields", position[n])
-    rows = rows.withColumn("_fields", F.split("_clean", "[;,]", -1)).where(F.size("_fields") == width)
-    rows = rows.where(F.trim(field(TIME)) != TIME)
-    if len(position) == 1:  # a board line also has one field
-        board = nth_lines(lines, 1).select(SOURCE, F.col(TEXT).alias("_board"))
-        rows = rows.join(board, SOURCE, "left").where(~F.coalesce(F.col("_board") == F.col(TEXT), F.lit(False)))
     return rows.select(
         *ROW_ORDER,
         parse_time(field(TIME), time_formats).alias(TIME),
@@ -88,13 +107,37 @@ def parse_log_lines(
     )
 
 
+def log_audit(lines: DataFrame) -> DataFrame:
+    """``(source, lines, status)`` of every source that has a line."""
+    counted = lines.groupBy(SOURCE).agg(F.count("*").alias("lines"))
+    return counted.join(log_heads(lines), SOURCE, "left").select(F.col(SOURCE).alias("source"), "lines", "status")
+
+
+def log_losses(lines: DataFrame, time_formats: Sequence[str] = ()) -> DataFrame:
+    """What a merge of each source would leave out: lines of another width, rows without a time, copies of a time."""
+    rows, position = _placed(lines, None, False)
+    fits = F.size("_fields") == F.size("_names")
+    time = parse_time(F.get("_fields", position[TIME]), time_formats)
+    # one row per source and time before the counts of a source
+    times = rows.select(SOURCE, fits.alias("fits"), F.when(fits, time).alias("time")).groupBy(SOURCE, "fits", "time").agg(
+        F.count("*").alias("n")
+    )
+    sums = lambda condition, n: F.coalesce(F.sum(F.when(condition, n)), F.lit(0).cast("long"))
+    return times.groupBy(F.col(SOURCE).alias("source")).agg(
+        F.sum("n").alias("data_lines"),
+        sums(~F.col("fits"), F.col("n")).alias("wrong_width"),
+        sums(F.col("fits") & F.col("time").isNull(), F.col("n")).alias("invalid_time"),
+        sums(F.col("fits"), F.col("n") - 1).alias("duplicate_times"),
+    )
+
+
 def read_station_logs(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.txt", time_formats: Sequence[str] = (),
-    columns: Sequence[str] | None = None,
+    columns: Sequence[str] | None = None, strict: bool = False, skip_unreadable: bool = False,
 ) -> DataFrame | None:
     """Parsed log files of one or more folders, or None if there are none."""
-    lines = read_lines(spark, paths, pattern)
-    return None if lines is None else parse_log_lines(lines, time_formats, columns)
+    lines = read_lines(spark, paths, pattern, skip_unreadable=skip_unreadable)
+    return None if lines is None else parse_log_lines(lines, time_formats, columns, strict)
 
 
 def without_order(df: DataFrame) -> DataFrame:

@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-
-from stationloom.errors import ConfigurationError
-
-_local_root: str | None = None
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+    """A fresh path below ``spark.checkpoint.dir``, or below the warehouse folder where that is unset.
 
-    A local session without that setting gets one temporary folder per process. On a cluster the
-    setting is required, as a folder of one machine is of no use to the others.
+    Both are folders that Spark resolves and all executors share.
     """
-    global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ConfigurationError("set spark.checkpoint.dir to a folder all executors share")
-        if _local_root is None:
-            _local_root = tempfile.mkdtemp(prefix="stationloom-")
-        root = _local_root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/stationloom/{label}-{uuid.uuid4().hex}"
 
 
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A table of rows held by the driver.
+
+    Handed over as an Arrow table, a short one is a local relation of known size, so that Catalyst
+    decides by size whether to broadcast it.
+    """
+    kind = T._parse_datatype_string(schema)
+    names = kind.names
+    table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=to_arrow_schema(kind))
+    return spark.createDataFrame(table, schema=kind)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a small derived table and read it back.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import at, frame, rows
 from stationloom.columns import c, classify, matching, nan_to_null, time_column
 from stationloom.errors import ValidationError
-from stationloom.operators.masks import MAX_INLINE_WINDOWS, failure_mask, failure_stats, range_mask, range_stats
+from stationloom.operators.masks import failure_mask, failure_stats, range_mask, range_stats
 from stationloom.rules import DayNight, FailureWindow, RangeRule
 
 T = "DateTime timestamp_ntz"
@@ -75,17 +75,40 @@ def test_failure_window_ends_at_midnight(spark):
 
 
 @pytest.mark.parametrize("whole_last_day", [False, True])
-def test_joined_failure_windows_equal_inline_ones(spark, whole_last_day):
-    windows = [FailureWindow(f"s{i % 5}", f"2024-01-{1 + i // 5:02d}", f"2024-01-{2 + i // 5:02d}", ("a",) if i % 2 else ("b", "a")) for i in range(0, 100, 3)]
-    many = windows + [FailureWindow("none", "2024-01-01", "2024-01-02", ("a",))] * MAX_INLINE_WINDOWS
-    data = [(f"s{k % 6}", at("2024-01-01") + timedelta(hours=5 * k), 1.0, 2.0, 3.0) for k in range(120)]
-    df = frame(spark, data, f"station string, {T}, a double, b double, c double")
-    args = (c("station"), "DateTime", ["station"], whole_last_day)
-    assert rows(failure_mask(df, many, *args), "DateTime") == rows(failure_mask(df, windows, *args), "DateTime")
-    assert sorted(failure_stats(df, many, *args).collect()) == sorted(failure_stats(df, windows, *args).collect())
-
-
-def test_masks_collapse_into_one_stage(spark):
-    df = frame(spark, [(at("2024-01-01"), 1.0)], f"{T}, Temp_1 double")
-    masked = range_mask(failure_mask(df, [FailureWindow("s", "2024-01-01", "2024-01-02", ("Temp",))], F.lit("s"), "DateTime"), [RangeRule("t", 0, 60, ("Temp",))])
-    assert "Exchange" not in masked._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("n", [1, 64, 65, 1000])
+def test_any_number_of_failure_windows(spark, whole_last_day, n):
+    day = timedelta(days=1)
+    windows = [
+        FailureWindow(f"s{i % 5}", f"{at('2024-01-01') + i // 5 * day:%Y-%m-%d}", f"{at('2024-01-02') + i // 5 * day:%Y-%m-%d}", ("a",) if i % 2 else ("b", "a"))
+        for i in range(0, 3 * n, 3)
+    ]
+    data = [(f"k{k % 2}" if k % 7 else None, f"s{k % 6}", at("2024-01-01") + timedelta(hours=5 * k), 1.0, 2.0, 3.0) for k in range(120)]
+    df = frame(spark, data, f"key string, station string, {T}, a double, b double, c double")
+    hit = lambda w, r: r[1] == w.station and at(w.start) <= r[2] and (r[2] < at(w.end) + day if whole_last_day else r[2] <= at(w.end))
+    failed = lambda r, s: any(s in w.sensors and hit(w, r) for w in windows)
+    want = sorted((r[2], None if failed(r, "a") else 1.0, None if failed(r, "b") else 2.0, 3.0) for r in data)
+    masked = failure_mask(df, windows, c("station"), "DateTime", ["key", "station"], whole_last_day)
+    assert rows(masked.select("DateTime", "a", "b", "c"), "DateTime") == want
+    stats = failure_stats(df, windows, c("station"), "DateTime", ["station"], whole_last_day, ["key"])
+    assert stats.columns == ["key", "failure_station", "affected_columns", "failure_period", "affected_timestamps", "sensor_patterns"]
+    got = sorted((r.key or "", r.failure_station, r.failure_period, r.affected_timestamps) for r in stats.collect())
+    keys = {(r[0], r[1]) for r in data}
+    assert got == sorted(
+        (k or "", s, f"{w.start} to {w.end}", sum(hit(w, r) for r in data if r[0] == k)) for k, s in keys for w in windows if w.station == s
+    )
+
+
+def test_nan_is_missing(spark):
+    df = frame(spark, [("x", at("2024-01-01"), float("nan")), ("x", at("2024-01-02"), 99.0)], f"station string, {T}, Temp double")
+    rules = [RangeRule("t", 0, 60, ("Temp",))]
+    assert range_stats(df, rules, keys=["station"]).first().initial_count == 1
+    assert [r[2] for r in rows(range_mask(df, rules, exclude=["station"]), "DateTime")] == [None, None]
+
+
+def test_masks_do_not_shuffle_the_readings(spark):
+    df = frame(spark, [("s", at("2024-01-01"), 1.0)], f"station string, {T}, Temp_1 double")
+    windows = [FailureWindow("s", "2024-01-01", "2024-01-02", ("Temp",))]
+    masked = range_mask(failure_mask(df, windows, c("station"), "DateTime", ["station"]), [RangeRule("t", 0, 60, ("Temp",))], exclude=["station"])
+    assert masked.collect()[0].Temp_1 is None
+    plan = masked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -27,10 +27,10 @@ def test_circular_mean(spark):
     assert out[1][1] is None and same(out[2][1], 270.0)
 
 
-@pytest.mark.parametrize("frequency", ["30min", "1h", "7h", "1D", "2D", "W", "2W", "M", "2M", "3M", "Q", "Y"])
+@pytest.mark.parametrize("frequency", ["30min", "1h", "7h", "1D", "2D", "W", "2W", "M", "2M", "3M", "Q", "Y", "MS", "2MS", "QS", "YS", "W-MON", "2W-WED", "1h30min"])
 def test_grid_equals_pandas(spark, frequency):
     rng = random.Random(frequency)
-    span = {"30min": 3, "1h": 5, "7h": 20}.get(frequency, 800)
+    span = {"30min": 3, "1h": 5, "7h": 20, "1h30min": 20}.get(frequency, 800)
     start = at("1969-11-20 08:10") if frequency in ("7h", "M") else at("2024-01-31 08:10")
     data = [(s, start + timedelta(days=rng.random() * span + 3 * (s == "b")), None if rng.random() < 0.2 else rng.random()) for s in "ab" for _ in range(60)]
     out = resample(frame(spark, data, f"station string, {T}, v double"), frequency, keys=["station"])
@@ -82,7 +82,8 @@ def test_stats_and_contracts(spark):
 
 def test_frequencies():
     assert parse_frequency("30s").seconds == parse_frequency("30S").seconds == 30
+    assert parse_frequency("1h30min").seconds == 5400 and parse_frequency("500ms").step == 500_000 and parse_frequency("1d").seconds == 86400
     assert parse_frequency("1D").seconds == 86400 and parse_frequency("M").seconds is None
-    for bad in ("", "1", "fortnight", "0h", "-1h", "1x"):
+    for bad in ("", "1", "fortnight", "0h", "-1h", "1x", "1h1M", "W-XXX", "0W-MON"):
         with pytest.raises(ValidationError):
             parse_frequency(bad)
