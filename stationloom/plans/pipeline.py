@@ -25,6 +25,7 @@ from stationloom.plans.report import missing_rate_report
 from stationloom.rules import ConstantRule, ExtractFile, ExtractTasks, FailureWindow, GapRules, RangeRule
 from stationloom.sources import merge
 from stationloom.sources.files import write_table
+from stationloom.storage import local_table
 
 TIME, DEVICE = merge.TIME, "device"
 KINDS = ("microclimate", "power", "weather")
@@ -41,7 +42,10 @@ class PipelineConfig:
     """Inputs are folders; a kind without input is left out. ``output_root`` is shared storage.
 
     ``known_columns`` gives the columns of text sources whose files all have the same, by
-    ``"device_sheets"``, ``"power"`` or the name of a log station; it saves a pass over their lines.
+    ``"device_sheets"``, ``"power"`` or ``"station_logs"``; files with another header then fail.
+    ``time_formats`` gives, by the same names, formats of times beyond the ISO forms.
+    ``strict_logs`` makes one unusable log an error; else it is left out and listed in the
+    ``sources_logs`` table. ``skip_unreadable`` leaves out files that cannot be read.
     """
 
     output_root: str
@@ -50,6 +54,9 @@ class PipelineConfig:
     power: str | None = None
     weather: str | None = None
     known_columns: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    time_formats: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    strict_logs: bool = False
+    skip_unreadable: bool = False
     ranges: Mapping[str, Sequence[RangeRule]] = field(default_factory=dict)
     constants: Sequence[ConstantRule] = ()
     failures: Sequence[FailureWindow] = ()
@@ -94,29 +101,64 @@ def choose_stage(stages: Mapping[str, Mapping[str, DataFrame]], downsample: bool
     return stages.get("quality_controlled", {})
 
 
-def merge_kinds(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """One table per kind of data, keyed by device."""
+@dataclass(frozen=True)
+class Merged:
+    """One table per kind of data, keyed by device; (device, column) of each kind by its files; tables about sources."""
+
+    tables: dict[str, DataFrame]
+    layouts: dict[str, DataFrame]
+    about: dict[str, DataFrame]
+
+
+def merge_kinds(spark: SparkSession, cfg: PipelineConfig) -> Merged:
     tables: dict[str, DataFrame] = {}
-    parts, known = [], cfg.known_columns
+    layouts: dict[str, DataFrame] = {}
+    about: dict[str, DataFrame] = {}
+    parts, headers = [], []
+    known = cfg.known_columns.get
+    formats = lambda source: cfg.time_formats.get(source, ())
     if cfg.device_sheets:
-        sheets = merge.read_device_tables(spark, cfg.device_sheets, device=DEVICE, columns=known.get("device_sheets"))
-        parts += [sheets] if sheets is not None else []
-    for station, folder in cfg.station_logs.items():
-        rows = merge.merge_station_logs(spark, folder, columns=known.get(station))
-        parts += [rows.withColumn(DEVICE, F.lit(station))] if rows is not None else []
+        sheets = merge.read_device_tables(
+            spark, cfg.device_sheets, device=DEVICE, time_formats=formats("device_sheets"),
+            columns=known("device_sheets"), skip_unreadable=cfg.skip_unreadable,
+        )
+        if sheets is not None:
+            parts.append(sheets[0])
+            headers.append(sheets[1])
+    logs = merge.merge_all_station_logs(
+        spark, cfg.station_logs, DEVICE, time_formats=formats("station_logs"), columns=known("station_logs"),
+        strict=cfg.strict_logs, skip_unreadable=cfg.skip_unreadable,
+    )
+    if logs is not None:
+        parts.append(logs.rows)
+        headers.append(logs.layout)
+        about |= {"sources_logs": logs.audit, "losses_logs": logs.losses}
     if parts:
-        tables["microclimate"] = merge.union_by_name(parts)
+        tables["microclimate"], layouts["microclimate"] = merge.union_by_name(parts), merge.union_by_name(headers)
     if cfg.power:
-        tables["power"] = merge.merge_power(spark, cfg.power, columns=known.get("power")).withColumn(DEVICE, F.lit("power_merged"))
+        power = merge.merge_power(spark, cfg.power, time_formats=formats("power"), columns=known("power"))
+        tables["power"] = power.withColumn(DEVICE, F.lit("power_merged"))
     if cfg.weather:
         tables["weather"] = merge.merge_weather(spark, cfg.weather).withColumn(DEVICE, F.lit("weather_merged"))
     if not tables:
         raise DataProcessingError("no input gave any table")
-    return tables
+    for kind in ("power", "weather"):
+        if kind in tables:
+            names = [n for n in tables[kind].columns if n not in (TIME, DEVICE)]
+            layouts[kind] = local_table(spark, [(f"{kind}_merged", n) for n in names], f"{DEVICE} string, column string")
+    return Merged(tables, layouts, about)
+
+
+def named_columns(layout: DataFrame, devices: Sequence[str]) -> dict[str, set[str]]:
+    """The columns of the devices named by extraction tasks, also those without a reading: a row per device and column."""
+    found: dict[str, set[str]] = {}
+    for r in layout.where(c(DEVICE).isin(list(devices))).distinct().collect():
+        found.setdefault(r[DEVICE], {TIME}).add(r["column"])
+    return found
 
 
 def present_columns(table: DataFrame, devices: Sequence[str]) -> dict[str, set[str]]:
-    """Columns that hold a reading, for the devices named by extraction tasks: one row per such device."""
+    """As :func:`named_columns`, for tables whose files are not known: the columns that hold a reading."""
     sensors = [n for n in table.columns if n not in (TIME, DEVICE)]
     found = table.where(c(DEVICE).isin(list(devices))).groupBy(c(DEVICE)).agg(
         *[F.max(c(n).isNotNull()).alias(f"_{i}") for i, n in enumerate(sensors)]
@@ -200,7 +242,11 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
         stats[name] = store.table(df, f"stats/{name}", by_device=False)
         return stats[name]
 
-    stages["merged"] = {k: store.table(df, f"merged/{k}") for k, df in merge_kinds(spark, cfg).items()}
+    merged = merge_kinds(spark, cfg)
+    stages["merged"] = {k: store.table(df, f"merged/{k}") for k, df in merged.tables.items()}
+    layouts = {k: store.table(df, f"layout/{k}", by_device=False) for k, df in merged.layouts.items()}
+    for name, df in merged.about.items():
+        keep_stats(df, name)
     for kind, df in stages["merged"].items():
         keep_stats(integrity.table_summary(df, TIME, [DEVICE]), f"summary_{kind}")
         keep_stats(series.temporal_consistency(df, TIME, [DEVICE], unique_times=True), f"temporal_{kind}")
@@ -230,7 +276,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
                 keep_stats(counts.where("filled > 0"), f"interpolation_{kind}")
 
     tables = choose_stage(stages, cfg.downsample, interpolate)
-    columns = {k: present_columns(stages["merged"][k], devices) for k, devices in _named_devices(cfg.tasks, tables).items()}
+    columns = {k: named_columns(layouts[k], devices) for k, devices in _named_devices(cfg.tasks, tables).items()}
     extracted = _extract_stage(cfg, store, tables, columns, keep_stats)
     failed = _report_stage(cfg, extracted, keep_stats) if cfg.report and extracted else {}
     return PipelineResult(root, stages, extracted, stats, failed)

@@ -7,7 +7,9 @@ a chain of outer joins, each of which would shuffle again.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +19,8 @@ from stationloom.errors import DataIntegrityError, DataProcessingError, Validati
 from stationloom.functions.names import file_prefix
 from stationloom.functions.parse import parse_date_and_time, parse_number, parse_time
 from stationloom.operators.integrity import dedupe_keep_first
-from stationloom.sources.files import ROW_ORDER, SOURCE, CsvTable, read_csv_table, stem
-from stationloom.sources.logs import read_station_logs, without_order
+from stationloom.sources.files import ROW_ORDER, SOURCE, CsvTable, read_csv_table, read_lines, stem
+from stationloom.sources.logs import log_audit, log_heads, log_losses, parse_log_lines, read_station_logs, without_order
 
 TIME = "DateTime"
 
@@ -58,13 +60,14 @@ def merge_devices(
 
 def read_device_tables(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", device: str = "device",
-    time_formats: Sequence[str] = (), columns: Sequence[str] | None = None,
-) -> DataFrame | None:
+    time_formats: Sequence[str] = (), columns: Sequence[str] | None = None, skip_unreadable: bool = False,
+) -> tuple[DataFrame, DataFrame] | None:
     """Device sheets exported as CSV, one file per device and period, merged.
 
     The device is a column of that name or else the file name; rows of files that sort first win.
+    The second table has the columns in the headers of each device's files, (device, column).
     """
-    sheets = read_csv_table(spark, paths, pattern, True, columns)
+    sheets = read_csv_table(spark, paths, pattern, True, columns, skip_unreadable)
     sheets = sheets and sheets.only(lambda names: TIME in names)
     if sheets is None:
         return None
@@ -74,17 +77,65 @@ def read_device_tables(
         *ROW_ORDER, F.coalesce(named, stem(F.col(SOURCE))).alias(device), parse_time(c(TIME), time_formats).alias(TIME),
         *[parse_number(c(n)).alias(n) for n in values],
     )
-    return without_order(dedupe_keep_first(rows, [device, TIME], [F.col(n) for n in ROW_ORDER]))
+    first = without_order(dedupe_keep_first(rows, [device, TIME], [F.col(n) for n in ROW_ORDER]))
+    own = lambda names: F.array(*[F.lit(n) for n in names if n not in (TIME, device)]).cast("array<string>")
+    header = F.col("_header") if len(sheets.layouts) > 1 else F.lit(next(iter(sheets.layouts)))
+    of = sheets.rows.select(F.coalesce(named, stem(F.col(SOURCE))).alias(device), header.alias("_h")).distinct()
+    columns_of = F.lit(None).cast("array<string>")
+    for text, names in sheets.layouts.items():
+        columns_of = F.when(F.col("_h") == text, own(names)).otherwise(columns_of)
+    return first, of.select(device, F.explode(columns_of).alias("column")).distinct()
 
 
 def merge_station_logs(
-    spark: SparkSession, paths: str | Sequence[str], pattern: str = LOG_PATTERN, columns: Sequence[str] | None = None
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = LOG_PATTERN, columns: Sequence[str] | None = None,
+    time_formats: Sequence[str] = (), strict: bool = False,
 ) -> DataFrame | None:
     """Log files of one station, the first row kept of each time; None if there are no files."""
-    rows = read_station_logs(spark, paths, pattern, columns=columns)
+    rows = read_station_logs(spark, paths, pattern, time_formats, columns, strict)
     return None if rows is None else without_order(dedupe_keep_first(rows, [TIME], [F.col(n) for n in ROW_ORDER]))
 
 
+def station_of(source: Column, folders: Mapping[str, str]) -> Column:
+    """The station in whose folder a source lies, by the path without scheme and host."""
+    plain = lambda path: re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+    folder = F.regexp_replace(F.regexp_extract(source, r"^(.*)/[^/]*$", 1), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    pairs = [F.lit(x) for station, path in folders.items() for x in (plain(path), station)]
+    # scans report paths as URIs, in which a plus sign is just that
+    return F.element_at(F.create_map(*pairs), F.try_url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+
+
+@dataclass(frozen=True)
+class StationLogs:
+    """Readings of all stations, and about their files: (device, column) in headers, audit, losses."""
+
+    rows: DataFrame
+    layout: DataFrame
+    audit: DataFrame
+    losses: DataFrame
+
+
+def merge_all_station_logs(
+    spark: SparkSession, folders: Mapping[str, str], device: str = "device", pattern: str = LOG_PATTERN,
+    time_formats: Sequence[str] = (), columns: Sequence[str] | None = None, strict: bool = False,
+    skip_unreadable: bool = False,
+) -> StationLogs | None:
+    """Log folders of any number of stations in one plan, the first row kept of each station and time.
+
+    None if there are no files.
+    """
+    lines = read_lines(spark, list(folders.values()), pattern, skip_unreadable=skip_unreadable) if folders else None
+    if lines is None:
+        return None
+    of = station_of(F.col(SOURCE), folders).alias(device)
+    rows = parse_log_lines(lines, time_formats, columns, strict)
+    rows = rows.select(of, *[c(n) for n in rows.columns])
+    first = dedupe_keep_first(rows, [device, TIME], [F.col(n) for n in ROW_ORDER])
+    heads = log_heads(lines).where("status = 'ok'")
+    layout = heads.select(of, F.explode("_names").alias("column")).where(F.col("column") != TIME).distinct()
+    return StationLogs(without_order(first), layout, log_audit(lines), log_losses(lines, time_formats))
+
+
 def power_rows(table: CsvTable, time_formats: Sequence[str] = ()) -> DataFrame:
     """Text rows of power files typed; the time column of each file is detected, rows without a time are dropped."""
     found = lambda names: time_column(names, POWER_TIME_NAMES, names[0])

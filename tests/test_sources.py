@@ -56,6 +56,24 @@ def test_logs_with_different_headers(spark, tmp_path):
         logs.read_station_logs(spark, f"{tmp_path}/bad")
 
 
+def test_head_lines_go_by_place_and_bad_sources_are_listed(spark, tmp_path):
+    write(f"{tmp_path}/a/x.txt", "BoardID:1;fw,2;\nDateTime;Temp1,Humi1;\n2024-04-01 00:00:00;1,2;\nlate;3,4;\n2024-04-01 00:00:00;5,6;\n1;2\n")
+    write(f"{tmp_path}/a/bad.txt", "BoardID:9\nTime;a\n1;2\n")
+    write(f"{tmp_path}/b b/x.txt", "BoardID:2\nTemp1;DateTime;Dead;\n7;01/04/2024 00:05;x;\n")
+    found = merge.merge_all_station_logs(spark, {"A": f"{tmp_path}/a", "B": f"file:{tmp_path}/b b/"}, time_formats=["dd/MM/yyyy HH:mm"])
+    assert sorted(map(tuple, found.rows.select("device", "DateTime", "Temp1", "Humi1", "Dead").collect()), key=str) == sorted(
+        [("A", at("2024-04-01"), 1.0, 2.0, None), ("A", None, 3.0, 4.0, None), ("B", at("2024-04-01 00:05"), 7.0, None, None)], key=str
+    )
+    assert sorted(map(tuple, found.layout.collect())) == [("A", "Humi1"), ("A", "Temp1"), ("B", "Dead"), ("B", "Temp1")]
+    assert sorted((r.source.rsplit("/", 1)[1], r.lines, r.status) for r in found.audit.collect()) == [
+        ("bad.txt", 3, "header without DateTime"), ("x.txt", 3, "ok"), ("x.txt", 6, "ok"),
+    ]
+    losses = {tuple(r)[1:] for r in found.losses.collect()}
+    assert losses == {(4, 1, 1, 1), (1, 0, 0, 0)}
+    with pytest.raises(DataParsingError, match="header without DateTime"):
+        merge.merge_all_station_logs(spark, {"A": f"{tmp_path}/a"}, strict=True)
+
+
 def test_known_columns_are_checked(spark, tmp_path):
     write(f"{tmp_path}/logs/a.txt", LOG)
     for wrong in (["DateTime", "Temp1"], ["Temp1", "DateTime", "Humi1", "Met_Speed1"]):
@@ -124,7 +142,9 @@ def test_device_sheets(spark, tmp_path):
     write(f"{tmp_path}/Time1/dev 1.csv", "DateTime,Temp_1 []\n2024-01-01 00:00:00,1\n2024-01-01 00:01:00,2\nbad,3\n")
     write(f"{tmp_path}/Time2/dev 1.csv", "DateTime,Temp_1 [],Humi_1 []\n2024-01-01 00:01:00,9,9\n2024-01-01 00:02:00,4,5\nworse,6,6\n")
     write(f"{tmp_path}/Time2/dev2.csv", "DateTime,Temp_1 [],Humi_1 []\n2024-01-01 00:01:00,7,8\n")
-    df = merge.read_device_tables(spark, str(tmp_path)).select("device", "DateTime", "`Temp_1 []`", "`Humi_1 []`")
+    table, layout = merge.read_device_tables(spark, str(tmp_path))
+    assert {r.device for r in layout.collect()} == {r.device for r in table.collect()}
+    df = table.select("device", "DateTime", "`Temp_1 []`", "`Humi_1 []`")
     assert rows(df, "device", "DateTime") == [
         ("dev 1", None, 3.0, None), ("dev 1", at("2024-01-01 00:00"), 1.0, None), ("dev 1", at("2024-01-01 00:01"), 2.0, None),
         ("dev 1", at("2024-01-01 00:02"), 4.0, 5.0), ("dev2", at("2024-01-01 00:01"), 7.0, 8.0),
