@@ -64,6 +64,16 @@ SELECT 'log/' || (user_id % 10) || '.txt' AS source, count(*) + 2 AS lines,
 FROM events GROUP BY user_id % 10
 UNION ALL VALUES ('log/short.txt', 1, 'too short'), ('log/wrong.txt', 3, 'ok')"""
 
+ORACLES["failed_sources"] = """
+SELECT * FROM (VALUES ('log/short.txt', 'no header'), ('log/wrong.txt', 'header without DateTime')) v(source, status)
+WHERE (SELECT count(*) FROM events) > 0"""
+
+ORACLES["time_contract"] = """
+SELECT o_orderstatus AS status, count(*) AS records, count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') AS without_time,
+  min(o_orderdate) FILTER (o_orderpriority <> '4-NOT SPECIFIED') AS start,
+  max(o_orderdate) FILTER (o_orderpriority <> '4-NOT SPECIFIED') AS "end"
+FROM orders GROUP BY o_orderstatus"""
+
 ORACLES["log_source_audit"] = """
 SELECT 'log/' || (user_id % 10) || '.txt' AS source, count(*) + 2 AS lines, 'ok' AS status FROM events GROUP BY user_id % 10
 UNION ALL VALUES ('log/short.txt', 1, 'no header'), ('log/wrong.txt', 3, 'header without DateTime')"""

@@ -64,6 +64,20 @@ def source_file_audit(spark, sf):
     return files.file_audit(i.log_lines(spark, sf), min_lines=3)
 
 
+@query
+def failed_sources(spark, sf):
+    """The first five sources that cannot be used, as an error names them."""
+    return files.first_failed(logs.log_audit(i.log_lines(spark, sf)))
+
+
+@query
+def time_contract(spark, sf):
+    """Per status: rows, rows without a time, and the range of the others."""
+    o = i.table(spark, sf, "orders")
+    text = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "no time").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return integrity.time_contract(o.select(F.col("o_orderstatus").alias("status"), text.alias(TIME)), TIME, ["status"])
+
+
 @query
 def log_source_audit(spark, sf):
     return logs.log_audit(i.log_lines(spark, sf))

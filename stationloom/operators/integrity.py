@@ -152,3 +152,12 @@ def validate_time_column(df: DataFrame, time_col: str, formats: Sequence[str] =
     else:
         raise ValidationError(f"column {time_col!r} of type {kind.simpleString()} cannot be a time")
     return df.select(*[typed.alias(n) if n == time_col else c(n) for n in df.columns])
+
+
+def time_contract(df: DataFrame, time_col: str, keys: Sequence[str] = (), formats: Sequence[str] = ()) -> DataFrame:
+    """Per key: rows, rows whose time is missing or cannot be read, and the range of the others."""
+    ts = c(time_col)
+    return validate_time_column(df, time_col, formats).groupBy(*[c(k) for k in keys]).agg(
+        F.count("*").alias("records"), F.count_if(ts.isNull()).alias("without_time"),
+        F.min(ts).alias("start"), F.max(ts).alias("end"),
+    )

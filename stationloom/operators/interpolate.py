@@ -3,8 +3,8 @@
 A window over a whole series would put it into one task. Here a series is cut into time slices:
 inside a slice the neighbours of a missing reading come from two ordered windows, and what lies
 before and after the slice comes from a table with one row per slice (its first and last known
-reading), carried along the series and joined back on the slice. The readings are shuffled once,
-by (keys, slice).
+reading), carried along the series and joined back on the slice. On a regular grid that table is
+aggregated from the rows as they lie, and the readings are shuffled once, by (keys, slice).
 """
 
 from __future__ import annotations
@@ -63,15 +63,16 @@ def interpolate(
     ts = c(time_col)
     key_cols = [c(k) for k in keys]
     base = df.withColumn("_chunk", F.coalesce(time_chunk(ts, width), F.lit(-(2**62)).cast("long")))
+    if step_seconds:
+        base = base.withColumn("_pos", floor_div(micros(ts), step_seconds * SECOND))
+        # from the rows as they lie, so that each task hands on one row per slice
+        carried = _carry_between_slices(base, columns, keys, counted=False)
     # explicit, as rows that arrive partitioned by the keys alone would stay so, one task per series
     base = base.repartition(*key_cols, F.col("_chunk"))
     slice_ = Window.partitionBy(*key_cols, "_chunk")
-    if step_seconds:
-        base = base.withColumn("_pos", floor_div(micros(ts), step_seconds * SECOND))
-    else:
+    if not step_seconds:
         base = base.withColumn("_pos", F.row_number().over(slice_.orderBy(ts)).cast("long"))
-
-    carried = _carry_between_slices(base, columns, keys, counted=not step_seconds)
+        carried = _carry_between_slices(base, columns, keys, counted=True)
     # counted positions follow the time; ordering by it again reuses the sort they were counted in
     up = slice_.orderBy(F.col("_pos") if step_seconds else ts).rowsBetween(Window.unboundedPreceding, 0)
     down = slice_.orderBy(F.col("_pos").desc()).rowsBetween(Window.unboundedPreceding, 0)

@@ -1,10 +1,10 @@
 """Resampling to a complete regular grid.
 
 One aggregation covers all columns. Bins without rows are filled in from the distance between a
-bin and the next one of its series, so the readings are scanned once and nothing is joined; the
-window that finds the next bin sees one row per bin, however many readings a bin held. A table
-without keys is a single series: its bins are spread over tasks and joined to a range of bins
-instead, whose ends come from a pass over the times alone.
+bin and the next one of its series. The windows that find the next bin see a stretch of bins, or
+one row per stretch, however long a series is; the stretches come from a pass over the keys and
+times alone. A table without keys is a single series: its bins are spread over tasks and joined to
+a range of bins instead, whose ends come from such a pass too.
 """
 
 from __future__ import annotations
@@ -19,12 +19,14 @@ from stationloom.columns import (
     RESAMPLE_TIME_NAMES,
     c,
     classify,
+    join_on_keys,
     nan_to_null,
     require_time_column,
     sensor_columns,
 )
 from stationloom.errors import DataProcessingError, ValidationError
 from stationloom.functions.angles import direction
+from stationloom.functions.clock import floor_div
 from stationloom.functions.frequency import Frequency, parse_frequency
 
 # Aggregation method and the column-name patterns it is for; anything else is a mean.
@@ -38,6 +40,8 @@ METHOD_PATTERNS = {
     "power": ("mean", ("Optimizer",)),
 }
 METHODS = ("mean", "sum", "circular_mean")
+# The next bin is looked for in stretches of this many bins.
+STRETCH = 65_536
 # Empty bins are made in blocks of this many.
 GAP_BLOCK = 65_536
 
@@ -92,8 +96,7 @@ def resample(
         *[m for i, n in enumerate(names) for m in _measures(n, chosen[n], i)]
     )
     if keys:
-        following = F.lead("_bin").over(Window.partitionBy(*[c(k) for k in keys]).orderBy("_bin"))
-        bins = bins.withColumn("_last", F.coalesce(following - 1, F.col("_bin")))
+        bins = _with_last(bins, keys)
         # in two steps, as one array per gap could get as long as the gap
         grid = bins.withColumn("_from", F.explode(F.sequence("_bin", "_last", F.lit(GAP_BLOCK).cast("long"))))
         to = F.least(F.col("_from") + (GAP_BLOCK - 1), F.col("_last"))
@@ -108,6 +111,23 @@ def resample(
     )
 
 
+def _with_last(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach ``_last``, the last slot before the next bin of the series.
+
+    The next bin comes from a window over a stretch of ``STRETCH`` bins, and for the last one of a
+    stretch from a table with one row per stretch, so no window holds a whole series.
+    """
+    key_cols = [c(k) for k in keys]
+    bins = bins.withColumn("_stretch", floor_div(F.col("_bin"), STRETCH))
+    firsts = bins.groupBy(*key_cols, "_stretch").agg(F.min("_bin").alias("_first"))
+    later = F.lead("_first").over(Window.partitionBy(*key_cols).orderBy("_stretch"))
+    edges = firsts.select(*key_cols, "_stretch", later.alias("_later"))
+    inside = F.lead("_bin").over(Window.partitionBy(*key_cols, "_stretch").orderBy("_bin"))
+    joined = join_on_keys(bins.withColumn("_inside", inside), edges, [*keys, "_stretch"], "left")
+    following = F.coalesce("_inside", "_later")
+    return joined.withColumn("_last", F.coalesce(following - 1, F.col("_bin"))).drop("_stretch", "_inside", "_later")
+
+
 def _single_grid(rows: DataFrame, bins: DataFrame, ordinal: Column, origin: Column | None) -> DataFrame:
     """Bins of the only series with the empty ones between its first and last."""
     origin_or_none = F.lit(None).cast("long") if origin is None else F.min(origin)

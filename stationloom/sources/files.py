@@ -198,10 +198,15 @@ def audited_files(spark: SparkSession, paths: str | Sequence[str], pattern: str
     )
 
 
+def first_failed(audit: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` sources by name that are of no use; more are not named in an error."""
+    return audit.where("status <> 'ok'").orderBy("source").limit(n).select("source", "status")
+
+
 def require_some(audit: DataFrame) -> None:
     """Fail, naming the first five bad files, if none of the files is usable."""
     if audit.where("status = 'ok'").limit(1).count() == 0:
-        bad = [f"{r['source']}: {r['status']}" for r in audit.orderBy("source").limit(5).collect()]
+        bad = [f"{r['source']}: {r['status']}" for r in first_failed(audit).collect()]
         raise DataProcessingError("no file could be used: " + "; ".join(bad))
 
 
