@@ -90,7 +90,7 @@ def line_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host
         F.xxhash64(line).alias("h"), (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("n")
     )
     return one.select(
-        "doc_id", "host", F.size("w").cast("long").alias("n_words"),
+        "doc_id", "host", F.xxhash64("text").alias("text_key"), F.size("w").cast("long").alias("n_words"),
         F.length(_without(F.col("text"), WHITE)).cast("long").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -148,7 +148,7 @@ def quality_rules(docs: DataFrame, limits: LineLimits = LineLimits(), **names: s
     ``names`` may give other column names for ``doc_id``, ``text`` and ``host``.
     """
     lines, frequent = _stored(docs, limits, **names)
-    return judged(lines, removed_lines(lines, frequent), limits).drop("id", "lines", "removed")
+    return judged(lines, removed_lines(lines, frequent), limits).drop("id", "text_key", "lines", "removed")
 
 
 def clean_documents(docs: DataFrame, limits: LineLimits = LineLimits(), length: str = "n_chars") -> DataFrame:
@@ -157,17 +157,18 @@ def clean_documents(docs: DataFrame, limits: LineLimits = LineLimits(), length:
     ``length``, if there is such a column, is set to the code points of what is left.
     """
     lines, frequent = _stored(docs, limits)
-    verdict = judged(lines, removed_lines(lines, frequent), limits).where("kept").groupBy("id").agg(
-        F.first("removed", ignorenulls=True).alias("removed")
-    )
-    # rows with one doc_id may differ: only the base rules look at a row alone, so they are asked again
-    own = docs.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(_NO_ID)))
-    joined = own.join(verdict.withColumnRenamed("id", "_kept"), F.col("_id") == F.col("_kept"))
+    # rows with one doc_id may have different texts, so a verdict goes by both
+    verdict = judged(lines, removed_lines(lines, frequent), limits).where("kept").groupBy(
+        F.col("id").alias("_kept_id"), F.col("text_key").alias("_kept_key")
+    ).agg(F.first("removed", ignorenulls=True).alias("_removed"))
+    id_ = F.coalesce(F.col("doc_id"), F.lit(_NO_ID))
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    out = docs.join(verdict, (id_ == F.col("_kept_id")) & (key == F.col("_kept_key")))
     stays = F.filter(
-        F.split("text", "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(normalised_line(x)))
+        F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_removed"), F.xxhash64(normalised_line(x)))
     )
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    out = joined.withColumn("text", text)
+    untouched = F.col("_removed").isNull()
+    out = out.withColumn("text", F.when(untouched, F.col("text")).otherwise(F.array_join(stays, "\n")))
     if length in docs.columns:
-        out = out.withColumn(length, F.when(F.col("removed").isNull(), F.col(length)).otherwise(F.length("text").cast("long")))
+        out = out.withColumn(length, F.when(untouched, F.col(length)).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)

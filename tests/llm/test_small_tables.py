@@ -78,6 +78,12 @@ def test_quality_repeats_and_frequent_lines(spark):
     assert clean == {0: texts[0], 8: texts[8].split("\n")[1]}
 
 
+def test_quality_judges_each_row_of_a_doc_id(spark):
+    data = [(None, "too short"), (None, PROSE), (1, "too short"), (1, PROSE), (1, PROSE)]
+    df = spark.createDataFrame([(*x, "h", "y") for x in data], "doc_id long, text string, source string, removed string")
+    assert sorted(map(str, quality.clean_documents(df).collect())) == sorted(map(str, df.where("text <> 'too short'").collect()))
+
+
 # --- tokens ----------------------------------------------------------------------------------------------
 
 
