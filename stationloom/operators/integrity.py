@@ -15,12 +15,13 @@ from stationloom.operators import series
 
 
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key by ``order``; NULL is a key like any other.
+    """The first row of every key by ``order``, or by all other columns if there is none; NULL is a key like any other.
 
     Spark limits each key to its first row within every map task before it shuffles, so a key with
     very many copies does not end up in one task.
     """
-    first = Window.partitionBy(*[c(k) for k in keys]).orderBy(*order)
+    # rows that tie are told apart by what they hold, so that runs agree
+    first = Window.partitionBy(*[c(k) for k in keys]).orderBy(*(order or [c(n) for n in df.columns if n not in keys] or [F.lit(1)]))
     return df.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationloom.columns import c, classify, nan_to_null, sensor_columns, unpivot_stats
+from stationloom.errors import ValidationError
 from stationloom.functions.clock import hour_in, month_text
 from stationloom.functions.names import abbreviate, wrap
 from stationloom.storage import materialize
@@ -189,7 +190,12 @@ def file_missing_counts(
 def task_missing_summary(
     tables: Mapping[str, DataFrame], data_type: str, time_col: str, hours: tuple[int, int] | None = None
 ) -> DataFrame:
-    """One row for a task: distinct sensor names, records of its longest table, missing percentage, tables."""
+    """One row for a task: distinct sensor names, records of its longest table, missing percentage, tables.
+
+    A task without tables has no summary.
+    """
+    if not tables:
+        raise ValidationError(f"no table of task {data_type!r} to summarize")
     sensors = {n for df in tables.values() for n in sensor_columns(df, [time_col])}
     counts = [file_missing_counts(df, time_col, sensor_columns(df, [time_col]), hours) for df in tables.values()]
     every = counts[0]

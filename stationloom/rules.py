@@ -7,6 +7,7 @@ grows with the number of stations and can also be turned into a DataFrame.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -196,11 +197,10 @@ def constant_rules(config: Mapping[str, Any]) -> list[ConstantRule]:
 
 
 def load_constant_rules(path: str) -> list[ConstantRule]:
-    """No file means that constant runs are not looked for."""
-    try:
-        return constant_rules(_read_json(path))
-    except ConfigurationError:
+    """No file means that constant runs are not looked for; a file that is no rule file is an error."""
+    if not os.path.exists(path):
         return []
+    return constant_rules(_read_json(path))
 
 
 def failure_windows(config: Mapping[str, Any]) -> list[FailureWindow]:

@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, frame, rows
+from stationloom.errors import ValidationError
 from stationloom.functions.names import abbreviate, file_prefix, title, wrap
 from stationloom.operators import missing
 
@@ -101,3 +103,8 @@ def test_pages_follow_the_columns():
     pages = missing.column_pages(groups, 10)
     assert pages["s0"] == (1, 2) and pages["s18"] == (1, 2) and pages["s20"] == (2, 2) and pages["s23"] == (2, 2) and pages["s1"] == (1, 2)
     assert missing.page_title("Power", 2, 3) == "Power Missing Rate (Part 2/3)" and missing.page_title("Power", 1, 1) == "Power Missing Rate"
+
+
+def test_no_table_no_summary():
+    with pytest.raises(ValidationError):
+        missing.task_missing_summary({}, "power", "DateTime")

@@ -193,6 +193,8 @@ def test_rule_files(tmp_path):
         rules.load_range_rules(put("bad.json", "{"), "power")
     assert [c.category for c in rules.load_constant_rules(put("c.json", CONSTANT))] == ["temperature"]
     assert rules.load_constant_rules(str(tmp_path / "none.json")) == []
+    with pytest.raises(ConfigurationError):
+        rules.load_constant_rules(put("broken.json", "{"))
     assert rules.constant_rules({"enabled": False, "applies_to": {"a": {"patterns": ["x"]}}}) == []
     assert rules.load_failure_windows(put("f.json", FAILURES)) == [rules.FailureWindow("microclimate/devA", "2024-11-29", "2024-11-30", ("Temp_",))]
     assert len(rules.load_failure_windows(str(tmp_path / "none.json"))) == 2 and rules.load_failure_windows(str(tmp_path / "bad.json")) == []
