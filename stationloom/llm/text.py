@@ -1,8 +1,8 @@
-"""Words, white space and document keys as the operators of this package share them."""
+"""Words and white space as the operators of this package share them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
@@ -24,8 +24,3 @@ def n_words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also where lambdas inside ``body`` use it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that others with clashing names cannot matter."""
-    return df.select(*names)
