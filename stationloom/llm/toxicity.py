@@ -20,6 +20,7 @@ or with a NULL label take the highest label or none; without any toxic training
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of what is fitted on.
-MAX_TOXIC, MAX_CLEAN, MAX_WORDS = 3000, 6000, 6000
+MAX_TOXIC, MAX_CLEAN, MAX_WORDS = 2000, 6000, 6000
 LANDMARKS = 256
 DECAY = 0.6
 #: Characters per string; longer words are cut into overlapping strings of this length.
@@ -103,16 +104,21 @@ def _norms(numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel values of words with landmarks."""
     fl, wl = _features(landmarks)
-    table = np.zeros((ALPHABET**3, len(landmarks)), np.float32)
     norm = _norms(fl, wl)
-    np.add.at(table, (fl.ravel(), np.repeat(np.arange(len(landmarks)), fl.shape[1])), (wl / norm[:, None]).ravel())
+    # rows only for the subsequences that landmarks have; row 0 for all others
+    used = np.unique(fl[wl > 0])
+    place = np.zeros(ALPHABET**3, np.int32)
+    place[used] = np.arange(1, len(used) + 1)
+    table = np.zeros((len(used) + 1, len(landmarks)), np.float32)
+    np.add.at(table, (place[fl].ravel(), np.repeat(np.arange(len(landmarks)), fl.shape[1])), (wl / norm[:, None]).ravel())
     out = np.zeros((len(words), len(landmarks)))
     for i in range(0, len(words), 512):
         f, w = _features(words[i : i + 512])
         norm = _norms(f, w)
         for k in range(f.shape[1]):
-            on = w[:, k] > 0
-            out[i : i + 512][on] += table[f[on, k]] * w[on, k, None]
+            on = np.nonzero((w[:, k] > 0) & (place[f[:, k]] > 0))[0]
+            if len(on):
+                out[i + on] += table[place[f[on, k]]] * w[on, k, None]
         out[i : i + 512] /= norm[:, None]
     return out
 
@@ -135,7 +141,7 @@ class Model:
 
 
 #: Decisions a task remembers before it starts afresh; bounds memory, never changes results.
-MAX_KNOWN = 500_000
+MAX_KNOWN = 250_000
 #: The decision for a text without words.
 NO_WORDS = -10.0
 
@@ -241,8 +247,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = rows.select("toxic", split("text").alias("words"))
     clean = rows.where("toxic = 0")
     counts = clean.select(F.explode("words").alias("w")).groupBy("w").count()
-    toxic = [set(r[0]) for r in rows.where("toxic = 1").select("words").collect()]
-    clean_counts = {r[0]: r[1] for r in counts.collect()}
+    # a word is one string however many texts have it
+    toxic = [{sys.intern(w) for w in r[0]} for r in rows.where("toxic = 1").select("words").toLocalIterator()]
+    found = counts.toArrow()
+    clean_counts = dict(zip(map(sys.intern, found.column("w").to_pylist()), found.column("count").to_pylist()))
+    del found
     return fit(toxic, clean_counts, clean.count())
 
 
