@@ -177,7 +177,8 @@ def _block_links(still: DataFrame, sets: DataFrame) -> DataFrame:
         "centre", F.col("main.label").alias("main"),
         F.ceil(F.col("main.k") / BLOCK).alias("m_blocks"), F.ceil((F.col("all") - F.col("main.k")) / BLOCK).alias("o_blocks"),
     )
-    rows = still.join(main, "centre")
+    # stored, so that the join is not tied to the partitions of the counts and a large centre can be split
+    rows = still.join(materialize(main, "open-centres"), "centre")
     is_main = F.col("label") == F.col("main")
     block = F.pmod(F.xxhash64("id"), F.when(is_main, F.col("m_blocks")).otherwise(F.col("o_blocks")))
     rows = rows.withColumn("block", block).withColumn("is_main", is_main)
