@@ -62,7 +62,9 @@ _MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute whole, so that names and values inside the values of others are not taken for attributes.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"[0-9]+")
 
@@ -70,16 +72,24 @@ _DIGITS = re.compile(r"[0-9]+")
 class Page:
     """Elements and text pieces of a page in order.
 
-    Elements are (parent, tag, class path part, dropped); pieces are (element, number of the block, text).
+    Elements are (parent, tag, class path part, dropped); pieces are (element, number of the block, text). Names in classes
+    and ids alone do not drop an article or main element, nor one that holds most of the page's unlinked text, unless all
+    its names are those of boilerplate or another article holds text elsewhere.
     """
 
     def __init__(self, source: str):
         self.parent, self.tag, self.label, self.dropped = [-1], ["#root"], [""], [False]
         self.pieces: list[tuple[int, int, str]] = []
+        #: Elements that only their class or id drops, and whether all its names are those of boilerplate.
+        self._named: dict[int, bool] = {}
         self._parse(source)
+        if self._named:
+            self._drop_named()
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
-        found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
+        found: dict[str, str] = {}
+        for m in _ATTRIBUTE.finditer(attributes):
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         classes = sorted(set(_DIGITS.sub("#", found.get("class", "")).split()))
         names = {t.lower() for t in _TOKEN.findall(f"{found.get('class', '')} {found.get('id', '')}")}
         out = tag in DROPPED or found.get("role", "").lower() in ROLES or "hidden" in found
@@ -88,13 +98,42 @@ class Page:
             # the page header goes, the heading of an article stays
             out |= not self._in_article(parent)
         elif tag not in ("html", "body", "main", "h1", "p", "b", "i", "em", "strong"):
-            out |= bool(names & BOILERPLATE)
+            if names & BOILERPLATE and not out:
+                every = _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+                self._named[len(self.tag)] = BOILERPLATE.issuperset(every)
         self.parent.append(parent)
         self.tag.append(tag)
         self.label.append(".".join([tag, *classes]))
         self.dropped.append(out)
         return len(self.tag) - 1
 
+    def _drop_named(self) -> None:
+        """Decides on the elements that only a name drops."""
+        n = len(self.tag)
+        hidden, linked, article, outer = self.hidden(), [False] * n, [False] * n, [False] * n
+        below_name = [False] * n
+        for i in range(1, n):
+            p = self.parent[i]
+            linked[i] = linked[p] or self.tag[i] == "a"
+            outer[i] = article[p]
+            article[i] = article[p] or self.tag[i] in ("article", "main")
+            below_name[i] = below_name[p] or i in self._named and not (self.tag[i] in ("article", "main") and not outer[i])
+        size, in_article = [0] * n, [0] * n
+        for i, _, text in self.pieces:
+            if not hidden[i] and not linked[i]:
+                length = len(text) - text.count(" ") - text.count("\n")
+                size[i] += length
+                in_article[i] += length if article[i] and not below_name[i] else 0
+        for i in range(n - 1, 0, -1):
+            size[self.parent[i]] += size[i]
+            in_article[self.parent[i]] += in_article[i]
+        for i, only_boilerplate in self._named.items():
+            if self.tag[i] in ("article", "main") and not outer[i]:
+                continue
+            # what is inside an article is measured by it, and an article elsewhere is the article
+            spared = not only_boilerplate and 2 * size[i] > size[0] and (outer[i] or in_article[0] == in_article[i])
+            self.dropped[i] = not spared
+
     def _in_article(self, i: int) -> bool:
         while i > 0:
             if self.tag[i] in ("article", "main") or ARTICLE & set(_TOKEN.findall(self.label[i].partition(".")[2].lower())):

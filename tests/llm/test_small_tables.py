@@ -325,6 +325,34 @@ def test_html_drops_what_is_not_the_article():
     assert html.main_text("<div class=ad>x</div>", "no/path") == ""
 
 
+ARTICLE_TEXT = "some words of the text " * 20
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<div class="body" style="overflow:hidden"><p>', "</div>"), ('<div class=x data-id="ad-1"><p>', "</div>"),
+        ('<div data-role="banner"><p>', "</div>"), ('<div title="see class=ad and id=menu"><p>', "</div>"),
+        ("<article class='post comments-open'><p>", "</article>"), ('<div class="content no-sidebar"><p>', "</div>"),
+        ('<div class="text-widget"><p>', "</div>"), ('<main id="search"><p>', "</main>"),
+        ('<div class="content no-sidebar"><article><p>', "</article></div>"),
+    ],
+)
+def test_html_text_below_harmless_names(start, end):
+    page = f"<nav>n</nav>{start}{ARTICLE_TEXT}<a href='/hidden-places'>link</a> <a href='/list?id=comments'>two</a>{end}<div class=ad>no</div>"
+    assert html.main_text(page, None) == f"{ARTICLE_TEXT}link two"
+
+
+def test_html_boilerplate_names_still_hide():
+    long = "<p>" + "a word of a reader " * 50
+    for name in ("comments", "comments-area", "sidebar"):
+        page = f"<body><article><p>{ARTICLE_TEXT}</article><div class={name}>{long}</div>"
+        assert html.main_text(page, "body") == ARTICLE_TEXT.strip()
+    assert html.main_text(f"<article><p>{ARTICLE_TEXT}</p><article class=comment>reply</article></article>", None) == ARTICLE_TEXT.strip()
+    for name in ("hidden", "HIDDEN=''", "aria-hidden=true", "role='Banner'", 'data-a="x"class="ad"', "id=ad"):
+        assert html.main_text(f"<div {name}>{long}</div>", None) == ""
+
+
 def test_host_votes(spark):
     pages = [(i, "http://h/", f"<div class=main{i}><p>{'text ' * 20}</div><div class=other><p>short</div>") for i in range(3)]
     pages += [(9, "http://h/", "<div class=main9><p>x</div><div class=other><p>" + "much more " * 50 + "</div>")]
