@@ -1,10 +1,11 @@
 """Main text of web pages, by paths that a host's pages agree on.
 
-Every page is read once to score its containers: the text of the blocks directly in an element counts in full, deeper text
-by half a level, text in links counts against it, and elements that look like menus, headers, footers, sidebars, notices,
-adverts, forms or comments do not count. The best container votes with its path, tags with classes from the root, digits
-generalised. Spark adds the votes up by host and path. The host's winner, if a page has it, is then extracted from the page,
-and else the page's own best container.
+Every page is read once to find its main container: the smallest one that covers nearly all of the page's text outside links
+and outside elements that look like menus, headers, footers, sidebars, notices, adverts, forms or comments, and from there up
+to the article or main element it is in and to the page's h1. It votes with its path, tags with classes from the root, digits
+generalised. Spark adds the votes up by host and path. The host's winner, if a page has it, is then extracted from the page.
+Where it covers clearly less of a page than the page's own main container, the page's own is extracted; what half of the
+host's pages have outside their main container does not count for that.
 
 Votes are added up per task before they are shuffled, so a host with a third of all pages is no hot key; winners are one
 row a host, stored, and Spark chooses broadcast or a skew-split join by their size.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -64,6 +65,9 @@ _MARKUP = re.compile(
 )
 #: One attribute whole, so that names and values inside the values of others are not taken for attributes.
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+#: Share of a page's text that its main container covers, and share of that below which a host's winner is not used.
+COVER = 0.9
+CLEARLY_LESS = 0.8
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"[0-9]+")
@@ -207,28 +211,62 @@ class Page:
             out.append(self.dropped[i] or out[self.parent[i]])
         return out
 
-    def best(self) -> int | None:
-        """The container with the highest score."""
-        hidden, score = self.hidden(), {}
+    def sizes(self, hidden: list[bool]) -> list[int]:
+        """By element: the characters in it outside links, hidden elements and white space."""
+        linked, size = [False], [0] * len(self.tag)
+        for i in range(1, len(self.tag)):
+            linked.append(linked[self.parent[i]] or self.tag[i] == "a")
         for i, _, text in self.pieces:
-            n = 0 if hidden[i] else len(text) - text.count(" ")
-            if not n:
-                continue
-            weight, inside_link = 1.0, False
-            while i > 0:
-                inside_link |= self.tag[i] == "a"
-                if self.tag[i] in CONTAINERS:
-                    score[i] = score.get(i, 0.0) + (-n if inside_link else n) * weight
-                    weight /= 2
-                i = self.parent[i]
-            # the page itself, where nothing else holds its text
-            score[0] = score.get(0, 0.0) + (-n if inside_link else n) * weight
-        found = [(s * (1.5 if self.tag[i] in ("article", "main") else 1.0), -i) for i, s in score.items() if s > 0]
-        return -max(found)[1] if found else None
-
-    def text(self, roots: list[int]) -> str:
-        """The text of some elements in page order, without what is dropped inside them."""
-        hidden, chosen = self.hidden(), set(roots)
+            if not hidden[i] and not linked[i]:
+                size[i] += sum(map(len, text.split()))
+        for i in range(len(size) - 1, 0, -1):
+            size[self.parent[i]] += size[i]
+        return size
+
+    def best(self, hidden: list[bool] | None = None) -> int | None:
+        """The main container: the smallest one with nearly all text, or the article around it, with the first h1."""
+        hidden = self.hidden() if hidden is None else hidden
+        size = self.sizes(hidden)
+        if not size[0]:
+            return None
+        # the containers with so much text are one inside the other, the last one is the smallest
+        found = max(i for i in range(len(size)) if size[i] >= COVER * size[0] and (not i or self.tag[i] in CONTAINERS))
+        above = self._above(found)
+        article = next((i for i in above if self.tag[i] in ("article", "main")), found)
+        heading = next((i for i, _, text in self.pieces if not hidden[i] and text.strip() and self._in_h1(i)), None)
+        if heading is not None:
+            both = set(self._above(heading))
+            common = next((i for i in self._above(article) if i in both and self.tag[i] in CONTAINERS), 0)
+            if common and self.tag[common] not in ("html", "body"):
+                return common
+        return article
+
+    def _above(self, i: int) -> list[int]:
+        """An element and those it is in, from the inside."""
+        out = []
+        while i > 0:
+            out.append(i)
+            i = self.parent[i]
+        return out
+
+    def _in_h1(self, i: int) -> bool:
+        return any(self.tag[k] == "h1" for k in self._above(i))
+
+    def outside(self, best: int) -> list[str]:
+        """Paths of the outermost containers with text that neither are in ``best`` nor hold it."""
+        hidden = self.hidden()
+        size, chain, skipped, out = self.sizes(hidden), {0, *self._above(best)}, [False], set()
+        for i in range(1, len(self.tag)):
+            p = self.parent[i]
+            new = self.tag[i] in CONTAINERS and size[i] > 0 and i not in chain and not skipped[p]
+            skipped.append(skipped[p] or new or i == best)
+            if new:
+                out.add(self.path(i))
+        return sorted(out)
+
+    def text(self, roots: list[int], hidden: list[bool]) -> str:
+        """The text of some elements in page order, without what is hidden inside them."""
+        chosen = set(roots)
         inside = [0 in chosen]
         for i in range(1, len(self.tag)):
             inside.append(i in chosen or inside[self.parent[i]])
@@ -241,22 +279,39 @@ class Page:
 
 
 def vote(source: str) -> str | None:
-    """The path of a page's best container."""
+    """The path of a page's main container."""
+    return ballot(source)[0]
+
+
+def ballot(source: str) -> tuple[str | None, list[str]]:
+    """The path of a page's main container, and the paths of the outermost containers outside it."""
     page = Page(source)
     best = page.best()
-    return page.path(best) if best else None
+    return (page.path(best), page.outside(best)) if best else (None, [])
+
 
+def main_text(source: str, path: str | None, outside: Sequence[str] = ()) -> str:
+    """Text of the elements at ``path``; of the page's main container where those hold none or clearly less.
 
-def main_text(source: str, path: str | None) -> str:
-    """Text of the elements at ``path``; of the page's best container where the page has none there."""
+    Elements at the paths of ``outside`` do not count for the page's main container unless the page has no other text.
+    """
     page = Page(source)
     hidden = page.hidden()
-    roots = [i for i in range(1, len(page.tag)) if path is not None and not hidden[i] and page.path(i) == path] if path else []
-    text = page.text(roots)
-    if not text:
-        best = page.best()
-        text = "" if best is None else page.text([best])
-    return text
+    roots = [i for i in range(1, len(page.tag)) if not hidden[i] and page.path(i) == path] if path else []
+    own_hidden, size = hidden, page.sizes(hidden)
+    if outside:
+        holds = {k for i in roots for k in page._above(i)}
+        own_hidden = [False]
+        for i in range(1, len(page.tag)):
+            own_hidden.append(hidden[i] or own_hidden[page.parent[i]] or i not in holds and page.path(i) in outside)
+    best = page.best(own_hidden)
+    if roots and (best is None or sum(size[i] for i in roots) >= CLEARLY_LESS * page.sizes(own_hidden)[best]):
+        text = page.text(roots, hidden)
+        if text:
+            return text
+    if best is None:
+        best, own_hidden = page.best(), hidden
+    return "" if best is None else page.text([best], own_hidden)
 
 
 def host(url: Column) -> Column:
@@ -265,27 +320,40 @@ def host(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the container path that most pages of a host vote for; ties go to the smallest path."""
+    """(host, path, outside): the container path that most pages of a host vote for; ties go to the smallest path.
 
-    @F.pandas_udf("string")
-    def votes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    ``outside`` are the paths that at least half of the host's pages have outside their main container, and more pages than
+    vote for them.
+    """
+
+    @F.pandas_udf("path string, outside array<string>")
+    def votes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for htmls in batches:
-            yield pd.Series([vote(h) for h in htmls], dtype=object)
+            yield pd.DataFrame([ballot(h) for h in htmls], columns=["path", "outside"], dtype=object)
 
-    each = pages.select(host(F.col("url")).alias("host"), votes(F.coalesce("html", F.lit(""))).alias("path"))
-    counts = each.where(F.col("path").isNotNull()).groupBy("host", "path").agg(F.count("*").alias("n"))
-    return counts.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), "path"))["path"].alias("path"))
+    each = pages.select(host(F.col("url")).alias("host"), votes(F.coalesce("html", F.lit(""))).alias("v"))
+    told = lambda path, n, out: F.struct(path.alias("path"), F.lit(n).alias("n"), F.lit(out).alias("out"))
+    both = F.concat(F.array(told(F.col("v.path"), 1, 0)), F.transform("v.outside", lambda x: told(x, 0, 1)))
+    each = each.where(F.col("v.path").isNotNull()).select("host", F.explode(both).alias("x")).select("host", "x.*")
+    counts = each.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("out").alias("out"))
+    counts = materialize(counts, "path-counts")
+    first = F.min(F.when(F.col("n") > 0, F.struct((-F.col("n")).alias("n"), "path")))
+    winners = counts.groupBy("host").agg(first["path"].alias("path"), F.sum("n").alias("votes"))
+    common = counts.where("out > n").join(winners.select(F.col("host").alias("of"), "votes"), F.col("host") == F.col("of"))
+    common = common.where("2 * out >= votes").groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_list("path")).alias("outside"))
+    return winners.join(common, F.col("host") == F.col("of"), "left").select("host", "path", "outside")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every row."""
 
     @F.pandas_udf("string")
-    def texts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for htmls, paths in batches:
-            yield pd.Series([main_text(h, p) for h, p in zip(htmls, paths)], dtype=object)
+    def texts(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for htmls, paths, outside in batches:
+            out = [main_text(h, p, () if o is None else set(o)) for h, p, o in zip(htmls, paths, outside)]
+            yield pd.Series(out, dtype=object)
 
     winners = materialize(host_paths(pages), "host-paths").withColumnRenamed("host", "w_host")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
     rows = rows.join(winners, F.col("host") == F.col("w_host"), "left")
-    return rows.select("page_id", "url", texts("html", "path").alias("text"))
+    return rows.select("page_id", "url", texts("html", "path", "outside").alias("text"))

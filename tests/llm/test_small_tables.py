@@ -360,6 +360,26 @@ def test_host_votes(spark):
     assert got[9] == "x" and got[0] == ("text " * 20).strip()
 
 
+def test_html_heading_and_lead_stay_with_the_body(spark):
+    body = "<p>" + "a long body of a text " * 60 + "</p>"
+    page = f"<html><body><article><h1>T</h1><p>lead</p><div class=body>{body}</div></article>"
+    assert html.vote(page) == "html/body/article" and html.main_text(page, None).startswith("T\n\nlead\n\na long")
+    page = f"<html><body><div class=x><h1>T</h1><div class=body>{body}</div></div><a href=b>b</a>"
+    assert html.vote(page) == "html/body/div.x"
+    page = f"<html><body><div class=a>{body * 4}</div><div class=b>{body}</div></body>"
+    assert html.vote(page) == "html/body" and html.main_text(page, None).count("\n\n") == 4
+
+
+def test_html_page_with_text_outside_the_winner(spark):
+    text = "<p>" + "a long body of a text " * 60 + "</p>"
+    usual = f"<html><body><div class=main>{text}</div><div class=motto>all we say</div></body></html>"
+    split = f"<html><body><div class=main><p>start</p></div><div class=more>{text}</div><div class=motto>all we say</div></body></html>"
+    pages = [(i, "http://h/", usual) for i in range(3)] + [(9, "http://h/", split)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, PAGE_SCHEMA)).collect()}
+    assert got[0] == ("a long body of a text " * 60).strip()
+    assert "a long body" in got[9] and "all we say" not in got[9]
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------
 
 
