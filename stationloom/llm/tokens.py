@@ -2,8 +2,9 @@
 
 The tokenizers used here cut a text before every lone space or line break between two other characters, and between a
 letter and a full stop or comma; no token reaches over such a cut. The pieces between those cuts repeat a lot, so each
-distinct piece is encoded once and the ids of a text are put together from the pieces. ``tests/llm`` compares this with
-encoding texts as they are.
+distinct piece is encoded once and the ids of a text are put together from the pieces. A text that may hold an added token
+(such as ``<|endoftext|>``, which becomes its one id, as in the tokenizers library) is encoded whole, as the pieces around
+such a token are other ones. ``tests/llm`` compares this with encoding texts as they are.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import numpy as np
 MAX_PIECES = 500_000
 #: Longer pieces are not remembered.
 LONG_PIECE = 48
+_MARKS = re.compile(r"[^\w\s]+")
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n][^\s\x1c-\x1f\x85])")
 
 
@@ -62,10 +64,19 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = (x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        # normalisation may change case and white space, but makes no marks out of other characters
+        self._marks = {tuple(sorted(set(_MARKS.findall(x)))) or x.casefold() for x in added}
         self._pieces = _Pieces(self.tokenizer)
 
+    def _may_hold_added(self, text: str) -> bool:
+        return any(
+            all(x in text for x in marks) if isinstance(marks, tuple) else marks in text.casefold() for marks in self._marks
+        )
+
     def encode(self, text: str) -> bytes:
+        if self._may_hold_added(text):
+            return self._pieces.raw(text)
         words = text.split()
         breaks = text.count("\n")
         if len(text) - sum(map(len, words)) == len(words) - 1 == text.count(" ") + breaks:

@@ -116,6 +116,20 @@ def test_codes_of_documents(spark, docs, none):
     assert addressable.documents_in_files(spark, addressable.write_codes(none, public_tokenizers.path("byte_bpe_50k.json"), 2)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_texts_are_single_ids(name):
+    from tokenizers import Tokenizer
+
+    from stationloom.llm.tokens import PieceEncoder
+
+    untouched, e = Tokenizer.from_file(public_tokenizers.path(name)), PieceEncoder(public_tokenizers.path(name))
+    contents = [x.content for x in untouched.get_added_tokens_decoder().values()]
+    forms = ["{}", "a {} b", "one two.{}three", "a\n{}\nb c", "x {}, y"]
+    texts = [form.format(c) for x in contents for c in (x, x.upper()) for form in forms]
+    texts += ["a <|endoftext|> b", "a < | endoftext |> b", "<|", PROSE]
+    assert [np.frombuffer(e.encode(t), "<u4").tolist() for t in texts] == [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_cuts_fill_their_slots():
     for n in [1, 2, 63, 64, 65, 100, 1365, 1366, 2047, 2048, 2049, 4095, 4096, 4097, 99_999]:
         found = packing.cuts(n)
