@@ -1,11 +1,16 @@
 """Secrets in text: fixed patterns, and strings that a dictionary-primed compressor finds new.
 
-The fixed patterns find assignments, access keys and long hexadecimal runs. Beside them, every long string of mixed letters
-and digits near a sensitive word is a candidate: Zstandard, primed with a dictionary of common identifiers, compresses the
-text around it once without and once with the candidate. A candidate that the dictionary and its surroundings explain
-(an identifier, a path, a repeated name) costs a few bytes; a random key costs nearly its length. Candidates whose marginal
+The fixed patterns find assignments, access keys and long hexadecimal runs. Beside them, every run of ``MIN_CANDIDATE`` and
+more characters within ``NEAR`` characters before or after a sensitive word is a candidate; runs end at white space, quotes,
+brackets, commas, semicolons and sensitive words. Zstandard, primed with a dictionary of common identifiers, compresses the
+text around it once without and once with the candidate. A candidate that the dictionary and its surroundings explain (an
+identifier, a path, a repeated name) costs a few bytes; a random key costs nearly its length. Candidates whose marginal
 bytes reach ``MIN_COST`` of their length are reported as kind ``novel``, unless they overlap a span of a fixed pattern.
 
+Ordinary words and numbers (letters in parts of four and more on average, digits with separators) cost nearly their length
+too where the text around has not used them ("different" costs 1.0 a character), so the cost cannot tell them from keys. They
+are candidates only as the value of a sensitive word (``pwd: ...``, ``auth = ...``).
+
 Every row is judged alone, over its whole text, so the scan needs no shuffle. A NULL text is empty and has no spans.
 Offsets are code points, ends exclusive.
 """
@@ -46,11 +51,11 @@ IDENTIFIERS = (
 
 #: Characters of text on either side of a candidate that it is compressed with.
 AROUND = 256
-#: How far before a candidate its sensitive word may end.
+#: How far from a candidate its sensitive word may be, on either side.
 NEAR = 40
 #: Marginal bytes a character from which a candidate is reported.
 MIN_COST = 0.55
-MIN_CANDIDATE = 12
+MIN_CANDIDATE = 8
 
 
 def _either_case(word: str) -> str:
@@ -65,7 +70,16 @@ _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]+")
 _HEX_BYTE = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdef", np.uint8))
 _NEAR = re.compile("(?:" + "|".join(map(_either_case, sorted(SENSITIVE, key=len, reverse=True))) + ")")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % MIN_CANDIDATE)
+_RUN = re.compile(r"""[^\s"'`<>(){}\[\],;]{%d,}""" % MIN_CANDIDATE)
+#: Where a run is cut into names and values, and the parts of an address.
+_QUERY = re.compile(r"[?&](?=[\w.-]+=)")
+_ADDRESS = re.compile(r"[/?&=#]+")
+#: A name before a value, what stands between a sensitive word and its value, and characters around a candidate.
+_NAME = re.compile(r"[-_.:=]*(?:[A-Za-z_.-]+[:=]+(?=[^:=]))?[-_.:=]*")
+_ASSIGNS = re.compile(r"""[A-Za-z_-]*["'`\])]*\s*[:=]+>?\s*["'`(\[{]*""")
+_END = ".:"
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_A-Za-z]+")
+_NUMBER = re.compile(r"[\d.:/+%$€#-]+")
 
 
 def _has_hex_run(text: str, n: int = 24) -> bool:
@@ -104,25 +118,55 @@ class Novelty:
         return size(without + full) - size(without + before + after)
 
     def spans(self, text: str, taken: list[tuple[int, int, int]], lower: str | None = None) -> list[tuple[int, int, int]]:
-        lower, found, last = text.lower() if lower is None else lower, [], -1
+        lower, found = text.lower() if lower is None else lower, []
         if not any(w in lower for w in SENSITIVE):
             return found
-        for near in _NEAR.finditer(text):
-            at, limit = near.end(), near.end() + NEAR
-            while m := _CANDIDATE.search(text, at, limit + MIN_CANDIDATE):
-                m = _CANDIDATE.match(text, m.start())
-                a, b, s = m.start(), m.end(), m[0]
-                at = b
-                if a < last or any(x < b and a < y for x, _, y in taken):
-                    continue
-                if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
-                    continue
-                if self.cost(text[max(0, a - AROUND) : a], s, text[b : b + AROUND]) >= MIN_COST * len(s):
-                    found.append((a, 3, b))
-                    last = b
+        for a, b, value in candidates(text):
+            if any(x < b and a < y for x, _, y in taken):
+                continue
+            s = text[a:b]
+            if (value or not ordinary(s)) and self.cost(text[max(0, a - AROUND) : a], s, text[b : b + AROUND]) >= MIN_COST * len(s):
+                found.append((a, 3, b))
         return found
 
 
+def ordinary(s: str) -> bool:
+    """Whether a run has the form of words or of a number."""
+    if any(c.isdigit() for c in s):
+        return _NUMBER.fullmatch(s) is not None
+    letters = sum(map(str.isalpha, s))
+    return letters >= 4 * len(_PART.findall(_accents_gone(s)))
+
+
+def _accents_gone(s: str) -> str:
+    """Letters other than ASCII as lower or upper case ASCII, so that they do not end a part."""
+    return s if s.isascii() else "".join(c if c.isascii() or not c.isalpha() else "A" if c.isupper() else "a" for c in s)
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether it is the value of a sensitive word) of the runs near sensitive words, in order."""
+    before = None
+    for near in [*_NEAR.finditer(text), None]:
+        stop = near.start() if near else len(text)
+        for m in _RUN.finditer(text, before or 0, stop):
+            for a, b in _parts(text, m.start(), m.end()):
+                after = before is not None and a - before <= NEAR
+                if b - a >= MIN_CANDIDATE and (after or near and stop - b <= NEAR):
+                    yield a, b, after and _ASSIGNS.fullmatch(text, before, a) is not None
+        if near:
+            before = near.end()
+
+
+def _parts(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    cut = _ADDRESS if "://" in text[start:end] else _QUERY
+    edges = [start, *(x for m in cut.finditer(text, start, end) for x in m.span()), end]
+    for a, b in zip(edges[::2], edges[1::2]):
+        a = _NAME.match(text, a, b).end()
+        while b > a and text[b - 1] in _END:
+            b -= 1
+        yield a, b
+
+
 def all_spans(text: str, novelty: Novelty) -> list[tuple[int, int, int]]:
     lower = text.lower()
     base = base_spans(text, lower)

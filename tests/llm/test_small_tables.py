@@ -294,6 +294,26 @@ def test_secrets(docs, none):
     assert clean[9] == "[SECRET] and token: abc" and clean[1] == PROSE and clean[3] is None
 
 
+@pytest.mark.parametrize(
+    "text, secret",
+    [
+        ("auth = qzxvkwpjhgfd", "qzxvkwpjhgfd"), ("pwd: 4821930576", "4821930576"), ('"auth": "QzxvKwpjHgfd"', "QzxvKwpjHgfd"),
+        ("Zx8Kq02LmPpR4tYv is my password", "Zx8Kq02LmPpR4tYv"), ("the private one is Zx8.Kq0@Lm!P$R4", "Zx8.Kq0@Lm!P$R4"),
+        ("my credential is k7#Qz9!w here", "k7#Qz9!w"), ("a key of qZxVkWpJhGfDmN here", "qZxVkWpJhGfDmN"),
+        ("see https://h.example/a?session=Zx8Kq02LmPpR4tYv&x=1", "Zx8Kq02LmPpR4tYv"), ("auth=Zx8Kq02LmPpR", "Zx8Kq02LmPpR"),
+    ],
+)
+def test_novel_strings_of_any_form_and_side(text, secret):
+    a = text.index(secret)
+    assert secrets.Novelty().spans(text, []) == [(a, 3, a + len(secret))]
+
+
+def test_ordinary_text_near_sensitive_words_is_no_secret():
+    text = "The key considerations of documentation: private organizations, different since 2019-2020, keep a session open (1,234,567)."
+    assert secrets.Novelty().spans(text, []) == []
+    assert secrets.Novelty().spans("see https://example.org/documentation/session/overview and über-schlüssel key", []) == []
+
+
 # --- pages -------------------------------------------------------------------------------------------------
 
 PAGES = [
