@@ -6,6 +6,10 @@ than ``min_documents`` of them, is over the limits; it is removed from every doc
 smallest doc_id, so that of many copies of a text one stays whole. A document left with less than ``min_left`` of its
 words is depleted and rejected.
 
+``quality_rules`` judges by that rule alone, as its SQL does. ``clean_documents`` makes the corpus, so there a rejected document
+keeps nothing: a line stays with the smallest doc_id that passes the base rules, and goes to another document where that one
+is depleted (see ``kept_lines``).
+
 Everything is built-in SQL functions. The text is read once, into a stored table of line hashes (some bytes a line), which
 the count and the look-up read. Counting aggregates before it shuffles, so a line in a third of all documents costs one row
 a task; the look-up joins the few lines over the limits, whose stored size lets Spark choose broadcast or a skew-split
@@ -123,6 +127,58 @@ def removed_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return each.join(f, hit).groupBy("id").agg(F.collect_set("h").alias("removed"))
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
+def kept_lines(lines: DataFrame, frequent: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
+    """(id, text_key, host, n_words, h, w, keeper): the lines over the limits in rows that pass the base rules.
+
+    ``w`` are the words of all copies of the line in the row, ``keeper`` is the id that keeps it. First that is the smallest id.
+    Where it is depleted, the line goes to the smallest id of a row that stays. Lines that no row has that stays are given, all
+    at once, to rejected rows that stay with them, those with most words of such lines first, until there are no such rows.
+    """
+    row = ["id", "text_key", "host", "n_words"]
+    each = lines.where(~_base_failed()).withColumn("id", F.coalesce(F.col("doc_id"), F.lit(_NO_ID)))
+    each = each.select(*row, F.posexplode("lines").alias("at", "x")).select(*row, "at", "x.*")
+    f = frequent.select(F.col("host").alias("f_host"), F.col("h").alias("f_h"))
+    each = each.join(f, (F.col("h") == F.col("f_h")) & F.col("host").eqNullSafe(F.col("f_host"))).drop("f_host", "f_h")
+    # rows that are the same in all count once
+    found = each.groupBy(*row, "h").agg((F.count_distinct("at") * F.max("n")).alias("w"))
+    found = materialize(found, "frequent-in-rows")
+
+    def with_keeper(found: DataFrame, keepers: DataFrame) -> DataFrame:
+        k = keepers.withColumnsRenamed({"host": "k_host", "h": "k_h"})
+        same = (F.col("h") == F.col("k_h")) & F.col("host").eqNullSafe(F.col("k_host"))
+        return found.drop("keeper").join(k, same).drop("k_host", "k_h")
+
+    def with_rows(found: DataFrame, *sums: Column) -> DataFrame:
+        r = found.groupBy(*row).agg(*sums).withColumnsRenamed({"id": "r_id", "text_key": "r_key", "host": "r_host"}).drop("n_words")
+        same = (F.col("id") == F.col("r_id")) & (F.col("text_key") == F.col("r_key")) & F.col("host").eqNullSafe(F.col("r_host"))
+        return found.join(r, same).drop("r_id", "r_key", "r_host")
+
+    own = F.coalesce(F.col("keeper") == F.col("id"), F.lit(False))
+    words_of = lambda which: F.sum(F.when(which, F.col("w")).otherwise(0))
+    stays = lambda lost: F.col("n_words") - F.col(lost) >= F.lit(limits.min_left) * F.col("n_words")
+    first = found.groupBy("host", "h").agg(F.min("id").alias("keeper"))
+    found = materialize(with_keeper(found, first), "kept-lines")
+    while True:
+        now = with_rows(found, words_of(~own).alias("lost")).withColumn("stays", stays("lost"))
+        here = F.min(F.when(F.col("stays") & own, F.col("id")))
+        next_ = now.groupBy("host", "h").agg(F.coalesce(here, F.min(F.when(F.col("stays"), F.col("id")))).alias("keeper"))
+        found = materialize(with_keeper(found, next_), "kept-lines")
+        free = F.col("keeper").isNull()
+        saved = with_rows(found, words_of(~own & ~free).alias("lost"), words_of(free).alias("gain")).where(free & stays("lost"))
+        best = F.min(F.struct((-F.col("gain")).alias("gain"), "id"))["id"]
+        saved = materialize(saved.groupBy("host", "h").agg(best.alias("saver")), "saved-lines")
+        if saved.isEmpty():
+            return found
+        s = saved.withColumnsRenamed({"host": "s_host", "h": "s_h"})
+        same = (F.col("h") == F.col("s_h")) & F.col("host").eqNullSafe(F.col("s_host"))
+        found = found.join(s, same, "left").withColumn("keeper", F.coalesce("keeper", "saver")).drop("s_host", "s_h", "saver")
+        found = materialize(found, "kept-lines")
+
+
 def judged(lines: DataFrame, removed: DataFrame, limits: LineLimits) -> DataFrame:
     """The base counts with ``removed`` hashes, ``removed_words``, ``base_failed`` and ``kept``."""
     found = lines.withColumn("id", F.coalesce(F.col("doc_id"), F.lit(_NO_ID))).join(removed, "id", "left")
@@ -130,7 +186,7 @@ def judged(lines: DataFrame, removed: DataFrame, limits: LineLimits) -> DataFram
     n_lost = F.when(F.col("removed").isNull(), F.lit(0)).otherwise(
         F.aggregate(lost, F.lit(0), lambda a, x: a + x["n"])
     )
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = _base_failed()
     left = F.col("n_words") - F.col("removed_words")
     return found.withColumn("removed_words", n_lost.cast("long")).withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (left >= F.lit(limits.min_left) * F.col("n_words"))
@@ -158,12 +214,20 @@ def clean_documents(docs: DataFrame, limits: LineLimits = LineLimits(), length:
     """
     lines, frequent = _stored(docs, limits)
     # rows with one doc_id may have different texts, so a verdict goes by both
-    verdict = judged(lines, removed_lines(lines, frequent), limits).where("kept").groupBy(
-        F.col("id").alias("_kept_id"), F.col("text_key").alias("_kept_key")
-    ).agg(F.first("removed", ignorenulls=True).alias("_removed"))
+    row = ["id", "text_key", "host"]
+    lost = kept_lines(lines, frequent, limits).where(F.col("keeper").isNull() | (F.col("keeper") != F.col("id")))
+    lost = lost.groupBy(*row).agg(F.sum("w").alias("lost"), F.collect_set("h").alias("_removed"))
+    lost = lost.withColumnsRenamed({"id": "l_id", "text_key": "l_key", "host": "l_host"})
+    same = (F.col("id") == F.col("l_id")) & (F.col("text_key") == F.col("l_key")) & F.col("host").eqNullSafe(F.col("l_host"))
+    rows = lines.where(~_base_failed()).select(F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).alias("id"), "text_key", "host", "n_words")
+    left = F.col("n_words") - F.coalesce("lost", F.lit(0))
+    verdict = rows.distinct().join(lost, same, "left").where(left >= F.lit(limits.min_left) * F.col("n_words")).select(
+        F.col("id").alias("_kept_id"), F.col("text_key").alias("_kept_key"), F.col("host").alias("_kept_host"), "_removed"
+    )
     id_ = F.coalesce(F.col("doc_id"), F.lit(_NO_ID))
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    out = docs.join(verdict, (id_ == F.col("_kept_id")) & (key == F.col("_kept_key")))
+    of_row = (id_ == F.col("_kept_id")) & (key == F.col("_kept_key")) & F.col("source").eqNullSafe(F.col("_kept_host"))
+    out = docs.join(verdict, of_row)
     stays = F.filter(
         F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_removed"), F.xxhash64(normalised_line(x)))
     )

@@ -84,6 +84,20 @@ def test_quality_judges_each_row_of_a_doc_id(spark):
     assert sorted(map(str, quality.clean_documents(df).collect())) == sorted(map(str, df.where("text <> 'too short'").collect()))
 
 
+def test_quality_keeps_a_whole_copy_of_a_shared_text(spark):
+    line = lambda n: " ".join(f"{chr(97 + n)}{x}" for x in ("an", "bel", "cor", "dun", "es", "fil"))
+    text = "\n".join(line(n) for n in range(6))
+    twice = {1: f"{text}\n{text}"} | {i: text for i in range(2, 9)}
+    # document 1 has first copies of most lines and is left with too little: its other lines are document 0's
+    others = "\n".join(line(n) for n in range(8, 24))
+    depleted = {0: others, 1: others + "\n" + "\n".join(line(n) for n in range(5))} | {i: others for i in range(20, 24)} | {i: text for i in range(2, 9)}
+    schema = "doc_id long, text string, source string"
+    for texts, want in ((twice, {2: text}), (depleted, {0: others, 2: text})):
+        df = spark.createDataFrame([(i, t, "h") for i, t in texts.items()], schema)
+        clean = {r.doc_id: r.text for r in quality.clean_documents(df, quality.LineLimits(0.1, 3, 0.3)).collect()}
+        assert clean == want
+
+
 # --- tokens ----------------------------------------------------------------------------------------------
 
 
