@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationloom.llm import addressable, ann, html, minhash, mixing, packing, quality, secrets, sql, toxicity, warc
+from stationloom.llm import (
+    addressable, alignment, ann, html, minhash, mixing, packing, personal, prefix_trie, quality, secrets, sql, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +18,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 END_ID = 2
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op1_quality_rules": sql.OP1, "op4_minhash": sql.OP4, "op5_mixing": sql.OP5}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": sql.OP1, "op4_minhash": sql.OP4, "op5_mixing": sql.OP5, "op11_personal_data": sql.OP11,
+    "op13_prefix_trie": sql.OP13,
+}
 
 
 def query(f: Query) -> Query:
@@ -94,3 +99,22 @@ def op10_html_extraction(spark, sf):
     """The main text of every page, by the container path its host's pages agree on."""
     out = html.extract(table(spark, sf, "pages", "page_id", "url", "html"))
     return out.select("*", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_personal_data(spark, sf):
+    """Spans of personal data in every document, with identifiers found through the phrases before known ones."""
+    return personal.digest(personal.personal_data(table(spark, sf, "documents", "doc_id", "text")))
+
+
+@query
+def op12_token_alignment(spark, sf):
+    """How the tokens of two tokenizers align in every document, each distinct text worked on once."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    """The nodes of the trie of conversation prefixes."""
+    return prefix_trie.conversation_trie(table(spark, sf, "conversations", "conv_id", "turn", "role", "text"))

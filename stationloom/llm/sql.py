@@ -84,3 +84,132 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
        least(d.doc_id, coalesce(c.m, d.doc_id)) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
+
+# crc32 of a short string, bit by bit
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+OP13 = f"""
+WITH c AS (
+  SELECT conv_id, list(md5(coalesce(role, '') || chr(1) || coalesce(text, '')) ORDER BY turn NULLS FIRST) AS s,
+         list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, {_CRC} % 6 AS h FROM c),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(c.s[1:h], []), h.s[h + 1:]) AS s, list_concat(coalesce(c.l[1:h], []), h.l[h + 1:]) AS l
+  FROM h LEFT JOIN c ON c.conv_id = h.conv_id - ((h.conv_id % 100) + 100) % 100),
+p AS (
+  SELECT conv_id, len(s) AS n, d AS depth, s[1:d] AS k, CASE WHEN d > 0 THEN l[d] ELSE 0 END AS last
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM r)),
+node AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(last) AS last,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM p GROUP BY k, depth),
+kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+own AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids ON node.k = kids.k),
+up AS (
+  SELECT k[1:d] AS k, sum((n_convs - 1) * last) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own) GROUP BY 1)
+SELECT own.conv_id, own.depth, above.conv_id AS parent_conv_id, own.n_convs, own.n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, own.ends_sha256
+FROM own JOIN up ON own.k = up.k LEFT JOIN node above ON own.depth > 0 AND above.k = own.k[1:own.depth - 1]
+"""
+
+
+def _op11() -> str:
+    """Places by splitting at the pattern; the rounds of the graph written out one after the other."""
+    local, label = "[A-Za-z0-9._%+-]+", "[A-Za-z0-9-]+"
+    patterns = {
+        "email": rf"{local}@{label}(?:\.{label})+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    digits = "regexp_replace(v, '[^0-9]', '', 'g')"
+    luhn = f"""list_sum(list_transform(string_split(reverse({digits}), ''), lambda c, i:
+        CASE WHEN i % 2 = 1 THEN CAST(c AS INT) ELSE (2 * CAST(c AS INT)) // 10 + (2 * CAST(c AS INT)) % 10 END)) % 10 = 0"""
+    valid = {
+        "email": "true",
+        "ip": "list_bool_and(list_transform(string_split(v, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND CAST('0' || right(ltrim(x, '0'), 3) AS INT) <= 255))",
+        "card": f"length({digits}) BETWEEN 13 AND 19 AND {luhn}", "phone": f"length({digits}) BETWEEN 9 AND 15",
+    }
+    t = r"[\p{L}0-9@._%+/#-]"
+    ident = rf"{patterns['phone']}|[0-9]{{2,}}(?:[\x20-][0-9]{{2,}}){{2,}}|{t}*[\p{{L}}0-9]"
+    white = r"[\x20\x09-\x0D]+"
+
+    def places(name: str, pattern: str) -> str:
+        # gaps and matches take turns; a running sum of lengths gives the offsets
+        return rf"""
+{name}_m AS (SELECT row, i, g, v FROM (SELECT row, unnest(string_split_regex(text, '{pattern}')) AS g,
+    unnest(list_append(regexp_extract_all(text, '{pattern}'), NULL)) AS v, generate_subscripts(list_append(regexp_extract_all(text, '{pattern}'), NULL), 1) AS i FROM d)),
+{name}_p AS (SELECT row, i, g, v, CAST(sum(length(g) + coalesce(length(v), 0)) OVER (PARTITION BY row ORDER BY i) AS BIGINT) - length(v) AS start FROM {name}_m),
+"""
+
+    base = "".join(
+        places(k, patterns[k]) + f"{k}_s AS (SELECT row, start, '{k}:' || start || ':' || (start + length(v)) AS s FROM {k}_p WHERE v IS NOT NULL AND {valid[k]}),\n"
+        for k in patterns
+    )
+    seed = "CASE " + " ".join(f"WHEN regexp_full_match(v, '{p}') AND {valid[k]} THEN '{k}'" for k, p in patterns.items()) + " END"
+    rounds = ""
+    for r in range(3):
+        known = "seeds" if not r else f"(SELECT * FROM seeds UNION ALL SELECT * FROM scores{r - 1})"
+        rounds += f"""
+pat{r} AS (
+  SELECT phrase, kind, least(w // places, 1000000) AS confidence
+  FROM (SELECT phrase, kind, sum(n * score) AS w, count(DISTINCT v) AS support
+        FROM (SELECT unnest([one, two]) AS phrase, v, n FROM graph) JOIN {known} USING (v) WHERE phrase IS NOT NULL GROUP BY phrase, kind)
+  JOIN total USING (phrase) WHERE support >= 5 AND w // places >= 600000),
+best{r} AS (
+  SELECT g.*, CASE WHEN q.confidence >= coalesce(p.confidence, 0) THEN q.kind ELSE p.kind END AS kind,
+         greatest(coalesce(p.confidence, 0), coalesce(q.confidence, 0)) AS confidence
+  FROM graph g LEFT JOIN pat{r} p ON g.one = p.phrase LEFT JOIN pat{r} q ON g.two = q.phrase),
+scores{r} AS (
+  SELECT v, arg_max(kind, (w, kind)) AS kind, max(w) // max(all_n) AS score
+  FROM (SELECT v, kind, sum(n * confidence) AS w, sum(sum(n)) OVER (PARTITION BY v) AS all_n FROM best{r} WHERE seed IS NULL GROUP BY v, kind)
+  WHERE kind IS NOT NULL GROUP BY v HAVING max(w) // max(all_n) >= 500000),
+"""
+    joined = " UNION ALL ".join(f"SELECT row, {i} AS o, start, s FROM {k}_s" for i, k in enumerate(patterns))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+{base}{places("ident", ident)}
+element AS (
+  SELECT row, start, v, g, regexp_extract(g, '{white}$') = '' AS glued, trim(regexp_replace(lower(
+    CASE WHEN length(g) > 96 THEN regexp_replace(right(g, 96), '^[^ 	-]+', '') ELSE g END), '{white}', ' ', 'g'), ' ') AS words
+  FROM (SELECT row, start, v, i,
+          -- words without a digit are no identifiers: they belong to what stands before the next one
+          string_agg(g || CASE WHEN regexp_matches(v, '[0-9@]') THEN '' ELSE v END, '' ORDER BY i) OVER (PARTITION BY row, part ORDER BY i) AS g
+        FROM (SELECT *, coalesce(sum(CAST(regexp_matches(v, '[0-9@]') AS INT)) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
+              FROM ident_p WHERE v IS NOT NULL))
+  WHERE regexp_matches(v, '[0-9@]')),
+place AS (
+  SELECT row, start, v, glued, nullif(regexp_extract(words, '[^ ]+$'), '') AS one, nullif(regexp_extract(words, '[^ ]+ [^ ]+$'), '') AS two
+  FROM element WHERE length(v) >= 5 AND (contains(v, '@') OR length({digits}) >= 3)),
+graph AS (SELECT v, one, two, count(*) AS n, count(*) FILTER (glued) AS n_glued, {seed} AS seed FROM place GROUP BY v, one, two),
+phrases AS (
+  SELECT phrase, sum(n_glued) AS n_glued FROM (SELECT unnest([one, two]) AS phrase, v, n_glued FROM graph)
+  WHERE phrase IS NOT NULL GROUP BY phrase HAVING count(DISTINCT v) >= 5),
+word AS (
+  SELECT w, lag(w) OVER (PARTITION BY row ORDER BY i) AS before
+  FROM (SELECT row, unnest(w) AS w, generate_subscripts(w, 1) AS i
+        FROM (SELECT row, string_split(lower(trim(regexp_replace(text, '{white}', ' ', 'g'), ' ')), ' ') AS w FROM d))),
+total AS (
+  SELECT phrase, sum(n) AS places FROM (
+    SELECT phrase, n_glued AS n FROM phrases
+    UNION ALL SELECT w AS phrase, count(*) AS n FROM word WHERE w IN (SELECT phrase FROM phrases) GROUP BY w
+    UNION ALL SELECT before || ' ' || w AS phrase, count(*) AS n FROM word WHERE before || ' ' || w IN (SELECT phrase FROM phrases) GROUP BY before || ' ' || w)
+  GROUP BY phrase),
+seeds AS (SELECT DISTINCT v, seed AS kind, 1000000 AS score FROM graph WHERE seed IS NOT NULL),
+{rounds}
+ends AS (
+  SELECT row, list_position(['email', 'ip', 'card', 'phone'], b.kind) + 10 AS o, start,
+         'found_' || b.kind || ':' || start || ':' || (start + length(v)) AS s
+  FROM place p JOIN best2 b USING (v) JOIN scores2 s USING (v)
+  WHERE b.kind = s.kind AND p.one IS NOT DISTINCT FROM b.one AND p.two IS NOT DISTINCT FROM b.two),
+base AS (SELECT row, string_agg(s, ',' ORDER BY o, start) AS base, {", ".join(f"count(*) FILTER (o = {i}) AS n_{k}" for i, k in enumerate(patterns))}
+  FROM ({joined}) GROUP BY row),
+more AS (SELECT row, string_agg(s, ',' ORDER BY o, start) AS more FROM ends GROUP BY row)
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in patterns)},
+       sha256(coalesce(base, '')) AS base_sha256, concat_ws(',', base, more) AS spans
+FROM d LEFT JOIN base USING (row) LEFT JOIN more USING (row)
+"""
+
+
+OP11 = _op11()
