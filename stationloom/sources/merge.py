@@ -20,7 +20,7 @@ from stationloom.functions.names import file_prefix
 from stationloom.functions.parse import parse_date_and_time, parse_number, parse_time
 from stationloom.operators.integrity import dedupe_keep_first
 from stationloom.sources.files import ROW_ORDER, SOURCE, CsvTable, read_csv_table, read_lines, stem
-from stationloom.sources.logs import log_audit, log_heads, log_losses, parse_log_lines, read_station_logs, without_order
+from stationloom.sources.logs import parse_logs, read_station_logs, without_order
 
 TIME = "DateTime"
 
@@ -122,18 +122,19 @@ def merge_all_station_logs(
 ) -> StationLogs | None:
     """Log folders of any number of stations in one plan, the first row kept of each station and time.
 
-    None if there are no files.
+    None if there are no files. The text is read for the heads and once more to store its lines as parsed; everything
+    in the result comes from those.
     """
     lines = read_lines(spark, list(folders.values()), pattern, skip_unreadable=skip_unreadable) if folders else None
     if lines is None:
         return None
     of = station_of(F.col(SOURCE), folders).alias(device)
-    rows = parse_log_lines(lines, time_formats, columns, strict)
+    parsed = parse_logs(lines, time_formats, columns, strict)
+    rows = parsed.rows()
     rows = rows.select(of, *[c(n) for n in rows.columns])
     first = dedupe_keep_first(rows, [device, TIME], [F.col(n) for n in ROW_ORDER])
-    heads = log_heads(lines).where("status = 'ok'")
-    layout = heads.select(of, F.explode("_names").alias("column")).where(F.col("column") != TIME).distinct()
-    return StationLogs(without_order(first), layout, log_audit(lines), log_losses(lines, time_formats))
+    layout = parsed.columns().select(of, "column").distinct()
+    return StationLogs(without_order(first), layout, parsed.audit(), parsed.losses())
 
 
 def power_rows(table: CsvTable, time_formats: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import at, frame, rows
 from stationloom.errors import DataParsingError, DataProcessingError, ValidationError
 from stationloom.sources import files, logs, merge
+from stationloom.storage import materialize
 
 
 def write(path, text):
@@ -167,3 +168,59 @@ def test_typed_csv_round_trip(spark, tmp_path):
     files.write_table(df, f"{tmp_path}/t", sort_by=["DateTime"], fmt="csv")
     back = merge.read_typed_csv(spark, f"{tmp_path}/t")
     assert back.columns == df.columns and rows(back, "DateTime") == rows(df, "DateTime")
+
+
+def text_scans(df) -> int:
+    """Scans of text files in the plan of a table."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("] text")
+
+
+def log_folder(tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "a.txt").write_text(
+        "BoardID:1\nDateTime;T1,H1;\n2024-01-01 00:00:00;1,2;\n2024-01-01 00:00:00;3,4;\nnever;5,6;\n2024-01-01 01:00:00;7\n\n"
+        "BoardID:1\nDateTime;T1,H1;\n DateTime ;T1,H1;\n2024-01-01 02:00:00;x,8;\n"
+    )
+    (folder / "b.txt").write_text("BoardID:2\nDateTime;H1;T1\n2024-01-01 00:00:00;9;10\n")
+    (folder / "c.txt").write_text("BoardID:3\nnothing;here\n1;2\n")
+    return str(folder)
+
+
+def test_logs_are_stored_once_with_reasons(spark, tmp_path):
+    lines = files.read_lines(spark, log_folder(tmp_path), "*.txt")
+    parsed = logs.parse_logs(lines)
+    assert [text_scans(x) for x in (parsed.lines, parsed.rows(), parsed.audit(), parsed.losses(), parsed.columns())] == [0] * 5
+    reasons = {r["source"]: r for r in parsed.lines.groupBy(F.regexp_extract("_source", "([a-z]).txt$", 1).alias("source")).pivot("reason").count().collect()}
+    a = reasons["a"]
+    assert (a["ok"], a["no time"], a["wrong width"], a["head"], a["repeated head"], a["blank"]) == (3, 1, 1, 4, 1, 1)
+    assert (reasons["b"]["ok"], reasons["b"]["head"], reasons["c"]["no usable header"]) == (1, 2, 3)
+    assert parsed.lines.where("reason = 'ok' AND _text IS NOT NULL OR reason <> 'ok' AND _text IS NULL").count() == 0
+    same = lambda x, y: sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+    assert same(parsed.audit(), logs.log_audit(lines)) and same(parsed.losses(), logs.log_losses(lines))
+    assert same(logs.without_order(parsed.rows()), logs.without_order(logs.parse_log_lines(lines)))
+    losses = {r.source[-5:]: tuple(r)[1:] for r in parsed.losses().collect()}
+    assert losses == {"a.txt": (5, 1, 1, 1), "b.txt": (1, 0, 0, 0)}
+
+
+def test_known_columns_save_the_look_at_the_heads(spark, tmp_path, monkeypatch):
+    folder = log_folder(tmp_path)
+    lines = files.read_lines(spark, [f"{folder}/a.txt"])
+    stored = []
+    monkeypatch.setattr(logs, "materialize", lambda df, label: stored.append((label, text_scans(df))) or materialize(df, label))
+    known, found = logs.parse_logs(lines, columns=["DateTime", "T1", "H1"]), logs.parse_logs(lines)
+    assert stored == [("log-lines", 1), ("log-heads", 0), ("log-heads", 1), ("log-lines", 1)]
+    same = lambda x, y: sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+    assert same(logs.without_order(known.rows()), logs.without_order(found.rows()))
+    assert same(known.audit(), found.audit()) and same(known.losses(), found.losses()) and same(known.columns(), found.columns())
+    with pytest.raises(Exception, match="differs from the known columns"):
+        logs.parse_logs(files.read_lines(spark, [f"{folder}/b.txt"]), columns=["DateTime", "T1", "H1"]).rows().collect()
+
+
+def test_all_logs_of_a_job_read_the_text_twice(spark, tmp_path, monkeypatch):
+    stored = []
+    monkeypatch.setattr(logs, "materialize", lambda df, label: stored.append(text_scans(df)) or materialize(df, label))
+    done = merge.merge_all_station_logs(spark, {"S": log_folder(tmp_path)})
+    later = [text_scans(x) for x in (done.rows, done.layout, done.audit, done.losses)]
+    assert (sum(stored), sum(later)) == (2, 0)
+    assert {(r.device, r.column) for r in done.layout.collect()} == {("S", "T1"), ("S", "H1")}
