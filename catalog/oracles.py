@@ -118,6 +118,41 @@ ORACLES["combine_prefixed_sources"] = f"""
 SELECT "DateTime", {", ".join(f'"{p}_mean", "{p}_max"' for p in _prefixes)}
 FROM {_hourly("click", "A_")} a {" ".join(f'FULL JOIN {_hourly(s, f"{p}_")} src_{p} USING ("DateTime")' for p, s in list(_prefixes.items())[1:])}"""
 
+_long = {"A": "click", "B": "error", "C": "view"}
+ORACLES["long_csv_tables"] = " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", "DateTime" AS time, '{p}_{n}' AS sensor, {n}::DOUBLE AS value FROM {_hourly(s, "")}"""
+    for t, (p, s) in zip(("A_1yr", "B_yr", "C"), _long.items()) for n in ("mean", "max")
+) + f""" UNION ALL SELECT 'E, 1' AS "table", "DateTime" AS time, 'E, 1_max' AS sensor, max AS value FROM {_hourly("signup", "")}"""
+
+_uneven = {"a_WT": "click", "b_WT-to-Sed": "error", "c_SM_": "view", "d": "purchase", "e_WT_SM_": "signup"}
+ORACLES["missing_rate_long"] = f"""
+WITH t AS ({" UNION ALL ".join(
+    f"""SELECT '{n}' AS tbl, {k} AS k, "DateTime" AS time, mean, CASE WHEN max < 900 THEN max END AS max
+    FROM {_hourly(s, "")} WHERE hour("DateTime") <> {k}""" for k, (n, s) in enumerate(_uneven.items()))}),
+cell AS (
+  SELECT tbl || '_mean' AS sensor, 2 * k AS place, time, mean IS NOT NULL AS present FROM t WHERE hour(time) BETWEEN 6 AND 17
+  UNION ALL SELECT tbl || '_max', 2 * k + 1, time, max IS NOT NULL FROM t WHERE hour(time) BETWEEN 6 AND 17),
+grouped AS (
+  SELECT *, CASE WHEN contains(sensor, 'SM_') THEN 'microclimate_soil_moisture' WHEN contains(sensor, '_WT-to-Sed') THEN 'microclimate_wt_to_sed'
+    WHEN contains(sensor, '_WT') THEN 'microclimate_wt' ELSE 'microclimate_other' END AS "group" FROM cell),
+sensor AS (
+  SELECT *, (row_number() OVER (PARTITION BY "group" ORDER BY place) - 1) // 2 + 1 AS part, (count(*) OVER (PARTITION BY "group") + 1) // 2 AS parts
+  FROM (SELECT DISTINCT sensor, place, "group" FROM grouped)),
+time AS (SELECT time, bool_or(present AND "group" = 'microclimate_soil_moisture') AS soil FROM grouped GROUP BY time),
+counts AS (
+  SELECT strftime(time, '%Y-%m') AS month, "group", count(*) AS n FROM time CROSS JOIN (SELECT DISTINCT "group" FROM sensor)
+  WHERE CASE "group" WHEN 'microclimate_wt' THEN time < '2024-01-16' WHEN 'microclimate_wt_to_sed' THEN time >= '2024-01-16'
+    WHEN 'microclimate_soil_moisture' THEN soil ELSE true END
+  GROUP BY ALL),
+found AS (
+  SELECT strftime(time, '%Y-%m') AS month, sensor, count(*) AS n FROM grouped
+  WHERE present AND ("group" <> 'microclimate_wt' OR time < '2024-01-16') AND ("group" <> 'microclimate_wt_to_sed' OR time >= '2024-01-16') GROUP BY ALL)
+SELECT 'microclimate' AS data_type, s."group", c.month, s.sensor, round((c.n - coalesce(f.n, 0)) / c.n::DOUBLE, 6) AS missing_rate,
+  part, parts, CASE s."group" WHEN 'microclimate_soil_moisture' THEN 'Microclimate (Soil Moisture)' WHEN 'microclimate_wt' THEN 'Microclimate (WT - Before Dec 2024)'
+    WHEN 'microclimate_wt_to_sed' THEN 'Microclimate (WT-to-Sed - After Dec 2024)' ELSE 'Microclimate (Other)' END || ' Missing Rate'
+  || CASE WHEN parts > 1 THEN ' (Part ' || part || '/' || parts || ')' ELSE '' END AS title
+FROM sensor s JOIN counts c USING ("group") LEFT JOIN found f ON f.month = c.month AND f.sensor = s.sensor"""
+
 ORACLES["csv_scan"] = f"""
 WITH {WIDE} SELECT event_id::DOUBLE AS event_id, station::DOUBLE AS station, "DateTime", {ALL_SENSORS} FROM wide"""
 

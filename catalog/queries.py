@@ -122,6 +122,33 @@ def combine_prefixed_sources(spark, sf):
     return merge.combine_prefixed({name: i.hourly_source(spark, sf, s) for name, s in tables.items()})
 
 
+@query
+def long_csv_tables(spark, sf):
+    path = scratch_path(spark, "long-csv")
+    for name, s in {"A_1yr": "click", "B_yr": "error", "C": "view"}.items():
+        files.write_table(i.hourly_source(spark, sf, s), f"{path}/{name}", sort_by=[TIME], fmt="csv")
+    files.write_table(i.hourly_source(spark, sf, "signup").drop("mean"), f"{path}/E, 1", fmt="csv")
+    folder = files.stem(F.regexp_extract(F.col(files.SOURCE), "^(.*)/[^/]*$", 1))
+    return merge.read_long(spark, path, recursive=True, table=folder).readings()
+
+
+def _uneven_tables(spark, sf):
+    """Hourly tables with other hours and columns each, some values missing."""
+    tables = {"a_WT": "click", "b_WT-to-Sed": "error", "c_SM_": "view", "d": "purchase", "e_WT_SM_": "signup"}
+    hole = F.when(F.col("max") < 900, F.col("max"))
+    return {
+        name: i.hourly_source(spark, sf, s).withColumn("max", hole).where(F.hour(TIME) != k) for k, (name, s) in enumerate(tables.items())
+    }
+
+
+@query
+def missing_rate_long(spark, sf):
+    tables = merge.long_tables(_uneven_tables(spark, sf))
+    rates = missing.long_missing_rates(tables, "microclimate", (6, 18), change_date="2024-01-16")
+    pages = missing.paged_rates(rates, tables.sensors, "microclimate", 2)
+    return rounded(pages, "missing_rate")
+
+
 @query
 def csv_scan(spark, sf):
     """Written as CSV and read back: header, text columns, typed by the scan."""

@@ -62,3 +62,10 @@ def file_prefix(stem: str) -> str:
     for noise in PREFIX_NOISE:
         stem = stem.replace(noise, "")
     return stem
+
+
+def file_prefix_expr(stem: Column) -> Column:
+    """:func:`file_prefix` of a column of names."""
+    for noise in PREFIX_NOISE:
+        stem = F.replace(stem, F.lit(noise), F.lit(""))
+    return stem

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,6 +159,95 @@ def missing_rate_by_group(
     )
 
 
+@dataclass(frozen=True)
+class LongTables:
+    """Many tables of one kind as one, whatever their columns.
+
+    ``rows`` has a row per table and time, with ``cells``, an array of (sensor, value); ``sensors`` has (table, place,
+    sensor), all columns of all tables, also those without a reading. Sensor names carry their table.
+    """
+
+    rows: DataFrame
+    sensors: DataFrame
+
+    def readings(self) -> DataFrame:
+        """(table, time, sensor, value) of every cell."""
+        return self.rows.select("table", "time", F.explode("cells").alias("x")).select("table", "time", "x.sensor", "x.value")
+
+
+def group_expr(sensor: Column, data_type: str) -> Column:
+    """:func:`sensor_groups` of a column of names."""
+    if data_type not in ("microclimate", "power"):
+        return F.lit(data_type)
+    soil = F.lit(False)
+    for p in SOIL_PATTERNS if data_type == "microclimate" else ():
+        soil = soil | F.contains(sensor, F.lit(p))
+    return (
+        F.when(soil, "microclimate_soil_moisture").when(F.contains(sensor, F.lit("_WT-to-Sed")), f"{data_type}_wt_to_sed")
+        .when(F.contains(sensor, F.lit("_WT")), f"{data_type}_wt").otherwise(f"{data_type}_other")
+    )
+
+
+# Which times count for the sensors of a group.
+ALL, BEFORE, SINCE, SOIL = "all", "before", "since", "soil"
+
+
+def _basis(group: Column) -> Column:
+    return (
+        F.when(F.contains(group, F.lit("wt_to_sed")), SINCE).when(F.contains(group, F.lit("wt")), BEFORE)
+        .when(F.contains(group, F.lit("soil_moisture")), SOIL).otherwise(ALL)
+    )
+
+
+def long_missing_rates(
+    tables: LongTables, data_type: str, hours: tuple[int, int] | None = DAYLIGHT_HOURS, change_date: str = CHANGE_DATE
+) -> DataFrame:
+    """``(data_type, group, month, sensor, missing_rate)`` over the times that any of the tables has, without aligning them.
+
+    A sensor's readings are counted by month, and so are the times of all tables together that count for its group; what is not
+    counted is missing. The width of the plan does not depend on how many tables or columns there are. A time that a table
+    holds twice is an error.
+    """
+    rows = tables.rows.where(F.col("time").isNotNull())
+    if hours is not None:
+        rows = rows.where(hour_in(F.col("time"), *hours))
+    change = F.lit(change_date).cast("timestamp_ntz")
+    is_soil = lambda x: group_expr(x["sensor"], data_type) == "microclimate_soil_moisture"
+    soil = F.exists("cells", lambda x: is_soil(x) & x["value"].isNotNull()) if data_type == "microclimate" else F.lit(False)
+    one = rows.groupBy("table", "time").agg(F.count("*").alias("n"), F.max(soil).alias("soil"))
+    guard = F.when(F.col("n") > 1, F.raise_error(F.lit("duplicate times in a source")).cast("boolean")).otherwise(F.col("soil"))
+    times = one.withColumn("soil", guard).groupBy("time").agg(F.max("soil").alias("soil"))
+    counts = times.groupBy(month_text(F.col("time")).alias("month")).agg(
+        F.count("*").alias(ALL), F.count_if(F.col("time") < change).alias(BEFORE), F.count_if(F.col("time") >= change).alias(SINCE),
+        F.count_if("soil").alias(SOIL),
+    )
+    counts = counts.unpivot(["month"], [ALL, BEFORE, SINCE, SOIL], "basis", "n").where("n > 0")
+    counts = materialize(counts, "month-times")  # a few rows a month
+    cells = rows.select("time", F.explode("cells").alias("x")).where("x.value IS NOT NULL").select("time", "x.sensor")
+    cells = cells.withColumn("basis", _basis(group_expr(F.col("sensor"), data_type)))
+    counted = (F.col("basis").isin(ALL, SOIL)) | (F.col("basis") == F.when(F.col("time") < change, BEFORE).otherwise(SINCE))
+    present = cells.where(counted).groupBy(month_text(F.col("time")).alias("month"), "sensor").agg(F.count("*").alias("present"))
+    sensors = tables.sensors.select("sensor").distinct().withColumn("group", group_expr(F.col("sensor"), data_type))
+    every = sensors.withColumn("basis", _basis(F.col("group"))).join(counts, "basis")
+    found = every.join(present, ["month", "sensor"], "left")
+    n = F.col("n").cast("double")
+    return found.select(
+        F.lit(data_type).alias("data_type"), "group", "month", "sensor",
+        ((n - F.coalesce("present", F.lit(0).cast("long"))) / n).alias("missing_rate"),
+    )
+
+
+def paged_rates(rates: DataFrame, sensors: DataFrame, data_type: str, per_part: int) -> DataFrame:
+    """Rates with the page of each sensor and its title; sensors fill the pages of their group in the order of tables and columns."""
+    listed = sensors.withColumn("group", group_expr(F.col("sensor"), data_type))
+    parts = report_parts(listed, per_part=per_part, order=["table", "place"]).drop("part_label")
+    titles = {g: group_title(g, data_type) for g in (data_type, *[f"{data_type}_{x}" for x in ("wt", "wt_to_sed", "other", "soil_moisture")])}
+    title = F.element_at(F.create_map(*[F.lit(x) for pair in titles.items() for x in pair]), F.col("group"))
+    number = F.concat(F.lit(" (Part "), F.col("part").cast("string"), F.lit("/"), F.col("parts").cast("string"), F.lit(")"))
+    title = F.concat(title, F.lit(" Missing Rate"), F.when(F.col("parts") > 1, number).otherwise(""))
+    return rates.join(parts, ["group", "sensor"]).select(*rates.columns, "part", "parts", title.alias("title"))
+
+
 def column_pages(groups: Mapping[str, str], per_part: int = SENSORS_PER_PART) -> dict[str, tuple[int, int]]:
     """(page, pages) of each column, for the columns of one wide table."""
     members: dict[str, list[str]] = {}
@@ -212,17 +302,20 @@ def task_missing_summary(
 
 
 def report_parts(
-    sensors: DataFrame, group: str = "group", sensor: str = "sensor", per_part: int = SENSORS_PER_PART
+    sensors: DataFrame, group: str = "group", sensor: str = "sensor", per_part: int = SENSORS_PER_PART,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Page of each sensor: ``(group, sensor, part, parts, part_label)``, sensors in name order within a group.
+    """Page of each sensor: ``(group, sensor, part, parts, part_label)``, sensors within a group by ``order``, then name.
 
     Positions are counted over range partitions: the distinct names are written in sorted ranges,
     a small table holds how many each range has per group, and a name's position is its place in
     the range plus what the ranges before it hold. A group of any size is spread over tasks.
     """
-    names = sensors.select(c(group).alias("_g"), c(sensor).alias("_s")).distinct()
+    by = [f"_o{i}" for i in range(len(order))]
+    names = sensors.select(c(group).alias("_g"), c(sensor).alias("_s"), *[c(n).alias(o) for n, o in zip(order, by)]).distinct()
+    by = [*by, "_s"]
     ranges = materialize(
-        names.repartitionByRange("_g", "_s").select("_g", "_s", F.spark_partition_id().alias("_range")), "report-names"
+        names.repartitionByRange("_g", *by).select("_g", *by, F.spark_partition_id().alias("_range")), "report-names"
     )
     in_order = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = (
@@ -233,7 +326,7 @@ def report_parts(
             F.sum("_n").over(Window.partitionBy("_g")).alias("_total"),
         )
     )
-    position = F.col("_before") + F.row_number().over(Window.partitionBy("_g", "_range").orderBy("_s"))
+    position = F.col("_before") + F.row_number().over(Window.partitionBy("_g", "_range").orderBy(*by))
     size = F.lit(float(per_part))
     return (
         ranges.join(before, ["_g", "_range"])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -13,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from stationloom.errors import StationLoomError, ValidationError
 from stationloom.operators import missing
 from stationloom.sources import merge
-from stationloom.sources.files import read_lines, stem
 from stationloom.storage import materialize
 
 
@@ -26,7 +24,7 @@ class MissingRateReport:
 
 
 def missing_rate_report(
-    datasets: Mapping[str, Mapping[str, DataFrame]],
+    datasets: Mapping[str, Mapping[str, DataFrame] | missing.LongTables],
     time_col: str = merge.TIME,
     hours: tuple[int, int] | None = missing.DAYLIGHT_HOURS,
     change_date: str = missing.CHANGE_DATE,
@@ -34,31 +32,24 @@ def missing_rate_report(
 ) -> MissingRateReport:
     """Monthly rates by sensor group of every kind, with pages and titles.
 
-    The tables of a kind are put side by side on time first, so a time that only some of them have
-    counts as missing in the others. Each kind is computed by itself; one that fails, for example
-    for duplicate times, does not stop the rest.
+    A time that only some tables of a kind have counts as missing in the others. Each kind is computed by itself; one that
+    fails, for example for duplicate times, does not stop the rest. Tables come as DataFrames by name, or as long tables
+    (:func:`stationloom.sources.merge.read_long`), which may be any number of files.
     """
     rates, failed = [], {}
     for kind, tables in sorted(datasets.items()):
         try:
-            side_by_side = merge.combine_prefixed(tables)
-            rates.append(
-                materialize(
-                    missing.missing_rate_by_group(side_by_side, time_col, kind, hours, change_date, per_part), "rates"
-                )
-            )
+            long = tables if isinstance(tables, missing.LongTables) else merge.long_tables(tables, time_col)
+            found = missing.long_missing_rates(long, kind, hours, change_date)
+            rates.append(materialize(missing.paged_rates(found, long.sensors, kind, per_part), "rates"))
         except (StationLoomError, PySparkException, Py4JJavaError) as e:
             failed[kind] = f"{type(e).__name__}: {e}"
     return MissingRateReport(merge.union_by_name(rates) if rates else None, failed)
 
 
-def load_tables(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, DataFrame]:
-    """CSV tables of a folder, one per file, by file name. Every file becomes columns of a report, so they are few."""
-    lines = read_lines(spark, folder, pattern)
-    if lines is None:
+def load_tables(spark: SparkSession, folder: str, pattern: str = "*.csv") -> missing.LongTables:
+    """CSV tables of a folder, one per file, by file name, in one scan however many there are."""
+    tables = merge.read_long(spark, folder, pattern)
+    if tables is None:
         raise ValidationError(f"no table {pattern!r} with any content in {folder}")
-    files = lines.select("_source", stem(lines["_source"]).alias("name")).distinct().collect()
-    return {
-        r["name"]: merge.read_typed_csv(spark, folder, pattern=unquote(r["_source"].rsplit("/", 1)[1]))
-        for r in sorted(files, key=lambda r: r["name"])
-    }
+    return tables

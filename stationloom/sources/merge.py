@@ -14,13 +14,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationloom.columns import POWER_TIME_NAMES, c, time_column
+from stationloom.columns import POWER_TIME_NAMES, c, nan_to_null, time_column
 from stationloom.errors import DataIntegrityError, DataProcessingError, ValidationError
-from stationloom.functions.names import file_prefix
+from stationloom.functions.names import file_prefix, file_prefix_expr
 from stationloom.functions.parse import parse_date_and_time, parse_number, parse_time
 from stationloom.operators.integrity import dedupe_keep_first
-from stationloom.sources.files import ROW_ORDER, SOURCE, CsvTable, read_csv_table, read_lines, stem
+from stationloom.operators.missing import LongTables
+from stationloom.sources.files import ROW_ORDER, SOURCE, TEXT, CsvTable, nth_lines, read_csv_table, read_lines, stem
 from stationloom.sources.logs import parse_logs, read_station_logs, without_order
+from stationloom.storage import local_table, materialize
 
 TIME = "DateTime"
 
@@ -239,6 +241,65 @@ def combine_prefixed(tables: Mapping[str, DataFrame], keys: Sequence[str] = (TIM
     return align_on_time([prefixed(df, name, keys) for name, df in sorted(tables.items())], keys)
 
 
+def long_tables(tables: Mapping[str, DataFrame], time_col: str = TIME) -> LongTables:
+    """Tables with columns of their own as long ones, sensors named after their table."""
+    if not tables:
+        raise DataIntegrityError("no table to combine")
+    parts, listed = [], []
+    for name, df in sorted(tables.items()):
+        df, prefix = nan_to_null(df), file_prefix(name)
+        own = {n: f"{prefix}_{n}" for n in df.columns if n != time_col}
+        cells = F.array(*[F.struct(F.lit(s).alias("sensor"), c(n).cast("double").alias("value")) for n, s in own.items()])
+        cells = cells.cast("array<struct<sensor: string, value: double>>")
+        parts.append(df.select(F.lit(name).alias("table"), c(time_col).alias("time"), cells.alias("cells")))
+        listed += [(name, i, s) for i, s in enumerate(own.values())]
+    sensors = local_table(parts[0].sparkSession, listed, "table string, place int, sensor string")
+    return LongTables(union_by_name(parts), sensors)
+
+
+def csv_fields(text: Column) -> Column:
+    """The fields of a CSV line, also quoted ones."""
+    bare = lambda x: F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    found = F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(r',("(?:[^"]|"")*+"|[^,]*+)'), F.lit(1))
+    quoted = F.transform(found, lambda x: F.when(x.startswith('"'), bare(x)).otherwise(x))
+    return F.when(F.contains(text, F.lit('"')), quoted).otherwise(F.split(text, ",", -1))
+
+
+def read_long(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", time_col: str = TIME, recursive: bool = False,
+    table: Column | None = None, skip_unreadable: bool = False,
+) -> LongTables | None:
+    """CSV tables as the sinks write them, any number of files with any columns, in one scan; None if there are none.
+
+    The lines are stored once; the first one of a file is its header, joined to its other lines, which are cut in cells by it.
+    No name of a file or column comes to the driver. Files without the time column are left out. ``table`` gives the
+    table of a file by its path (``_source``), the file name without extension if it is not given.
+    """
+    lines = read_lines(spark, paths, pattern, recursive, skip_unreadable)
+    if lines is None:
+        return None
+    table = stem(F.col(SOURCE)) if table is None else table
+    lines = materialize(lines.where(F.trim(TEXT) != "").select(*ROW_ORDER, table.alias("table"), TEXT), "csv-lines")
+    heads = nth_lines(lines, 1).select(SOURCE, F.col(TEXT).alias("_header"), csv_fields(F.col(TEXT)).alias("_names"))
+    heads = materialize(heads.where(F.array_contains("_names", time_col)), "csv-heads")
+    fields = csv_fields(F.col(TEXT))
+    sensor = lambda name: F.concat(file_prefix_expr(F.col("table")), F.lit("_"), name)
+    rows = lines.join(heads, SOURCE).where(F.col(TEXT) != F.col("_header")).withColumn("_fields", fields)
+    numbered = F.transform("_names", lambda n, i: F.struct(n.alias("n"), i.alias("i")))
+    cells = F.transform(
+        F.filter(numbered, lambda x: x["n"] != time_col),
+        lambda x: F.struct(sensor(x["n"]).alias("sensor"), F.nullif(parse_number(F.get("_fields", x["i"])), F.lit(float("nan"))).alias("value")),
+    )
+    time = parse_time(F.get("_fields", F.array_position("_names", time_col).cast("int") - 1))
+    tables = lines.select(SOURCE, "table").distinct().join(heads, SOURCE)
+    names = tables.select("table", F.posexplode("_names").alias("place", "name")).where(F.col("name") != time_col)
+    sensors = names.groupBy("table", "name").agg(F.min("place").alias("place"))
+    return LongTables(
+        rows.select("table", time.alias("time"), cells.alias("cells")),
+        materialize(sensors.select("table", "place", sensor(F.col("name")).alias("sensor")), "csv-sensors"),
+    )
+
+
 def read_typed_csv(
     spark: SparkSession, paths: str | Sequence[str], time_col: str = TIME, columns: Sequence[str] | None = None,
     pattern: str = "*.csv",

@@ -214,8 +214,9 @@ def test_report_goes_on_after_a_failure(spark, tmp_path):
     write(f"{tmp_path}/R x.csv", "DateTime,SM_1\n2024-01-01 07:00:00,1\n")
     write(f"{tmp_path}/empty.csv", "")
     tables = load_tables(spark, str(tmp_path))
-    assert sorted(tables) == ["GR_1yr", "R x"]
-    double = tables["R x"].unionAll(tables["R x"])
+    assert rows(tables.sensors, "table") == [("GR_1yr", 1, "GR_v"), ("R x", 1, "R x_SM_1")]
+    one = spark.createDataFrame([(at("2024-01-01 07:00"), 1.0)], "DateTime timestamp_ntz, SM_1 double")
+    double = one.unionAll(one)
     report = missing_rate_report({"microclimate": tables, "power": {"twice": double}, "weather": {}})
     got = {(r.data_type, r.group, r.sensor): (r.missing_rate, r.part, r.parts, r.title) for r in report.rates.collect()}
     assert got == {

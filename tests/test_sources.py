@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import at, frame, rows
 from stationloom.errors import DataParsingError, DataProcessingError, ValidationError
+from stationloom.operators import missing
 from stationloom.sources import files, logs, merge
 from stationloom.storage import materialize
 
@@ -224,3 +225,41 @@ def test_all_logs_of_a_job_read_the_text_twice(spark, tmp_path, monkeypatch):
     later = [text_scans(x) for x in (done.rows, done.layout, done.audit, done.losses)]
     assert (sum(stored), sum(later)) == (2, 0)
     assert {(r.device, r.column) for r in done.layout.collect()} == {("S", "T1"), ("S", "H1")}
+
+
+def test_any_number_of_files_in_one_scan(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(2000):
+        (folder / f"t{i}_1yr.csv").write_text(f'DateTime,v{i}\n2024-01-01 {7 + i % 2:02d}:00:00,{i}\n')
+    (folder / "odd, name.csv").write_text('"a, ""b""",DateTime,c\n1,2024-01-01 07:00:00,\n"3",2024-01-01 08:00:00,NaN\n\nx\n')
+    (folder / "timeless.csv").write_text("a,b\n1,2\n")
+    (folder / "empty.csv").write_text("")
+    stored = []
+    monkeypatch.setattr(merge, "materialize", lambda df, label: stored.append(text_scans(df)) or materialize(df, label))
+    long = merge.read_long(spark, str(folder))
+    assert sum(stored) == 1 and text_scans(long.rows) == text_scans(long.sensors) == 0
+    assert long.sensors.count() == 2002 and long.sensors.where("sensor = 't7_v7' AND table = 't7_1yr' AND place = 1").count() == 1
+    odd = long.readings().where("table = 'odd, name'").select("sensor", "time", "value")
+    assert rows(odd, "time", "sensor") == [
+        ("odd, name_a, \"b\"", None, None), ("odd, name_c", None, None),
+        ("odd, name_a, \"b\"", at("2024-01-01 07:00"), 1.0), ("odd, name_c", at("2024-01-01 07:00"), None),
+        ("odd, name_a, \"b\"", at("2024-01-01 08:00"), 3.0), ("odd, name_c", at("2024-01-01 08:00"), None),
+    ]
+    rates = missing.long_missing_rates(long, "weather")
+    assert len(rates.columns) == 5 and len(rates._jdf.queryExecution().optimizedPlan().toString()) < 30_000
+    got = {r.sensor: r.missing_rate for r in rates.collect()}
+    assert len(got) == 2002 and got["t7_v7"] == 0.5 and got["odd, name_a, \"b\""] == 0.0 and got["odd, name_c"] == 1.0
+
+
+def test_long_rates_equal_those_of_the_aligned_table(spark):
+    t = "DateTime timestamp_ntz, `x_WT` double, `y_WT-to-Sed` double, SM_1 double"
+    hours = [at(f"2024-{m:02d}-{d:02d} {h:02d}:00") for m in (11, 12) for d in (1, 2) for h in (5, 8, 12, 17, 18)]
+    one = frame(spark, [(x, *[float(i) if (i + k) % 3 else None for k in range(3)]) for i, x in enumerate(hours)], t)
+    two = frame(spark, [(x, float(i), None, float("nan")) for i, x in enumerate(hours[3:]) if i % 2] + [(None, 1.0, 1.0, 1.0)], t)
+    tables = {"B_1yr": one, "A": two}
+    for kind in ("microclimate", "power", "weather"):
+        wide = missing.missing_rate_by_group(merge.combine_prefixed(tables), "DateTime", kind, per_part=2)
+        long = merge.long_tables(tables)
+        found = missing.paged_rates(missing.long_missing_rates(long, kind), long.sensors, kind, 2)
+        assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, found.collect()))
