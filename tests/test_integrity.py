@@ -99,3 +99,34 @@ def test_table_contracts(spark):
             integrity.validate_time_column(df, name)
     summary = integrity.table_summary(typed, "DateTime").first()
     assert (summary.records, summary.columns, summary.start) == (2, 2, at("2024-01-01 10:00"))
+
+
+def scans(df) -> int:
+    """Scans of the source, a range in these tests, in the plan of a table."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Range (")
+
+
+def test_temporal_report_reads_the_source_once(spark, monkeypatch):
+    from stationloom.storage import materialize
+
+    stored = []
+    monkeypatch.setattr(series, "materialize", lambda df, label: stored.append((label, scans(df))) or materialize(df, label))
+    df = spark.range(5000).selectExpr("id % 3 AS station", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id * 7) AS DateTime")
+    for unique in (False, True):
+        del stored[:]
+        report, gaps = series.temporal_consistency(df, "DateTime", ["station"], 5, unique_times=unique), series.temporal_gaps(df, "DateTime", 5, ["station"], unique_times=unique)
+        assert [x for x in stored if x[1]] == [("slice-summaries", 1), ("slice-edges", 1)]
+        assert scans(report) == scans(gaps) == 0
+        r = {x.station: x for x in report.collect()}
+        assert (r[0].total_records, r[0].median_interval_s, r[0].gap_count, gaps.count()) == (1667, 21.0, 1666, 4997)
+
+
+def test_temporal_report_of_nothing_and_of_nulls(spark):
+    none = frame(spark, [], f"station string, {T}")
+    assert series.temporal_consistency(none, "DateTime", ["station"], 60).collect() == []
+    whole = series.temporal_consistency(none, "DateTime", [], 60).first()
+    assert (whole.total_records, whole.start, whole.median_interval_s) == (0, None, None)
+    nulls = frame(spark, [(None, None), (None, None), (None, at("2024-01-01")), ("a", None)], f"station string, {T}")
+    for unique in (False, True):
+        got = {r.station: (r.total_records, r.start, r.gap_count) for r in series.temporal_consistency(nulls, "DateTime", ["station"], 60, unique_times=unique).collect()}
+        assert got == {None: (3, at("2024-01-01"), 0), "a": (1, None, None)}
