@@ -7,7 +7,8 @@ is the plain integer sequence between them, for fixed steps and calendar periods
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from math import gcd
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,20 +47,28 @@ class Frequency:
         """Whether bins depend on where the series starts (7 h bins do, 1 h and 1 month bins do not)."""
         return DAY % self.step != 0 if self.step else self.count > 1
 
-    def origin(self, ts: Column) -> Column:
-        """Start of a series whose earliest time is ``ts``: its midnight, or the period it lies in."""
+    @property
+    def base(self) -> Frequency:
+        """The longest bins that make up both these bins and days (or single periods), wherever a series starts."""
+        return replace(self, count=1, step=gcd(self.step, DAY) if self.step else None)
+
+    def origin_of(self, base: Column) -> Column:
+        """Start of a series by its first base bin: the midnight before it, or the period itself."""
         if self.step:
-            m = micros(ts)
-            return m - F.pmod(m, F.lit(DAY).cast("long"))
-        return _period_number(ts, self.period, self.week_end)
+            start = base * F.lit(self.base.step).cast("long")
+            return start - F.pmod(start, F.lit(DAY).cast("long"))
+        return base
 
-    def ordinal(self, ts: Column, origin: Column | None = None) -> Column:
+    def ordinal_of(self, base: Column, origin: Column) -> Column:
+        """The bin that a base bin lies in."""
         if self.step:
-            return floor_div(micros(ts) if origin is None else micros(ts) - origin, self.step)
-        number = _period_number(ts, self.period, self.week_end)
+            return floor_div(base * F.lit(self.base.step).cast("long") - origin, self.step)
         # the first bin closes with the period the series starts in, or opens with it
-        ahead = 0 if self.by_start else self.count - 1
-        return number if origin is None else floor_div(number - origin + ahead, self.count)
+        return floor_div(base - origin + (0 if self.by_start else self.count - 1), self.count)
+
+    def ordinal(self, ts: Column) -> Column:
+        """The bin of a time, for bins that do not depend on the start of a series."""
+        return floor_div(micros(ts), self.step) if self.step else _period_number(ts, self.period, self.week_end)
 
     def label(self, ordinal: Column, origin: Column | None = None) -> Column:
         """Start of a fixed bin, last or first day of a calendar bin."""

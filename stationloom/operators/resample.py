@@ -4,7 +4,8 @@ One aggregation covers all columns. Bins without rows are filled in from the dis
 bin and the next one of its series. The windows that find the next bin see a stretch of bins, or
 one row per stretch, however long a series is; the stretches come from a pass over the keys and
 times alone. A table without keys is a single series: its bins are spread over tasks and joined to
-a range of bins instead, whose ends come from such a pass too.
+a range of bins instead, whose ends come from such a pass too. Steps that depend on where a series starts, such as 7 hours,
+are made of stored base bins, from which the start is read.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from stationloom.errors import DataProcessingError, ValidationError
 from stationloom.functions.angles import direction
 from stationloom.functions.clock import floor_div
 from stationloom.functions.frequency import Frequency, parse_frequency
+from stationloom.storage import materialize
 
 # Aggregation method and the column-name patterns it is for; anything else is a mean.
 METHOD_PATTERNS = {
@@ -90,11 +92,14 @@ def resample(
             raise DataProcessingError(f"column {n!r} is not numeric")
 
     rows = nan_to_null(df).where(c(time_col).isNotNull())
-    rows, origin = _with_origin(rows, freq, time_col, keys)
-    group = [c(k) for k in keys] + ([F.col("_origin")] if origin is not None else [])
-    bins = rows.groupBy(*group, freq.ordinal(c(time_col), origin).alias("_bin")).agg(
-        *[m for i, n in enumerate(names) for m in _measures(n, chosen[n], i)]
-    )
+    if freq.needs_origin:
+        bins, counted, ordinal = _bins_from_origin(rows, freq, time_col, keys, names, chosen)
+        origin = F.col("_origin")
+    else:
+        ordinal, origin, counted = freq.ordinal(c(time_col)), None, rows
+        bins = rows.groupBy(*[c(k) for k in keys], ordinal.alias("_bin")).agg(
+            *[m for i, n in enumerate(names) for m in _measures(n, chosen[n], i)]
+        )
     if keys:
         bins = _with_last(bins, keys)
         # in two steps, as one array per gap could get as long as the gap
@@ -102,7 +107,7 @@ def resample(
         to = F.least(F.col("_from") + (GAP_BLOCK - 1), F.col("_last"))
         grid = grid.withColumn("_slot", F.explode(F.sequence(F.col("_from"), to)))
     else:
-        grid = _single_grid(rows, bins, freq.ordinal(c(time_col), origin), origin)
+        grid = _single_grid(counted, bins, ordinal, origin)
     real = F.coalesce(F.col("_slot") == F.col("_bin"), F.lit(False))
     return grid.select(
         *[c(k) for k in keys],
@@ -139,18 +144,44 @@ def _single_grid(rows: DataFrame, bins: DataFrame, ordinal: Column, origin: Colu
     return grid.withColumn("_origin", F.lit(ends["origin"]).cast("long"))
 
 
-def _with_origin(rows: DataFrame, freq: Frequency, time_col: str, keys: Sequence[str]):
-    """Attach where each series starts, for the steps that depend on it."""
-    if not freq.needs_origin:
-        return rows, None
-    origins = rows.groupBy(*[c(k).alias(f"_k_{k}") for k in keys]).agg(F.min(c(time_col)).alias("_first"))
-    origins = origins.withColumn("_origin", freq.origin(F.col("_first"))).drop("_first")
-    if not keys:
-        first = origins.first()
-        return rows.withColumn("_origin", F.lit(first["_origin"]).cast("long")), F.col("_origin")
-    on = [c(k).eqNullSafe(c(f"_k_{k}")) for k in keys]
-    joined = rows.join(origins, on, "inner").drop(*[f"_k_{k}" for k in keys])
-    return joined, F.col("_origin")
+def _bins_from_origin(
+    rows: DataFrame, freq: Frequency, time_col: str, keys: Sequence[str], names: Sequence[str], chosen: Mapping[str, str]
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Bins of a step that depends on where a series starts, in two levels and one pass over the readings.
+
+    Base bins, which end wherever a bin or a day could, are stored as sums and counts; the first one of a series gives its
+    origin, and they are added up to bins. Returns the bins, the base bins with their origin, and the ordinal of a base bin.
+    """
+    key_cols = [c(k) for k in keys]
+
+    def parts(n: str, i: int) -> list[Column]:
+        v = c(n)
+        if chosen[n] == "circular_mean":
+            sums = [F.sum(F.sin(F.radians(v))).alias(f"_s{i}"), F.sum(F.cos(F.radians(v))).alias(f"_c{i}")]
+            return [*sums, F.count(v).alias(f"_n{i}")]
+        return [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_n{i}")]
+
+    def whole(n: str, i: int) -> list[Column]:
+        mean = lambda part: F.try_divide(F.sum(f"_{part}{i}"), F.sum(f"_n{i}"))
+        if chosen[n] == "circular_mean":
+            return [mean("s").alias(f"_a{i}"), mean("c").alias(f"_b{i}")]
+        if chosen[n] == "sum":
+            return [F.sum(f"_s{i}").alias(f"_a{i}")]
+        kind = rows.select(F.avg(c(n))).schema[0].dataType
+        return [mean("s").cast(kind).alias(f"_a{i}")]
+
+    base = rows.groupBy(*key_cols, freq.base.ordinal(c(time_col)).alias("_base")).agg(
+        *[m for i, n in enumerate(names) for m in parts(n, i)]
+    )
+    base = materialize(base, "base-bins")
+    first = base.groupBy(*key_cols).agg(freq.origin_of(F.min("_base")).alias("_origin"))
+    if keys:
+        base = join_on_keys(base, first, keys)
+    else:
+        base = base.withColumn("_origin", F.lit(first.first()["_origin"]).cast("long"))
+    ordinal = freq.ordinal_of(F.col("_base"), F.col("_origin"))
+    bins = base.groupBy(*key_cols, "_origin", ordinal.alias("_bin")).agg(*[m for i, n in enumerate(names) for m in whole(n, i)])
+    return bins, base, ordinal
 
 
 def resample_stats(before: DataFrame, after: DataFrame, frequency: str) -> DataFrame:

@@ -87,3 +87,17 @@ def test_frequencies():
     for bad in ("", "1", "fortnight", "0h", "-1h", "1x", "1h1M", "W-XXX", "0W-MON"):
         with pytest.raises(ValidationError):
             parse_frequency(bad)
+
+
+def test_steps_with_an_origin_read_the_source_once(spark, monkeypatch):
+    from stationloom.operators import resample as module
+    from stationloom.storage import materialize
+
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Range (")
+    stored = []
+    monkeypatch.setattr(module, "materialize", lambda df, label: stored.append(scans(df)) or materialize(df, label))
+    df = spark.range(5000).selectExpr("id % 3 AS station", "timestamp_ntz '2024-01-01 09:00' + make_dt_interval(0, 0, 0, id * 700) AS DateTime", "id * 1.0D AS v", "CAST(id AS DECIMAL(9, 2)) AS d")
+    for frequency in ("7h", "2M", "7min"):
+        out = resample(df, frequency, keys=["station"])
+        assert scans(out) == 0 and out.schema["d"].dataType == resample(df, "1h", keys=["station"]).schema["d"].dataType
+    assert stored == [1, 1, 1]
