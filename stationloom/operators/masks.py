@@ -1,7 +1,7 @@
 """Row-wise masks: readings outside a range or inside a failure window become NULL.
 
 Each mask is a projection, for failure windows after a join with the rule table, whose size Catalyst
-knows. Chained masks stay one stage in the plan. NaN counts as missing.
+knows, and a binary search in the windows of a station. Chained masks stay one stage in the plan. NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationloom.columns import (
@@ -22,9 +22,9 @@ from stationloom.columns import (
     unpivot_stats,
 )
 from stationloom.errors import ValidationError
-from stationloom.functions.clock import hour_in
+from stationloom.functions.clock import DAY, hour_in, micros
 from stationloom.rules import FailureWindow, RangeRule
-from stationloom.storage import local_table
+from stationloom.storage import local_table, materialize
 
 
 def _rule_of(name: str, rules: Sequence[RangeRule]) -> RangeRule | None:
@@ -174,11 +174,32 @@ def _affected(columns: Sequence[str], w: FailureWindow) -> list[str]:
     return [n for p in w.sensors for n in columns if p in n]
 
 
-def _typed(w: Column, whole_last_day: bool) -> tuple[Column, Column]:
-    """Start and last moment of a window."""
-    end = w["end"].cast("timestamp_ntz")
-    extra = F.expr("INTERVAL '1 00:00:00' DAY TO SECOND - INTERVAL '0.000001' SECOND")
-    return w["start"].cast("timestamp_ntz"), end + extra if whole_last_day else end
+def _spans(spark: SparkSession, windows: Sequence[FailureWindow], whole_last_day: bool) -> list[tuple[int, int]]:
+    """First and last microsecond of each window; bounds are read as Spark reads them, from a table that needs no job."""
+    given = local_table(spark, [(i, w.start, w.end) for i, w in enumerate(windows)], "i int, first string, last string")
+    at = lambda n: micros(F.col(n).cast("timestamp_ntz"))
+    rows = given.select("i", at("first").alias("first"), (at("last") + (DAY - 1 if whole_last_day else 0)).alias("last")).collect()
+    found = {r["i"]: (r["first"], r["last"]) for r in rows}
+    return [found[i] for i in range(len(windows))]
+
+
+def _merged(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same moments as disjoint spans in order."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(s for s in spans if s[0] <= s[1]):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
+
+
+def _count_upto(points: Column, value: Column, most: int) -> Column:
+    """How many of the sorted ``points``, ``most`` at the most, are not above ``value``: a binary search; 0 for NULL."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(most, 1).bit_length()))])
+    return F.aggregate(
+        steps, F.lit(0), lambda found, step: F.when(F.get(points, found + step - 1) <= value, found + step).otherwise(found)
+    )
 
 
 def failure_mask(
@@ -193,32 +214,34 @@ def failure_mask(
 
     Bounds are midnights, both included, so the last day loses only its 00:00:00 row unless
     ``whole_last_day``. ``station`` is the expression that gives a row's station key. The rule table
-    has one row per station with the windows of each sensor, and is joined on the station.
+    has one row per station, joined on it: for each sensor the sorted bounds of its windows, made disjoint. A row is inside
+    one if the number of bounds up to its time is odd, which a binary search finds, so its cost hardly depends on how
+    many windows a station has.
     """
     sensors = sensor_columns(df, [*exclude, time_col])
+    spans = _spans(df.sparkSession, windows, whole_last_day)
     by_station: dict[str, dict[str, list]] = {}
-    for w in windows:
+    for w, span in zip(windows, spans):
         for n in dict.fromkeys(_affected(sensors, w)):
-            by_station.setdefault(w.station, {}).setdefault(n, []).append((w.start, w.end))
+            by_station.setdefault(w.station, {}).setdefault(n, []).append(span)
     failing = [n for n in sensors if any(n in found for found in by_station.values())]
     if not failing:
         return df
-    span = "array<struct<start: string, end: string>>"
-    schema = ", ".join(["_station string", *[f"_windows_{i} {span}" for i in range(len(failing))]])
-    listed = [
-        (s, *[[{"start": a, "end": b} for a, b in found[n]] if n in found else None for n in failing])
+    bounds = {
+        s: {n: [x for first, last in _merged(each) for x in (first, last + 1)] for n, each in found.items()}
         for s, found in by_station.items()
-    ]
-    table = local_table(df.sparkSession, listed, schema)
-    times = lambda w: F.struct(*[t.alias(n) for n, t in zip(("start", "end"), _typed(w, whole_last_day))])
-    table = table.select("_station", *[F.transform(f"_windows_{i}", times).alias(f"_windows_{i}") for i in range(len(failing))])
-    joined = df.withColumn("_key", station).join(table, F.col("_key") == F.col("_station"), "left")
-    ts = c(time_col)
-    hit = {
-        n: F.coalesce(F.exists(f"_windows_{i}", lambda w: (ts >= w["start"]) & (ts <= w["end"])), F.lit(False))
-        for i, n in enumerate(failing)
     }
-    return joined.select(*[F.when(~hit[n], c(n)).alias(n) if n in hit else c(n) for n in df.columns])
+    schema = ", ".join(["_station string", *[f"_bounds_{i} array<long>" for i in range(len(failing))]])
+    table = local_table(df.sparkSession, [(s, *[found.get(n) for n in failing]) for s, found in bounds.items()], schema)
+    joined = df.withColumn("_key", station).join(table, F.col("_key") == F.col("_station"), "left")
+    at = micros(c(time_col).cast("timestamp_ntz"))
+
+    def hit(i: int, n: str) -> Column:
+        most = max(len(found.get(n, ())) for found in bounds.values())
+        return _count_upto(F.col(f"_bounds_{i}"), at, most) % 2 == 1
+
+    hits = {n: hit(i, n) for i, n in enumerate(failing)}
+    return joined.select(*[F.when(~hits[n], c(n)).alias(n) if n in hits else c(n) for n in df.columns])
 
 
 def failure_stats(
@@ -233,35 +256,48 @@ def failure_stats(
     """Rows per key and window, with the columns and patterns it concerns.
 
     A key has a row for each window of the stations it has rows of; ``failure_station`` is the
-    station of the rule. Only counts are shuffled.
+    station of the rule. The bounds of a station's windows cut time into stretches; rows are counted by the stretch that a
+    binary search finds, and a window's rows are a difference of running sums over stretches. Only counts are shuffled.
     """
     sensors = sensor_columns(df, [*exclude, *keys, time_col])
     useful = [w for w in windows if _affected(sensors, w)]
     if not useful:
         raise ValidationError("no failure window concerns a column of this table")
+    spark, key_cols = df.sparkSession, [c(k) for k in keys]
+    spans = _spans(spark, useful, whole_last_day)
+    points: dict[str, list[int]] = {}
+    for w, (first, last) in zip(useful, spans):
+        points.setdefault(w.station, []).extend([first, max(first, last + 1)])
+    points = {s: sorted(set(p)) for s, p in points.items()}
+    place = {s: {x: i + 1 for i, x in enumerate(p)} for s, p in points.items()}
     listed = [
-        (i, w.station, _affected(sensors, w), f"{w.start} to {w.end}", list(w.sensors), w.start, w.end)
-        for i, w in enumerate(useful)
+        (i, w.station, _affected(sensors, w), f"{w.start} to {w.end}", list(w.sensors),
+         place[w.station][first], place[w.station][max(first, last + 1)])
+        for i, (w, (first, last)) in enumerate(zip(useful, spans))
     ]
     schema = (
         "_rule int, failure_station string, affected_columns array<string>, failure_period string, "
-        "sensor_patterns array<string>, start string, end string"
+        "sensor_patterns array<string>, _from int, _to int"
     )
-    described = local_table(df.sparkSession, listed, schema)
-    start, end = _typed({n: F.col(n) for n in ("start", "end")}, whole_last_day)
-    entry = F.struct(F.col("_rule").alias("rule"), start.alias("start"), end.alias("end"))
-    table = described.groupBy("failure_station").agg(F.collect_list(entry).alias("_windows"))
-    rows = df.select(*[c(k) for k in keys], station.alias("_key"), c(time_col).alias("_ts"))
+    described = local_table(spark, listed, schema)
+    table = local_table(spark, list(points.items()), "failure_station string, _points array<long>")
+    most = max(map(len, points.values()))
+    rows = df.select(*key_cols, station.alias("_key"), micros(c(time_col).cast("timestamp_ntz")).alias("_ts"))
     rows = rows.join(table, F.col("_key") == F.col("failure_station"))
-    # no rule of a row's station counts towards "present", each window that holds it towards its rule
-    inside = F.filter("_windows", lambda w: (F.col("_ts") >= w["start"]) & (F.col("_ts") <= w["end"]))
-    rules = F.concat(F.array(F.lit(-1)), F.transform(inside, lambda w: w["rule"]))
-    counted = rows.select(*[c(k) for k in keys], "failure_station", F.explode(rules).alias("_rule"))
-    counted = counted.groupBy(*[c(k) for k in keys], "failure_station", "_rule").agg(F.count("*").alias("_hits"))
-    present = counted.where("_rule = -1").drop("_rule", "_hits").join(described.drop("start", "end"), "failure_station")
-    hits = counted.where("_rule >= 0").drop("failure_station")
+    stretch = _count_upto(F.col("_points"), F.col("_ts"), most).alias("_at")
+    counted = materialize(rows.groupBy(*key_cols, "failure_station", stretch).agg(F.count("*").alias("_n")), "failure-counts")
+    present = counted.select(*key_cols, "failure_station").distinct().join(described, "failure_station")
+    # what lies before each bound of a window: its rows come before the stretch that starts there
+    sides = F.inline(F.array(*[F.struct(F.col(n).alias("_at"), F.lit(sign).alias("_sign")) for n, sign in (("_from", -1), ("_to", 1))]))
+    bounds = present.select(*key_cols, "failure_station", "_rule", sides)
+    here = counted.select(*key_cols, "failure_station", F.lit(None).cast("int").alias("_rule"), "_at", F.lit(0).alias("_sign"), "_n")
+    every = here.unionByName(bounds.withColumn("_n", F.lit(0).cast("long")))
+    order = Window.partitionBy(*key_cols, "failure_station").orderBy("_at", F.col("_rule").asc_nulls_last())
+    before = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hits = every.select(*key_cols, "_rule", (before * F.col("_sign")).alias("_hits")).where("_rule IS NOT NULL")
+    hits = hits.groupBy(*key_cols, "_rule").agg(F.sum("_hits").alias("_hits"))
     found = join_on_keys(present, hits, [*keys, "_rule"], "left")
     return found.select(
-        *[c(k) for k in keys], "failure_station", "affected_columns", "failure_period",
+        *key_cols, "failure_station", "affected_columns", "failure_period",
         F.coalesce("_hits", F.lit(0).cast("long")).alias("affected_timestamps"), "sensor_patterns",
     )

@@ -112,3 +112,36 @@ def test_masks_do_not_shuffle_the_readings(spark):
     assert masked.collect()[0].Temp_1 is None
     plan = masked._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_very_many_windows_on_one_station(spark):
+    start = at("2020-01-01")
+    days = [start + timedelta(days=2 * i) for i in range(10_000)]
+    # every other day, some of them overlapping or empty, one with hours
+    windows = [FailureWindow("s", f"{d:%Y-%m-%d}", f"{d + timedelta(days=i % 3 == 0):%Y-%m-%d}", ("v",)) for i, d in enumerate(days)]
+    windows += [FailureWindow("s", "2021-05-05 06:00:00", "2021-05-05 07:30:00", ("w",)), FailureWindow("s", "2021-05-07", "2021-05-01", ("w",))]
+    windows += [FailureWindow("t", "2020-01-01", "2030-01-01", ("v",))]
+    data = [("s", start + timedelta(hours=h), 1.0, 1.0) for h in range(0, 24 * 600, 5)] + [("s", None, 1.0, 1.0), ("t", start, 1.0, 1.0), (None, start, 1.0, 1.0)]
+    df = frame(spark, data, "station string, DateTime timestamp_ntz, v double, w double")
+
+    def inside(w, s, t, whole):
+        from datetime import datetime
+
+        first, last = datetime.fromisoformat(w.start), datetime.fromisoformat(w.end)
+        return w.station == s and t is not None and first <= t <= last + timedelta(days=whole, microseconds=-whole)
+
+    by_day = {}
+    for w in windows:
+        by_day.setdefault(w.station, []).append(w)
+    for whole in (False, True):
+        out = failure_mask(df, windows, F.col("station"), "DateTime", ["station"], whole)
+        near = lambda s, t: [w for w in by_day.get(s, ()) if t is None or len(w.start) > 10 or s == "t" or w.start > w.end or abs((at(w.start + " 00:00") - t).days) < 4]
+        want = [
+            (s, t, *[None if any(n in w.sensors and inside(w, s, t, whole) for w in near(s, t)) else 1.0 for n in "vw"]) for s, t, _, _ in data
+        ]
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+        stats = failure_stats(df, windows, F.col("station"), "DateTime", ["station"], whole)
+        found = {(r.failure_station, r.failure_period): r.affected_timestamps for r in stats.collect()}
+        assert len(found) == len(windows)
+        for w in [*windows[:250:7], *windows[-3:]]:
+            assert found[w.station, f"{w.start} to {w.end}"] == sum(inside(w, s, t, whole) for s, t, _, _ in data)
