@@ -30,6 +30,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -101,11 +102,16 @@ class Tokenizers:
         self.b_length = np.array(list(map(len, self.b_bytes)), dtype=np.int64)
         self._mark = self._pieces.piece_to_id("▁")
 
-    def a_ids(self, strings: list[str]) -> list[list[int]]:
-        return [
-            self._fast.encode_ordinary(s) if len(s) <= LONG else self._whole.encode(s, add_special_tokens=False).ids
-            for s in strings
+    def a_ids(self, plain: list[str], odd: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all strings, number of ids of each). Plain ones follow each other as in a text and are encoded as one."""
+        ids = self._fast.encode_ordinary("".join(plain))
+        ends = np.cumsum([len(s.encode()) for s in plain], dtype=np.int64)
+        each = np.diff(np.searchsorted(np.cumsum(self.a_length[ids]), ends) + 1, prepend=0) if plain else ends
+        rest = [
+            self._fast.encode_ordinary(s) if len(s) <= LONG else self._whole.encode(s, add_special_tokens=False).ids for s in odd
         ]
+        flat = np.array([*ids, *chain.from_iterable(rest)], dtype=np.int64)
+        return flat, np.concatenate([each, np.array(list(map(len, rest)), dtype=np.int64)])
 
     def b_ids(self, strings: list[str]) -> list[list[int]]:
         """Of strings that start with a space, which B adds itself, or with a line break, before which it adds a mark too many."""
@@ -121,6 +127,13 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
 
 def pieces_of(text: str) -> list[str]:
     """The pieces of a space and the text, each with the space or line break it starts with."""
+    words = text.split()
+    breaks = text.count("\n")
+    if len(text) - sum(map(len, words)) == len(words) - 1 == text.count(" ") + breaks:
+        # all white space is lone spaces and line breaks between words
+        if not breaks:
+            return [" " + w for w in words]
+        return [w if w[0] == "\n" else " " + w for w in text.replace("\n", " \n").split(" ")]
     return _CUT.split(" " + text)
 
 
@@ -169,15 +182,20 @@ class Chunk:
     def learn(self, pieces: list[str]) -> None:
         """Encode and align pieces not seen before."""
         tok = self._tok
-        a, b = tok.a_ids(pieces), tok.b_ids(pieces)
+        odd = [s for s in pieces if len(s) > LONG or s[1:2].isspace() or s[-1].isspace()]
+        apart = set(odd)
+        plain = [s for s in pieces if s not in apart]
+        pieces = plain + odd
+        (a_flat, n_a), b = tok.a_ids(plain, odd), tok.b_ids(pieces)
+        good = np.ones(len(pieces), dtype=bool)
         for i, (s, y) in enumerate(zip(pieces, b)):
             self.index[s] = len(self.index)
             self.bytes += len(s)
             if b"".join(map(tok.b_bytes.__getitem__, y)) != s.encode():
-                a[i], b[i] = [], []
-        n_a, n_b = np.array(list(map(len, a)), dtype=np.int64), np.array(list(map(len, b)), dtype=np.int64)
-        a_flat = np.array([x for y in a for x in y], dtype=np.int64)
-        b_flat = np.array([x for y in b for x in y], dtype=np.int64)
+                b[i], good[i] = [], False
+        a_flat, n_a = a_flat[np.repeat(good, n_a)], n_a * good
+        n_b = np.array(list(map(len, b)), dtype=np.int64)
+        b_flat = np.fromiter(chain.from_iterable(b), dtype=np.int64, count=int(n_b.sum()))
         a_ends, b_ends = np.cumsum(tok.a_length[a_flat]), np.cumsum(tok.b_length[b_flat])
         # pieces follow each other in both, so offsets over all of them are comparable and every piece ends a group
         ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
@@ -193,28 +211,34 @@ class Chunk:
         left = np.repeat(a_flat, each)
         right = b_flat[np.arange(total) - np.repeat(np.cumsum(each) - each, each) + np.repeat(shift[a_group], each)]
         code = (left << 16) | right
-        both, times = np.unique(np.stack([np.repeat(owner, each), code]), axis=1, return_counts=True)
+        both, times = np.unique(np.repeat(owner, each) << 32 | code, return_counts=True)
+        holder, code = both >> 32, both & 0xFFFFFFFF
         links = np.bincount(piece, weights=in_a * in_b, minlength=len(pieces)).astype(np.int64)
         groups = np.bincount(piece, minlength=len(pieces))
         rows = np.zeros(len(pieces), dtype="i8,i8,i8,i8")
         rows["f0"], rows["f1"], rows["f2"], rows["f3"] = n_a, n_b, groups, links
         self.counts.extend(rows)
-        self.good.extend(n_a > 0)
+        self.good.extend(good)
         fresh = [c for c in np.unique(code).tolist() if c not in self.pairs]
         self.pairs.update(zip(fresh, range(len(self.pairs), len(self.pairs) + len(fresh))))
         self.codes.extend(fresh)
         self.n_docs.extend(np.zeros(len(fresh), dtype=np.int64))
-        self.first.extend(self.pair.n + np.cumsum(np.bincount(both[0], minlength=len(pieces))))
-        self.pair.extend([self.pairs[c] for c in both[1].tolist()])
+        self.first.extend(self.pair.n + np.cumsum(np.bincount(holder, minlength=len(pieces))))
+        self.pair.extend(list(map(self.pairs.__getitem__, code.tolist())))
         self.times.extend(times)
         self._write(a_flat, b_flat, in_a, in_b, groups)
 
     def _write(self, a_flat, b_flat, in_a, in_b, groups) -> None:
         """The groups of each piece as text."""
-        a, b, i, j, written = list(map(str, a_flat.tolist())), list(map(str, b_flat.tolist())), 0, 0, []
-        for x, y in zip(in_a.tolist(), in_b.tolist()):
-            written.append((a[i] if x == 1 else ",".join(a[i : i + x])) + "|" + (b[j] if y == 1 else ",".join(b[j : j + y])))
-            i, j = i + x, j + y
+
+        def sides(flat, each) -> list[str]:
+            said, ends = list(map(str, flat.tolist())), np.cumsum(each)
+            out = list(map(said.__getitem__, (ends - each).tolist()))
+            for g in np.flatnonzero(each > 1).tolist():
+                out[g] = ",".join(said[ends[g] - each[g] : ends[g]])
+            return out
+
+        written = list(map("{}|{}".format, sides(a_flat, in_a), sides(b_flat, in_b)))
         at = 0
         for n in groups.tolist():
             self.forms.append(written[at] if n == 1 else ";".join(written[at : at + n]))
@@ -231,8 +255,14 @@ class Chunk:
         start, stop = self.first.values[distinct], self.first.values[distinct + 1]
         each = stop - start
         at = np.repeat(start - np.cumsum(each) + each, each) + np.arange(int(each.sum()))
-        places, where = np.unique(self.pair.values[at], return_inverse=True)
-        links = np.bincount(where, weights=self.times.values[at] * np.repeat(often, each)).astype(np.int64)
+        pair, times = self.pair.values[at], self.times.values[at] * np.repeat(often, each)
+        if 4 * len(pair) > len(self.pairs):
+            dense = np.bincount(pair, weights=times)
+            places = np.flatnonzero(dense)
+            links = dense[places].astype(np.int64)
+        else:
+            places, where = np.unique(pair, return_inverse=True)
+            links = np.bincount(where, weights=times).astype(np.int64)
         self.n_docs.values[places] += copies
         digest = hashlib.sha256(";".join(map(self.forms.__getitem__, ids)).encode()).hexdigest()
         packed = _pack(np.diff(places, prepend=0)), _pack(links)
