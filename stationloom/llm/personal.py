@@ -6,15 +6,17 @@ part. An *identifier* is a run of letters, digits and ``@._%+/#-`` with an ``@``
 case, up to the identifier before. The graph of phrases and identifiers is scored in ``ROUNDS`` rounds:
 
 * a phrase is a pattern of a kind if identifiers of that kind follow it in at least ``CONFIDENCE`` of *all* places of the
-  corpus where the phrase stands, with whatever follows, and at least ``SUPPORT`` different ones do;
+  corpus where the phrase stands, with whatever follows, and at least ``SUPPORT`` different ones do (a phrase stands at
+  least as often as identifiers follow it, also where the rest of a word is one of its words);
 * an identifier that is no seed gets, for a kind, the mean over its places of the confidence of the better pattern there, and
   counts with that score, for the kind that scores highest, in the next round once it reaches ``ACCEPTED``.
 
 What is reported: every place where an accepted identifier follows a pattern of its kind, as ``found_<kind>``. Scores are whole
 millionths, so that sums do not depend on their order. SQL functions only.
 
-How it scales: the texts are read twice, for identifiers with their phrases (a small table), and for the number of
-places of those phrases that stand before ``SUPPORT`` identifiers (counted on the map side). The graph holds one row per
+How it scales: the texts are read for identifiers with their phrases (a small table), and once a round for the number of
+places of phrases that could be patterns by the identifiers after them alone and were not counted before; a round without such
+phrases reads nothing. Words are joined with the last words of those phrases and counted on the map side. The graph holds one row per
 identifier and pair of phrases; copies only raise its counts. Spans are a function of the text, so found ones come
 back to the rows by a hash of 64 bits of the text, one list per distinct text.
 
@@ -211,33 +213,42 @@ def _by_phrase(edges: DataFrame, *columns: str) -> DataFrame:
     return edges.select(F.explode(phrases).alias("phrase"), *columns)
 
 
-def phrase_places(docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """(phrase, places): how often each phrase that stands before ``SUPPORT`` identifiers stands anywhere."""
-    each = _by_phrase(edges, "value", "n_glued").groupBy("phrase", "value").agg(F.sum("n_glued").alias("n_glued"))
-    each = each.groupBy("phrase").agg(F.count("*").alias("n"), F.sum("n_glued").alias("n_glued")).where(F.col("n") >= SUPPORT)
-    phrases = materialize(each.select("phrase", "n_glued"), "phrases")
-    words = F.split(F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))), " ")
-    both = docs.select(words.alias("w")).select(F.explode(F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("x"))
-    last = phrases.where(~F.contains("phrase", F.lit(" "))).select("phrase")
-    pairs = phrases.where(F.contains("phrase", F.lit(" "))).select("phrase")
-    # a pair's second word is a phrase itself
-    near = both.select(F.col("x.a").alias("a"), F.col("x.b").alias("b"))
-    one = near.join(last, F.col("a") == F.col("phrase")).groupBy("phrase").agg(F.count("*").alias("n"))
-    two = near.select(F.concat_ws(" ", "a", "b").alias("ab"), "b").where("b IS NOT NULL")
-    two = two.join(last.withColumnRenamed("phrase", "second"), F.col("b") == F.col("second"), "left_semi")
-    two = two.join(pairs, F.col("ab") == F.col("phrase")).groupBy("phrase").agg(F.count("*").alias("n"))
-    glued = phrases.select("phrase", F.col("n_glued").alias("n"))
-    return one.unionByName(two).unionByName(glued).groupBy("phrase").agg(F.sum("n").alias("places"))
-
-
-def patterns_of(edges: DataFrame, scores: DataFrame, total: DataFrame) -> DataFrame:
-    """(phrase, kind, confidence) of the patterns, for scores of identifiers (s_value, kind, score)."""
+def phrases_of(edges: DataFrame) -> DataFrame:
+    """(phrase, n_after, n_glued): places of identifiers after each phrase that stands before ``SUPPORT`` different ones."""
+    each = _by_phrase(edges, "value", "n", "n_glued").groupBy("phrase", "value").agg(F.sum("n").alias("n"), F.sum("n_glued").alias("n_glued"))
+    each = each.groupBy("phrase").agg(F.count("*").alias("support"), F.sum("n").alias("n_after"), F.sum("n_glued").alias("n_glued"))
+    return each.where(F.col("support") >= SUPPORT).drop("support")
+
+
+def possible_patterns(edges: DataFrame, scores: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(phrase, kind, w, n_after, n_glued) of what could be a pattern, if nothing else followed the phrase anywhere."""
     known = edges.join(scores, F.col("value") == F.col("s_value"))
     each = _by_phrase(known, "kind", "value", "n", "score")
     each = each.groupBy("phrase", "kind", "value").agg(F.sum(F.col("n") * F.col("score")).alias("w"))
-    each = each.groupBy("phrase", "kind").agg(F.sum("w").alias("w"), F.count("*").alias("support")).where(F.col("support") >= SUPPORT)
-    both = each.join(total.withColumnRenamed("phrase", "t_phrase"), F.col("phrase") == F.col("t_phrase"))
-    confidence = F.least(F.expr("w div places"), F.lit(1_000_000).cast("long"))
+    each = each.groupBy("phrase", "kind").agg(F.sum("w").alias("w"), F.count("*").alias("support"))
+    each = each.where(F.col("support") >= SUPPORT).drop("support")
+    both = each.join(phrases.withColumnRenamed("phrase", "a_phrase"), F.col("phrase") == F.col("a_phrase")).drop("a_phrase")
+    return both.where(F.expr("w div n_after") >= CONFIDENCE)
+
+
+def phrase_places(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(phrase, places): how often each of these phrases stands in the texts as whole words."""
+    words = F.split(F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))), " ")
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("w")), F.lit(1), F.size("w"))
+    both = F.zip_with("w", before, lambda b, a: F.struct(a.alias("a"), b.alias("b")))
+    near = docs.select(words.alias("w")).select(F.explode(both).alias("x")).select("x.a", "x.b")
+    last = phrases.select(F.substring_index("phrase", " ", -1).alias("last")).distinct()
+    near = near.join(last, F.col("b") == F.col("last"))
+    two = F.when(F.col("a").isNotNull(), F.concat_ws(" ", "a", "b"))
+    counted = near.select(F.explode(F.array("b", two)).alias("said")).groupBy("said").agg(F.count("*").alias("places"))
+    found = phrases.join(counted, F.col("phrase") == F.col("said"), "left")
+    return found.select("phrase", F.coalesce("places", F.lit(0).cast("long")).alias("places"))
+
+
+def patterns_of(possible: DataFrame, total: DataFrame) -> DataFrame:
+    """(phrase, kind, confidence) of the patterns."""
+    both = possible.join(total.withColumnRenamed("phrase", "t_phrase"), F.col("phrase") == F.col("t_phrase"))
+    confidence = F.expr("w div greatest(places + n_glued, n_after)")
     return both.select("phrase", "kind", confidence.alias("confidence")).where(F.col("confidence") >= CONFIDENCE)
 
 
@@ -267,12 +278,20 @@ def scores_of(edges: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def bootstrap(docs: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(patterns, scores) after all rounds."""
-    total = materialize(phrase_places(docs, edges), "phrase-places")
+    phrases = materialize(phrases_of(edges), "phrases")
     seeds = edges.where("seed IS NOT NULL").select(F.col("value").alias("s_value"), F.col("seed").alias("kind")).distinct()
-    seeds = seeds.withColumn("score", F.lit(1_000_000).cast("long"))
-    known = seeds
+    known = seeds = seeds.withColumn("score", F.lit(1_000_000).cast("long"))
+    total = None
     for _ in range(ROUNDS):
-        patterns = materialize(patterns_of(edges, known, total), "patterns")
+        possible = materialize(possible_patterns(edges, known, phrases), "possible-patterns")
+        new = possible.select("phrase").distinct()
+        if total is not None:
+            new = new.join(total.select("phrase"), "phrase", "left_anti")
+        if total is None or not new.isEmpty():
+            new = materialize(new, "new-phrases")
+            places = materialize(phrase_places(docs, new), "phrase-places")
+            total = places if total is None else total.unionByName(places)
+        patterns = materialize(patterns_of(possible, total), "patterns")
         scores = materialize(scores_of(edges, patterns), "identifier-scores")
         known = seeds.unionByName(scores)
     return patterns, scores

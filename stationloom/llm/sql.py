@@ -153,7 +153,7 @@ def _op11() -> str:
         known = "seeds" if not r else f"(SELECT * FROM seeds UNION ALL SELECT * FROM scores{r - 1})"
         rounds += f"""
 pat{r} AS (
-  SELECT phrase, kind, least(w // places, 1000000) AS confidence
+  SELECT phrase, kind, w // places AS confidence
   FROM (SELECT phrase, kind, sum(n * score) AS w, count(DISTINCT v) AS support
         FROM (SELECT unnest([one, two]) AS phrase, v, n FROM graph) JOIN {known} USING (v) WHERE phrase IS NOT NULL GROUP BY phrase, kind)
   JOIN total USING (phrase) WHERE support >= 5 AND w // places >= 600000),
@@ -172,7 +172,8 @@ WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS tex
 {base}{places("ident", ident)}
 element AS (
   SELECT row, start, v, g, regexp_extract(g, '{white}$') = '' AS glued, trim(regexp_replace(lower(
-    CASE WHEN length(g) > 96 THEN regexp_replace(right(g, 96), '^[^ 	-]+', '') ELSE g END), '{white}', ' ', 'g'), ' ') AS words
+    CASE WHEN length(g) > 96 THEN regexp_replace(right(g, 96), '^[^ 	-
+]+', '') ELSE g END), '{white}', ' ', 'g'), ' ') AS words
   FROM (SELECT row, start, v, i,
           -- words without a digit are no identifiers: they belong to what stands before the next one
           string_agg(g || CASE WHEN regexp_matches(v, '[0-9@]') THEN '' ELSE v END, '' ORDER BY i) OVER (PARTITION BY row, part ORDER BY i) AS g
@@ -184,18 +185,18 @@ place AS (
   FROM element WHERE length(v) >= 5 AND (contains(v, '@') OR length({digits}) >= 3)),
 graph AS (SELECT v, one, two, count(*) AS n, count(*) FILTER (glued) AS n_glued, {seed} AS seed FROM place GROUP BY v, one, two),
 phrases AS (
-  SELECT phrase, sum(n_glued) AS n_glued FROM (SELECT unnest([one, two]) AS phrase, v, n_glued FROM graph)
+  SELECT phrase, sum(n_glued) AS n_glued, sum(n) AS n_after FROM (SELECT unnest([one, two]) AS phrase, v, n, n_glued FROM graph)
   WHERE phrase IS NOT NULL GROUP BY phrase HAVING count(DISTINCT v) >= 5),
 word AS (
   SELECT w, lag(w) OVER (PARTITION BY row ORDER BY i) AS before
   FROM (SELECT row, unnest(w) AS w, generate_subscripts(w, 1) AS i
         FROM (SELECT row, string_split(lower(trim(regexp_replace(text, '{white}', ' ', 'g'), ' ')), ' ') AS w FROM d))),
 total AS (
-  SELECT phrase, sum(n) AS places FROM (
+  SELECT phrase, greatest(sum(n), max(n_after)) AS places FROM (
     SELECT phrase, n_glued AS n FROM phrases
     UNION ALL SELECT w AS phrase, count(*) AS n FROM word WHERE w IN (SELECT phrase FROM phrases) GROUP BY w
     UNION ALL SELECT before || ' ' || w AS phrase, count(*) AS n FROM word WHERE before || ' ' || w IN (SELECT phrase FROM phrases) GROUP BY before || ' ' || w)
-  GROUP BY phrase),
+  JOIN phrases USING (phrase) GROUP BY phrase),
 seeds AS (SELECT DISTINCT v, seed AS kind, 1000000 AS score FROM graph WHERE seed IS NOT NULL),
 {rounds}
 ends AS (
