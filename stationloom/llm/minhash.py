@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationloom.llm.components import components
+from stationloom.llm.text import packed, unpacked
 from stationloom.storage import materialize
 
 SHINGLE = 5
@@ -240,8 +241,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     still = _open_members(members, centres, labels, sets)
     rest = materialize(_block_links(still, sets), "block-links")
     labels = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    final = materialize(components(labels.unionByName(rest)), "final-labels")
-    # rows with one doc_id and different words are one vertex: their sequences are linked through the row
+    # rows with one doc_id and different words are one document: their sequences are linked through it
+    both = worded.groupBy("doc_id").agg(F.min("words_key").alias("x"), F.max("words_key").alias("y")).where("x <> y").select("doc_id")
+    through = worded.select("doc_id", "words_key").distinct().join(both, "doc_id").join(same, "words_key")
+    through = through.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).where("a <> b")
+    final = materialize(components(labels.unionByName(rest).unionByName(through)), "final-labels")
     named = same.join(final, "id", "left").select(F.col("words_key").alias("k"), F.coalesce("component", "id").alias("component_id"))
     out = signed.join(named, F.col("words_key") == F.col("k"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
@@ -251,7 +255,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that stay: the smallest doc_id of every component, one row for each doc_id."""
-    kept = materialize(near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of every group of near copies: that of the smallest doc_id, of its texts one.
+
+    Here a document is a doc_id with a text, so that no text goes that nothing which stays is a copy of, also where rows of
+    one doc_id have different texts. Rows without a doc_id stay.
+    """
+    rows = packed(docs).withColumn("id", F.xxhash64(F.col("doc.doc_id"), F.coalesce("doc.text", F.lit(""))))
+    named = rows.where("doc.doc_id IS NOT NULL")
+    found = near_duplicates(named.select(F.col("id").alias("doc_id"), F.col("doc.text").alias("text")))
+    found = found.select(F.col("doc_id").alias("f_id"), "component_id").distinct()
+    ids = named.select("id", F.col("doc.doc_id").alias("doc_id")).distinct()
+    best = F.min(F.struct("doc_id", "id"))["id"].alias("kept_id")
+    kept = ids.join(found, F.col("id") == F.col("f_id")).groupBy("component_id").agg(best)
+    kept = materialize(kept.select("kept_id"), "kept")
+    one = named.join(kept, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id"])
+    return unpacked(one.unionByName(rows.where("doc.doc_id IS NULL")), docs)

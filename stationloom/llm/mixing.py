@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stationloom.llm.text import n_words, words
+from stationloom.llm.text import n_words, packed, unpacked, words
 from stationloom.storage import materialize
 
 #: Hash buckets of a source: three hexadecimal digits.
@@ -63,16 +63,19 @@ def source_targets(
     return s.select("source", "source_size", target.alias("target"))
 
 
-def _order_key(doc_id: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def _order_key(doc_id: Column, text: Column, seed: int) -> Column:
+    """The place of a document in its source; without a doc_id it goes by the text, so that such rows do not share one."""
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    return F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
 
 
 def mix(
     docs: DataFrame, seed: int = 7, weights: Sequence[int] = (5, 2, 1), share: tuple[int, int] = (3, 2), max_epochs: int = 2
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, row): the words that the mixture takes of every row of ``docs``."""
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    sized = materialize(sized.withColumn("key", _order_key(F.col("doc_id"), seed)), "sizes")
+    key = _order_key(F.col("doc_id"), F.col("text"), seed).alias("key")
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key)
+    sized = materialize(sized, "sizes")
     return _taken(sized, weights, share, max_epochs)
 
 
@@ -115,31 +118,33 @@ def mixed_documents(docs: DataFrame, seed: int = 7, length: str = "n_chars", **h
 
     Columns as in ``docs``; ``length``, if there is such a column, follows the text.
     """
-    sized = docs.withColumns({"size": n_words(F.col("text")), "key": _order_key(F.col("doc_id"), seed)})
-    narrow = materialize(sized.select("doc_id", "source", "size", "key"), "sizes")
+    text = F.col("doc.text")
+    sized = packed(docs).withColumns(
+        {"size": n_words(text), "key": _order_key(F.col("doc.doc_id"), text, seed), "source": F.col("doc.source")}
+    )
+    narrow = materialize(sized.select("source", "size", "key"), "sizes")
     how = {"weights": (5, 2, 1), "share": (3, 2), "max_epochs": 2} | how
     # documents that differ only in text share a key, so they are told apart by size; equal sizes are taken alike
-    taken = _taken(narrow, **how).groupBy(
-        F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size")
-    ).agg(F.sort_array(F.collect_list("taken")).alias("takes"))
-    mine = (
-        F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source"))
-        & (F.col("size") == F.col("m_size"))
-    )
-    same = W.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"))
+    taken = _taken(narrow.withColumn("k", F.col("key")), **how).groupBy(
+        F.col("k").alias("m_key"), F.col("source").alias("m_source"), F.col("size").alias("m_size")
+    ).agg(F.count("*").alias("rows"), F.min("taken").alias("least"), F.max("taken").alias("most"), F.sum("taken").alias("sum"))
+    mine = (F.col("key") == F.col("m_key")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size"))
     rows = sized.join(taken, mine)
-    one = rows.where(F.size("takes") == 1).withColumn("taken", F.element_at("takes", 1))
-    more = rows.where(F.size("takes") > 1).withColumn("taken", F.element_at("takes", F.row_number().over(same)))
+    # of rows alike in all that, one at most is taken in part, those before it with the most and those after it with the least
+    same = W.partitionBy("key", "source", "size").orderBy(F.xxhash64(text))
+    gain = F.greatest(F.col("most") - F.col("least"), F.lit(1))
+    place, over = F.row_number().over(same), F.col("sum") - F.col("least") * F.col("rows")
+    share = F.least(gain, F.greatest(F.lit(0), over - (place - 1) * gain))
+    one = rows.where("rows = 1").withColumn("taken", F.col("most"))
+    more = rows.where("rows > 1").withColumn("taken", F.col("least") + share)
     rows = one.unionByName(more)
     full = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).otherwise(0)
     rest = F.col("taken") - full * F.col("size")
     copies = F.concat(
-        F.array_repeat(F.col("text"), full.cast("int")),
-        F.when(rest > 0, F.array(F.array_join(F.slice(words(F.col("text")), 1, rest.cast("int")), " "))).otherwise(
+        F.array_repeat(text, full.cast("int")),
+        F.when(rest > 0, F.array(F.array_join(F.slice(words(text), 1, rest.cast("int")), " "))).otherwise(
             F.array().cast("array<string>")
         ),
     )
-    out = rows.withColumn("text", F.explode(copies))
-    if length in docs.columns:
-        out = out.withColumn(length, F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    out = rows.select("doc", F.explode(copies).alias("copy"))
+    return unpacked(out, docs, {"text": F.col("copy"), length: F.length("copy").cast("long")})

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationloom.llm.text import WHITE, let, words
+from stationloom.llm.text import WHITE, let, packed, unpacked, words
 from stationloom.storage import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -216,23 +216,23 @@ def clean_documents(docs: DataFrame, limits: LineLimits = LineLimits(), length:
     # rows with one doc_id may have different texts, so a verdict goes by both
     row = ["id", "text_key", "host"]
     lost = kept_lines(lines, frequent, limits).where(F.col("keeper").isNull() | (F.col("keeper") != F.col("id")))
-    lost = lost.groupBy(*row).agg(F.sum("w").alias("lost"), F.collect_set("h").alias("_removed"))
+    lost = lost.groupBy(*row).agg(F.sum("w").alias("lost"), F.collect_set("h").alias("removed"))
     lost = lost.withColumnsRenamed({"id": "l_id", "text_key": "l_key", "host": "l_host"})
     same = (F.col("id") == F.col("l_id")) & (F.col("text_key") == F.col("l_key")) & F.col("host").eqNullSafe(F.col("l_host"))
     rows = lines.where(~_base_failed()).select(F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).alias("id"), "text_key", "host", "n_words")
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     verdict = rows.distinct().join(lost, same, "left").where(left >= F.lit(limits.min_left) * F.col("n_words")).select(
-        F.col("id").alias("_kept_id"), F.col("text_key").alias("_kept_key"), F.col("host").alias("_kept_host"), "_removed"
+        "id", "text_key", "host", "removed"
     )
-    id_ = F.coalesce(F.col("doc_id"), F.lit(_NO_ID))
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    of_row = (id_ == F.col("_kept_id")) & (key == F.col("_kept_key")) & F.col("source").eqNullSafe(F.col("_kept_host"))
-    out = docs.join(verdict, of_row)
+    id_ = F.coalesce(F.col("doc.doc_id"), F.lit(_NO_ID))
+    key = F.xxhash64(F.coalesce(F.col("doc.text"), F.lit("")))
+    of_row = (id_ == F.col("id")) & (key == F.col("text_key")) & F.col("doc.source").eqNullSafe(F.col("host"))
+    out = packed(docs).join(verdict, of_row)
     stays = F.filter(
-        F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_removed"), F.xxhash64(normalised_line(x)))
+        F.split("doc.text", "\n"), lambda x: ~F.array_contains(F.col("removed"), F.xxhash64(normalised_line(x)))
     )
-    untouched = F.col("_removed").isNull()
-    out = out.withColumn("text", F.when(untouched, F.col("text")).otherwise(F.array_join(stays, "\n")))
+    out = out.withColumn("left", F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.array_join(stays, "\n")))
+    changed = {"text": F.col("left")}
     if length in docs.columns:
-        out = out.withColumn(length, F.when(untouched, F.col(length)).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+        changed[length] = F.when(F.col("removed").isNull(), F.col("doc")[length]).otherwise(F.length("left").cast("long"))
+    return unpacked(out, docs, changed)

@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationloom.llm.text import packed, unpacked
+
 #: In the order of spans that start at the same place.
 KINDS = ("assign", "access", "hex", "novel")
 SPANS = "array<struct<kind: string, start: long, end: long>>"
@@ -224,7 +226,9 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", length: str = "n_chars") -
                 out.append(t)
             yield pd.Series(out, dtype=object)
 
-    out = docs.withColumn("text", cover("text"))
+    rows = packed(docs)
+    rows = rows.withColumn("covered", cover("doc.text"))
+    changed = {"text": F.col("covered")}
     if length in docs.columns:
-        out = out.withColumn(length, F.when(F.col("text").isNull(), F.col(length)).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+        changed[length] = F.when(F.col("covered").isNull(), F.col("doc")[length]).otherwise(F.length("covered").cast("long"))
+    return unpacked(rows, docs, changed)

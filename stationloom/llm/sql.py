@@ -38,7 +38,7 @@ FROM counted
 """
 
 OP5 = rf"""
-WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))) AS key FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
@@ -24,3 +24,13 @@ def n_words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also where lambdas inside ``body`` use it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def packed(docs: DataFrame, name: str = "doc") -> DataFrame:
+    """The rows of a table in one column, so that names of a step never meet those of its input."""
+    return docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias(name))
+
+
+def unpacked(rows: DataFrame, like: DataFrame, changed: dict[str, Column] | None = None, name: str = "doc") -> DataFrame:
+    """The columns of ``like`` out of packed rows, some of them changed."""
+    return rows.select(*[((changed or {}).get(n, F.col(name)[n])).alias(n) for n in like.columns])

@@ -435,3 +435,42 @@ def test_html_page_with_text_outside_the_winner(spark):
 def test_stages_keep_the_columns(spark, docs, none, stage):
     assert stage(spark, docs, "").columns == docs.columns
     assert stage(spark, none, "").count() == 0
+
+
+def test_near_duplicates_of_rows_that_repeat_a_doc_id(spark):
+    p, q = PROSE, "quite another text that shares no five words in a row with the first one at all"
+    docs = spark.createDataFrame([(1, p), (2, p), (2, q), (3, q), (4, None)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()} == {
+        (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True),
+    }
+    # the stage keeps a row of every text
+    assert sorted(map(tuple, minhash.one_of_each(docs).collect()), key=str) == [(1, p), (2, q), (4, None)]
+
+
+CLASHES = (
+    "key string, size long, taken long, m_id long, m_key string, takes long, rows long, doc string, id long, kept_id long, h long, host string, "
+    "text_key long, removed string, left string, copy string, component_id long, n_words long, `a.b` long, _kept long, bucket long"
+)
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=[n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_the_values_of_all_columns(spark, stage):
+    names = [x.split()[-2].strip("`") for x in CLASHES.split(", ")]
+    kinds = [x.split()[-1] for x in CLASHES.split(", ")]
+    line = "this line stands in every one of the documents of the host and is a frequent one"
+    texts = [f"{PROSE} number {i} of many that differ by more than a quarter " + " ".join(f"w{chr(97 + i % 15)}{'xy'[i // 15]}{chr(97 + j)}" for j in range(26)) for i in range(30)]
+    rows_ = [
+        (i, f"{t}\n{line}", "en", "s", 7, *[f"K{i}" if k == "string" else 700 + i for k in kinds]) for i, t in enumerate(texts)
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + CLASHES
+    out = stage(spark, spark.createDataFrame(rows_, schema), "")
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    got = out.collect()
+    assert len({r.doc_id for r in got}) == 30
+    assert all(tuple(r)[5:] == rows_[r.doc_id][5:] for r in got)
+
+
+def test_mixing_tells_rows_without_a_doc_id_apart(spark):
+    docs = spark.createDataFrame([(None, f"{i} b c d", "s") for i in range(40)] + [(None, "x y", "s")] * 3, "doc_id long, text string, source string")
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.select(F.sum(F.size(F.split("text", " ")))).first()[0] == sum(r.taken for r in mixing.mix(docs).collect()) == 249
