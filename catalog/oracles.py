@@ -92,7 +92,7 @@ minutes AS (SELECT station AS device, date_trunc('minute', "DateTime") AS "DateT
 tables AS (
   SELECT 0 AS t, device, "DateTime", event_id, click, error, purchase FROM minutes WHERE event_id % 2 = 0
   UNION ALL BY NAME
-  SELECT 1 AS t, device, "DateTime", event_id, click, signup, view FROM minutes WHERE event_id % 3 <> 0)
+  SELECT 1 AS t, device, "DateTime", event_id, click, signup, view FROM minutes WHERE event_id % 2 = 1 OR event_id % 3 = 0)
 SELECT device, "DateTime", event_id, click, error, purchase, signup, view FROM tables
 QUALIFY row_number() OVER (PARTITION BY device, "DateTime" ORDER BY t, event_id) = 1"""
 

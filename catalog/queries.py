@@ -93,7 +93,7 @@ def merge_devices(spark, sf):
     w = i.wide(spark, sf).withColumn(TIME, F.date_trunc("minute", TIME).cast("timestamp_ntz"))
     w = w.withColumnRenamed("station", "device")
     first = w.where("event_id % 2 = 0").select("device", TIME, "event_id", "click", "error", "purchase")
-    second = w.where("event_id % 3 <> 0").select("device", TIME, "event_id", "signup", "click", "view")
+    second = w.where("event_id % 2 = 1 OR event_id % 3 = 0").select("device", TIME, "event_id", "signup", "click", "view")
     return merge.merge_devices([first, second], order=[F.col("event_id")])
 
 

@@ -7,12 +7,16 @@ next stage reads the files, which cuts lineage and prunes columns and devices at
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationloom.columns import c
 from stationloom.errors import ConfigurationError, DataProcessingError, ValidationError
@@ -29,6 +33,7 @@ from stationloom.storage import local_table
 
 TIME, DEVICE = merge.TIME, "device"
 KINDS = ("microclimate", "power", "weather")
+STAGES = ("merged", "quality_controlled", "downsampled", "interpolated")
 # Suffixes of what lies before and after the change of planting, and what is split.
 PART1, PART2 = "_WT", "_WT-to-Sed"
 SPLIT_TABLE_PATTERN = "WedTri"
@@ -206,16 +211,52 @@ def extract_tasks(tasks: ExtractTasks, tables: Mapping[str, DataFrame], columns)
     return found
 
 
+MANIFEST = "step string, state string, fingerprint string, inputs string, tables array<struct<name: string, schema: string>>"
+STARTED, DONE = "started", "done"
+
+
 class _Store:
-    """Tables below the run folder: written once, read back as files."""
+    """Tables below the run folder: written once, read back as files.
+
+    A step is a group of tables that are worth something together. Its record in ``manifest/`` says ``started`` before
+    the first table is written and ``done``, with the schemas, after the last one, so a step that was broken off is
+    never taken for whole. A step that is done for the same settings, and those of all steps before it, is not run again.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-
-    def table(self, df: DataFrame, name: str, by_device: bool = True) -> DataFrame:
-        path = f"{self.root}/{name}"
-        write_table(df, path, [DEVICE] if by_device else [], [TIME] if TIME in df.columns else [])
-        return self.spark.read.schema(df.schema).parquet(path)
+        self.settings = ""
+        self.records = stored_steps(spark, root)
+
+    def write(self, df: DataFrame, name: str, by_device: bool = True) -> DataFrame:
+        write_table(df, f"{self.root}/{name}", [DEVICE] if by_device else [], [TIME] if TIME in df.columns else [])
+        return self.read(name, df.schema)
+
+    def read(self, name: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+    def step(self, name: str, settings: Sequence, build: Callable[[Callable[..., DataFrame]], None]) -> dict[str, DataFrame]:
+        """The tables of a step; ``build`` gets a function that stores a table under a name, if the step has to run."""
+        inputs = "; ".join(map(repr, settings))
+        self.settings = sha256(f"{self.settings} {name} {inputs}".encode()).hexdigest()
+        known = self.records.get(name)
+        if known and known["state"] == DONE and known["fingerprint"] == self.settings:
+            return {t["name"]: self.read(t["name"], T.StructType.fromJson(json.loads(t["schema"]))) for t in known["tables"]}
+        found: dict[str, DataFrame] = {}
+
+        def put(df: DataFrame, table: str, by_device: bool = True) -> DataFrame:
+            found[table] = self.write(df, table, by_device)
+            return found[table]
+
+        self._record(name, STARTED, inputs, {})
+        build(put)
+        self._record(name, DONE, inputs, found)
+        return found
+
+    def _record(self, name: str, state: str, inputs: str, tables: Mapping[str, DataFrame]) -> None:
+        row = (name, state, self.settings, inputs, [(n, df.schema.json()) for n, df in tables.items()])
+        one = self.spark.createDataFrame([row], MANIFEST).coalesce(1)
+        one.write.mode("overwrite").json(f"{self.root}/manifest/{name}")
 
     def deliver(self, df: DataFrame, name: str, fmt: str) -> DataFrame:
         path = f"{self.root}/extracted/{name}"
@@ -224,8 +265,57 @@ class _Store:
         return reader.parquet(path) if fmt == "parquet" else reader.option("header", True).csv(path)
 
 
+def stored_steps(spark: SparkSession, root: str) -> dict[str, Row]:
+    """The records of a run's steps, a handful."""
+    try:
+        records = spark.read.schema(MANIFEST).option("recursiveFileLookup", True).json(f"{root}/manifest")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return {}
+        raise
+    return {r["step"]: r for r in records.collect()}
+
+
+def stored_stages(spark: SparkSession, root: str) -> dict[str, dict[str, DataFrame]]:
+    """The whole stages of an earlier run, by stage and kind; what was broken off is left out."""
+    stages: dict[str, dict[str, DataFrame]] = {}
+    for name, r in stored_steps(spark, root).items():
+        if r["state"] == DONE and name in STAGES:
+            for t in r["tables"]:
+                stage, _, kind = t["name"].partition("/")
+                if stage == name:
+                    df = spark.read.schema(T.StructType.fromJson(json.loads(t["schema"]))).parquet(f"{root}/{t['name']}")
+                    stages.setdefault(stage, {})[kind] = df
+    return stages
+
+
+def extract_from_run(spark: SparkSession, root: str, cfg: PipelineConfig) -> PipelineResult:
+    """Extraction and report from the stages of an earlier run, without its inputs.
+
+    Of interpolated, downsampled and quality-controlled tables, the first that the settings ask for and the run has are taken;
+    results are written below ``output_root`` as by a run of their own.
+    """
+    stages = stored_stages(spark, root)
+    tables = choose_stage(stages, cfg.downsample, cfg.interpolate and cfg.gaps.enabled)
+    if not tables:
+        raise DataProcessingError(f"no whole stage to extract from in {root}")
+    known = stored_steps(spark, root)["merged"]["tables"]
+    layouts = {
+        t["name"].partition("/")[2]: spark.read.schema(T.StructType.fromJson(json.loads(t["schema"]))).parquet(f"{root}/{t['name']}")
+        for t in known if t["name"].startswith("layout/")
+    }
+    own = f"{cfg.output_root.rstrip('/')}/{cfg.run_id or run_name(cfg.downsample, cfg.interpolate)}"
+    stats: dict[str, DataFrame] = {}
+    extracted, failed = _deliver(cfg, _Store(spark, own), tables, layouts, stats)
+    return PipelineResult(own, stages, extracted, stats, failed)
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
-    """Run all enabled stages and write every stage's tables and statistics below ``output_root``."""
+    """Run all enabled stages and write every stage's tables and statistics below ``output_root``.
+
+    With the ``run_id`` of a run that ended early, it is taken up after its last whole stage of the same settings; the
+    inputs of stages that are done are not looked at.
+    """
     interpolate = cfg.interpolate and cfg.gaps.enabled
     check_stages(cfg.downsample, interpolate)
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
@@ -238,48 +328,71 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     stages: dict[str, dict[str, DataFrame]] = {}
     stats: dict[str, DataFrame] = {}
 
-    def keep_stats(df: DataFrame, name: str) -> DataFrame:
-        stats[name] = store.table(df, f"stats/{name}", by_device=False)
-        return stats[name]
-
-    merged = merge_kinds(spark, cfg)
-    stages["merged"] = {k: store.table(df, f"merged/{k}") for k, df in merged.tables.items()}
-    layouts = {k: store.table(df, f"layout/{k}", by_device=False) for k, df in merged.layouts.items()}
-    for name, df in merged.about.items():
-        keep_stats(df, name)
-    for kind, df in stages["merged"].items():
-        keep_stats(integrity.table_summary(df, TIME, [DEVICE]), f"summary_{kind}")
-        keep_stats(series.temporal_consistency(df, TIME, [DEVICE], unique_times=True), f"temporal_{kind}")
-
-    stages["quality_controlled"] = {}
-    for kind, df in stages["merged"].items():
-        rules = QualityRules(cfg.ranges.get(kind, ()), cfg.constants, cfg.failures)
-        station = F.concat(F.lit(f"{kind}/"), c(DEVICE))
-        done = quality_control(df, rules, TIME, [DEVICE], station, store_stats=True)
-        stages["quality_controlled"][kind] = store.table(done.table, f"quality_controlled/{kind}")
-        for name, table in done.stats.items():
-            keep_stats(table, f"{name}_{kind}")
+    def keep(name: str, found: Mapping[str, DataFrame]) -> None:
+        """Tables of a step, by kind, and statistics."""
+        stages[name] = {k.partition("/")[2]: df for k, df in found.items() if k.startswith(f"{name}/")}
+        stats.update({k.partition("/")[2]: df for k, df in found.items() if k.startswith("stats/")})
+
+    def merging(put) -> None:
+        merged = merge_kinds(spark, cfg)
+        tables = {k: put(df, f"merged/{k}") for k, df in merged.tables.items()}
+        for k, df in merged.layouts.items():
+            put(df, f"layout/{k}", False)
+        for name, df in merged.about.items():
+            put(df, f"stats/{name}", False)
+        for kind, df in tables.items():
+            put(integrity.table_summary(df, TIME, [DEVICE]), f"stats/summary_{kind}", False)
+            put(series.temporal_consistency(df, TIME, [DEVICE], unique_times=True), f"stats/temporal_{kind}", False)
+
+    sources = (cfg.device_sheets, cfg.station_logs, cfg.power, cfg.weather)
+    found = store.step("merged", [*sources, cfg.known_columns, cfg.time_formats, cfg.strict_logs, cfg.skip_unreadable], merging)
+    layouts = {k.partition("/")[2]: df for k, df in found.items() if k.startswith("layout/")}
+    keep("merged", found)
+
+    def masking(put) -> None:
+        for kind, df in stages["merged"].items():
+            rules = QualityRules(cfg.ranges.get(kind, ()), cfg.constants, cfg.failures)
+            station = F.concat(F.lit(f"{kind}/"), c(DEVICE))
+            done = quality_control(df, rules, TIME, [DEVICE], station, store_stats=True)
+            put(done.table, f"quality_controlled/{kind}")
+            for name, table in done.stats.items():
+                put(table, f"stats/{name}_{kind}", False)
+
+    keep("quality_controlled", store.step("quality_controlled", [cfg.ranges, cfg.constants, cfg.failures], masking))
+
+    def downsampling(put) -> None:
+        for kind, df in stages["quality_controlled"].items():
+            put(resample(df, cfg.frequency, TIME, [DEVICE]), f"downsampled/{kind}")
 
     if cfg.downsample:
-        stages["downsampled"] = {
-            kind: store.table(resample(df, cfg.frequency, TIME, [DEVICE]), f"downsampled/{kind}")
-            for kind, df in stages["quality_controlled"].items()
-        }
-    if interpolate:
-        stages["interpolated"] = {}
+        keep("downsampled", store.step("downsampled", [cfg.frequency], downsampling))
+
+    def filling(put) -> None:
         for kind, df in stages["downsampled"].items():
-            filled = interpolate_by_rules(df, cfg.gaps, TIME, [DEVICE], step.seconds)
-            stages["interpolated"][kind] = store.table(filled, f"interpolated/{kind}")
+            filled = put(interpolate_by_rules(df, cfg.gaps, TIME, [DEVICE], step.seconds), f"interpolated/{kind}")
             chosen = ruled_columns(df, cfg.gaps, TIME, [DEVICE])
             if chosen and cfg.gaps.mark:
-                counts = interpolation_stats(stages["interpolated"][kind], list(chosen), [DEVICE])
-                keep_stats(counts.where("filled > 0"), f"interpolation_{kind}")
+                counts = interpolation_stats(filled, list(chosen), [DEVICE])
+                put(counts.where("filled > 0"), f"stats/interpolation_{kind}", False)
+
+    if interpolate:
+        keep("interpolated", store.step("interpolated", [cfg.gaps], filling))
 
     tables = choose_stage(stages, cfg.downsample, interpolate)
+    extracted, failed = _deliver(cfg, store, tables, layouts, stats)
+    return PipelineResult(root, stages, extracted, stats, failed)
+
+
+def _deliver(cfg, store: _Store, tables, layouts, stats) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Datasets and report from the tables of one stage; their statistics are added to ``stats``."""
+
+    def keep_stats(df: DataFrame, name: str) -> DataFrame:
+        stats[name] = store.write(df, f"stats/{name}", by_device=False)
+        return stats[name]
+
     columns = {k: named_columns(layouts[k], devices) for k, devices in _named_devices(cfg.tasks, tables).items()}
     extracted = _extract_stage(cfg, store, tables, columns, keep_stats)
-    failed = _report_stage(cfg, extracted, keep_stats) if cfg.report and extracted else {}
-    return PipelineResult(root, stages, extracted, stats, failed)
+    return extracted, _report_stage(cfg, extracted, keep_stats) if cfg.report and extracted else {}
 
 
 def _named_devices(tasks: ExtractTasks, tables: Mapping[str, DataFrame]) -> dict[str, list[str]]:
@@ -299,7 +412,7 @@ def _extract_stage(cfg, store, tables, columns, keep_stats) -> dict[str, DataFra
     for _, output, df in extract_tasks(cfg.tasks, tables, columns):
         folder, name = output.rsplit("/", 1) if "/" in output else ("", output)
         if SPLIT_TABLE_PATTERN in name:
-            whole = store.table(df, f"selected/{output}", by_device=False)
+            whole = store.write(df, f"selected/{output}", by_device=False)
             parts = extract.split_rows_by_date(whole, TIME, cfg.split_date, PART1, PART2)
             for part in (PART1, PART2):
                 one = parts.where(F.col("part") == part).drop("part")
@@ -307,7 +420,7 @@ def _extract_stage(cfg, store, tables, columns, keep_stats) -> dict[str, DataFra
                     delivered[f"{output}_{part}"] = store.deliver(one, f"{output}_{part}", cfg.table_format)
             keep_stats(extract.split_stats(whole, TIME, cfg.split_date), f"split_{output.replace('/', '_')}")
         elif output in SPLIT_COLUMN_TABLES:
-            whole = store.table(df, f"selected/{output}", by_device=False)
+            whole = store.write(df, f"selected/{output}", by_device=False)
             halves = extract.split_columns_by_date(whole, TIME, cfg.split_date, part1=PART1, part2=PART2)
             delivered[output] = store.deliver(whole if halves is None else halves, output, cfg.table_format)
         else:

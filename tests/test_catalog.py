@@ -1,4 +1,6 @@
+import importlib.util
 import os
+import sys
 
 import pytest
 
@@ -28,6 +30,16 @@ def test_query_equals_sql(spark, con, name):
     assert differences(df, con, driver.oracle_sql()[name]) == []
 
 
+def test_entry_without_a_dependency_of_the_text_part(monkeypatch):
+    for name in [n for n in sys.modules if n.startswith("stationloom.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    spec = importlib.util.spec_from_file_location("entry_again", driver.__file__)
+    again = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(again)
+    assert set(again.queries()) == set(again.oracle_sql()) == set(QUERIES)
+
+
 def test_flagship(spark):
     df = driver.entry(spark)
     assert df.columns == ["station", "DateTime", "click", "error", "purchase", "signup", "view"] and df.count() > 0

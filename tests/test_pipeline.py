@@ -227,3 +227,44 @@ def test_report_goes_on_after_a_failure(spark, tmp_path):
     assert missing_rate_report({"power": {"twice": double}}).rates is None
     with pytest.raises(ValidationError):
         load_tables(spark, f"{tmp_path}/none")
+
+
+def test_a_run_is_taken_up_after_its_last_whole_stage(spark, folder, tmp_path, monkeypatch):
+    cfg = config(folder, str(tmp_path), station_logs={}, weather=None)
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise RuntimeError("ended here")
+
+        m.setattr(pipeline, "ruled_columns", broken)
+        with pytest.raises(RuntimeError, match="ended here"):
+            run_pipeline(spark, cfg)
+    stages = pipeline.stored_stages(spark, f"{tmp_path}/run")
+    # a table of the broken stage lies there, but its record does not say done
+    assert os.path.isdir(f"{tmp_path}/run/interpolated/microclimate") and sorted(stages) == ["downsampled", "merged", "quality_controlled"]
+
+    def unread(*_):
+        raise AssertionError("inputs are not to be read")
+
+    monkeypatch.setattr(pipeline, "merge_kinds", unread)
+    done = run_pipeline(spark, cfg)
+    assert sorted(done.stages["interpolated"]) == ["microclimate", "power"]
+    assert {"summary_power", "temporal_power", "boundaries_power", "interpolation_microclimate"} <= set(done.stats)
+    assert done.extracted["power/PV_Power"].count() > 0
+    # other settings of a stage: it and the later ones run again
+    other = run_pipeline(spark, config(folder, str(tmp_path), station_logs={}, weather=None, frequency="2h"))
+    assert other.stages["downsampled"]["power"].count() < stages["quality_controlled"]["power"].count() / 3
+    with pytest.raises(AssertionError, match="not to be read"):
+        run_pipeline(spark, config(folder, str(tmp_path), station_logs={}, weather=None, power=None))
+
+
+def test_extraction_from_an_earlier_run(spark, folder, tmp_path):
+    cfg = config(folder, str(tmp_path), station_logs={}, weather=None, interpolate=False, report=False, run_id="first")
+    first = run_pipeline(spark, cfg)
+    later = pipeline.extract_from_run(spark, first.root, config(folder, str(tmp_path), run_id="second"))
+    assert sorted(later.extracted) == sorted(first.extracted) and later.root.endswith("/second")
+    for name, df in first.extracted.items():
+        assert rows(later.extracted[name], "DateTime") == rows(df, "DateTime")
+    measured = pipeline.extract_from_run(spark, first.root, config(folder, str(tmp_path), run_id="third", downsample=False, interpolate=False))
+    assert measured.extracted["power/PV_Power"].count() > first.extracted["power/PV_Power"].count()
+    with pytest.raises(pipeline.DataProcessingError):
+        pipeline.extract_from_run(spark, f"{tmp_path}/nothing", cfg)
