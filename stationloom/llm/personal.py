@@ -237,10 +237,11 @@ def phrase_places(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     before = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("w")), F.lit(1), F.size("w"))
     both = F.zip_with("w", before, lambda b, a: F.struct(a.alias("a"), b.alias("b")))
     near = docs.select(words.alias("w")).select(F.explode(both).alias("x")).select("x.a", "x.b")
-    last = phrases.select(F.substring_index("phrase", " ", -1).alias("last")).distinct()
-    near = near.join(last, F.col("b") == F.col("last"))
-    two = F.when(F.col("a").isNotNull(), F.concat_ws(" ", "a", "b"))
-    counted = near.select(F.explode(F.array("b", two)).alias("said")).groupBy("said").agg(F.count("*").alias("places"))
+    # joined by the last word; the rest of the phrase is part of the condition, so that only its places leave the join
+    said = phrases.select(F.col("phrase").alias("said"), F.substring_index("phrase", " ", -1).alias("last"))
+    whole = (F.col("said") == F.col("b")) | (F.col("said") == F.concat_ws(" ", "a", "b"))
+    near = near.join(said, (F.col("b") == F.col("last")) & whole)
+    counted = near.groupBy("said").agg(F.count("*").alias("places"))
     found = phrases.join(counted, F.col("phrase") == F.col("said"), "left")
     return found.select("phrase", F.coalesce("places", F.lit(0).cast("long")).alias("places"))
 
