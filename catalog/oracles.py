@@ -74,6 +74,31 @@ SELECT o_orderstatus AS status, count(*) AS records, count(*) FILTER (o_orderpri
   max(o_orderdate) FILTER (o_orderpriority <> '4-NOT SPECIFIED') AS "end"
 FROM orders GROUP BY o_orderstatus"""
 
+ORACLES["table_contract"] = """
+WITH n AS (
+  SELECT count(*) AS rows, count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') AS without_time,
+    count(*) FILTER (o_totalprice < 1000 OR o_totalprice > 200000) AS price, count(*) FILTER (o_custkey < 1 OR o_custkey > 1000000000) AS cust
+  FROM orders),
+r AS (
+  SELECT 'required_column' AS rule, 'DateTime' AS "column", 1::BIGINT AS found, 1::BIGINT AS low, NULL::BIGINT AS high
+  UNION ALL SELECT 'required_column', 'o_totalprice', 1, 1, NULL
+  UNION ALL SELECT 'required_column', 'humidity', 0, 1, NULL
+  UNION ALL SELECT 'rows', NULL, rows, 1000, NULL FROM n
+  UNION ALL SELECT 'without_time', 'DateTime', without_time, NULL, 0 FROM n
+  UNION ALL SELECT 'out_of_range', 'o_totalprice', price, NULL, 0 FROM n
+  UNION ALL SELECT 'out_of_range', 'o_custkey', cust, NULL, 0 FROM n)
+SELECT *, coalesce(found >= low, true) AND coalesce(found <= high, true) AS ok FROM r"""
+
+ORACLES["power_file_losses"] = """
+WITH rows AS (
+  SELECT 'power/' || (o_custkey % 7) || '.csv' AS source, o_orderkey,
+    CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderdate END AS t
+  FROM orders),
+placed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY source, o_orderkey) AS place FROM rows)
+SELECT source, count(*) AS data_lines, count(*) FILTER (t IS NULL) AS invalid_time,
+  count(*) FILTER (t IS NOT NULL AND place > 1) AS duplicate_times
+FROM placed GROUP BY source"""
+
 ORACLES["log_source_audit"] = """
 SELECT 'log/' || (user_id % 10) || '.txt' AS source, count(*) + 2 AS lines, 'ok' AS status FROM events GROUP BY user_id % 10
 UNION ALL VALUES ('log/short.txt', 1, 'no header'), ('log/wrong.txt', 3, 'header without DateTime')"""

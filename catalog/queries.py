@@ -78,6 +78,31 @@ def time_contract(spark, sf):
     return integrity.time_contract(o.select(F.col("o_orderstatus").alias("status"), text.alias(TIME)), TIME, ["status"])
 
 
+@query
+def table_contract(spark, sf):
+    """What a table of readings has to hold, counted in one aggregation: rows, times, ranges, a column that is not there."""
+    o = i.table(spark, sf, "orders")
+    text = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "no time").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    typed = integrity.validate_time_column(o.select(text.alias(TIME), "o_totalprice", "o_custkey"), TIME)
+    contract = integrity.TableContract(
+        required_columns=(TIME, "o_totalprice", "humidity"), min_rows=1000, max_without_time=0,
+        ranges={"o_totalprice": (1000.0, 200000.0), "o_custkey": (1, 10**9), "humidity": (0, 100)}, max_out_of_range=0,
+    )
+    return integrity.contract_report(typed, TIME, contract)
+
+
+@query
+def power_file_losses(spark, sf):
+    """What the merge of power files leaves out of each: rows without a time, copies of a time that an earlier file or row has."""
+    o = i.table(spark, sf, "orders")
+    rows = o.select(
+        F.concat(F.lit("power/"), F.col("o_custkey") % 7, F.lit(".csv")).alias(files.SOURCE),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderdate").cast("timestamp_ntz")).alias(TIME), "o_orderkey",
+    )
+    kept = integrity.dedupe_keep_first(rows.where(F.col(TIME).isNotNull()), [TIME], [F.col(files.SOURCE), F.col("o_orderkey")])
+    return merge.file_losses(rows, kept)
+
+
 @query
 def log_source_audit(spark, sf):
     return logs.log_audit(i.log_lines(spark, sf))

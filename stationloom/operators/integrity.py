@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,3 +163,83 @@ def time_contract(df: DataFrame, time_col: str, keys: Sequence[str] = (), format
         F.count("*").alias("records"), F.count_if(ts.isNull()).alias("without_time"),
         F.min(ts).alias("start"), F.max(ts).alias("end"),
     )
+
+
+CONTRACT_REPORT = "rule string, column string, found long, low long, high long, ok boolean"
+
+
+@dataclass(frozen=True)
+class TableContract:
+    """What a table has to hold. Limits that are None are counted and not judged.
+
+    ``ranges`` are bounds that are fine themselves; NULL and NaN are never out of range, columns that are not there are not
+    looked at. ``strict`` makes a broken rule an error where the contract is checked, else it is only reported.
+    """
+
+    required_columns: Sequence[str] = ()
+    min_rows: int = 0
+    max_without_time: int | None = None
+    ranges: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+    max_out_of_range: int | None = None
+    strict: bool = False
+
+
+def _contract_rules(df: DataFrame, time_col: str, contract: TableContract) -> list[tuple[str, str | None, Column | int, int | None, int | None]]:
+    """(rule, column, measure, lowest, highest) of everything a contract asks of a table.
+
+    Measures are aggregates, or numbers where the schema is enough.
+    """
+    found: list = [("required_column", n, int(n in df.columns), 1, None) for n in contract.required_columns]
+    found.append(("rows", None, F.count(F.lit(1)), contract.min_rows, None))
+    if time_col in df.columns:
+        found.append(("without_time", time_col, F.count_if(c(time_col).isNull()), None, contract.max_without_time))
+    for n, (low, high) in contract.ranges.items():
+        if n in df.columns:
+            v = c(n).cast("double")
+            outside = (v < low) | ((v > high) & ~F.isnan(v))
+            found.append(("out_of_range", n, F.count_if(outside), None, contract.max_out_of_range))
+    return found
+
+
+def contract_report(df: DataFrame, time_col: str, contract: TableContract) -> DataFrame:
+    """``(rule, column, found, low, high, ok)`` of a table, in one aggregation over it."""
+    listed = _contract_rules(df, time_col, contract)
+    long = lambda v: F.lit(v).cast("long")
+    one = df.agg(*[m.alias(f"_{i}") for i, (_, _, m, _, _) in enumerate(listed) if isinstance(m, Column)])
+    rows = []
+    for i, (rule, column, m, low, high) in enumerate(listed):
+        n = F.col(f"_{i}") if isinstance(m, Column) else long(m)
+        ok = F.coalesce(n >= long(low), F.lit(True)) & F.coalesce(n <= long(high), F.lit(True))
+        rows.append(F.struct(
+            F.lit(rule).alias("rule"), F.lit(column).cast("string").alias("column"), n.alias("found"),
+            long(low).alias("low"), long(high).alias("high"), ok.alias("ok"),
+        ))
+    return one.select(F.inline(F.array(*rows)))
+
+
+class ContractWatch:
+    """A contract measured on rows that go by anyway: no read of its own.
+
+    ``watch`` puts the measures into the plan of a table that is about to be written, ``report`` gives the rows of
+    :func:`contract_report` after the write, and raises if the contract is strict and broken.
+    """
+
+    def __init__(self, time_col: str, contract: TableContract = TableContract()):
+        self.time_col, self.contract = time_col, contract
+        self._seen = Observation()
+        self._rules: list = []
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self._rules = _contract_rules(df, self.time_col, self.contract)
+        measures = [m.alias(f"_{i}") for i, (_, _, m, _, _) in enumerate(self._rules) if isinstance(m, Column)]
+        return df.observe(self._seen, *measures)
+
+    def report(self) -> list[tuple[str, str | None, int, int | None, int | None, bool]]:
+        seen, rows = self._seen.get, []
+        for i, (rule, column, m, low, high) in enumerate(self._rules):
+            n = seen[f"_{i}"] if isinstance(m, Column) else m
+            rows.append((rule, column, n, low, high, (low is None or n >= low) and (high is None or n <= high)))
+        broken = [f"{r[0]}{f' of {r[1]}' if r[1] else ''}: {r[2]}" for r in rows if not r[-1]]
+        if broken and self.contract.strict:
+            raise DataIntegrityError("table breaks its contract: " + ", ".join(broken))
+        return rows

@@ -28,7 +28,7 @@ from stationloom.plans.quality import QualityRules, quality_control
 from stationloom.plans.report import missing_rate_report
 from stationloom.rules import ConstantRule, ExtractFile, ExtractTasks, FailureWindow, GapRules, RangeRule
 from stationloom.sources import merge
-from stationloom.sources.files import write_table
+from stationloom.sources.files import found_files, with_unread, write_table
 from stationloom.storage import local_table
 
 TIME, DEVICE = merge.TIME, "device"
@@ -47,10 +47,13 @@ class PipelineConfig:
     """Inputs are folders; a kind without input is left out. ``output_root`` is shared storage.
 
     ``known_columns`` gives the columns of text sources whose files all have the same, by
-    ``"device_sheets"``, ``"power"`` or ``"station_logs"``; files with another header then fail.
-    ``time_formats`` gives, by the same names, formats of times beyond the ISO forms.
+    ``"device_sheets"``, ``"power"``, ``"station_logs"`` or the name of a weather file; files with another header then fail.
+    ``time_formats`` gives, by the same names or ``"weather"``, formats of times beyond the usual forms.
     ``strict_logs`` makes one unusable log an error; else it is left out and listed in the
-    ``sources_logs`` table. ``skip_unreadable`` leaves out files that cannot be read.
+    ``sources_logs`` table. ``skip_unreadable`` leaves out files that cannot be read; they are listed in the ``sources_...``
+    tables, as are empty ones.
+    ``contracts`` says by stage and kind (``"merged/power"``) what a stored table must hold. Every stage table is measured
+    while it is written (tables ``contracts_...``); a broken contract ends the run only if it is strict.
     """
 
     output_root: str
@@ -65,6 +68,7 @@ class PipelineConfig:
     ranges: Mapping[str, Sequence[RangeRule]] = field(default_factory=dict)
     constants: Sequence[ConstantRule] = ()
     failures: Sequence[FailureWindow] = ()
+    contracts: Mapping[str, integrity.TableContract] = field(default_factory=dict)
     downsample: bool = True
     frequency: str = "1h"
     interpolate: bool = True
@@ -141,10 +145,19 @@ def merge_kinds(spark: SparkSession, cfg: PipelineConfig) -> Merged:
     if parts:
         tables["microclimate"], layouts["microclimate"] = merge.union_by_name(parts), merge.union_by_name(headers)
     if cfg.power:
-        power = merge.merge_power(spark, cfg.power, time_formats=formats("power"), columns=known("power"))
-        tables["power"] = power.withColumn(DEVICE, F.lit("power_merged"))
+        power = merge.merge_power_files(
+            spark, cfg.power, time_formats=formats("power"), columns=known("power"), skip_unreadable=cfg.skip_unreadable
+        )
+        tables["power"] = power.rows.withColumn(DEVICE, F.lit("power_merged"))
+        found = found_files(spark, cfg.power, merge.POWER_PATTERN)
+        about["sources_power"] = with_unread(found, power.losses, "data_lines")
     if cfg.weather:
-        tables["weather"] = merge.merge_weather(spark, cfg.weather).withColumn(DEVICE, F.lit("weather_merged"))
+        weather = merge.merge_weather_files(
+            spark, cfg.weather, time_formats=formats("weather"), known=cfg.known_columns, skip_unreadable=cfg.skip_unreadable
+        )
+        tables["weather"] = weather.rows.withColumn(DEVICE, F.lit("weather_merged"))
+        found = found_files(spark, cfg.weather, "*.csv")
+        about["sources_weather"] = with_unread(found, weather.losses, "data_lines", "not used")
     if not tables:
         raise DataProcessingError("no input gave any table")
     for kind in ("power", "weather"):
@@ -223,13 +236,14 @@ class _Store:
     never taken for whole. A step that is done for the same settings, and those of all steps before it, is not run again.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, contracts: Mapping[str, integrity.TableContract] | None = None):
+        self.spark, self.root, self.contracts = spark, root, contracts or {}
         self.settings = ""
         self.records = stored_steps(spark, root)
 
-    def write(self, df: DataFrame, name: str, by_device: bool = True) -> DataFrame:
-        write_table(df, f"{self.root}/{name}", [DEVICE] if by_device else [], [TIME] if TIME in df.columns else [])
+    def write(self, df: DataFrame, name: str, by_device: bool = True, measure=None) -> DataFrame:
+        order = [TIME] if TIME in df.columns else []
+        write_table(df, f"{self.root}/{name}", [DEVICE] if by_device else [], order, measure=measure)
         return self.read(name, df.schema)
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
@@ -243,13 +257,21 @@ class _Store:
         if known and known["state"] == DONE and known["fingerprint"] == self.settings:
             return {t["name"]: self.read(t["name"], T.StructType.fromJson(json.loads(t["schema"]))) for t in known["tables"]}
         found: dict[str, DataFrame] = {}
+        measured: list[tuple] = []
 
         def put(df: DataFrame, table: str, by_device: bool = True) -> DataFrame:
-            found[table] = self.write(df, table, by_device)
+            if not table.startswith(f"{name}/"):
+                found[table] = self.write(df, table, by_device)
+                return found[table]
+            watch = integrity.ContractWatch(TIME, self.contracts.get(table, integrity.TableContract()))
+            found[table] = self.write(df, table, by_device, watch.watch)
+            measured.extend((table, *r) for r in watch.report())
             return found[table]
 
         self._record(name, STARTED, inputs, {})
         build(put)
+        report = local_table(self.spark, measured, f"`table` string, {integrity.CONTRACT_REPORT}")
+        put(report, f"stats/contracts_{name}", False)
         self._record(name, DONE, inputs, found)
         return found
 
@@ -324,7 +346,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     if interpolate and step.seconds is None:
         raise ConfigurationError("gap filling needs a fixed frequency such as '1h'")
     root = f"{cfg.output_root.rstrip('/')}/{cfg.run_id or run_name(cfg.downsample, interpolate)}"
-    store = _Store(spark, root)
+    store = _Store(spark, root, cfg.contracts)
     stages: dict[str, dict[str, DataFrame]] = {}
     stats: dict[str, DataFrame] = {}
 
@@ -333,6 +355,10 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
         stages[name] = {k.partition("/")[2]: df for k, df in found.items() if k.startswith(f"{name}/")}
         stats.update({k.partition("/")[2]: df for k, df in found.items() if k.startswith("stats/")})
 
+    def limits(step: str) -> list:
+        """The contracts of a step are among its settings, where it has any."""
+        return sorted((k, v) for k, v in cfg.contracts.items() if k.startswith(f"{step}/"))
+
     def merging(put) -> None:
         merged = merge_kinds(spark, cfg)
         tables = {k: put(df, f"merged/{k}") for k, df in merged.tables.items()}
@@ -345,7 +371,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
             put(series.temporal_consistency(df, TIME, [DEVICE], unique_times=True), f"stats/temporal_{kind}", False)
 
     sources = (cfg.device_sheets, cfg.station_logs, cfg.power, cfg.weather)
-    found = store.step("merged", [*sources, cfg.known_columns, cfg.time_formats, cfg.strict_logs, cfg.skip_unreadable], merging)
+    found = store.step("merged", [*sources, cfg.known_columns, cfg.time_formats, cfg.strict_logs, cfg.skip_unreadable, *limits("merged")], merging)
     layouts = {k.partition("/")[2]: df for k, df in found.items() if k.startswith("layout/")}
     keep("merged", found)
 
@@ -358,14 +384,14 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
             for name, table in done.stats.items():
                 put(table, f"stats/{name}_{kind}", False)
 
-    keep("quality_controlled", store.step("quality_controlled", [cfg.ranges, cfg.constants, cfg.failures], masking))
+    keep("quality_controlled", store.step("quality_controlled", [cfg.ranges, cfg.constants, cfg.failures, *limits("quality_controlled")], masking))
 
     def downsampling(put) -> None:
         for kind, df in stages["quality_controlled"].items():
             put(resample(df, cfg.frequency, TIME, [DEVICE]), f"downsampled/{kind}")
 
     if cfg.downsample:
-        keep("downsampled", store.step("downsampled", [cfg.frequency], downsampling))
+        keep("downsampled", store.step("downsampled", [cfg.frequency, *limits("downsampled")], downsampling))
 
     def filling(put) -> None:
         for kind, df in stages["downsampled"].items():
@@ -376,7 +402,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
                 put(counts.where("filled > 0"), f"stats/interpolation_{kind}", False)
 
     if interpolate:
-        keep("interpolated", store.step("interpolated", [cfg.gaps], filling))
+        keep("interpolated", store.step("interpolated", [cfg.gaps, *limits("interpolated")], filling))
 
     tables = choose_stage(stages, cfg.downsample, interpolate)
     extracted, failed = _deliver(cfg, store, tables, layouts, stats)

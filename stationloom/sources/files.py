@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from stationloom.columns import c
 from stationloom.errors import DataProcessingError, ValidationError
-from stationloom.storage import materialize
+from stationloom.storage import local_table, materialize
 
 SOURCE, BLOCK, LINE, TEXT = "_source", "_block", "_line", "_text"
 # Columns that keep the order of rows inside and across files, for keep-first rules.
@@ -181,23 +181,70 @@ def file_audit(lines: DataFrame, min_lines: int = 1) -> DataFrame:
     )
 
 
-def audited_files(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
-    """Every file that was found, also empty ones, with its line count."""
-    lines = read_lines(spark, paths, pattern)
-    if lines is None:
-        raise ValidationError(f"no file found at {paths}")
-    # one spelling of local paths for both sides
-    path = F.regexp_replace(SOURCE, "^file:/+", "file:///").alias(SOURCE)
-    found = spark.createDataFrame([(f,) for f in lines.inputFiles()], f"{SOURCE} string").select(path)
-    counted = lines.select(path).groupBy(SOURCE).agg(F.count("*").alias("lines"))
-    lines_or_none = F.coalesce("lines", F.lit(0).cast("long"))
-    return found.join(counted, SOURCE, "left").select(
-        F.col(SOURCE).alias("source"),
-        lines_or_none.alias("lines"),
-        F.when(lines_or_none == 0, "empty file").otherwise("ok").alias("status"),
+def found_files(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False, empty: bool = True
+) -> DataFrame | None:
+    """``(_source, bytes)`` of every file that is there; None if the paths lead nowhere.
+
+    Only names and lengths are asked for, so no content is read, and the names stay in the tasks. Scans pass over files
+    without any byte; with ``empty`` they are found by the names that Spark's listing holds in the driver anyway.
+    """
+    try:
+        files = _reader(spark, pattern, recursive, False).format("binaryFile").load(paths)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    found = files.select(F.col("_metadata.file_path").alias(SOURCE), F.col("length").alias("bytes"))
+    if not empty:
+        return found
+    names = local_table(spark, [(n,) for n in files.inputFiles()], f"{SOURCE} string").select(_one_spelling(SOURCE).alias(SOURCE))
+    if pattern:
+        fits = spark._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()
+        names = names.where(F.try_url_decode(F.replace(F.regexp_extract(SOURCE, "([^/]+)$", 1), F.lit("+"), F.lit("%2B"))).rlike(f"^(?:{fits})$"))
+    found = found.select(_one_spelling(SOURCE).alias(SOURCE), "bytes")
+    return found.unionByName(names.join(found, SOURCE, "left_anti").withColumn("bytes", F.lit(0).cast("long")))
+
+
+def _one_spelling(path: str) -> Column:
+    """Paths of local files are written in two ways."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
+def with_unread(found: DataFrame, read: DataFrame, lines: str = "lines", nothing: str = "no readable line") -> DataFrame:
+    """An audit ``read`` (source, lines, maybe status) with the files that gave no line added, and the bytes of all.
+
+    ``nothing`` is the status of files with bytes of which no line came: they cannot be read, or hold nothing of use.
+    """
+    n = F.coalesce(c(lines), F.lit(0).cast("long"))
+    state = F.when(F.col("bytes") == 0, "empty file").when(n == 0, nothing)
+    known = F.col("status") if "status" in read.columns else F.lit(None).cast("string")
+    rest = [k for k in read.columns if k not in ("source", lines, "status")]
+    read = read.withColumn("_path", _one_spelling("source")).drop("source")
+    return found.select(_one_spelling(SOURCE).alias("source"), "bytes").join(read, F.col("source") == F.col("_path"), "left").select(
+        "source", "bytes", n.alias(lines), *[F.coalesce(c(k), F.lit(0).cast("long")).alias(k) for k in rest],
+        F.coalesce(state, known, F.lit("ok")).alias("status"),
     )
 
 
+def audited_files(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, recursive: bool = False,
+    skip_unreadable: bool = False,
+) -> DataFrame:
+    """Every file that was found, also empty ones, with its line count: ``(source, bytes, lines, status)``.
+
+    With ``skip_unreadable`` a file that cannot be read is named here; else it is an error. Of a compressed file that breaks off
+    after its first block, the lines before that are counted.
+    """
+    found = found_files(spark, paths, pattern, recursive)
+    if found is None or found.isEmpty():
+        raise ValidationError(f"no file found at {paths}")
+    lines = read_lines(spark, paths, pattern, recursive, skip_unreadable)
+    if lines is None:
+        return with_unread(found, spark.createDataFrame([], "source string, lines long"))
+    return with_unread(found, lines.groupBy(F.col(SOURCE).alias("source")).agg(F.count("*").alias("lines")))
+
+
 def first_failed(audit: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` sources by name that are of no use; more are not named in an error."""
     return audit.where("status <> 'ok'").orderBy("source").limit(n).select("source", "status")
@@ -211,12 +258,18 @@ def require_some(audit: DataFrame) -> None:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = "parquet"
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = "parquet",
+    measure: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Overwrite a table. Partitioned tables are rebalanced first, so that a hot partition is written by
-    several tasks and a small one by a single task; rows are ordered within each file only."""
+    several tasks and a small one by a single task; rows are ordered within each file only.
+
+    ``measure`` may observe the rows on their way: it is put behind the last shuffle, into the tasks that write, whose
+    metrics Spark counts once however often a task is run."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if measure:
+        df = measure(df)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     if fmt == "csv":

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from stationloom.columns import POWER_TIME_NAMES, c, nan_to_null, time_column
 from stationloom.errors import DataIntegrityError, DataProcessingError, ValidationError
 from stationloom.functions.names import file_prefix, file_prefix_expr
-from stationloom.functions.parse import parse_date_and_time, parse_number, parse_time
+from stationloom.functions.parse import DATE_TIME_FORMAT, parse_date_and_time, parse_number, parse_time
 from stationloom.operators.integrity import dedupe_keep_first
 from stationloom.operators.missing import LongTables
-from stationloom.sources.files import ROW_ORDER, SOURCE, TEXT, CsvTable, nth_lines, read_csv_table, read_lines, stem
+from stationloom.sources.files import (
+    ROW_ORDER, SOURCE, TEXT, CsvTable, found_files, nth_lines, read_csv_table, read_lines, stem, with_unread,
+)
 from stationloom.sources.logs import parse_logs, read_station_logs, without_order
 from stationloom.storage import local_table, materialize
 
@@ -136,29 +138,65 @@ def merge_all_station_logs(
     rows = rows.select(of, *[c(n) for n in rows.columns])
     first = dedupe_keep_first(rows, [device, TIME], [F.col(n) for n in ROW_ORDER])
     layout = parsed.columns().select(of, "column").distinct()
-    return StationLogs(without_order(first), layout, parsed.audit(), parsed.losses())
+    audit = with_unread(found_files(spark, list(folders.values()), pattern), parsed.audit())
+    return StationLogs(without_order(first), layout, audit, parsed.losses())
 
 
-def power_rows(table: CsvTable, time_formats: Sequence[str] = ()) -> DataFrame:
-    """Text rows of power files typed; the time column of each file is detected, rows without a time are dropped."""
+def typed_power(table: CsvTable, time_formats: Sequence[str] = ()) -> DataFrame:
+    """Text rows of power files typed; the time column of each file is detected, the time is NULL where it cannot be read."""
     found = lambda names: time_column(names, POWER_TIME_NAMES, names[0])
     times = {TIME, *[found(names) for names in table.layouts.values()]}
     return table.rows.select(
         *[c(n) for n in table.rows.columns if n not in table.columns and n != "_header"],
         parse_time(table.pick(found), time_formats).alias(TIME),
         *[parse_number(c(n)).alias(n) for n in table.columns if n not in times],
-    ).where(F.col(TIME).isNotNull())
+    )
 
 
-def merge_power(
+def power_rows(table: CsvTable, time_formats: Sequence[str] = ()) -> DataFrame:
+    """:func:`typed_power` without the rows that have no time."""
+    return typed_power(table, time_formats).where(F.col(TIME).isNotNull())
+
+
+@dataclass(frozen=True)
+class MergedFiles:
+    """Merged rows, and what the merge left out of each file: (source, data_lines, invalid_time, duplicate_times).
+
+    A copy of a time counts for the file it is in, also where the row that is kept is in another.
+    """
+
+    rows: DataFrame
+    losses: DataFrame
+
+
+def file_losses(typed: DataFrame, kept: DataFrame) -> DataFrame:
+    """(source, data_lines, invalid_time, duplicate_times) from rows with their file, and those of them that are kept."""
+    lines = typed.groupBy(c(SOURCE)).agg(F.count("*").alias("data_lines"), F.count_if(F.col(TIME).isNull()).alias("invalid_time"))
+    stay = kept.groupBy(c(SOURCE).alias("_of")).agg(F.count("*").alias("kept"))
+    copies = F.col("data_lines") - F.col("invalid_time") - F.coalesce("kept", F.lit(0))
+    return lines.join(stay, F.col(SOURCE) == F.col("_of"), "left").select(
+        F.col(SOURCE).alias("source"), "data_lines", "invalid_time", copies.alias("duplicate_times")
+    )
+
+
+def merge_power_files(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = POWER_PATTERN, time_formats: Sequence[str] = (),
-    columns: Sequence[str] | None = None,
-) -> DataFrame:
-    table = read_csv_table(spark, paths, pattern, columns=columns)
+    columns: Sequence[str] | None = None, skip_unreadable: bool = False,
+) -> MergedFiles:
+    """Power files, the first row kept of each time. The rows are stored once as parsed; merge and losses come from there."""
+    table = read_csv_table(spark, paths, pattern, columns=columns, skip_unreadable=skip_unreadable)
     if table is None:
         raise ValidationError(f"no power file {pattern!r} with a header found in {paths}")
-    rows = power_rows(table, time_formats)
-    return without_order(dedupe_keep_first(rows, [TIME], [F.col(n) for n in ROW_ORDER]))
+    typed = materialize(typed_power(table, time_formats), "power-lines")
+    first = dedupe_keep_first(typed.where(F.col(TIME).isNotNull()), [TIME], [F.col(n) for n in ROW_ORDER])
+    return MergedFiles(without_order(first), file_losses(typed, first))
+
+
+def merge_power(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = POWER_PATTERN, time_formats: Sequence[str] = (),
+    columns: Sequence[str] | None = None, skip_unreadable: bool = False,
+) -> DataFrame:
+    return merge_power_files(spark, paths, pattern, time_formats, columns, skip_unreadable).rows
 
 
 def align_on_time(sources: Sequence[DataFrame], keys: Sequence[str] = (TIME,)) -> DataFrame:
@@ -201,31 +239,56 @@ def merge_full_outer(sources: Sequence[tuple[DataFrame, Sequence[str]]], key: st
     return first.groupBy(c(key)).agg(*[F.first(c(n), ignorenulls=True).alias(n) for n in values])
 
 
-def weather_rows(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame | None:
-    """Date and Time put together, value columns renamed, rows without a time dropped.
+def typed_weather(rows: DataFrame, columns: Mapping[str, str], time_formats: Sequence[str] = ()) -> DataFrame | None:
+    """Date and Time put together, value columns renamed; the time is NULL where it cannot be read.
 
-    None if the file lacks Date, Time or a value column.
+    None if the file lacks Date, Time or a value column. ``time_formats`` are tried after the usual one, on both
+    columns with a blank between.
     """
     if not {"Date", "Time", *columns} <= set(rows.columns):
         return None
     order = [n for n in ROW_ORDER if n in rows.columns]
+    times = [parse_date_and_time(c("Date"), c("Time"), f) for f in (DATE_TIME_FORMAT, *time_formats)]
     return rows.select(
-        *order, parse_date_and_time(c("Date"), c("Time")).alias(TIME),
-        *[parse_number(c(old)).alias(new) for old, new in columns.items()],
-    ).where(F.col(TIME).isNotNull())
+        *order, F.coalesce(*times).alias(TIME), *[parse_number(c(old)).alias(new) for old, new in columns.items()],
+    )
+
+
+def weather_rows(rows: DataFrame, columns: Mapping[str, str], time_formats: Sequence[str] = ()) -> DataFrame | None:
+    """:func:`typed_weather` without the rows that have no time."""
+    typed = typed_weather(rows, columns, time_formats)
+    return None if typed is None else typed.where(F.col(TIME).isNotNull())
+
 
+def merge_weather_files(
+    spark: SparkSession, folder: str, files: Mapping[str, Mapping[str, str]] = WEATHER_FILES, time_formats: Sequence[str] = (),
+    known: Mapping[str, Sequence[str]] | None = None, skip_unreadable: bool = False,
+) -> MergedFiles:
+    """Weather files that exist and have their columns, aligned on time, the first row kept of each time of a file.
 
-def merge_weather(spark: SparkSession, folder: str, files: Mapping[str, Mapping[str, str]] = WEATHER_FILES) -> DataFrame:
-    """Weather files that exist and have their columns, aligned on time."""
-    sources = []
+    ``known`` gives the columns of files by name, which saves the look at their headers. The rows of all files are stored
+    once as parsed; the merge, one window and one aggregation, and the losses come from there.
+    """
+    parts, values = [], []
     for name, columns in files.items():
-        table = read_csv_table(spark, folder, name)
-        rows = weather_rows(table.rows, columns) if table else None
-        if rows is not None:
-            sources.append((rows, ROW_ORDER))
-    if not sources:
+        table = read_csv_table(spark, folder, name, columns=(known or {}).get(name), skip_unreadable=skip_unreadable)
+        typed = typed_weather(table.rows, columns, time_formats) if table else None
+        if typed is not None:
+            parts.append(typed.withColumn("_table", F.lit(len(parts))))
+            values += columns.values()
+    if not parts:
         raise DataProcessingError(f"no weather file could be read from {folder}")
-    return merge_full_outer(sources)
+    typed = materialize(union_by_name(parts), "weather-lines")
+    first = dedupe_keep_first(typed.where(F.col(TIME).isNotNull()), ["_table", TIME], [F.col(n) for n in ROW_ORDER])
+    aligned = first.groupBy(c(TIME)).agg(*[F.first(c(n), ignorenulls=True).alias(n) for n in values])
+    return MergedFiles(aligned, file_losses(typed, first))
+
+
+def merge_weather(
+    spark: SparkSession, folder: str, files: Mapping[str, Mapping[str, str]] = WEATHER_FILES, time_formats: Sequence[str] = (),
+    known: Mapping[str, Sequence[str]] | None = None, skip_unreadable: bool = False,
+) -> DataFrame:
+    return merge_weather_files(spark, folder, files, time_formats, known, skip_unreadable).rows
 
 
 def prefixed(df: DataFrame, table: str, keys: Sequence[str] = (TIME,)) -> DataFrame:

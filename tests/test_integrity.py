@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import at, frame, rows
 from stationloom.errors import DataIntegrityError, ValidationError
 from stationloom.operators import integrity, series
+from stationloom.sources.files import write_table
 
 T = "DateTime timestamp_ntz"
 
@@ -130,3 +131,30 @@ def test_temporal_report_of_nothing_and_of_nulls(spark):
     for unique in (False, True):
         got = {r.station: (r.total_records, r.start, r.gap_count) for r in series.temporal_consistency(nulls, "DateTime", ["station"], 60, unique_times=unique).collect()}
         assert got == {None: (3, at("2024-01-01"), 0), "a": (1, None, None)}
+
+
+def test_contract_is_measured_by_the_write(spark, tmp_path):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(at("2024-01-01"), 1.0, "a"), (None, nan, "a"), (at("2024-01-02"), 7.0, "b"), (at("2024-01-03"), None, "b"), (at("2024-01-04"), -1.0, "b")],
+        "DateTime timestamp_ntz, x double, device string",
+    )
+    contract = integrity.TableContract(("DateTime", "y"), 3, 0, {"x": (0, 5), "gone": (0, 1)}, 2)
+    expected = [
+        ("required_column", "DateTime", 1, 1, None, True), ("required_column", "y", 0, 1, None, False), ("rows", None, 5, 3, None, True),
+        ("without_time", "DateTime", 1, None, 0, False), ("out_of_range", "x", 2, None, 2, True),
+    ]
+    assert [tuple(r) for r in integrity.contract_report(df, "DateTime", contract).collect()] == expected
+    for by in ((), ("device",)):
+        watch = integrity.ContractWatch("DateTime", contract)
+        write_table(df, f"{tmp_path}/t{len(by)}", by, ["DateTime"], measure=watch.watch)
+        assert watch.report() == expected and spark.read.parquet(f"{tmp_path}/t{len(by)}").count() == 5
+    strict = integrity.ContractWatch("DateTime", integrity.TableContract(max_without_time=0, strict=True))
+    strict.watch(df).write.parquet(f"{tmp_path}/strict")
+    with pytest.raises(DataIntegrityError, match="without_time of DateTime: 1"):
+        strict.report()
+    empty = integrity.TableContract(("x",), 1, ranges={"x": (0, 1)})
+    assert [r.found for r in integrity.contract_report(df.limit(0), "DateTime", empty).collect()] == [1, 0, 0, 0]
+    watch = integrity.ContractWatch("DateTime", empty)
+    watch.watch(df.where("device = 'none'")).write.parquet(f"{tmp_path}/empty")
+    assert [r[2] for r in watch.report()] == [1, 0, 0, 0]

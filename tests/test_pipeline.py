@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows
 from stationloom import rules
-from stationloom.errors import ConfigurationError, ValidationError
+from stationloom.errors import ConfigurationError, DataIntegrityError, ValidationError
+from stationloom.operators import integrity
 from stationloom.plans import pipeline
 from stationloom.plans.pipeline import PipelineConfig, check_stages, choose_stage, run_name, run_pipeline
 from stationloom.plans.quality import QualityRules, quality_control, total_flagged
@@ -121,6 +122,10 @@ def test_whole_job(spark, folder, tmp_path):
     assert {r.missing_rate for r in done.stats["missing_rate"].where("sensor LIKE '%Dead%'").collect()} == {1.0}
     assert [(r.lines, r.status) for r in done.stats["sources_logs"].collect()] == [(2 + 48 * 7, "ok")]
     assert [tuple(r)[1:] for r in done.stats["losses_logs"].collect()] == [(48 * 7, 0, 0, 0)]
+    assert [tuple(r)[2:] for r in done.stats["sources_power"].collect()] == [(48 * 7, 0, 0, "ok")]
+    assert sorted(tuple(r)[2:] for r in done.stats["sources_weather"].collect()) == [(12 * 7, 0, 0, "ok"), (24 * 7, 0, 0, "ok")]
+    merged = {(r["table"], r.rule): (r.found, r.ok) for r in done.stats["contracts_merged"].collect()}
+    assert merged["merged/power", "rows"] == (48 * 7, True) and merged["merged/weather", "without_time"] == (0, True)
     matrix = {(r.group, r.sensor): r for r in done.stats["missing_rate_matrix"].collect()}
     page = matrix["power_wt", "PV_Power_WT_PVAz180_WT"]
     assert (page.title, page.label) == ("Power (WT - Before Dec 2024) Missing Rate", "PV_Power_WT_PVAz180_WT")
@@ -139,6 +144,19 @@ def test_measured_values_only(spark, folder, tmp_path):
     assert power.count() == 48 * 6 + 1 and power.agg(F.max("DateTime")).first()[0] == at("2024-12-04")
 
 
+def test_strict_contract_ends_the_run(spark, folder, tmp_path):
+    only_power = dict(device_sheets=None, station_logs={}, weather=None, report=False, downsample=False, interpolate=False)
+    name = "Optimizer 2.2.20- Production - Power (W)"
+    strict = integrity.TableContract(ranges={name: (0, 1000)}, max_out_of_range=0, strict=True)
+    with pytest.raises(DataIntegrityError, match="out_of_range"):
+        run_pipeline(spark, config(folder, str(tmp_path), contracts={"merged/power": strict}, **only_power))
+    assert pipeline.stored_stages(spark, f"{tmp_path}/run") == {}
+    # out of range is masked by quality control, so the same contract holds one stage on
+    done = run_pipeline(spark, config(folder, str(tmp_path), contracts={"quality_controlled/power": strict}, **only_power))
+    found = [tuple(r) for r in done.stats["contracts_quality_controlled"].where("rule = 'out_of_range'").collect()]
+    assert found == [("quality_controlled/power", "out_of_range", name, 0, None, 0, True)]
+
+
 def test_stage_choice_and_guards(spark, tmp_path):
     stages = {"quality_controlled": {"a": 1}, "downsampled": {"a": 2}, "interpolated": {"a": 3}}
     assert choose_stage(stages, True, True) == {"a": 3} and choose_stage(stages, True, False) == {"a": 2} and choose_stage(stages, False, False) == {"a": 1}

@@ -1,3 +1,4 @@
+import gzip
 import os
 
 import pytest
@@ -113,6 +114,39 @@ def test_audit(spark, tmp_path):
         files.require_some(audit.where("status <> 'ok'"))
 
 
+def test_unreadable_files_are_listed(spark, tmp_path):
+    whole = gzip.compress(b"h\n1\n2\n")
+    os.makedirs(f"{tmp_path}/in/deep")
+    for name, content in {"ok.csv.gz": whole, "cut.csv.gz": whole[:12], "deep/plain.csv": b"h\n1\n", "empty.csv": b""}.items():
+        with open(f"{tmp_path}/in/{name}", "wb") as f:
+            f.write(content)
+    audit = files.audited_files(spark, f"{tmp_path}/in", recursive=True, skip_unreadable=True)
+    assert sorted((os.path.basename(r.source), r.bytes, r.lines, r.status) for r in audit.collect()) == [
+        ("cut.csv.gz", 12, 0, "no readable line"), ("empty.csv", 0, 0, "empty file"), ("ok.csv.gz", len(whole), 3, "ok"), ("plain.csv", 4, 2, "ok"),
+    ]
+    with pytest.raises(Exception, match="(?i)EOF|unexpected end|cut.csv"):
+        files.audited_files(spark, f"{tmp_path}/in").collect()
+    with pytest.raises(ValidationError):
+        files.audited_files(spark, f"{tmp_path}/none")
+    # names of files with content stay in the tasks
+    found = files.found_files(spark, f"{tmp_path}/in", "*.{gz,txt}", empty=False)
+    assert "cut.csv" not in found._jdf.queryExecution().toString()
+    assert sorted(os.path.basename(r[files.SOURCE]) for r in found.collect()) == ["cut.csv.gz", "ok.csv.gz"]
+    assert [r.bytes for r in files.found_files(spark, f"{tmp_path}/in", "e*.{csv,txt}").collect()] == [0]
+
+
+def test_losses_of_power_and_weather(spark, tmp_path):
+    write(f"{tmp_path}/Chart PV_a_Data1.csv", "Time,x\n2024-01-01 00:05:00,5\nbad,6\n2024-01-01 00:05:00,7\n2024-01-01 00:10:00,\n")
+    write(f"{tmp_path}/Chart PV_b_Data1.csv", "Time,x\n2024-01-01 00:05:00,9\n2024-01-01 00:15:00,1\n")
+    done = merge.merge_power_files(spark, str(tmp_path))
+    assert rows(done.rows, "DateTime") == [(at("2024-01-01 00:05"), 5.0), (at("2024-01-01 00:10"), None), (at("2024-01-01 00:15"), 1.0)]
+    assert sorted(tuple(r)[1:] for r in done.losses.collect()) == [(2, 0, 1), (4, 1, 1)]
+    assert "Chart PV" not in done.losses._jdf.queryExecution().optimizedPlan().toString()
+    write(f"{tmp_path}/w/Air_temperature.csv", "Date,Time,Degree Celsius\n01.02.2024,00:00,1\n2024/02/01,00:00:00,2\nx,y,3\n")
+    w = merge.merge_weather_files(spark, f"{tmp_path}/w", time_formats=["dd.MM.yyyy HH:mm"], known={"Air_temperature.csv": ["Date", "Time", "Degree Celsius"]})
+    assert rows(w.rows, "DateTime") == [(at("2024-02-01"), 1.0)] and [tuple(r)[1:] for r in w.losses.collect()] == [(3, 1, 1)]
+
+
 def test_power(spark, tmp_path):
     write(f"{tmp_path}/Chart PV_roof_Data1.csv", "Time,Optimizer 1.1- Production - Power (W)\n2024-01-01 00:05:00,5\nbad,6\n2024-01-01 00:10:00,\n")
     write(f"{tmp_path}/Chart PV_roof_Data2.csv", "Optimizer 1.1- Production - Power (W),DateTime,\"Optimizer 2,2\"\n9,2024-01-01 00:05:00,1\n10,2024-01-01 00:15:00,2\n")
