@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -46,6 +47,16 @@ BOILERPLATE = frozenset(
     "pagination popup popups promo promoted promotion related respond replies reply search share sharing sidebar signup "
     "social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+#: Names that inside an article are also those of its parts: "social-issues", "related-work", "article-header".
+LOOSE = frozenset(
+    "banner consent cookie cookies footer header login menu menus notice notices related search share sharing social "
+    "subscription widget widgets".split()
+)
+#: Names that say nothing about the text beside others.
+NEUTRAL = frozenset(
+    "area articles bar block body bottom box btn button buttons container content form group icons inline inner item items "
+    "left link links list module outer panel posts right section slot stories text top unit wrap wrapper".split()
+)
 #: Names in classes of elements whose own header belongs to the text.
 ARTICLE = frozenset("article blog content entry main post story text".split())
 #: Elements that end at the start of another one.
@@ -58,11 +69,12 @@ CLOSED_BY = {
 SCOPE = {"li": frozenset(["ul", "ol", "menu"]), "tr": frozenset(["table"]), "td": frozenset(["table"]), "th": frozenset(["table"]),
          "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "option": frozenset(["select"]), "tbody": frozenset(["table"])}
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+#: How markup begins, and the rest of a tag. Quotes are quotes only after an equals sign; nothing is tried twice.
+_START = re.compile(r"<(?:(!--)|(!\[CDATA\[)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_TAG_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+>""")
+#: Elements deeper than this are taken as beside each other, as browsers do.
+MAX_DEPTH = 512
+_INVISIBLE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 #: One attribute whole, so that names and values inside the values of others are not taken for attributes.
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 #: Share of a page's text that its main container covers, and share of that below which a host's winner is not used.
@@ -84,8 +96,10 @@ class Page:
     def __init__(self, source: str):
         self.parent, self.tag, self.label, self.dropped = [-1], ["#root"], [""], [False]
         self.pieces: list[tuple[int, int, str]] = []
-        #: Elements that only their class or id drops, and whether all its names are those of boilerplate.
-        self._named: dict[int, bool] = {}
+        #: Elements that only their class or id drops: whether all its names are those of boilerplate, and whether they
+        #: may be those of a part of an article.
+        self._named: dict[int, tuple[bool, bool]] = {}
+        self._article: dict[int, bool] = {}
         self._parse(source)
         if self._named:
             self._drop_named()
@@ -97,14 +111,16 @@ class Page:
         classes = sorted(set(_DIGITS.sub("#", found.get("class", "")).split()))
         names = {t.lower() for t in _TOKEN.findall(f"{found.get('class', '')} {found.get('id', '')}")}
         out = tag in DROPPED or found.get("role", "").lower() in ROLES or "hidden" in found
-        out |= found.get("aria-hidden", "").lower() == "true"
+        out |= found.get("aria-hidden", "").lower() == "true" or bool(_INVISIBLE.search(found.get("style", "")))
         if tag == "header":
             # the page header goes, the heading of an article stays
             out |= not self._in_article(parent)
         elif tag not in ("html", "body", "main", "h1", "p", "b", "i", "em", "strong"):
             if names & BOILERPLATE and not out:
                 every = _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
-                self._named[len(self.tag)] = BOILERPLATE.issuperset(every)
+                known, others = names & BOILERPLATE, {t for t in names - BOILERPLATE if len(t) > 1}
+                loose = known <= LOOSE and (known == {"header"} or not others <= NEUTRAL)
+                self._named[len(self.tag)] = BOILERPLATE.issuperset(every), loose
         self.parent.append(parent)
         self.tag.append(tag)
         self.label.append(".".join([tag, *classes]))
@@ -122,69 +138,96 @@ class Page:
             outer[i] = article[p]
             article[i] = article[p] or self.tag[i] in ("article", "main")
             below_name[i] = below_name[p] or i in self._named and not (self.tag[i] in ("article", "main") and not outer[i])
-        size, in_article = [0] * n, [0] * n
+        size, in_article, links, headed = [0] * n, [0] * n, [0] * n, [t == "h1" for t in self.tag]
         for i, _, text in self.pieces:
-            if not hidden[i] and not linked[i]:
+            if not hidden[i]:
                 length = len(text) - text.count(" ") - text.count("\n")
+                if linked[i]:
+                    links[i] += length
+                    continue
                 size[i] += length
                 in_article[i] += length if article[i] and not below_name[i] else 0
         for i in range(n - 1, 0, -1):
-            size[self.parent[i]] += size[i]
-            in_article[self.parent[i]] += in_article[i]
-        for i, only_boilerplate in self._named.items():
+            p = self.parent[i]
+            size[p] += size[i]
+            in_article[p] += in_article[i]
+            links[p] += links[i]
+            headed[p] |= headed[i]
+        for i, (only_boilerplate, loose) in self._named.items():
             if self.tag[i] in ("article", "main") and not outer[i]:
                 continue
+            if outer[i] and (headed[i] or loose and links[i] <= size[i]):
+                continue
             # what is inside an article is measured by it, and an article elsewhere is the article
             spared = not only_boilerplate and 2 * size[i] > size[0] and (outer[i] or in_article[0] == in_article[i])
             self.dropped[i] = not spared
 
     def _in_article(self, i: int) -> bool:
-        while i > 0:
+        above = []
+        while i > 0 and i not in self._article:
+            above.append(i)
             if self.tag[i] in ("article", "main") or ARTICLE & set(_TOKEN.findall(self.label[i].partition(".")[2].lower())):
-                return True
+                self._article[i] = True
+                break
             i = self.parent[i]
-        return False
+        found = self._article.get(i, False)
+        # every element is looked at once
+        self._article.update(dict.fromkeys(above, found))
+        return found
 
     def _parse(self, source: str) -> None:
         stack, block, at = [0], 0, 0
-        low = None
+        opened: Counter[str] = Counter()
+        low, last, quotes = None, source.rfind(">"), True
+
+        def cut(k: int) -> None:
+            opened.subtract(self.tag[i] for i in stack[k:])
+            del stack[k:]
+
         while True:
-            m = _MARKUP.search(source, at)
+            m = _START.search(source, at)
+            if m and m[4] and m.start() > last:
+                # no tag ends from here on
+                m = None
             text = source[at : m.start()] if m else source[at:]
             if text:
                 self.pieces.append((stack[-1], block, text))
             if not m:
                 return
-            at = m.end()
-            if m[2] is None:
-                if m[0].startswith("<![CDATA["):
-                    self.pieces.append((stack[-1], block, entities.escape(m[0][9:].removesuffix("]]>"))))
+            if m[4] is None:
+                mark = "-->" if m[1] else "]]>" if m[2] else ">"
+                end = source.find(mark, m.end())
+                if m[2]:
+                    self.pieces.append((stack[-1], block, entities.escape(source[m.end() : end if end >= 0 else len(source)])))
+                at = end + len(mark) if end >= 0 else len(source)
                 continue
-            tag = m[2].lower()
+            rest = _TAG_REST.match(source, m.end()) if quotes else None
+            # a page whose quotes run to its end is read without quotes from there
+            quotes = rest is not None
+            at = rest.end() if rest else source.find(">", m.end()) + 1
+            attributes, tag = source[m.end() : at - 1], m[4].lower()
             if tag in BLOCKS:
                 block += 1
             elif tag == "br":
                 self.pieces.append((stack[-1], block, " "))
-            if m[1]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] == tag:
-                        del stack[k:]
-                        break
+            if m[3]:
+                if opened[tag] > 0:
+                    cut(next(k for k in range(len(stack) - 1, 0, -1) if self.tag[stack[k]] == tag))
                 continue
             ends, scope = CLOSED_BY.get(tag, frozenset()), SCOPE.get(tag, frozenset())
-            if tag in BLOCKS:
+            if tag in BLOCKS and (opened["p"] > 0 or any(opened[t] > 0 for t in ends)):
                 for k in range(len(stack) - 1, 0, -1):
                     name = self.tag[stack[k]]
                     if name in ends or (name == "p" and tag not in ends):
-                        del stack[k:]
+                        cut(k)
                         if name != "p" or not ends:
                             break
                     elif name in scope or (name in BLOCKS and not ends):
                         break
-            elif ends and self.tag[stack[-1]] in ends:
-                stack.pop()
-            node = self._open(stack[-1], tag, m[3])
-            if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
+            elif tag not in BLOCKS and ends and self.tag[stack[-1]] in ends:
+                cut(len(stack) - 1)
+            node = self._open(stack[-1], tag, attributes)
+            if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
                 continue
             if tag in RAW:
                 low = low or source.lower()
@@ -195,7 +238,9 @@ class Page:
                 self.pieces.append((node, block, source[at:end]))
                 at = source.find(">", end) + 1 or len(source)
                 continue
-            stack.append(node)
+            if len(stack) < MAX_DEPTH:
+                stack.append(node)
+                opened[tag] += 1
 
     def path(self, i: int) -> str:
         parts = []

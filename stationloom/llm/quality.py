@@ -1,9 +1,10 @@
 """Cross-document line frequency: which lines many documents of a host share, and what is left without them.
 
 A document's lines are normalised (lower case, digit runs as 0, white space as one space) and hashed. For each host the
-distinct documents with a line are counted. A line found in more than ``max_share`` of a host's documents, and in more
-than ``min_documents`` of them, is over the limits; it is removed from every document of that host but the one with the
-smallest doc_id, so that of many copies of a text one stays whole. A document left with less than ``min_left`` of its
+distinct documents with a line are counted. A line found in more than ``max_documents`` documents of a host, or in more than
+``max_share`` of them and more than ``min_documents``, is over the limits, so hosts of any size are judged alike; it is
+removed from every document of that host but the one with the smallest doc_id of those with a row that has the line and passes
+the base rules, so that of many copies of a text one stays whole. A document left with less than ``min_left`` of its
 words is depleted and rejected.
 
 ``quality_rules`` judges by that rule alone, as its SQL does. ``clean_documents`` makes the corpus, so there a rejected document
@@ -39,8 +40,9 @@ class LineLimits:
     """When a line is over the limits, and when a document is depleted."""
 
     max_share: float = 0.05
-    min_documents: int = 20
+    max_documents: int = 20
     min_left: float = 0.3
+    min_documents: int = 5
 
 
 def normalised_line(line: Column) -> Column:
@@ -103,17 +105,23 @@ def line_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host
     )
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def frequent_lines(lines: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
-    """(host, h, first_id): the lines over the limits and the document that keeps each."""
+    """(host, h, first_id): the lines over the limits and the document that keeps each, NULL if all of them fail the base rules."""
     key = F.coalesce(F.col("doc_id"), F.lit(_NO_ID))
     each = lines.select(
-        key.alias("id"), "host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")
+        key.alias("id"), F.when(~_base_failed(), key).alias("keeper"), "host",
+        F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"),
     )
-    counts = each.groupBy("host", "h").agg(F.count_distinct("id").alias("n"), F.min("id").alias("first_id"))
+    counts = each.groupBy("host", "h").agg(F.count_distinct("id").alias("n"), F.min("keeper").alias("first_id"))
     hosts = lines.groupBy("host").agg(F.count_distinct(key).alias("documents")).withColumnRenamed("host", "of")
-    many = counts.where(F.col("n") > limits.min_documents)
+    many = counts.where(F.col("n") > min(limits.max_documents, limits.min_documents))
     over = many.join(hosts, F.col("host").eqNullSafe(F.col("of")))
-    return over.where(F.col("n") > F.lit(limits.max_share) * F.col("documents")).select("host", "h", "first_id")
+    share = (F.col("n") > limits.min_documents) & (F.col("n") > F.lit(limits.max_share) * F.col("documents"))
+    return over.where((F.col("n") > limits.max_documents) | share).select("host", "h", "first_id")
 
 
 def removed_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -127,10 +135,6 @@ def removed_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return each.join(f, hit).groupBy("id").agg(F.collect_set("h").alias("removed"))
 
 
-def _base_failed() -> Column:
-    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-
-
 def kept_lines(lines: DataFrame, frequent: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     """(id, text_key, host, n_words, h, w, keeper): the lines over the limits in rows that pass the base rules.
 

@@ -17,9 +17,13 @@ covered AS (
   FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice WHERE n > 1) GROUP BY doc_id),
 line AS (SELECT doc_id, source, {NORM} AS l FROM (SELECT doc_id, source, unnest(lines) AS l FROM d)),
 host AS (SELECT source, count(DISTINCT doc_id) AS documents FROM d GROUP BY source),
-often AS (SELECT source, l, count(DISTINCT doc_id) AS n, min(doc_id) AS first_id FROM line GROUP BY source, l),
+failed AS (
+  SELECT doc_id, len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS failed FROM d LEFT JOIN covered USING (doc_id)),
+often AS (
+  SELECT source, l, count(DISTINCT doc_id) AS n, min(doc_id) FILTER (NOT failed) AS first_id
+  FROM line JOIN failed USING (doc_id) GROUP BY source, l),
 over_limit AS (
-  SELECT o.* FROM often o JOIN host h ON o.source IS NOT DISTINCT FROM h.source WHERE o.n > 20 AND o.n > 0.05 * h.documents),
+  SELECT o.* FROM often o JOIN host h ON o.source IS NOT DISTINCT FROM h.source WHERE o.n > 20 OR (o.n > 5 AND o.n > 0.05 * h.documents)),
 lost AS (
   SELECT x.doc_id, sum(len(regexp_extract_all(x.l, '[^ ]+'))) AS removed_words
   FROM line x JOIN over_limit o ON x.l = o.l AND x.source IS NOT DISTINCT FROM o.source AND x.doc_id <> o.first_id

@@ -171,16 +171,26 @@ def records_in_range(path: str, begin: int, end: int) -> Iterator[dict]:
 # --- tables -----------------------------------------------------------------------------------------
 
 
+def revisits(keys: DataFrame) -> DataFrame:
+    """(page_id, digest, refers_to) of distinct (page_id, digest) whose payload a smaller page_id has.
+
+    The first pages are stored, so both sides of the join are plain scans and nothing above it asks for a distribution:
+    the rows of a payload in a third of all pages may be split over tasks.
+    """
+    firsts = keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    firsts = materialize(firsts.drop("n"), "first-pages")
+    other = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return keys.join(firsts, "digest").where(other).select("page_id", "digest", "refers_to")
+
+
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, url, html, refers_to, revisit) of every row."""
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
-    keys = rows.where(F.octet_length("html") >= least_bytes).select("page_id", "digest")
-    firsts = keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    other = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
-    again = keys.join(firsts, "digest").where(other).groupBy("page_id", "digest").agg(F.first("refers_to").alias("refers_to"))
-    again = materialize(again, "revisits").select(F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "refers_to")
+    keys = rows.where(F.octet_length("html") >= least_bytes).select("page_id", "digest").distinct()
+    again = materialize(revisits(materialize(keys, "page-digests")), "revisits")
+    again = again.select(F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "refers_to")
     out = rows.join(again, F.col("page_id").eqNullSafe(F.col("r_page")) & (F.col("digest") == F.col("r_digest")), "left")
     return out.select("page_id", "url", "html", "refers_to", F.col("refers_to").isNotNull().alias("revisit"))
 

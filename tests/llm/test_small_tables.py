@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, extra columns and empty tables, for every operator."""
 
+import time
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stationloom.llm import addressable, ann, html, minhash, mixing, packing, quality, secrets, toxicity, warc
+from stationloom.storage import materialize
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, id long, h long, host string, label int"
 LONG = " ".join(f"word{i % 997}x{i}" for i in range(30_000))
@@ -98,6 +100,26 @@ def test_quality_keeps_a_whole_copy_of_a_shared_text(spark):
         assert clean == want
 
 
+def test_quality_keeper_passes_the_base_rules(spark):
+    """A family whose smallest row is rejected for itself: the next one keeps the text."""
+    text = "\n".join(" ".join(f"{chr(97 + n)}{x}" for x in ("an", "bel", "cor", "dun", "es", "fil")) for n in range(6))
+    data = [(0, f"{text}\n{text}"), *[(i, text) for i in range(1, 39)]]
+    df = spark.createDataFrame([(i, t, "h") for i, t in data], "doc_id long, text string, source string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.quality_rules(df).collect()}
+    assert got == {0: (True, False), 1: (False, True)} | {i: (False, False) for i in range(2, 39)}
+    failed = df.where("doc_id = 0").unionByName(df.where("doc_id = 0").selectExpr("doc_id + 100 AS doc_id", "text", "source"))
+    assert [r.kept for r in quality.quality_rules(failed, quality.LineLimits(0.5, 1)).collect()] == [False, False]
+
+
+@pytest.mark.parametrize("documents, shared, goes", [(300, 21, True), (300, 15, False), (100, 6, True), (100, 5, False), (6, 6, True), (5, 5, False)])
+def test_quality_either_limit_for_lines(spark, documents, shared, goes):
+    own = lambda i: " ".join(f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{x}" for x in "abcdefghijkl")
+    data = [(i, ("a line that is in many of them\n" if i < shared else "") + own(i), "h") for i in range(documents)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r.doc_id: r.removed_words for r in quality.quality_rules(df).collect()}
+    assert got == {i: 8 if goes and 0 < i < shared else 0 for i in range(documents)}
+
+
 # --- tokens ----------------------------------------------------------------------------------------------
 
 
@@ -354,6 +376,30 @@ def test_warc(spark):
     assert warc.read_archives(spark, warc.write_archives(empty)).count() == 0
 
 
+def test_warc_frequent_payload_is_split_over_tasks(spark):
+    """A third of all pages alike: the join with the first pages splits their rows."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        # short digests, as equal ones weigh little in a compressed shuffle
+        digest = F.when(F.col("id") % 3 == 0, "the same").otherwise(F.hex("id"))
+        keys = spark.range(0, 60000, 1, 24).select(F.xxhash64("id").alias("page_id"), digest.alias("digest"))
+        found = warc.revisits(materialize(keys, "test-keys"))
+        sizes = [len(x) for x in found.rdd.glom().collect()]
+        assert sum(sizes) == 19999 and max(sizes) <= 5000  # the hot partition in four
+        least = keys.where("digest = 'the same'").agg(F.min("page_id")).first()[0]
+        assert found.where(F.col("refers_to") != least).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_html(spark):
     got = html.extract(spark.createDataFrame(PAGES, PAGE_SCHEMA)).collect()
     assert len(got) == len(PAGES)
@@ -401,6 +447,48 @@ def test_html_boilerplate_names_still_hide():
         assert html.main_text(f"<div {name}>{long}</div>", None) == ""
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class=article-header><h1>", "</h1></div>"), ("<div class=entry-header><h1>", "</h1></div>"), ("<div class=post-header>", "</div>"),
+    ("<section class=social-issues>", "</section>"), ("<ul class=search-tips><li>", "</ul>"), ("<section id=related-work>", "</section>"),
+    ("<div class=cookie-recipe>", "</div>"), ("<figure class=share-chart>", "</figure>"), ("<table class=header-row><tr><td>", "</table>"),
+    ("<p title=don't>", "</p>"), ("<p class=\"\" title=it's>it's ", "</p>"), ('<p style="overflow:hidden">', "</p>"),
+])
+def test_html_parts_of_an_article(start, end):
+    page = f"<html><body><article>{start}a part of it{end}<p>{ARTICLE_TEXT}</p></article></body></html>"
+    assert html.main_text(page, None).split("\n\n") == ["it's a part of it" if "it's " in start else "a part of it", ARTICLE_TEXT.strip()]
+
+
+@pytest.mark.parametrize("name", [
+    "class=comment-list", "class=ad-slot", "class=inline-ad", "class='social share'", "class=share-buttons", "class=newsletter-box",
+    "class=cookie-notice", "class=related-posts", 'style="color:red; display: none"', "style=visibility:hidden",
+])
+def test_html_boilerplate_inside_an_article(name):
+    page = f"<html><body><article><p>{ARTICLE_TEXT}</p><div {name}>something else here</div></article></body></html>"
+    assert html.main_text(page, None) == ARTICLE_TEXT.strip()
+
+
+def test_html_names_of_parts_that_are_links():
+    links = "<a href=x>one</a> <a href=y>two</a>"
+    page = f"<html><body><article><p>{ARTICLE_TEXT}</p><div class=related-work>{links}</div></article></body></html>"
+    assert html.main_text(page, None) == ARTICLE_TEXT.strip()
+
+
+@pytest.mark.parametrize("part", [
+    '<a "', "<a b='", '<a b="', "<a ", "<", "<!--", "<div><b>", "<b></i>", '<a b="><i c=\'', "<p><b>", "<ul><li><b>", "</p>", "<td>", "<header>", "&", "<a =", " = ",
+])
+def test_html_broken_pages_take_time_by_length(part):
+    page = f"<html><body><p>{ARTICLE_TEXT}</p>" + part * (1_000_000 // len(part))
+    began = time.monotonic()
+    html.main_text(page, None)
+    assert time.monotonic() - began < 20
+
+
+def test_html_text_around_broken_markup():
+    assert html.main_text("<div>x <a title=don't href=u>link</a> it's y</div>", None) == "x link it's y"
+    assert html.main_text("<div>1 < 2 <b>so <i", None) == "1 < 2 so <i"
+    assert html.main_text("<div>a<!-- > --> b<br/>c</div>", None) == "a b c"
+
+
 def test_host_votes(spark):
     pages = [(i, "http://h/", f"<div class=main{i}><p>{'text ' * 20}</div><div class=other><p>short</div>") for i in range(3)]
     pages += [(9, "http://h/", "<div class=main9><p>x</div><div class=other><p>" + "much more " * 50 + "</div>")]
