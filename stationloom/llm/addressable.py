@@ -199,7 +199,7 @@ def write_codes(
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, seq = encoder(tokenizer_path).encode, 0
+        encode_all, seq = encoder(tokenizer_path).encode_all, 0
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         held = 0
@@ -215,8 +215,8 @@ def write_codes(
             return pd.DataFrame([row], columns=["part", "seq", "path", "n_docs", "n_ids"])
 
         for batch in batches:
-            for key, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                ids = with_end(encode(text), end_id)
+            for key, found in zip(batch["doc_id"].tolist(), encode_all(batch["text"].tolist())):
+                ids = with_end(found, end_id)
                 if held and held + len(ids) > ids_per_file:
                     yield flush()
                 doc_ids.append(None if pd.isna(key) else int(key))

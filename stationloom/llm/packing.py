@@ -54,13 +54,13 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, worker = encoder(tokenizer_path).encode, partition_number()
+        encode_all, worker = encoder(tokenizer_path).encode_all, partition_number()
         slots: dict[int, int] = {}
         filled: dict[int, int] = {}
         for batch in batches:
             found = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = with_end(encode(text), end_id)
+            for doc_id, found_ids in zip(batch["doc_id"], encode_all(batch["text"])):
+                ids = with_end(found_ids, end_id)
                 raw, at = ids.tobytes(), 0
                 for n, k in cuts(len(ids), capacity):
                     slot = slots.get(k, 0)

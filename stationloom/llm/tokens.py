@@ -2,7 +2,8 @@
 
 The tokenizers used here cut a text before every lone space or line break between two other characters, and between a
 letter and a full stop or comma; no token reaches over such a cut. The pieces between those cuts repeat a lot, so each
-distinct piece is encoded once and the ids of a text are put together from the pieces. A text that may hold an added token
+distinct piece is encoded once and the ids of a text are put together from the pieces. New pieces go through the library
+by the hundreds, as one text with a lone mark between each two, at whose id the result is cut again. A text that may hold an added token
 (such as ``<|endoftext|>``, which becomes its one id, as in the tokenizers library) is encoded whole, as the pieces around
 such a token are other ones. ``tests/llm`` compares this with encoding texts as they are.
 """
@@ -11,7 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 
@@ -19,41 +22,28 @@ import numpy as np
 MAX_PIECES = 500_000
 #: Longer pieces are not remembered.
 LONG_PIECE = 48
+#: Texts are taken together up to this many characters, so that their new pieces are encoded in few calls.
+TOGETHER = 1 << 17
+#: New pieces in one call of the library, with a lone mark between each two.
+IN_A_CALL = 500
+_MARK = "^"
 _MARKS = re.compile(r"[^\w\s]+")
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n][^\s\x1c-\x1f\x85])")
 
 
-class _Pieces(dict):
-    """Ids by piece; the space before a piece is left out of its key, a line break is not."""
+def _cut(text: str) -> list[str]:
+    """The pieces of a text; the space before a piece is left out, a line break is not."""
+    words = text.split()
+    breaks = text.count("\n")
+    if len(text) - sum(map(len, words)) == len(words) - 1 == text.count(" ") + breaks:
+        # all white space is lone spaces and line breaks between words: every one is a cut
+        return text.replace("\n", " \n").split(" ") if breaks else words
+    first, *rest = _CUT.split(text)
+    return [first, *(x[1:] if x[0] == " " else x for x in rest)]
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self._tokenizer = tokenizer
-        self._older: dict[str, bytes] = {}
-        self._tails: dict[str, bytes] = {}
-
-    def raw(self, piece: str) -> bytes:
-        return np.asarray(self._tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self._older.get(piece)
-        if found is None:
-            core = piece.rstrip(".,")
-            if core != piece and core and core[-1].isalpha():
-                tail = piece[len(core) :]
-                if tail not in self._tails:
-                    if len(self._tails) > 1000:
-                        self._tails.clear()
-                    self._tails[tail] = self.raw(tail)
-                found = self[core] + self._tails[tail]
-            else:
-                found = self.raw(piece if piece[:1] == "\n" else " " + piece)
-        if len(piece) <= LONG_PIECE:
-            if len(self) >= MAX_PIECES:
-                self._older = dict(self)
-                self.clear()
-            self[piece] = found
-        return found
+
+def _spaced(piece: str) -> str:
+    return piece if piece[:1] == "\n" else " " + piece
 
 
 class PieceEncoder:
@@ -67,25 +57,98 @@ class PieceEncoder:
         added = (x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         # normalisation may change case and white space, but makes no marks out of other characters
         self._marks = {tuple(sorted(set(_MARKS.findall(x)))) or x.casefold() for x in added}
-        self._pieces = _Pieces(self.tokenizer)
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        mark = self._ids(" " + _MARK)
+        # a vocabulary without the mark as one id gets a call for each piece
+        self._mark = int(mark[0]) if len(mark) == 1 else None
+
+    def _ids(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(found, dtype="<u4")
+
+    def raw(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
 
     def _may_hold_added(self, text: str) -> bool:
         return any(
             all(x in text for x in marks) if isinstance(marks, tuple) else marks in text.casefold() for marks in self._marks
         )
 
+    def _encode_pieces(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces, many of them in one call of the library."""
+        together = []
+        for p in pieces:
+            # white space at the end would not be cut from the space before the mark
+            if self._mark is None or _MARK in p or p[-1].isspace():
+                self._known[p] = self.raw(_spaced(p))
+            else:
+                together.append(p)
+        for i in range(0, len(together), IN_A_CALL):
+            part = together[i : i + IN_A_CALL]
+            ids = self._ids(f" {_MARK}".join(map(_spaced, part)))
+            ends = np.flatnonzero(ids == self._mark).tolist()
+            if len(ends) != len(part) - 1:
+                raise ValueError("the mark between pieces was not kept apart by this tokenizer")
+            raw, begin = ids.tobytes(), 0
+            for p, end in zip(part, [*ends, len(ids)]):
+                self._known[p] = raw[4 * begin : 4 * end]
+                begin = end + 1
+
+    def _learn(self, pieces: set[str]) -> None:
+        known, older = self._known, self._older
+        new, tailed = [], []
+        for p in pieces:
+            found = older.get(p)
+            if found is not None:
+                known[p] = found
+                continue
+            core = p.rstrip(".,") if p[-1] in ".," else p
+            if core != p and core and core[-1].isalpha():
+                tailed.append((p, core, p[len(core) :]))
+            else:
+                new.append(p)
+        cores = {c for _, c, _ in tailed if c not in known}.difference(new)
+        for c in [c for c in cores if c in older]:
+            known[c] = older[c]
+            cores.discard(c)
+        self._encode_pieces([*new, *cores])
+        tails = {t: self.raw(t) for t in {t for _, _, t in tailed}}
+        for p, core, tail in tailed:
+            known[p] = known[core] + tails[tail]
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
+        cut = [None if self._may_hold_added(x) else _cut(x) for x in texts]
+        known = self._known
+        new = set(chain.from_iterable(islice(p, 1, None) for p in cut if p)).difference(known)
+        self._learn(new)
+        for text, pieces in zip(texts, cut):
+            if pieces:
+                yield self.raw(pieces[0]) + b"".join(map(known.__getitem__, islice(pieces, 1, None)))
+            else:
+                yield self.raw(text)
+        for p in new:
+            if len(p) > LONG_PIECE:
+                del known[p]
+                known.pop(p.rstrip(".,"), None)
+        if len(known) >= MAX_PIECES:
+            self._older, self._known = known, {}
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        group: list[str] = []
+        held = 0
+        for text in texts:
+            group.append(text)
+            held += len(text)
+            if held >= TOGETHER:
+                yield from self._encode_group(group)
+                group, held = [], 0
+        yield from self._encode_group(group)
+
     def encode(self, text: str) -> bytes:
-        if self._may_hold_added(text):
-            return self._pieces.raw(text)
-        words = text.split()
-        breaks = text.count("\n")
-        if len(text) - sum(map(len, words)) == len(words) - 1 == text.count(" ") + breaks:
-            # all white space is lone spaces and line breaks between words: every one is a cut
-            first, *rest = text.replace("\n", " \n").split(" ") if breaks else words
-        else:
-            first, *rest = _CUT.split(text)
-            rest = [x[1:] if x[0] == " " else x for x in rest]
-        return self._pieces.raw(first) + b"".join(map(self._pieces.__getitem__, rest))
+        [ids] = self._encode_group([text])
+        return ids
 
 
 @cache
