@@ -4,12 +4,14 @@ The fixed patterns find assignments, access keys and long hexadecimal runs. Besi
 more characters within ``NEAR`` characters before or after a sensitive word is a candidate; runs end at white space, quotes,
 brackets, commas, semicolons and sensitive words. Zstandard, primed with a dictionary of common identifiers, compresses the
 text around it once without and once with the candidate. A candidate that the dictionary and its surroundings explain (an
-identifier, a path, a repeated name) costs a few bytes; a random key costs nearly its length. Candidates whose marginal
-bytes reach ``MIN_COST`` of their length are reported as kind ``novel``, unless they overlap a span of a fixed pattern.
+identifier, a path) costs a few bytes; a random key costs nearly its length. The surroundings are taken without the other
+candidates and without copies of the candidate, so that a key that stands twice, or beside keys of the same stem, does not
+explain itself. Strings whose marginal bytes at their first place reach ``MIN_COST`` of their length are reported as kind
+``novel`` wherever they stand in the text, also away from sensitive words, unless they overlap a span of a fixed pattern.
 
 Ordinary words and numbers (letters in parts of four and more on average, digits with separators) cost nearly their length
 too where the text around has not used them ("different" costs 1.0 a character), so the cost cannot tell them from keys. They
-are candidates only as the value of a sensitive word (``pwd: ...``, ``auth = ...``).
+are candidates only as the value of a sensitive word (``pwd: ...``, ``auth = ...``). E-mail addresses are no candidates.
 
 Every row is judged alone, over its whole text, so the scan needs no shuffle. A NULL text is empty and has no spans.
 Offsets are code points, ends exclusive.
@@ -18,7 +20,7 @@ Offsets are code points, ends exclusive.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -82,6 +84,7 @@ _ASSIGNS = re.compile(r"""[A-Za-z_-]*["'`\])]*\s*[:=]+>?\s*["'`(\[{]*""")
 _END = ".:"
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_A-Za-z]+")
 _NUMBER = re.compile(r"[\d.:/+%$€#-]+")
+_EMAIL = re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}")
 
 
 def _has_hex_run(text: str, n: int = 24) -> bool:
@@ -123,14 +126,40 @@ class Novelty:
         lower, found = text.lower() if lower is None else lower, []
         if not any(w in lower for w in SENSITIVE):
             return found
-        for a, b, value in candidates(text):
-            if any(x < b and a < y for x, _, y in taken):
+        taken = [(x, y) for x, _, y in taken]
+        open_runs = _apart(((a, b) for a, b, near, value in runs(text) if near and (value or not ordinary(text[a:b]))), taken)
+        first: dict[str, int] = {}
+        bare, at = [], 0
+        for a, b in open_runs:
+            if _EMAIL.fullmatch(text, a, b):
                 continue
-            s = text[a:b]
-            if (value or not ordinary(s)) and self.cost(text[max(0, a - AROUND) : a], s, text[b : b + AROUND]) >= MIN_COST * len(s):
-                found.append((a, 3, b))
+            first.setdefault(text[a:b], a)
+            bare += [text[at:a], " " * (b - a)]
+            at = b
+        around = "".join([*bare, text[at:]])
+        novel = {s for s, a in first.items() if self._is_novel(around, s, a)}
+        if novel:
+            found = [(a, 3, b) for a, b in _apart(((a, b) for a, b, _, _ in runs(text)), taken) if text[a:b] in novel]
         return found
 
+    def _is_novel(self, around: str, s: str, a: int) -> bool:
+        """Whether the candidate at ``a`` is new to the text around it, which holds no other candidate."""
+        b, n = a + len(s), AROUND + len(s)
+        before = around[max(0, a - n) : a].replace(s, " ")[-AROUND:]
+        after = around[b : b + n].replace(s, " ")[:AROUND]
+        return self.cost(before, s, after) >= MIN_COST * len(s)
+
+
+def _apart(spans: Iterable[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans, in order, that overlap none of those taken, which come by their starts."""
+    i, end = 0, 0
+    for a, b in spans:
+        while i < len(taken) and taken[i][0] < b:
+            end = max(end, taken[i][1])
+            i += 1
+        if end <= a:
+            yield a, b
+
 
 def ordinary(s: str) -> bool:
     """Whether a run has the form of words or of a number."""
@@ -145,16 +174,17 @@ def _accents_gone(s: str) -> str:
     return s if s.isascii() else "".join(c if c.isascii() or not c.isalpha() else "A" if c.isupper() else "a" for c in s)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, bool]]:
-    """(start, end, whether it is the value of a sensitive word) of the runs near sensitive words, in order."""
+def runs(text: str) -> Iterator[tuple[int, int, bool, bool]]:
+    """(start, end, whether a sensitive word is near, whether it is the value of one) of all runs, in order."""
     before = None
     for near in [*_NEAR.finditer(text), None]:
         stop = near.start() if near else len(text)
         for m in _RUN.finditer(text, before or 0, stop):
             for a, b in _parts(text, m.start(), m.end()):
-                after = before is not None and a - before <= NEAR
-                if b - a >= MIN_CANDIDATE and (after or near and stop - b <= NEAR):
-                    yield a, b, after and _ASSIGNS.fullmatch(text, before, a) is not None
+                if b - a >= MIN_CANDIDATE:
+                    after = before is not None and a - before <= NEAR
+                    close = after or near is not None and stop - b <= NEAR
+                    yield a, b, close, after and _ASSIGNS.fullmatch(text, before, a) is not None
         if near:
             before = near.end()
 

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, extra columns and empty tables, for every operator."""
 
+import re
 import time
 import zlib
 
@@ -311,7 +312,6 @@ def test_nearest_neighbours(spark):
 
 
 def test_secrets(docs, none):
-    import re
 
     got = {r.doc_id: r for r in secrets.digest(secrets.scan(docs)).collect()}
     assert got[9].n_assign == 1 and got[9].spans == "assign:0:24" and got[3].spans == ""
@@ -344,7 +344,52 @@ def test_novel_strings_of_any_form_and_side(text, secret):
     assert secrets.Novelty().spans(text, []) == [(a, 3, a + len(secret))]
 
 
+def test_novel_strings_are_reported_at_every_place():
+    novelty, key = secrets.Novelty(), "Zx8Kq02LmPpR4tYv"
+    text = f"private key {key} {key} and, " + "some other words " * 10 + key
+    places = [m.start() for m in re.finditer(key, text)]
+    assert len(places) == 3 and novelty.spans(text, []) == [(a, 3, a + len(key)) for a in places]
+    rng = np.random.default_rng(5)
+    keys = ["Kq7Zp_" + "".join(rng.choice(list("BCDFGHJKLMNQRSTVWXZ23456789"), 18)) for _ in range(2000)]
+    text = " ".join(f"key {k}" for k in keys)
+    assert [text[a:b] for a, _, b in novelty.spans(text, [])] == keys
+
+
+def test_novel_strings_from_the_definition():
+    """Runs, contexts and overlaps put together plainly, on keys planted among words and addresses."""
+    rng = np.random.default_rng(11)
+    letters = list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789")
+    planted = missed = alarms = 0
+    for _ in range(150):
+        text, keys = [], []
+        for _ in range(12):
+            text += list(rng.choice(["river", "mountain", "session", "user42@mail6.example.com", "10.20.30", "token"], 3))
+            key = "".join(rng.choice(letters, int(rng.integers(14, 30))))
+            if any(c.isdigit() for c in key) and rng.random() < 0.5:
+                keys.append(key)
+                text += ["the", "key", "is", key]
+        text, novelty = " ".join(text), secrets.Novelty()
+        base = secrets.base_spans(text)
+        found = novelty.spans(text, base)
+        assert not any(a < y and x < b for a, _, b in found for x, _, y in base)
+        near = [m.span() for m in secrets._NEAR.finditer(text)]
+        bare = text
+        for k in keys:
+            bare = bare.replace(k, " " * len(k))
+        for k in set(keys):
+            a = text.index(k)
+            if any(x < a + len(k) and a < y for x, y in near) or any(x < a + len(k) and a < y for x, _, y in base):
+                continue
+            before, after = bare[max(0, a - secrets.AROUND) : a], bare[a + len(k) : a + len(k) + secrets.AROUND]
+            want = novelty.cost(before, k, after) >= secrets.MIN_COST * len(k)
+            assert want == any(text[x:y] == k for x, _, y in found)
+            planted, missed = planted + 1, missed + (not want)
+        alarms += sum(text[x:y] not in keys and not any(text[x:y] in k for k in keys) for x, _, y in found)
+    assert planted > 500 and missed <= 0.01 * planted and alarms == 0
+
+
 def test_ordinary_text_near_sensitive_words_is_no_secret():
+    assert secrets.Novelty().spans("private key of une.92@mail6.example.com, session with ab.c9@x.org", []) == []
     text = "The key considerations of documentation: private organizations, different since 2019-2020, keep a session open (1,234,567)."
     assert secrets.Novelty().spans(text, []) == []
     assert secrets.Novelty().spans("see https://example.org/documentation/session/overview and über-schlüssel key", []) == []
