@@ -188,6 +188,9 @@ SELECT station::DOUBLE AS station, event_id::DOUBLE AS event_id, view, "DateTime
 
 ORACLES["partitioned_sink"] = f"WITH {WIDE} SELECT * FROM wide"
 
+ORACLES["clustered_sink"] = f"""
+WITH {WIDE} SELECT * FROM wide WHERE "DateTime" BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'"""
+
 # --- extraction ----------------------------------------------------------------------------------
 
 ORACLES["extract_rename"] = f"""

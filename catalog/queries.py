@@ -202,6 +202,14 @@ def partitioned_sink(spark, sf):
     return spark.read.schema(w.schema).parquet(path)
 
 
+@query
+def clustered_sink(spark, sf):
+    """Rows of a period, from a table whose files follow each other in time within a station."""
+    path, w = scratch_path(spark, "clustered"), i.wide(spark, sf)
+    files.write_table(w, path, ["station"], [TIME], cluster=True)
+    return files.read_period(spark, path, w.schema, TIME, "2024-01-10", "2024-01-20")
+
+
 # --- extraction ----------------------------------------------------------------------------------
 
 

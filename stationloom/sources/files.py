@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 from stationloom.columns import c
 from stationloom.errors import DataProcessingError, ValidationError
+from stationloom.functions.clock import DAY, micros
+from stationloom.operators.extract import date_range
 from stationloom.storage import local_table, materialize
 
 SOURCE, BLOCK, LINE, TEXT = "_source", "_block", "_line", "_text"
@@ -257,21 +259,60 @@ def require_some(audit: DataFrame) -> None:
         raise DataProcessingError("no file could be used: " + "; ".join(bad))
 
 
+#: The time a clustered table is ordered by, in microseconds.
+CLUSTER_TIME = "_clustered_us"
+
+
+def read_period(
+    spark: SparkSession, path: str, schema: T.StructType, time_col: str, start: str | None, end: str | None,
+    end_inclusive_day: bool = False,
+) -> DataFrame:
+    """``date_range`` of a clustered table; files and row groups outside the period are not read."""
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField(CLUSTER_TIME, T.LongType())])).parquet(path)
+    us = F.col(CLUSTER_TIME)
+    if start is not None:
+        table = table.where(us >= micros(F.lit(start).cast("timestamp_ntz")))
+    if end is not None:
+        table = table.where(us < micros(F.lit(end).cast("timestamp_ntz")) + DAY)
+    return date_range(table, time_col, start, end, end_inclusive_day).select(*map(c, schema.names))
+
+
+def hashable(kind: T.DataType) -> bool:
+    """Whether Spark hashes values of this type (maps and variants it does not)."""
+    if isinstance(kind, T.ArrayType):
+        return hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = "parquet",
-    measure: Callable[[DataFrame], DataFrame] | None = None,
+    measure: Callable[[DataFrame], DataFrame] | None = None, cluster: bool = False,
 ) -> None:
     """Overwrite a table. Partitioned tables are rebalanced first, so that a hot partition is written by
     several tasks and a small one by a single task; rows are ordered within each file only.
 
+    With ``cluster`` the rows are dealt by sampled ranges of ``partition_by`` and ``sort_by`` (a time first) instead: the
+    files of a partition follow each other and meet in equal values at most. As Spark holds no filter on a naive time
+    against the statistics of files, the time is stored as microseconds too, and ``read_period`` skips files by those.
+    Sampling runs the steps since the last shuffle twice; the number of shuffle partitions decides how large files are. Rows
+    with equal or no values (such as no time) are dealt by the rest of the row, only whole copies of a row stay together.
+
     ``measure`` may observe the rows on their way: it is put behind the last shuffle, into the tasks that write, whose
     metrics Spark counts once however often a task is run."""
-    if partition_by:
+    if cluster:
+        ties = [c(f.name) for f in df.schema.fields if f.name not in (*partition_by, *sort_by) and hashable(f.dataType)]
+        df = df.repartitionByRange(*map(c, (*partition_by, *sort_by)), *([F.xxhash64(*ties)] if ties else []))
+        if CLUSTER_TIME in df.columns:
+            raise ValidationError(f"a clustered table has a column {CLUSTER_TIME} of its own")
+        df = df.withColumn(CLUSTER_TIME, micros(c(sort_by[0])))
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     if measure:
         df = measure(df)
     if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
+        df = df.sortWithinPartitions(*map(c, (*partition_by, *sort_by)))
     if fmt == "csv":
         # the writer's own format would cut times to milliseconds
         times = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))}

@@ -205,6 +205,50 @@ def test_typed_csv_round_trip(spark, tmp_path):
     assert back.columns == df.columns and rows(back, "DateTime") == rows(df, "DateTime")
 
 
+def scanned_rows(df) -> int:
+    """Rows that came out of the scan of a table, by its metric."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_clustered_files_follow_each_other_in_time(spark, tmp_path):
+    """A hot device, rows without a time and copies of a time; periods are read from few row groups."""
+    schema = "device string, `Date.Time` timestamp_ntz, v long, tags map<string,int>, l array<long>"
+    n = F.col("id")
+    time = F.when(n % 50 == 0, None).when(n % 7 == 0, F.lit("2024-02-01")).otherwise(F.timestamp_seconds(1_704_067_200 + n * 60))
+    df = spark.range(60_000).select(
+        F.when(n % 3 == 0, "a/b").otherwise((n % 5).cast("string")).alias("device"), time.cast("timestamp_ntz").alias("Date.Time"),
+        n.alias("v"), F.create_map(F.lit("k"), F.lit(1)).alias("tags"), F.array(n).alias("l"),
+    )
+    path = f"{tmp_path}/t"
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    files.write_table(df, path, ["device"], ["Date.Time"], cluster=True)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    back = spark.read.schema(schema).parquet(path)
+    assert back.count() == 60_000 and back.agg(F.sum("v")).first()[0] == sum(range(60_000))
+    borders = back.where("`Date.Time` IS NOT NULL").groupBy("device", F.col("_metadata.file_path").alias("file")).agg(
+        F.min("`Date.Time`").alias("first"), F.max("`Date.Time`").alias("last")
+    )
+    by_device: dict = {}
+    for device, _, first, last in sorted(borders.collect(), key=lambda r: (r[0], r[2], r[3])):
+        by_device.setdefault(device, []).append((first, last))
+    assert len(by_device["a/b"]) > 1
+    assert all(x[1] <= y[0] for spans in by_device.values() for x, y in zip(spans, spans[1:]))
+    period = files.read_period(spark, path, back.schema, "Date.Time", "2024-01-03", "2024-01-05")
+    assert period.columns == back.columns
+    assert period.count() == df.where("`Date.Time` BETWEEN TIMESTAMP_NTZ'2024-01-03' AND TIMESTAMP_NTZ'2024-01-05'").count() > 0
+    assert period.count() <= scanned_rows(period) < 60_000 / 4
+    files.write_table(df.limit(0), f"{tmp_path}/none", ["device"], ["Date.Time"], cluster=True)
+    assert files.read_period(spark, f"{tmp_path}/none", back.schema, "Date.Time", None, "2024-01-05", True).count() == 0
+    with pytest.raises(ValidationError, match="of its own"):
+        files.write_table(df.withColumn(files.CLUSTER_TIME, F.lit(1)), path, ["device"], ["Date.Time"], cluster=True)
+
+
 def text_scans(df) -> int:
     """Scans of text files in the plan of a table."""
     return df._jdf.queryExecution().optimizedPlan().toString().count("] text")
