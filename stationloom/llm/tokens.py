@@ -34,8 +34,8 @@ _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n][^\s\x1c-\x1f\x85])")
 def _cut(text: str) -> list[str]:
     """The pieces of a text; the space before a piece is left out, a line break is not."""
     words = text.split()
-    breaks = text.count("\n")
-    if len(text) - sum(map(len, words)) == len(words) - 1 == text.count(" ") + breaks:
+    breaks = "\n" in text
+    if " ".join(words) == (text.replace("\n", " ") if breaks else text) and words:
         # all white space is lone spaces and line breaks between words: every one is a cut
         return text.replace("\n", " \n").split(" ") if breaks else words
     first, *rest = _CUT.split(text)
